@@ -1 +1,142 @@
-"""Further oracle statements (quality, incremental, history, seeds)."""
+"""Oracle statements for the stateful queries (incremental load, SCD2)."""
+
+from __future__ import annotations
+
+from .oracle import AS_OF, CTES, SQL, cte, money, with_ctes
+
+
+def variant(base: str, name: str, deps: list[str], replacements: list[tuple[str, str]]):
+    body = CTES[base]
+    for a, b in replacements:
+        assert a in body, (base, a)
+        body = body.replace(a, b)
+    cte(name, deps, body)
+
+
+def ts(text: str) -> str:
+    return f"TIMESTAMP '{text}'"
+
+
+LOAD_RUN_1, LOAD_RUN_2 = ts("2028-12-31 00:00:00"), ts("2029-01-01 00:00:00")
+SNAP_RUNS = [ts("2029-01-01 00:00:00"), ts("2029-02-01 00:00:00")]
+
+# ------------------------------------------------------------ load batches
+cte("raw_orders_b1", ["raw_orders"], """
+SELECT * FROM raw_orders
+WHERE order_date < DATE '2028-01-01' AND status IS DISTINCT FROM 'on_hold'""")
+cte("raw_orders_b2", ["raw_orders"], """
+SELECT order_id, customer_id, product_id, quantity, order_date,
+       CASE WHEN status = 'pending' THEN 'completed' ELSE status END AS status, total_amount
+FROM raw_orders""")
+variant("stg_orders", "stg_orders_b1", ["raw_orders_b1"], [("FROM raw_orders", "FROM raw_orders_b1")])
+variant("stg_orders", "stg_orders_b2", ["raw_orders_b2"], [("FROM raw_orders", "FROM raw_orders_b2")])
+
+ORDER_FACT_COLS = ["order_id", "customer_id", "product_id", "first_name", "last_name",
+                   "product_name", "category", "quantity", "order_date", "status",
+                   "total_amount", "estimated_discount", "net_amount", "loaded_at"]
+
+
+def order_rows(name: str, src: str, run_ts: str):
+    cte(name, [src, "stg_products", "stg_customers"], f"""
+SELECT o.order_id, o.customer_id, o.product_id, c.first_name, c.last_name, p.product_name,
+       p.category, o.quantity, o.order_date, o.status, o.total_amount, o.estimated_discount,
+       o.total_amount - o.estimated_discount AS net_amount,
+       {run_ts} AS loaded_at
+FROM {src} o
+LEFT JOIN stg_products p ON o.product_id = p.product_id
+LEFT JOIN stg_customers c ON o.customer_id = c.customer_id""")
+
+
+order_rows("fct_orders_full", "stg_orders", LOAD_RUN_1)
+order_rows("load1_target", "stg_orders_b1", LOAD_RUN_1)
+order_rows("load2_source", "stg_orders_b2", LOAD_RUN_2)
+cte("load2_delta", ["load1_target", "load2_source"], """
+SELECT s.* FROM load2_source s
+WHERE NOT EXISTS (SELECT 1 FROM load1_target t WHERE t.order_id = s.order_id)
+   OR s.order_date >= (SELECT coalesce(max(order_date), DATE '1900-01-01') FROM load1_target)""")
+cte("load2_target", ["load1_target", "load2_delta"], """
+SELECT * FROM load1_target t
+WHERE NOT EXISTS (SELECT 1 FROM load2_delta d WHERE d.order_id = t.order_id)
+UNION ALL
+SELECT * FROM load2_delta""")
+
+_ORDER_MONEY = money("total_amount", "estimated_discount", "net_amount")
+
+
+def _select(src: str, cols: list[str], casts: dict[str, str]) -> str:
+    return with_ctes(src) + "SELECT " + ", ".join(casts.get(c, c) for c in cols) + f" FROM {src}"
+
+
+SQL["fct_orders_incremental_full"] = _select("fct_orders_full", ORDER_FACT_COLS, _ORDER_MONEY)
+SQL["incremental_delta"] = _select("load2_delta", ORDER_FACT_COLS, _ORDER_MONEY)
+SQL["incremental_upsert"] = _select("load2_target", ORDER_FACT_COLS, _ORDER_MONEY)
+
+# ------------------------------------------------------------ SCD2 history
+cte("raw_customers_b1", ["raw_customers"], """
+SELECT * FROM raw_customers WHERE registration_date < DATE '2028-06-01'""")
+cte("raw_customers_b2", ["raw_customers"], """
+SELECT customer_id, first_name, last_name, email, registration_date,
+       CASE WHEN country = 'United States' THEN 'USA' ELSE country END AS country,
+       CASE WHEN country = 'United States' THEN COALESCE(updated_at, registration_date) + 30
+            ELSE updated_at END AS updated_at,
+       CASE WHEN first_name = 'AUTOMOBILE' THEN total_orders + 60 ELSE total_orders END
+           AS total_orders
+FROM raw_customers
+WHERE country IS DISTINCT FROM 'Brazil'""")
+variant("stg_customers", "snap_src1", ["raw_customers_b1"],
+        [("FROM raw_customers", "FROM raw_customers_b1"), (AS_OF, "DATE '2029-01-01'")])
+variant("stg_customers", "snap_src2", ["raw_customers_b2"],
+        [("FROM raw_customers", "FROM raw_customers_b2"), (AS_OF, "DATE '2029-02-01'")])
+
+STG_COLS = ["customer_id", "first_name", "last_name", "email", "registration_date", "country",
+            "country_code", "updated_at", "customer_tier", "days_since_registration",
+            "is_major_market", "activity_status", "cohort_month", "total_orders",
+            "last_updated", "full_name"]
+CHECK_COLS = ["first_name", "last_name", "email", "country", "customer_tier"]
+META = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
+
+
+def _scd_id(key: str, version: str) -> str:
+    return (f"md5(coalesce(CAST({key} AS VARCHAR), '') || '|' || "
+            f"coalesce(CAST({version} AS VARCHAR), ''))")
+
+
+def scd2_sql(strategy: str) -> str:
+    def version(alias: str, run: str) -> str:
+        return f"CAST({alias}.updated_at AS TIMESTAMP)" if strategy == "timestamp" else run
+
+    def changed() -> str:
+        if strategy == "timestamp":
+            return "h.dbt_valid_from < CAST(s.updated_at AS TIMESTAMP)"
+        return "(" + " OR ".join(f"h.{c} IS DISTINCT FROM s.{c}" for c in CHECK_COLS) + ")"
+
+    run1, run2 = SNAP_RUNS
+    scols = ", ".join(f"s.{c}" for c in STG_COLS)
+    hcols = ", ".join(f"h.{c}" for c in STG_COLS)
+    v1, v2 = version("s", run1), version("s", run2)
+    h1 = f"h1_{strategy}"
+    cte(h1, ["snap_src1"], f"""
+SELECT {scols}, {_scd_id('s.customer_id', v1)} AS dbt_scd_id, {v1} AS dbt_updated_at,
+       {v1} AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to
+FROM snap_src1 s""")
+    h2 = f"h2_{strategy}"
+    cte(h2, [h1, "snap_src2"], f"""
+SELECT * FROM {h1} WHERE dbt_valid_to IS NOT NULL
+UNION ALL
+SELECT {hcols}, h.dbt_scd_id, h.dbt_updated_at, h.dbt_valid_from,
+       CASE WHEN s.customer_id IS NULL THEN {run2}
+            WHEN {changed()} THEN {v2}
+            ELSE h.dbt_valid_to END AS dbt_valid_to
+FROM (SELECT * FROM {h1} WHERE dbt_valid_to IS NULL) h
+LEFT JOIN snap_src2 s ON h.customer_id = s.customer_id
+UNION ALL
+SELECT {scols}, {_scd_id('s.customer_id', v2)} AS dbt_scd_id, {v2} AS dbt_updated_at,
+       {v2} AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to
+FROM snap_src2 s
+LEFT JOIN (SELECT * FROM {h1} WHERE dbt_valid_to IS NULL) h ON h.customer_id = s.customer_id
+WHERE h.customer_id IS NULL OR {changed()}""")
+    return with_ctes(h2) + f"SELECT {', '.join(STG_COLS + META)} FROM {h2}"
+
+
+SQL["scd2_timestamp"] = scd2_sql("timestamp")
+SQL["scd2_check"] = scd2_sql("check")

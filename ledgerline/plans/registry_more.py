@@ -1 +1,72 @@
-"""Further registered queries (quality, incremental, history, seeds)."""
+"""Further registered queries: incremental load, SCD2 history."""
+
+from __future__ import annotations
+
+from ..functions.dates import as_ts_col  # noqa: F401
+from ..operators import history as H
+from ..operators import marts as M
+from ..operators import staging as S
+from ..operators import upsert as U
+from ..sources import testbind as TB
+from .registry import Inputs, exposed, register
+
+CHECK_COLS = ["first_name", "last_name", "email", "country", "customer_tier"]
+
+
+def _order_rows(i: Inputs, raw_orders, run_ts):
+    return M.fct_orders_rows(S.stg_orders(raw_orders), i.stg_products, i.stg_customers, run_ts)
+
+
+def _two_loads(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    r1, r2 = TB.LOAD_RUNS
+    first = _order_rows(i, TB.orders_first_load(i.raw.orders), r1)
+    _, target1 = U.incremental_load(first, None)
+    second = _order_rows(i, TB.orders_second_load(i.raw.orders), r2)
+    delta, target2 = U.incremental_load(second, target1)
+    return delta, target2
+
+
+@register("fct_orders_incremental_full")
+def q_fct_orders_incremental_full(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    rows = M.fct_orders_rows(i.stg_orders, i.stg_products, i.stg_customers, TB.LOAD_RUNS[0])
+    return exposed(U.incremental_load(rows, None)[1])
+
+
+@register("incremental_delta")
+def q_incremental_delta(spark, sf_dir):
+    return exposed(_two_loads(spark, sf_dir)[0])
+
+
+@register("incremental_upsert")
+def q_incremental_upsert(spark, sf_dir):
+    return exposed(_two_loads(spark, sf_dir)[1])
+
+
+def _snapshot_source(raw_customers, run_ts):
+    return S.stg_customers(raw_customers, run_ts.date())
+
+
+def snapshot_runs(spark, sf_dir, strategy: str, runs: int = 2):
+    """History after ``runs`` snapshot runs over the load scenario
+    (first load, second load, second load again, first load again)."""
+    raw = TB.raw_customers(spark, sf_dir)
+    loads = [TB.customers_first_load(raw), TB.customers_second_load(raw),
+             TB.customers_second_load(raw), TB.customers_first_load(raw)]
+    hist = None
+    for n in range(runs):
+        run_ts = TB.SNAPSHOT_RUNS[n]
+        hist = H.snapshot(_snapshot_source(loads[n], run_ts), hist, "customer_id", strategy,
+                          run_ts, updated_at="updated_at", check_cols=CHECK_COLS)
+    return hist
+
+
+@register("scd2_timestamp")
+def q_scd2_timestamp(spark, sf_dir):
+    return exposed(snapshot_runs(spark, sf_dir, "timestamp"))
+
+
+@register("scd2_check")
+def q_scd2_check(spark, sf_dir):
+    return exposed(snapshot_runs(spark, sf_dir, "check"))

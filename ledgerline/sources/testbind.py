@@ -132,3 +132,57 @@ class Raw:
 def load_raw(spark: SparkSession, sf_dir: str) -> Raw:
     return Raw(raw_customers(spark, sf_dir), raw_products(spark, sf_dir),
                raw_orders(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Change scenarios for the stateful operators (incremental load, SCD2).
+# The first load knows customers registered before
+# 2028-06-01 and orders dated before 2028-01-01 that are not on hold; the
+# second load sees every row, after these business changes:
+#   * the shop leaves Brazil (those customers disappear: hard deletes);
+#   * 'United States' is normalised to 'USA', updated_at moves 30 days on;
+#   * AUTOMOBILE-segment customers gain 60 completed orders without
+#     touching updated_at (a tier change only the check strategy sees);
+#   * every pending order becomes completed.
+# ---------------------------------------------------------------------------
+CUSTOMERS_FIRST_LOAD_BEFORE = _dt.date(2028, 6, 1)
+ORDERS_FIRST_LOAD_BEFORE = _dt.date(2028, 1, 1)
+HELD_STATUS = "on_hold"
+EXITED_COUNTRY = "Brazil"
+RENAMED_COUNTRY = ("United States", "USA")
+RENAME_UPDATE_DAYS = 30
+BOOSTED_SEGMENT = "AUTOMOBILE"
+BOOST_ORDERS = 60
+SNAPSHOT_RUNS = [_dt.datetime(2029, 1, 1), _dt.datetime(2029, 2, 1),
+                 _dt.datetime(2029, 3, 1), _dt.datetime(2029, 4, 1)]
+LOAD_RUNS = [_dt.datetime(2028, 12, 31), _dt.datetime(2029, 1, 1)]
+
+
+def customers_first_load(raw_customers_df: DataFrame) -> DataFrame:
+    return raw_customers_df.where(F.col("registration_date") < F.lit(CUSTOMERS_FIRST_LOAD_BEFORE))
+
+
+def customers_second_load(raw_customers_df: DataFrame) -> DataFrame:
+    old, new = RENAMED_COUNTRY
+    renamed = F.col("country") == old
+    c = raw_customers_df.where(~F.col("country").eqNullSafe(EXITED_COUNTRY))
+    return c.select(
+        "customer_id", "first_name", "last_name", "email", "registration_date",
+        F.when(renamed, F.lit(new)).otherwise(F.col("country")).alias("country"),
+        F.when(renamed, F.date_add(F.coalesce("updated_at", "registration_date"),
+                                   RENAME_UPDATE_DAYS))
+        .otherwise(F.col("updated_at")).alias("updated_at"),
+        F.when(F.col("first_name") == BOOSTED_SEGMENT, F.col("total_orders") + BOOST_ORDERS)
+        .otherwise(F.col("total_orders")).alias("total_orders"),
+    )
+
+
+def orders_first_load(raw_orders_df: DataFrame) -> DataFrame:
+    return raw_orders_df.where((F.col("order_date") < F.lit(ORDERS_FIRST_LOAD_BEFORE))
+                               & ~F.col("status").eqNullSafe(HELD_STATUS))
+
+
+def orders_second_load(raw_orders_df: DataFrame) -> DataFrame:
+    return raw_orders_df.withColumn(
+        "status", F.when(F.col("status") == "pending", F.lit("completed"))
+        .otherwise(F.col("status")))
