@@ -140,3 +140,152 @@ WHERE h.customer_id IS NULL OR {changed()}""")
 
 SQL["scd2_timestamp"] = scd2_sql("timestamp")
 SQL["scd2_check"] = scd2_sql("check")
+
+# ------------------------------------------------------------------ quality
+from ..plans.suite import SINGULAR_COLUMNS, SINGULAR_CONDITION, SUITE  # noqa: E402
+
+MODEL_CTE = {"raw_customers": "raw_customers", "raw_products": "raw_products",
+             "raw_orders": "raw_orders", "stg_customers": "stg_customers",
+             "stg_orders": "stg_orders", "stg_products": "stg_products",
+             "dim_customers": "dim_customers", "fct_orders_incremental": "fct_orders_full",
+             "customers_snapshot": "h2_timestamp"}
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _check_sql(ch) -> str:
+    t = MODEL_CTE[ch.model]
+    col = ch.column
+    head = (f"SELECT {_q(ch.kind)} AS test, {_q(ch.model)} AS model, {_q(col)} AS column_name, "
+            f"{_q(ch.rule)} AS rule, ")
+    if ch.kind == "not_null":
+        return head + f"CAST(count(*) FILTER (WHERE {col} IS NULL) AS BIGINT) AS failures FROM {t}"
+    if ch.kind == "accepted_values":
+        vals = ", ".join(_q(v) for v in ch.values)
+        return head + (f"CAST(count(DISTINCT {col}) FILTER (WHERE {col} NOT IN ({vals})) AS BIGINT)"
+                       f" AS failures FROM {t}")
+    if ch.kind == "accepted_range":
+        conds = []
+        if ch.min_value is not None:
+            conds.append(f"{col} >= {ch.min_value}")
+        if ch.max_value is not None:
+            conds.append(f"{col} <= {ch.max_value}")
+        return head + (f"CAST(count(*) FILTER (WHERE NOT ({' AND '.join(conds)})) AS BIGINT)"
+                       f" AS failures FROM {t}")
+    if ch.kind == "expression_is_true":
+        expr = ch.expression.replace("CURRENT_DATE", AS_OF)
+        return head + f"CAST(count(*) FILTER (WHERE NOT ({col} {expr})) AS BIGINT) AS failures FROM {t}"
+    if ch.kind == "unique":
+        return head + (f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {col} FROM {t} "
+                       f"WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1) d")
+    if ch.kind == "relationships":
+        p = MODEL_CTE[ch.to]
+        return head + (f"CAST(count(*) AS BIGINT) AS failures FROM {t} c WHERE c.{col} IS NOT NULL "
+                       f"AND NOT EXISTS (SELECT 1 FROM {p} p WHERE p.{ch.field_name} = c.{col})")
+    raise ValueError(ch.kind)
+
+
+def dq_sql(kind: str) -> str:
+    checks = [c for c in SUITE if c.kind == kind]
+    ctes = {MODEL_CTE[c.model] for c in checks} | {MODEL_CTE[c.to] for c in checks if c.to}
+    return with_ctes(*sorted(ctes)) + "\nUNION ALL\n".join(_check_sql(c) for c in checks)
+
+
+for _key, _kind in [("dq_unique", "unique"), ("dq_not_null", "not_null"),
+                    ("dq_accepted_values", "accepted_values"),
+                    ("dq_relationships", "relationships"),
+                    ("dq_accepted_range", "accepted_range"),
+                    ("dq_expression", "expression_is_true")]:
+    SQL[_key] = dq_sql(_kind)
+
+SQL["dq_singular"] = (with_ctes("stg_orders") + "SELECT order_id, CAST(total_amount AS DOUBLE) "
+                      f"AS total_amount FROM stg_orders WHERE {SINGULAR_CONDITION}")
+assert SINGULAR_COLUMNS == ["order_id", "total_amount"]
+
+SQL["source_freshness"] = """
+SELECT event_type, max(ts) AS max_loaded_at,
+       date_diff('microsecond', max(ts), TIMESTAMP '2024-02-01 00:00:00') AS age_microseconds,
+       CAST(date_diff('microsecond', max(ts), TIMESTAMP '2024-02-01 00:00:00') AS DOUBLE) / 3.6e9
+           AS age_hours,
+       CASE WHEN max(ts) IS NULL THEN 'error'
+            WHEN CAST(date_diff('microsecond', max(ts), TIMESTAMP '2024-02-01 00:00:00') AS DOUBLE) / 3.6e9 > 48 THEN 'error'
+            WHEN CAST(date_diff('microsecond', max(ts), TIMESTAMP '2024-02-01 00:00:00') AS DOUBLE) / 3.6e9 > 24 THEN 'warn'
+            ELSE 'pass' END AS status
+FROM events GROUP BY event_type"""
+
+SQL["preflight_counts"] = with_ctes("raw_customers", "raw_orders") + """
+SELECT c.customers, o.completed_orders,
+       c.customers > 0 AS customers_present, o.completed_orders > 0 AS completed_present,
+       CASE WHEN c.customers > 0 AND o.completed_orders > 0 THEN 'pass' ELSE 'fail' END AS status
+FROM (SELECT count(*) AS customers FROM raw_customers) c,
+     (SELECT count(*) FILTER (WHERE status = 'completed') AS completed_orders FROM raw_orders) o"""
+
+_POST = [("dim_customers", "dim_customers"), ("fct_daily_sales", "fct_daily_sales"),
+         ("fct_orders_incremental", "fct_orders_full"),
+         ("daily_sales_summary", "daily_sales_summary"), ("customer_cohorts", "customer_cohorts"),
+         ("stg_customers", "stg_customers"), ("stg_orders", "stg_orders"),
+         ("stg_products", "stg_products")]
+SQL["postflight_row_counts"] = with_ctes(*[c for _, c in _POST]) + "\nUNION ALL\n".join(
+    f"SELECT {_q(n)} AS table_name, TRUE AS table_exists, count(*) AS row_count, "
+    f"CASE WHEN count(*) = 0 THEN 'empty' ELSE 'ok' END AS status FROM {c}" for n, c in _POST)
+
+SQL["completed_orders_rollup"] = with_ctes("raw_customers", "raw_orders") + """
+SELECT c.customer_id, COALESCE(d.n, 0) AS total_orders
+FROM raw_customers c
+LEFT JOIN (SELECT customer_id, count(*) AS n FROM raw_orders WHERE status = 'completed'
+           GROUP BY customer_id) d ON c.customer_id = d.customer_id"""
+
+SQL["date_parts"] = with_ctes("raw_orders") + f"""
+SELECT order_id, order_date,
+       CAST(date_trunc('month', order_date) AS DATE) AS order_month_start,
+       CAST(EXTRACT(YEAR FROM order_date) AS INTEGER) AS y,
+       CAST(EXTRACT(MONTH FROM order_date) AS INTEGER) AS m,
+       CAST(EXTRACT(QUARTER FROM order_date) AS INTEGER) AS q,
+       CAST(EXTRACT(DOW FROM order_date) AS INTEGER) AS dow,
+       CASE WHEN EXTRACT(DOW FROM order_date) IN (0, 6) THEN TRUE ELSE FALSE END AS is_weekend,
+       CAST(date_diff('day', order_date, {AS_OF}) AS INTEGER) AS days_to_as_of,
+       CAST((EXTRACT(YEAR FROM {AS_OF}) - EXTRACT(YEAR FROM order_date)) * 12
+            + EXTRACT(MONTH FROM {AS_OF}) - EXTRACT(MONTH FROM order_date) AS INTEGER) AS months_to_as_of,
+       CAST(EXTRACT(YEAR FROM order_date) * 100 + EXTRACT(MONTH FROM order_date) AS INTEGER) AS year_month
+FROM raw_orders"""
+
+SQL["null_semantics"] = with_ctes("raw_orders", "raw_products") + """
+SELECT o.order_id, o.product_id, o.quantity,
+       CAST(o.total_amount AS DOUBLE) / CAST(NULLIF(o.quantity, 0) AS DOUBLE) AS unit_price,
+       CASE WHEN p.price IS NULL THEN 'unknown' WHEN p.price > 1000 THEN 'premium'
+            WHEN p.price > 100 THEN 'medium' ELSE 'budget' END AS price_segment,
+       CASE WHEN p.price > 1000 THEN 'premium' WHEN p.price > 100 THEN 'medium'
+            ELSE 'budget' END AS price_category,
+       o.status || '/' || p.category AS label_strict,
+       CONCAT(o.status, '/', p.category) AS label_concat,
+       COALESCE(p.category, 'none') AS category_or_none
+FROM raw_orders o LEFT JOIN raw_products p ON o.product_id = p.product_id"""
+
+SQL["flat_discount"] = with_ctes("stg_orders") + """
+SELECT order_id, CAST(total_amount AS DOUBLE) AS total_amount,
+       CAST(estimated_discount AS DOUBLE) AS estimated_discount,
+       CAST(CASE WHEN total_amount > 500 THEN total_amount * 0.2 ELSE 0 END AS DOUBLE) AS flat_discount
+FROM stg_orders"""
+
+SEED_REGIONS_SQL = """(VALUES ('NYC', 'New York City', 'USA', 2), ('LAX', 'Los Angeles', 'USA', 3),
+        ('LON', 'London', 'UK', 5), ('BER', 'Berlin', 'Germany', 4),
+        ('TYO', 'Tokyo', 'Japan', 7)) AS r(region_code, region_name, country, delivery_days)"""
+SEED_CATEGORIES_SQL = """(VALUES (1, 'Electronics', 'Technology', TRUE),
+        (2, 'Smartphones', 'Electronics', TRUE), (3, 'Laptops', 'Electronics', TRUE),
+        (4, 'Clothing', 'Apparel', TRUE), (5, 'Books', 'Media', FALSE))
+        AS k(category_id, category_name, parent_category, is_active)"""
+
+SQL["seed_regions_lookup"] = with_ctes("stg_customers") + f"""
+SELECT c.customer_id, c.country, COALESCE(r.region_count, 0) AS region_count,
+       r.fastest_delivery_days
+FROM stg_customers c
+LEFT JOIN (SELECT country, count(*) AS region_count,
+                  CAST(min(delivery_days) AS INTEGER) AS fastest_delivery_days
+           FROM {SEED_REGIONS_SQL} GROUP BY country) r ON c.country = r.country"""
+
+SQL["seed_categories_lookup"] = with_ctes("stg_products") + f"""
+SELECT p.product_id, p.category, CAST(k.category_id AS INTEGER) AS category_id,
+       k.parent_category, k.is_active AS category_is_active
+FROM stg_products p LEFT JOIN {SEED_CATEGORIES_SQL} ON p.category = k.category_name"""

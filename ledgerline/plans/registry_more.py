@@ -70,3 +70,196 @@ def q_scd2_timestamp(spark, sf_dir):
 @register("scd2_check")
 def q_scd2_check(spark, sf_dir):
     return exposed(snapshot_runs(spark, sf_dir, "check"))
+
+
+# ------------------------------------------------------------------ quality
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..functions import rules as R  # noqa: E402
+from ..operators import analytics as A  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..sources import files as FILES  # noqa: E402
+from . import suite as SUITE  # noqa: E402
+
+FRESHNESS_RUN_TS = TB._dt.datetime(2024, 2, 1, 0, 0, 0)
+
+
+class LazyModels(dict):
+    """Model name -> DataFrame, built on first access only (building
+    dim_customers runs its ranking checkpoints)."""
+
+    def __init__(self, factories):
+        super().__init__()
+        self._factories = factories
+
+    def __missing__(self, name):
+        df = self._factories[name]()
+        self[name] = df
+        return df
+
+    def __contains__(self, name):
+        return name in self._factories
+
+
+def quality_models(spark, sf_dir) -> LazyModels:
+    """The tables the declared suite reads."""
+    i = Inputs(spark, sf_dir)
+    return LazyModels({
+        "raw_customers": lambda: i.raw.customers, "raw_products": lambda: i.raw.products,
+        "raw_orders": lambda: i.raw.orders,
+        "stg_customers": lambda: i.stg_customers, "stg_orders": lambda: i.stg_orders,
+        "stg_products": lambda: i.stg_products,
+        "dim_customers": lambda: M.dim_customers(i.stg_customers, i.stg_orders, i.as_of),
+        "fct_orders_incremental": lambda: U.incremental_load(
+            M.fct_orders_rows(i.stg_orders, i.stg_products, i.stg_customers,
+                              TB.LOAD_RUNS[0]), None)[1],
+        "customers_snapshot": lambda: snapshot_runs(spark, sf_dir, "timestamp"),
+    })
+
+
+def _dq(kinds: set[str]):
+    def q(spark, sf_dir):
+        models = quality_models(spark, sf_dir)
+        return Q.run_checks(models, SUITE.SUITE, as_of=TB.AS_OF, kinds=kinds)
+    return q
+
+
+for _key, _kinds in [("dq_unique", {"unique"}), ("dq_not_null", {"not_null"}),
+                     ("dq_accepted_values", {"accepted_values"}),
+                     ("dq_relationships", {"relationships"}),
+                     ("dq_accepted_range", {"accepted_range"}),
+                     ("dq_expression", {"expression_is_true"})]:
+    register(_key)(_dq(_kinds))
+
+
+@register("dq_singular")
+def q_dq_singular(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    return exposed(Q.singular(i.stg_orders, F.expr(SUITE.SINGULAR_CONDITION), "singular",
+                              SUITE.SINGULAR_MODEL, SUITE.SINGULAR_COLUMNS))
+
+
+@register("source_freshness")
+def q_source_freshness(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    rule = Q.Freshness(SUITE.FRESHNESS_WARN_HOURS, SUITE.FRESHNESS_ERROR_HOURS)
+    return Q.source_freshness(events, "ts", FRESHNESS_RUN_TS, rule, by=["event_type"])
+
+
+@register("preflight_counts")
+def q_preflight_counts(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    from .build import preflight
+    return preflight(i.raw.customers, i.raw.orders)
+
+
+@register("postflight_row_counts")
+def q_postflight_row_counts(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    from .build import postflight
+    tables = {
+        "dim_customers": M.dim_customers(i.stg_customers, i.stg_orders, i.as_of),
+        "fct_daily_sales": i.fct_daily_sales(),
+        "fct_orders_incremental": M.fct_orders_rows(i.stg_orders, i.stg_products,
+                                                    i.stg_customers, TB.LOAD_RUNS[0]),
+        "daily_sales_summary": A.daily_sales_summary(i.fct_daily_sales(), ordered=False),
+        "customer_cohorts": A.customer_cohorts(i.stg_customers, i.stg_orders, ordered=False),
+        "stg_customers": i.stg_customers, "stg_orders": i.stg_orders,
+        "stg_products": i.stg_products,
+    }
+    return postflight(tables, SUITE.REQUIRED_TABLES)
+
+
+@register("completed_orders_rollup")
+def q_completed_orders_rollup(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    from ..sources.datagen import completed_orders_rollup
+    return completed_orders_rollup(i.raw.customers, i.raw.orders)
+
+
+# ------------------------------------------------------- expression coverage
+@register("date_parts")
+def q_date_parts(spark, sf_dir):
+    from ..functions.dates import days_between, dow0, month_start, months_between_starts
+    i = Inputs(spark, sf_dir)
+    o = i.raw.orders
+    d = F.col("order_date")
+    return o.select(
+        "order_id", "order_date",
+        month_start(d).alias("order_month_start"),
+        F.year(d).alias("y"), F.month(d).alias("m"), F.quarter(d).alias("q"),
+        dow0(d).alias("dow"),
+        R.is_weekend(dow0(d)).alias("is_weekend"),
+        days_between(i.as_of, d).alias("days_to_as_of"),
+        months_between_starts(month_start(F.lit(i.as_of)), month_start(d)).alias("months_to_as_of"),
+        (F.year(d) * 100 + F.month(d)).alias("year_month"),
+    )
+
+
+@register("null_semantics")
+def q_null_semantics(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    o = i.raw.orders.alias("o")
+    p = i.raw.products.alias("p")
+    j = o.join(p, F.col("o.product_id") == F.col("p.product_id"), "left")
+    return exposed(j.select(
+        "o.order_id", F.col("o.product_id").alias("product_id"), "o.quantity",
+        R.safe_ratio(F.col("o.total_amount"), F.col("o.quantity")).alias("unit_price"),
+        R.price_segment(F.col("p.price")).alias("price_segment"),
+        R.price_category(F.col("p.price")).alias("price_category"),
+        # '||' is NULL when a part is NULL; CONCAT skips NULL parts
+        F.concat(F.col("o.status"), F.lit("/"), F.col("p.category")).alias("label_strict"),
+        F.concat_ws("", F.col("o.status"), F.lit("/"), F.col("p.category")).alias("label_concat"),
+        F.coalesce(F.col("p.category"), F.lit("none")).alias("category_or_none"),
+    ))
+
+
+@register("flat_discount")
+def q_flat_discount(spark, sf_dir):
+    o = Inputs(spark, sf_dir).stg_orders
+    return exposed(o.select("order_id", "total_amount", "estimated_discount",
+                            R.flat_discount(F.col("total_amount")).alias("flat_discount")))
+
+
+# -------------------------------------------------------------------- seeds
+@register("seed_regions_lookup")
+def q_seed_regions_lookup(spark, sf_dir):
+    c = Inputs(spark, sf_dir).stg_customers
+    regions = FILES.read_seed(spark, "regions")
+    per_country = regions.groupBy("country").agg(
+        F.count(F.lit(1)).alias("region_count"),
+        F.min("delivery_days").alias("fastest_delivery_days"))
+    # seeds are a handful of reference rows: a proven size bound
+    j = c.join(F.broadcast(per_country), "country", "left")
+    return j.select("customer_id", "country",
+                    F.coalesce("region_count", F.lit(0).cast("long")).alias("region_count"),
+                    "fastest_delivery_days")
+
+
+@register("seed_categories_lookup")
+def q_seed_categories_lookup(spark, sf_dir):
+    p = Inputs(spark, sf_dir).stg_products
+    cats = FILES.read_seed(spark, "categories").select(
+        F.col("category_name").alias("category"), "category_id", "parent_category",
+        F.col("is_active").alias("category_is_active"))
+    return p.join(F.broadcast(cats), "category", "left").select(
+        "product_id", "category", "category_id", "parent_category", "category_is_active")
+
+
+# ---------------------------------------------------------------- generator
+@register("gen_orders_profile")
+def q_gen_orders_profile(spark, sf_dir):
+    """Synthetic orders, one per order key of the driver table, profiled.
+
+    Customers are drawn from 1..count(customer) through a scalar subquery,
+    so the generated volume follows the given tables."""
+    from ..sources import datagen as G
+    base = f"{sf_dir.rstrip('/')}"
+    ids = spark.read.parquet(f"{base}/orders.parquet").select(F.col("o_orderkey").alias("id"))
+    n_cust = spark.read.parquet(f"{base}/customer.parquet").agg(F.count(F.lit(1))).scalar()
+    o = G.orders(ids, n_cust, G.products(spark, TB.AS_OF))
+    return exposed(o.groupBy(F.year("order_date").alias("order_year"), "status").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.sum("quantity").alias("items"),
+        F.sum("total_amount").alias("revenue"),
+        F.count_distinct("customer_id").alias("customers")))
