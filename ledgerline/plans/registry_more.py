@@ -263,3 +263,26 @@ def q_gen_orders_profile(spark, sf_dir):
         F.sum("quantity").alias("items"),
         F.sum("total_amount").alias("revenue"),
         F.count_distinct("customer_id").alias("customers")))
+
+
+# ---------------------------------------------------------------- streaming
+@register("stream_incremental_load")
+def q_stream_incremental_load(spark, sf_dir):
+    """Order files streamed through foreachBatch(upsert) until caught up
+    (AvailableNow); returns the published target."""
+    from ..session import new_run_id, scratch_path
+    from ..streaming.incremental import start_incremental_stream
+    base = sf_dir.rstrip("/")
+    orders_schema = spark.read.parquet(f"{base}/orders.parquet").schema
+    stream = spark.readStream.schema(orders_schema).parquet(f"{base}/orders*.parquet")
+    i = Inputs(spark, sf_dir)
+    raw = TB.raw_orders_from(stream, TB.first_lines(
+        spark.read.parquet(f"{base}/lineitem.parquet")))
+    rows = M.fct_orders_rows(S.stg_orders(raw), i.stg_products, i.stg_customers,
+                             TB.LOAD_RUNS[0])
+    run = new_run_id()
+    table = f"ledger_stream.fct_orders_incremental_{run}"
+    q = start_incremental_stream(rows, table, scratch_path(spark, "stream", run, "data"),
+                                 scratch_path(spark, "stream", run, "checkpoint"))
+    q.awaitTermination()
+    return exposed(spark.table(table))

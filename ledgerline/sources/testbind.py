@@ -92,17 +92,26 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def first_lines(lineitem: DataFrame) -> DataFrame:
+    """One row per order key: smallest part key and line number.
+
+    Partial aggregation runs map-side, so even a key holding a third of
+    lineitem shuffles as one row per map task."""
+    return (lineitem.groupBy("l_orderkey")
+            .agg(F.min("l_partkey").alias("l_partkey"),
+                 F.min("l_linenumber").alias("l_linenumber")))
+
+
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey",
-                                                 "o_orderstatus", "o_totalprice",
-                                                 "o_orderdate")
-    # One row per order key before the join: partial aggregation runs
-    # map-side, so even a key holding a third of lineitem shuffles as
-    # one row per map task.
-    first_line = (_table(spark, sf_dir, "lineitem")
-                  .groupBy("l_orderkey")
-                  .agg(F.min("l_partkey").alias("l_partkey"),
-                       F.min("l_linenumber").alias("l_linenumber")))
+    return raw_orders_from(_table(spark, sf_dir, "orders"),
+                           first_lines(_table(spark, sf_dir, "lineitem")))
+
+
+def raw_orders_from(orders: DataFrame, first_line: DataFrame) -> DataFrame:
+    """Raw orders from an orders frame (batch or stream) and the static
+    per-order first line."""
+    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                      "o_orderdate")
     j = o.join(first_line, o.o_orderkey == first_line.l_orderkey, "left")
     k = F.col("o_orderkey")
     st = F.col("o_orderstatus")
