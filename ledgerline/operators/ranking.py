@@ -54,7 +54,11 @@ def global_rank(df: DataFrame, order: Sequence[Column], out_col: str = "rank0",
               # (the id keeps the partition index in its upper 31 bits)
               .withColumn(_POS, F.monotonically_increasing_id()
                           - F.shiftleft(F.col(_PID).cast("long"), 33)))
-    placed = placed.checkpoint(eager=True)
+    # persist first so the checkpoint write reads the computed rows
+    # instead of recomputing them; the cache is dropped right after
+    cached = placed.persist()
+    placed = cached.checkpoint(eager=True)
+    cached.unpersist()
     counts = placed.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy(_PID)
     offsets = counts.select(
