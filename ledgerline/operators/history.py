@@ -79,15 +79,20 @@ def snapshot(source: DataFrame, history: DataFrame | None, key: str, strategy: s
 
     deleted = (~has_s) if invalidate_hard_deletes else F.lit(False)
     new_to = (F.when(deleted, run).when(changed, v).otherwise(F.col(f"_h.{VALID_TO}")))
-    existing = j.where(has_h).select(*[F.col(f"_h.{c}") for c in cols],
-                                     F.col(f"_h.{SCD_ID}"), F.col(f"_h.{UPDATED}"),
-                                     F.col(f"_h.{VALID_FROM}"), new_to.alias(VALID_TO))
-    fresh = j.where(has_s & (~has_h | changed)).select(
-        *[F.col(f"_s.{c}") for c in cols],
-        scd_id(F.col(f"_s.{key}"), v).alias(SCD_ID),
-        v.alias(UPDATED), v.alias(VALID_FROM),
-        F.lit(None).cast("timestamp_ntz").alias(VALID_TO))
-    return closed.unionByName(existing).unionByName(fresh)
+    existing = F.struct(*[F.col(f"_h.{c}").alias(c) for c in cols],
+                        F.col(f"_h.{SCD_ID}").alias(SCD_ID), F.col(f"_h.{UPDATED}").alias(UPDATED),
+                        F.col(f"_h.{VALID_FROM}").alias(VALID_FROM), new_to.alias(VALID_TO))
+    fresh = F.struct(*[F.col(f"_s.{c}").alias(c) for c in cols],
+                     scd_id(F.col(f"_s.{key}"), v).alias(SCD_ID),
+                     v.alias(UPDATED), v.alias(VALID_FROM),
+                     F.lit(None).cast("timestamp_ntz").alias(VALID_TO))
+    # each joined row yields the kept/closed open version and/or the new
+    # version: one pass over the join instead of one per output branch
+    out = F.filter(F.array(F.when(has_h, existing),
+                           F.when(has_s & (~has_h | F.coalesce(changed, F.lit(False))), fresh)),
+                   lambda x: x.isNotNull())
+    merged = j.select(F.explode(out).alias("_v")).select("_v.*")
+    return closed.unionByName(merged)
 
 
 def change_summary(source: DataFrame, history: DataFrame, key: str, strategy: str,

@@ -5,18 +5,18 @@ whose key is not in the target, or whose date is on/after the target's
 latest date (the last loaded day is re-read).  Target rows whose key is
 in the delta are replaced by the delta rows.
 
-Plan shape: the delta is one ``ExistenceJoin`` against the target keys
-plus a scalar subquery for the cut-off date (a single-row aggregate); the
-replace is one anti-join on the key and a union.  Both joins are
-shuffle joins on the key when the target is large, broadcast only when
-AQE measures a small side.
+Plan shape (``incremental_load``): one scalar subquery for the cut-off
+date (a single-row aggregate over the target's date column) and one
+shuffle of target + source rows by key, where a window per key decides
+which rows stay.  ``select_delta`` / ``replace_keys`` keep the literal
+two-step form (existence join, then anti-join + union) for reference.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: cut-off used when the target is empty.
@@ -42,10 +42,42 @@ def replace_keys(target: DataFrame, delta: DataFrame, key: str = "order_id") ->
     return kept.unionByName(delta.select(target.columns))
 
 
+_SRC, _IN_T, _NEW, _REPL = "_upsert_src", "_upsert_in_target", "_upsert_delta", "_upsert_replaced"
+
+
+def _merged(source: DataFrame, target: DataFrame, key: str, date_col: str) -> DataFrame:
+    """Target and source rows in one frame, flagged per key.
+
+    One shuffle by key (a window with no ordering) replaces the existence
+    join, the anti-join and the second evaluation of the source that the
+    two-step form needs.  Exact with duplicate keys; NULL keys never match
+    (as in SQL).
+    """
+    cols = target.columns
+    cutoff = target.select(
+        F.coalesce(F.max(date_col), F.lit(EMPTY_TARGET_DATE))).scalar()
+    u = (target.select(*cols, F.lit(0).alias(_SRC))
+         .unionByName(source.select(*cols, F.lit(1).alias(_SRC))))
+    w = Window.partitionBy(key)
+    k = F.col(key)
+    in_target = F.when(k.isNull(), F.lit(False)).otherwise(
+        F.max((F.col(_SRC) == 0).cast("int")).over(w) == 1)
+    u = u.withColumn(_IN_T, in_target)
+    is_new = (F.col(_SRC) == 1) & (~F.col(_IN_T) | F.coalesce(F.col(date_col) >= cutoff,
+                                                             F.lit(False)))
+    u = u.withColumn(_NEW, is_new)
+    replaced = F.when(k.isNull(), F.lit(False)).otherwise(
+        F.max(F.col(_NEW).cast("int")).over(w) == 1)
+    return u.withColumn(_REPL, replaced)
+
+
 def incremental_load(source: DataFrame, target: DataFrame | None, key: str = "order_id",
                      date_col: str = "order_date") -> tuple[DataFrame, DataFrame]:
-    """Return (delta, new_target) for one run."""
-    delta = select_delta(source, target, key, date_col)
+    """Return (delta, new_target) for one run (both lazy, same plan)."""
     if target is None:
-        return delta, delta
-    return delta, replace_keys(target, delta, key)
+        return source, source
+    m = _merged(source, target, key, date_col)
+    cols = target.columns
+    delta = m.where(F.col(_NEW)).select(*cols)
+    new_target = m.where(((F.col(_SRC) == 0) & ~F.col(_REPL)) | F.col(_NEW)).select(*cols)
+    return delta, new_target
