@@ -45,7 +45,8 @@ def replace_keys(target: DataFrame, delta: DataFrame, key: str = "order_id") ->
 _SRC, _IN_T, _NEW, _REPL = "_upsert_src", "_upsert_in_target", "_upsert_delta", "_upsert_replaced"
 
 
-def _merged(source: DataFrame, target: DataFrame, key: str, date_col: str) -> DataFrame:
+def _merged(source: DataFrame, target: DataFrame, key: str, date_col: str,
+            cutoff_from: DataFrame | None = None) -> DataFrame:
     """Target and source rows in one frame, flagged per key.
 
     One shuffle by key (a window with no ordering) replaces the existence
@@ -54,7 +55,7 @@ def _merged(source: DataFrame, target: DataFrame, key: str, date_col: str) -> Da
     (as in SQL).
     """
     cols = target.columns
-    cutoff = target.select(
+    cutoff = (cutoff_from if cutoff_from is not None else target).select(
         F.coalesce(F.max(date_col), F.lit(EMPTY_TARGET_DATE))).scalar()
     u = (target.select(*cols, F.lit(0).alias(_SRC))
          .unionByName(source.select(*cols, F.lit(1).alias(_SRC))))
@@ -81,3 +82,46 @@ def incremental_load(source: DataFrame, target: DataFrame | None, key: str = "or
     delta = m.where(F.col(_NEW)).select(*cols)
     new_target = m.where(((F.col(_SRC) == 0) & ~F.col(_REPL)) | F.col(_NEW)).select(*cols)
     return delta, new_target
+
+
+def partition_upsert(source: DataFrame, target: DataFrame, key: str, date_col: str,
+                     part_col: str) -> tuple[DataFrame, DataFrame]:
+    """Flags for a partition-level upsert: (delta rows, replaced target keys).
+
+    Only the target's key and partition columns are read here (a
+    two-column scan), so the cost is the key check, not a rewrite of the
+    target.  The caller rewrites just the partitions named by the two
+    results.
+    """
+    cols = target.columns
+    rest = [c for c in cols if c not in (key, part_col)]
+    types = dict(target.dtypes)
+    tk = target.select(key, part_col, *[F.lit(None).cast(types[c]).alias(c) for c in rest])
+    cutoff_src = target.select(date_col)
+    m = _merged(source.select(*cols), tk.select(*cols), key, date_col,
+                cutoff_from=cutoff_src)
+    delta = m.where(F.col(_NEW)).select(*cols)
+    replaced = m.where((F.col(_SRC) == 0) & F.col(_REPL)).select(key, part_col)
+    return delta, replaced
+
+
+def touched_partitions(delta: DataFrame, replaced: DataFrame, part_col: str) -> DataFrame:
+    """Partition values a run changes: one row per value (for month
+    partitions, bounded by the calendar)."""
+    return delta.select(part_col).unionByName(replaced.select(part_col)).distinct()
+
+
+def rewrite_partitions(target: DataFrame, delta: DataFrame, replaced: DataFrame, key: str,
+                       part_col: str, touched: list) -> DataFrame:
+    """Complete new rows of the touched partitions.
+
+    ``touched`` is the collected list of partition values, so the target
+    scan prunes every other partition statically.
+    """
+    c = F.col(part_col)
+    values = [v for v in touched if v is not None]
+    keep = c.isin(values) if values else F.lit(False)
+    if any(v is None for v in touched):
+        keep = keep | c.isNull()
+    old = target.where(keep).join(replaced.select(key), key, "left_anti")
+    return old.unionByName(delta.select(target.columns))

@@ -124,6 +124,77 @@ def _publish(spark: SparkSession, name: str, layer: str, path: str) -> None:
         spark.sql(f"CREATE TABLE {q} USING parquet LOCATION '{path}'")
 
 
+INCREMENTAL = "fct_orders_incremental"
+INCREMENTAL_KEY, INCREMENTAL_DATE, INCREMENTAL_PART = "order_id", "order_date", "order_month"
+
+
+def _incremental_step(spark: SparkSession, rows: DataFrame, path: str):
+    """Keyed upsert of the order fact, rewriting only touched months.
+
+    First run: the whole fact, partitioned by order month.  Later runs:
+    the delta and the replaced keys are computed from the target's key
+    and month columns only and written to the run folder (which also cuts
+    the lineage); then only the months they touch are rewritten.  Returns
+    (the would-be table for the checks, what to publish).
+    """
+    rows = rows.withColumn(INCREMENTAL_PART, F.trunc(INCREMENTAL_DATE, "month"))
+    target = published_table(spark, INCREMENTAL, "marts")
+    data = f"{path}/data"
+    if target is None:
+        rows.write.mode("overwrite").partitionBy(INCREMENTAL_PART).parquet(data)
+        written_back = _read_back(spark, data, rows.columns)
+        return written_back, ("create", data, written_back.schema, None)
+    target = target.select(*rows.columns)
+    delta, replaced = U.partition_upsert(rows, target, INCREMENTAL_KEY, INCREMENTAL_DATE,
+                                         INCREMENTAL_PART)
+    delta.write.mode("overwrite").parquet(f"{path}/flags_delta")
+    replaced.write.mode("overwrite").parquet(f"{path}/flags_replaced")
+    delta = spark.read.parquet(f"{path}/flags_delta")
+    replaced = spark.read.parquet(f"{path}/flags_replaced")
+    # one value per touched month: bounded by the calendar
+    touched = [r[0] for r in U.touched_partitions(delta, replaced, INCREMENTAL_PART).collect()]
+    if any(v is None for v in touched):
+        raise ValueError("orders without a date cannot be loaded incrementally")
+    fresh_rows = U.rewrite_partitions(target, delta, replaced, INCREMENTAL_KEY,
+                                      INCREMENTAL_PART, touched)
+    fresh_rows.write.mode("overwrite").partitionBy(INCREMENTAL_PART).parquet(data)
+    fresh = (_read_back(spark, data, rows.columns) if touched
+             else spark.createDataFrame([], rows.schema))
+    written = [r[0] for r in fresh.select(INCREMENTAL_PART).distinct().collect()]
+    untouched = target.where(~F.col(INCREMENTAL_PART).isin(touched)) if touched else target
+    return untouched.unionByName(fresh), ("partitions", data, touched, written)
+
+
+def _publish_incremental(spark: SparkSession, plan) -> None:
+    """Create the partitioned table, or point each touched month at its
+    new folder (months left empty are dropped).  Each statement is atomic
+    per month; untouched months keep their files."""
+    kind, data, detail, written = plan
+    q = _qualified(INCREMENTAL, "marts")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {LAYERS['marts']}")
+    if kind == "create":
+        schema = detail
+        # partition column last, as it is stored
+        fields = ([f for f in schema.fields if f.name != INCREMENTAL_PART]
+                  + [f for f in schema.fields if f.name == INCREMENTAL_PART])
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        if spark.catalog.tableExists(q):
+            spark.sql(f"DROP TABLE {q}")
+        spark.sql(f"CREATE TABLE {q} ({columns}) USING parquet "
+                  f"PARTITIONED BY ({INCREMENTAL_PART}) LOCATION '{data}'")
+        spark.sql(f"ALTER TABLE {q} RECOVER PARTITIONS")
+        return
+    for v in detail:
+        spec = f"PARTITION ({INCREMENTAL_PART} = DATE '{v.isoformat()}')"
+        if v in written:
+            loc = f"{data}/{INCREMENTAL_PART}={v.isoformat()}"
+            spark.sql(f"ALTER TABLE {q} ADD IF NOT EXISTS {spec} LOCATION '{loc}'")
+            spark.sql(f"ALTER TABLE {q} {spec} SET LOCATION '{loc}'")
+        else:
+            spark.sql(f"ALTER TABLE {q} DROP IF EXISTS {spec}")
+    spark.sql(f"REFRESH TABLE {q}")
+
+
 def _write(df: DataFrame, path: str, name: str) -> None:
     w = df.write.mode("overwrite")
     if name in PARTITION_COLUMNS:
@@ -161,10 +232,6 @@ def build(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame
         "dim_customers": lambda: M.dim_customers(stg["stg_customers"], stg["stg_orders"], as_of),
         "fct_daily_sales": lambda: M.fct_daily_sales(stg["stg_orders"], stg["stg_products"],
                                                      stg["stg_customers"]),
-        "fct_orders_incremental": lambda: U.incremental_load(
-            M.fct_orders_rows(stg["stg_orders"], stg["stg_products"], stg["stg_customers"],
-                              run_ts),
-            published_table(spark, "fct_orders_incremental", "marts"))[1],
         "daily_sales_summary": lambda: A.daily_sales_summary(built["fct_daily_sales"],
                                                              ordered=False),
         "customer_cohorts": lambda: A.customer_cohorts(stg["stg_customers"], stg["stg_orders"],
@@ -179,13 +246,20 @@ def build(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame
 
     built: dict[str, DataFrame] = dict(stg)
     paths: dict[str, tuple[str, str]] = {}
+    incremental_plan = None
     for name, layer, model_tags in MODELS:
         if layer == "staging" or not wanted(name, model_tags):
             continue
         if name == "daily_sales_summary" and "fct_daily_sales" not in built:
             built["fct_daily_sales"] = builders["fct_daily_sales"]()
-        df = builders[name]()
         path = f"{run_dir}/{name}"
+        if name == INCREMENTAL:
+            rows = M.fct_orders_rows(stg["stg_orders"], stg["stg_products"],
+                                     stg["stg_customers"], run_ts)
+            built[name], incremental_plan = _incremental_step(spark, rows, path)
+            paths[name] = (layer, path)
+            continue
+        df = builders[name]()
         _write(df, path, name)
         built[name] = _read_back(spark, path, df.columns)
         paths[name] = (layer, path)
@@ -201,7 +275,10 @@ def build(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame
     if not verdict.passed:
         return res
     for name, (layer, path) in paths.items():
-        _publish(spark, name, layer, path)
+        if name == INCREMENTAL:
+            _publish_incremental(spark, incremental_plan)
+        else:
+            _publish(spark, name, layer, path)
     res.published = True
     required = [t for t in SUITE.REQUIRED_TABLES if t in built]
     res.postflight = [r.asDict() for r in postflight(built, required).collect()]
