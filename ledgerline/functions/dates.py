@@ -31,7 +31,8 @@ def as_ts_col(value) -> Column:
         return value
     if isinstance(value, str):
         value = _dt.datetime.fromisoformat(value)
-    return F.lit(value).cast("timestamp_ntz")
+    # from text, so neither the Python nor the session time zone applies
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def dow0(d: Column) -> Column:

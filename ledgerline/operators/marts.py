@@ -1,11 +1,11 @@
 """Marts: order-level sales fact, RFM customer dimension, incremental
 order fact rows.
 
-Join strategy is left to Catalyst + AQE: the product and customer sides
-are broadcast only when their measured size is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond that the joins
-stay sort-merge, and AQE splits a skewed key (a hot product, a hot
-customer, or the NULL key of orders without a product) across tasks.
+Fact -> dimension joins go through ``skew.left_join_dimension``: keys
+holding a large share of the orders (a hot product or customer, or the
+NULL key of orders without a product) are spread over many tasks
+explicitly; the rest is an ordinary shuffle join, which AQE may still
+turn into a broadcast when it measures a small dimension.
 """
 
 from __future__ import annotations
@@ -16,39 +16,50 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..functions.dates import as_ts_col, days_between, dow0
 from .ranking import with_ntile, with_ntile_single_task
+from .skew import frequent_keys, hot_keys, left_join_dimension
 from .staging import successful_orders
 
 
 def fct_daily_sales(stg_orders: DataFrame, stg_products: DataFrame,
                     stg_customers: DataFrame) -> DataFrame:
     """One row per successful order with customer and product attributes."""
-    o = successful_orders(stg_orders).alias("o")
+    o = successful_orders(stg_orders)
     p = stg_products.select("product_id", "product_name", "category", "price_segment",
-                            "price").alias("p")
+                            F.col("price").alias("current_price"))
     c = stg_customers.select("customer_id", "country", "country_code", "customer_tier",
-                             "is_major_market").alias("c")
-    j = (o.join(p, F.col("o.product_id") == F.col("p.product_id"), "left")
-          .join(c, F.col("o.customer_id") == F.col("c.customer_id"), "left"))
-    total, disc, qty = F.col("o.total_amount"), F.col("o.estimated_discount"), F.col("o.quantity")
+                             "is_major_market")
+    j = _with_dimensions(o, p, c)
+    total, disc, qty = F.col("total_amount"), F.col("estimated_discount"), F.col("quantity")
     return j.select(
-        F.col("o.order_date").alias("sale_date"),
-        "o.order_year", "o.order_month", "o.order_quarter", "o.order_day_of_week",
-        "o.is_weekend", "o.order_id", "o.order_category", "o.quantity", "o.total_amount",
-        "o.estimated_discount",
+        F.col("order_date").alias("sale_date"),
+        "order_year", "order_month", "order_quarter", "order_day_of_week",
+        "is_weekend", "order_id", "order_category", "quantity", "total_amount",
+        "estimated_discount",
         (total - disc).alias("net_revenue"),
         R.safe_ratio(total, qty).alias("avg_item_price"),
-        F.col("o.customer_id").alias("customer_id"),
-        "c.country", "c.country_code", "c.customer_tier", "c.is_major_market",
-        F.col("o.product_id").alias("product_id"),
-        "p.product_name", "p.category", "p.price_segment",
-        F.col("p.price").alias("current_price"),
-        R.estimated_margin(total, disc, F.col("p.price"), qty).alias("estimated_margin"),
+        "customer_id", "country", "country_code", "customer_tier", "is_major_market",
+        "product_id", "product_name", "category", "price_segment", "current_price",
+        R.estimated_margin(total, disc, F.col("current_price"), qty).alias("estimated_margin"),
         R.is_high_value(total).alias("is_high_value"),
         R.is_bulk_order(qty).alias("is_bulk_order"),
-        R.is_vip_customer(F.col("c.customer_tier")).alias("is_vip_customer"),
+        R.is_vip_customer(F.col("customer_tier")).alias("is_vip_customer"),
     )
 
 
+def _with_dimensions(orders: DataFrame, products: DataFrame,
+                     customers: DataFrame) -> DataFrame:
+    """orders LEFT JOIN products LEFT JOIN customers, hot keys split.
+
+    Hot keys of both columns are found in one frequent-items pass over the
+    orders themselves, so the second join does not re-run the first for
+    its detection."""
+    frequent = frequent_keys(orders, ["product_id", "customer_id"])
+    hot_p = hot_keys(orders, "product_id", frequent=frequent)
+    hot_c = hot_keys(orders, "customer_id", frequent=frequent)
+    j = left_join_dimension(orders, products, "product_id", hot=hot_p)
+    return left_join_dimension(j, customers, "customer_id", hot=hot_c)
+
+
 def rfm_metrics(stg_orders: DataFrame, as_of) -> DataFrame:
     """Per-customer recency / frequency / monetary over successful orders.
 
@@ -129,16 +140,12 @@ def dim_customers(stg_customers: DataFrame, stg_orders: DataFrame, as_of,
 def fct_orders_rows(stg_orders: DataFrame, stg_products: DataFrame,
                     stg_customers: DataFrame, run_ts) -> DataFrame:
     """Rows of the incremental order fact (all statuses)."""
-    o = stg_orders.alias("o")
-    p = stg_products.select("product_id", "product_name", "category").alias("p")
-    c = stg_customers.select("customer_id", "first_name", "last_name").alias("c")
-    j = (o.join(p, F.col("o.product_id") == F.col("p.product_id"), "left")
-          .join(c, F.col("o.customer_id") == F.col("c.customer_id"), "left"))
+    p = stg_products.select("product_id", "product_name", "category")
+    c = stg_customers.select("customer_id", "first_name", "last_name")
+    j = _with_dimensions(stg_orders, p, c)
     return j.select(
-        "o.order_id", F.col("o.customer_id").alias("customer_id"),
-        F.col("o.product_id").alias("product_id"),
-        "c.first_name", "c.last_name", "p.product_name", "p.category",
-        "o.quantity", "o.order_date", "o.status", "o.total_amount", "o.estimated_discount",
-        (F.col("o.total_amount") - F.col("o.estimated_discount")).alias("net_amount"),
+        "order_id", "customer_id", "product_id", "first_name", "last_name", "product_name",
+        "category", "quantity", "order_date", "status", "total_amount", "estimated_discount",
+        (F.col("total_amount") - F.col("estimated_discount")).alias("net_amount"),
         as_ts_col(run_ts).alias("loaded_at"),
     )

@@ -278,11 +278,16 @@ def q_stream_incremental_load(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     raw = TB.raw_orders_from(stream, TB.first_lines(
         spark.read.parquet(f"{base}/lineitem.parquet")))
-    rows = M.fct_orders_rows(S.stg_orders(raw), i.stg_products, i.stg_customers,
-                             TB.LOAD_RUNS[0])
+    products, customers = i.stg_products, i.stg_customers
+
+    def to_rows(batch):
+        return M.fct_orders_rows(batch, products, customers, TB.LOAD_RUNS[0])
+
     run = new_run_id()
     table = f"ledger_stream.fct_orders_incremental_{run}"
-    q = start_incremental_stream(rows, table, scratch_path(spark, "stream", run, "data"),
-                                 scratch_path(spark, "stream", run, "checkpoint"))
+    q = start_incremental_stream(S.stg_orders(raw), table,
+                                 scratch_path(spark, "stream", run, "data"),
+                                 scratch_path(spark, "stream", run, "checkpoint"),
+                                 transform=to_rows)
     q.awaitTermination()
     return exposed(spark.table(table))

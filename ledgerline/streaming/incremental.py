@@ -34,11 +34,15 @@ def _publish(spark: SparkSession, table: str, path: str) -> None:
 
 
 def upsert_batch_writer(table: str, root: str, key: str = "order_id",
-                        date_col: str = "order_date") -> Callable[[DataFrame, int], None]:
+                        date_col: str = "order_date",
+                        transform: Callable[[DataFrame], DataFrame] | None = None
+                        ) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         target = spark.table(table) if spark.catalog.tableExists(table) else None
-        rows = batch.persist()
+        # per-batch work that needs a static frame (dimension joins with
+        # hot-key detection) runs here
+        rows = (transform(batch) if transform else batch).persist()
         try:
             _, new_target = incremental_load(rows, target, key, date_col)
             path = f"{root.rstrip('/')}/epoch={epoch_id}"
@@ -51,10 +55,12 @@ def upsert_batch_writer(table: str, root: str, key: str = "order_id",
 
 def start_incremental_stream(stream_rows: DataFrame, table: str, root: str,
                              checkpoint: str, key: str = "order_id",
-                             date_col: str = "order_date", available_now: bool = True):
-    """Start the streaming load; returns the StreamingQuery."""
+                             date_col: str = "order_date", available_now: bool = True,
+                             transform: Callable[[DataFrame], DataFrame] | None = None):
+    """Start the streaming load; returns the StreamingQuery.  ``transform``
+    turns each micro-batch into target rows before the upsert."""
     w = (stream_rows.writeStream
-         .foreachBatch(upsert_batch_writer(table, root, key, date_col))
+         .foreachBatch(upsert_batch_writer(table, root, key, date_col, transform))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
