@@ -285,6 +285,35 @@ def build(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame
     return res
 
 
+RAW_LAYER = "ledger_raw"
+
+
+def load_raw_csv(spark: SparkSession, paths: dict[str, str], root: str,
+                 run_id: str | None = None) -> dict[str, str]:
+    """Full-refresh load of the three raw tables from CSV, all or nothing.
+
+    Each file is read with its declared schema and FAILFAST and written to
+    ``<root>/_raw/<run_id>/<table>``; only when all three are written are
+    the catalog entries ``ledger_raw.<table>`` moved to the new folders.
+    A failure leaves the previous raw tables in place (the rollback)."""
+    from ..sources.files import read_raw_csv
+    run_id = run_id or new_run_id()
+    written = {}
+    for table in ("customers", "products", "orders"):
+        out = f"{root.rstrip('/')}/_raw/{run_id}/{table}"
+        read_raw_csv(spark, table, paths[table]).write.mode("overwrite").parquet(out)
+        written[table] = out
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {RAW_LAYER}")
+    for table, out in written.items():
+        q = f"{RAW_LAYER}.{table}"
+        if spark.catalog.tableExists(q):
+            spark.sql(f"ALTER TABLE {q} SET LOCATION '{out}'")
+            spark.sql(f"REFRESH TABLE {q}")
+        else:
+            spark.sql(f"CREATE TABLE {q} USING parquet LOCATION '{out}'")
+    return written
+
+
 def build_or_raise(*args, **kwargs) -> BuildResult:
     res = build(*args, **kwargs)
     if not res.published:

@@ -76,3 +76,29 @@ def test_generator_independent_of_partitioning(spark):
     a = G.generate(spark, 100, 1000, dt.date(2025, 1, 1), num_partitions=1)[2]
     b = G.generate(spark, 100, 1000, dt.date(2025, 1, 1), num_partitions=7)[2]
     assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+
+
+def test_raw_load_is_all_or_nothing(spark, scratch):
+    from ledgerline.plans.build import load_raw_csv
+    d = {}
+    files_ = {
+        "customers": "customer_id,first_name,last_name,email,registration_date,country,"
+                     "updated_at,total_orders\n1,A,B,a@b.c,2024-01-01,UK,2024-01-02,3\n",
+        "products": "product_id,product_name,category,price,created_at\n"
+                    "1,P,Books,10.50,2024-01-01\n",
+        "orders": "order_id,customer_id,product_id,quantity,order_date,status,total_amount\n"
+                  "1,1,1,2,2024-01-03,completed,21.00\n",
+    }
+    for name, text in files_.items():
+        d[name] = os.path.join(scratch, f"{name}.csv")
+        with open(d[name], "w") as fh:
+            fh.write(text)
+    load_raw_csv(spark, d, scratch, run_id="ok")
+    assert spark.table("ledger_raw.orders").count() == 1
+    # a bad orders file: nothing moves, the first load stays visible
+    with open(d["orders"], "w") as fh:
+        fh.write(files_["orders"] + "2,1,1,x,2024-01-04,completed,5.00\n")
+    with pytest.raises(Exception):
+        load_raw_csv(spark, d, scratch, run_id="bad")
+    assert spark.table("ledger_raw.orders").count() == 1
+    assert spark.table("ledger_raw.customers").count() == 1
