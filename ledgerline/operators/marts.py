@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.dates import as_ts_col, days_between, dow0
-from .ranking import with_ntile, with_ntile_single_task
+from .ranking import ntile_scores, with_ntile_single_task
 from .skew import frequent_keys, hot_keys, left_join_dimension
 from .staging import successful_orders
 
@@ -104,11 +104,21 @@ def _m_order():
 
 
 def rfm_scores(rfm: DataFrame, distributed: bool = True) -> DataFrame:
-    """Quartile scores r/f/m (4 = best) over all customers with orders."""
-    nt = with_ntile if distributed else with_ntile_single_task
-    s = nt(rfm, 4, _r_order(), "r_score")
-    s = nt(s, 4, _f_order(), "f_score")
-    return nt(s, 4, _m_order(), "m_score")
+    """Quartile scores r/f/m (4 = best) over all customers with orders.
+
+    Each score is ranked on (customer_id, its value) only; the three
+    score tables join back on customer_id, by which ``rfm`` is already
+    partitioned (it is a group-by on that key)."""
+    if not distributed:
+        s = with_ntile_single_task(rfm, 4, _r_order(), "r_score")
+        s = with_ntile_single_task(s, 4, _f_order(), "f_score")
+        return with_ntile_single_task(s, 4, _m_order(), "m_score")
+    scores = ntile_scores(rfm, "customer_id", 4, [
+        ("r_score", ["recency"], _r_order()),
+        ("f_score", ["frequency"], _f_order()),
+        ("m_score", ["monetary"], _m_order()),
+    ])
+    return rfm.join(scores, "customer_id")
 
 
 def dim_customers(stg_customers: DataFrame, stg_orders: DataFrame, as_of,

@@ -85,3 +85,23 @@ def with_ntile_single_task(df: DataFrame, n: int, order: Sequence[Column],
                            out_col: str) -> DataFrame:
     """Plain window NTILE (one task); kept as the reference for tests."""
     return df.withColumn(out_col, F.ntile(n).over(Window.orderBy(*order)))
+
+
+def ntile_scores(df: DataFrame, id_col: str, n: int,
+                 specs: Sequence[tuple[str, Sequence[str], Sequence[Column]]],
+                 num_partitions: int | None = None) -> DataFrame:
+    """Several NTILEs of one table as ``(id_col, score...)``.
+
+    Each ranking runs on a narrow projection (the id and the columns its
+    order reads), so the range shuffles and checkpoints carry a few
+    columns instead of whole rows; the per-score tables (one row per id)
+    are then joined on the id.  ``specs`` is ``[(out_col, columns,
+    order), ...]`` where ``order`` is a total order over ``columns`` and
+    ``id_col``.
+    """
+    out = None
+    for out_col, columns, order in specs:
+        narrow = df.select(id_col, *[c for c in columns if c != id_col])
+        part = with_ntile(narrow, n, order, out_col, num_partitions).select(id_col, out_col)
+        out = part if out is None else out.join(part, id_col)
+    return out

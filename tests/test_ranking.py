@@ -33,3 +33,16 @@ def test_heavy_ties_large(spark):
     # one value holds a third of the rows (hot key); ranks must still split
     rows = [(i, 0 if i % 3 == 0 else i % 97) for i in range(3000)]
     _compare(spark, rows, 4, parts=8)
+
+
+def test_ntile_scores_matches_per_column_window(spark):
+    from ledgerline.operators.ranking import ntile_scores
+    rnd = random.Random(3)
+    rows = [(i, rnd.choice([1, 2, 2, 5]), rnd.choice([None, 1.5, 2.5])) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, a int, b double")
+    oa = [F.col("a").desc_nulls_first(), F.col("id").asc()]
+    ob = [F.col("b").asc_nulls_last(), F.col("id").asc()]
+    got = {r.id: (r.sa, r.sb) for r in
+           ntile_scores(df, "id", 4, [("sa", ["a"], oa), ("sb", ["b"], ob)], 5).collect()}
+    ref = with_ntile_single_task(with_ntile_single_task(df, 4, oa, "sa"), 4, ob, "sb")
+    assert got == {r.id: (r.sa, r.sb) for r in ref.collect()}
