@@ -14,7 +14,9 @@ Order of a run (the reference's DAG, as one Spark application):
 6. post-flight: required tables exist, row counts, empty ones flagged.
 
 Incremental and snapshot tables read their currently published version
-as the target/history of the run.
+as the target/history of the run, and rewrite only the partitions a run
+changes: order months for the incremental fact, the open versions (plus
+one new partition of versions closed by the run) for the snapshots.
 """
 
 from __future__ import annotations
@@ -143,7 +145,7 @@ def _incremental_step(spark: SparkSession, rows: DataFrame, path: str):
     if target is None:
         rows.write.mode("overwrite").partitionBy(INCREMENTAL_PART).parquet(data)
         written_back = _read_back(spark, data, rows.columns)
-        return written_back, ("create", data, written_back.schema, None)
+        return written_back, ("create", data, written_back.schema, None, None)
     target = target.select(*rows.columns)
     delta, replaced = U.partition_upsert(rows, target, INCREMENTAL_KEY, INCREMENTAL_DATE,
                                          INCREMENTAL_PART)
@@ -162,39 +164,82 @@ def _incremental_step(spark: SparkSession, rows: DataFrame, path: str):
              else spark.createDataFrame([], rows.schema))
     written = [r[0] for r in fresh.select(INCREMENTAL_PART).distinct().collect()]
     untouched = target.where(~F.col(INCREMENTAL_PART).isin(touched)) if touched else target
-    return untouched.unionByName(fresh), ("partitions", data, touched, written)
+    gone = [v for v in touched if v not in written]
+    return untouched.unionByName(fresh), ("update", data, None, written, gone)
 
 
-def _publish_incremental(spark: SparkSession, plan) -> None:
-    """Create the partitioned table, or point each touched month at its
-    new folder (months left empty are dropped).  Each statement is atomic
-    per month; untouched months keep their files."""
-    kind, data, detail, written = plan
-    q = _qualified(INCREMENTAL, "marts")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {LAYERS['marts']}")
+def _partition_spec(col: str, value) -> str:
+    if isinstance(value, _dt.date):
+        return f"PARTITION ({col} = DATE '{value.isoformat()}')"
+    return f"PARTITION ({col} = '{value}')"
+
+
+def _partition_dir(value) -> str:
+    return value.isoformat() if isinstance(value, _dt.date) else str(value)
+
+
+def _publish_partitioned(spark: SparkSession, q: str, part_col: str, plan) -> None:
+    """Create a partitioned table, or re-point / add / drop single
+    partitions.  Each statement is atomic per partition; partitions not
+    named keep their files."""
+    kind, data, schema, set_values, drop_values = plan
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {q.split('.')[0]}")
     if kind == "create":
-        schema = detail
         # partition column last, as it is stored
-        fields = ([f for f in schema.fields if f.name != INCREMENTAL_PART]
-                  + [f for f in schema.fields if f.name == INCREMENTAL_PART])
+        fields = ([f for f in schema.fields if f.name != part_col]
+                  + [f for f in schema.fields if f.name == part_col])
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
         if spark.catalog.tableExists(q):
             spark.sql(f"DROP TABLE {q}")
         spark.sql(f"CREATE TABLE {q} ({columns}) USING parquet "
-                  f"PARTITIONED BY ({INCREMENTAL_PART}) LOCATION '{data}'")
+                  f"PARTITIONED BY ({part_col}) LOCATION '{data}'")
         spark.sql(f"ALTER TABLE {q} RECOVER PARTITIONS")
         return
-    for v in detail:
-        spec = f"PARTITION ({INCREMENTAL_PART} = DATE '{v.isoformat()}')"
-        if v in written:
-            loc = f"{data}/{INCREMENTAL_PART}={v.isoformat()}"
-            spark.sql(f"ALTER TABLE {q} ADD IF NOT EXISTS {spec} LOCATION '{loc}'")
-            spark.sql(f"ALTER TABLE {q} {spec} SET LOCATION '{loc}'")
-        else:
-            spark.sql(f"ALTER TABLE {q} DROP IF EXISTS {spec}")
+    for v in set_values:
+        spec = _partition_spec(part_col, v)
+        loc = f"{data}/{part_col}={_partition_dir(v)}"
+        spark.sql(f"ALTER TABLE {q} ADD IF NOT EXISTS {spec} LOCATION '{loc}'")
+        spark.sql(f"ALTER TABLE {q} {spec} SET LOCATION '{loc}'")
+    for v in drop_values:
+        spark.sql(f"ALTER TABLE {q} DROP IF EXISTS {_partition_spec(part_col, v)}")
     spark.sql(f"REFRESH TABLE {q}")
 
 
+SNAPSHOTS = {"customers_snapshot": "timestamp", "customers_snapshot_check": "check"}
+SNAPSHOT_STATE, OPEN_STATE = "version_state", "open"
+
+
+def _snapshot_step(spark: SparkSession, name: str, source: DataFrame, run_ts, path: str,
+                   run_id: str):
+    """SCD2 run that reads and rewrites only the open versions.
+
+    The history is partitioned by ``version_state``: 'open' for current
+    versions and 'closed-<run id>' for the versions a run closed.  A run
+    merges the open partition with the source, writes the new open rows
+    and this run's closed rows, and publishes by adding one partition and
+    re-pointing 'open'.  Closed history is never read or rewritten.
+    """
+    strategy = SNAPSHOTS[name]
+    table = published_table(spark, name, "snapshots")
+    open_rows = None
+    if table is not None:
+        open_rows = table.where(F.col(SNAPSHOT_STATE) == OPEN_STATE).drop(SNAPSHOT_STATE)
+    merged = H.snapshot(source, open_rows, "customer_id", strategy, run_ts,
+                        check_cols=CHECK_COLUMNS if strategy == "check" else ())
+    closed_state = f"closed-{run_id}"
+    merged = merged.withColumn(SNAPSHOT_STATE, F.when(F.col(H.VALID_TO).isNull(), OPEN_STATE)
+                               .otherwise(closed_state))
+    data = f"{path}/data"
+    merged.write.mode("overwrite").partitionBy(SNAPSHOT_STATE).parquet(data)
+    fresh = _read_back(spark, data, merged.columns)
+    states = [r[0] for r in fresh.select(SNAPSHOT_STATE).distinct().collect()]  # <= 2
+    if table is None:
+        return fresh, ("create", data, fresh.schema, None, None)
+    kept = table.where(F.col(SNAPSHOT_STATE) != OPEN_STATE).select(*merged.columns)
+    drop = [] if OPEN_STATE in states else [OPEN_STATE]
+    return kept.unionByName(fresh), ("update", data, fresh.schema, states, drop)
+
+
 def _write(df: DataFrame, path: str, name: str) -> None:
     w = df.write.mode("overwrite")
     if name in PARTITION_COLUMNS:
@@ -236,17 +281,11 @@ def build(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame
                                                              ordered=False),
         "customer_cohorts": lambda: A.customer_cohorts(stg["stg_customers"], stg["stg_orders"],
                                                        ordered=False),
-        "customers_snapshot": lambda: H.snapshot(
-            stg["stg_customers"], published_table(spark, "customers_snapshot", "snapshots"),
-            "customer_id", "timestamp", run_ts),
-        "customers_snapshot_check": lambda: H.snapshot(
-            stg["stg_customers"], published_table(spark, "customers_snapshot_check", "snapshots"),
-            "customer_id", "check", run_ts, check_cols=CHECK_COLUMNS),
     }
 
     built: dict[str, DataFrame] = dict(stg)
     paths: dict[str, tuple[str, str]] = {}
-    incremental_plan = None
+    partitioned_plans: dict[str, tuple] = {}
     for name, layer, model_tags in MODELS:
         if layer == "staging" or not wanted(name, model_tags):
             continue
@@ -256,7 +295,12 @@ def build(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame
         if name == INCREMENTAL:
             rows = M.fct_orders_rows(stg["stg_orders"], stg["stg_products"],
                                      stg["stg_customers"], run_ts)
-            built[name], incremental_plan = _incremental_step(spark, rows, path)
+            built[name], partitioned_plans[name] = _incremental_step(spark, rows, path)
+            paths[name] = (layer, path)
+            continue
+        if name in SNAPSHOTS:
+            built[name], partitioned_plans[name] = _snapshot_step(
+                spark, name, stg["stg_customers"], run_ts, path, run_id)
             paths[name] = (layer, path)
             continue
         df = builders[name]()
@@ -276,7 +320,11 @@ def build(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame
         return res
     for name, (layer, path) in paths.items():
         if name == INCREMENTAL:
-            _publish_incremental(spark, incremental_plan)
+            _publish_partitioned(spark, _qualified(name, layer), INCREMENTAL_PART,
+                                 partitioned_plans[name])
+        elif name in SNAPSHOTS:
+            _publish_partitioned(spark, _qualified(name, layer), SNAPSHOT_STATE,
+                                 partitioned_plans[name])
         else:
             _publish(spark, name, layer, path)
     res.published = True

@@ -95,3 +95,36 @@ def test_partition_level_incremental_equals_whole_table_rule(spark, scratch):
         sorted(map(tuple, t2.select(*key).collect()))
     moved = got.where(F.col("order_id") == oldest).first()
     assert moved["order_date"] == last
+
+
+def test_snapshot_runs_rewrite_only_open_versions(spark, scratch):
+    from ledgerline.operators import history as H
+    from ledgerline.operators import staging as S
+    c, p, o = G.generate(spark, 120, 400, AS_OF, num_partitions=2)
+    for t in ("customers_snapshot", "customers_snapshot_check"):
+        spark.sql(f"DROP TABLE IF EXISTS ledger_snapshots.{t}")
+    c2 = (c.where(F.col("customer_id") % 7 != 0)                      # deletes
+          .withColumn("country", F.when(F.col("customer_id") % 5 == 1, F.lit("UK"))
+                      .otherwise(F.col("country")))
+          .withColumn("updated_at", F.when(F.col("customer_id") % 5 == 1,
+                                           F.date_add("updated_at", 400))
+                      .otherwise(F.col("updated_at"))))
+    o2 = o.join(c2.select("customer_id"), "customer_id", "left_semi")  # no orphans
+    runs = [(c, o, dt.datetime(2025, 1, 1)), (c2, o2, dt.datetime(2025, 2, 1)),
+            (c, o, dt.datetime(2025, 3, 1))]                          # revives
+    hist = {"timestamp": None, "check": None}
+    for n, (cust, orders, ts) in enumerate(runs):
+        res = B.build(spark, cust, p, orders, scratch, AS_OF, ts, run_id=f"s{n}",
+                      tags={"snapshots"})
+        assert res.published, res.failures
+        for strategy in hist:
+            hist[strategy] = H.snapshot(S.stg_customers(cust, AS_OF), hist[strategy],
+                                        "customer_id", strategy, ts,
+                                        check_cols=B.CHECK_COLUMNS).checkpoint()
+    for table, strategy in B.SNAPSHOTS.items():
+        got = spark.table(f"ledger_snapshots.{table}")
+        cols = sorted(hist[strategy].columns)
+        assert sorted(map(tuple, got.select(*cols).collect()), key=repr) == \
+            sorted(map(tuple, hist[strategy].select(*cols).collect()), key=repr)
+        states = {r[0] for r in got.select("version_state").distinct().collect()}
+        assert "open" in states and all(s == "open" or s.startswith("closed-") for s in states)
