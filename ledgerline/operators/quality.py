@@ -37,6 +37,7 @@ class Check:
     min_value: object = None
     max_value: object = None
     inclusive: bool = True
+    max_length: int | None = None
     expression: str | None = None
     severity: str = "error"
 
@@ -52,6 +53,8 @@ class Check:
             return " and ".join(x for x in (lo, hi) if x)
         if self.kind == "expression_is_true":
             return self.expression or ""
+        if self.kind == "max_length":
+            return f"length <= {self.max_length}"
         return ""
 
     @property
@@ -86,10 +89,13 @@ def violation(check: Check, as_of: _dt.date | None = None) -> Column:
         if as_of is not None:
             expr = expr.replace("CURRENT_DATE", _lit_sql(as_of))
         return F.coalesce(~F.expr(f"`{check.column}` {expr}"), F.lit(False))
+    if check.kind == "max_length":
+        return F.coalesce(F.length(c) > check.max_length, F.lit(False))
     raise ValueError(f"not a row-level check: {check.kind}")
 
 
-ROW_LEVEL = {"not_null", "accepted_values", "accepted_range", "expression_is_true"}
+ROW_LEVEL = {"not_null", "accepted_values", "accepted_range", "expression_is_true",
+             "max_length"}
 
 
 def _result_row(check: Check, failures: Column) -> list[Column]:

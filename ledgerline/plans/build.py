@@ -26,7 +26,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators import analytics as A
 from ..operators import history as H
@@ -336,14 +335,37 @@ def build(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame
 RAW_LAYER = "ledger_raw"
 
 
+class RawLoadError(RuntimeError):
+    pass
+
+
+def raw_constraints() -> list:
+    """The raw DDL's constraints as checks: primary keys, the orders'
+    foreign keys, and VARCHAR lengths."""
+    from ..operators.quality import Check
+    from ..sources.schemas import VARCHAR_LIMITS
+    checks = []
+    for table, pk in (("customers", "customer_id"), ("products", "product_id"),
+                      ("orders", "order_id")):
+        checks += [Check("unique", table, pk), Check("not_null", table, pk)]
+    checks += [Check("relationships", "orders", "customer_id", to="customers",
+                     field_name="customer_id"),
+               Check("relationships", "orders", "product_id", to="products",
+                     field_name="product_id")]
+    for table, limits in VARCHAR_LIMITS.items():
+        checks += [Check("max_length", table, col, max_length=n) for col, n in limits.items()]
+    return checks
+
+
 def load_raw_csv(spark: SparkSession, paths: dict[str, str], root: str,
                  run_id: str | None = None) -> dict[str, str]:
     """Full-refresh load of the three raw tables from CSV, all or nothing.
 
     Each file is read with its declared schema and FAILFAST and written to
-    ``<root>/_raw/<run_id>/<table>``; only when all three are written are
-    the catalog entries ``ledger_raw.<table>`` moved to the new folders.
-    A failure leaves the previous raw tables in place (the rollback)."""
+    ``<root>/_raw/<run_id>/<table>``; the written tables must then pass the
+    DDL's constraints (keys, foreign keys, lengths).  Only then are the
+    catalog entries ``ledger_raw.<table>`` moved to the new folders; any
+    failure leaves the previous raw tables in place (the rollback)."""
     from ..sources.files import read_raw_csv
     run_id = run_id or new_run_id()
     written = {}
@@ -351,6 +373,10 @@ def load_raw_csv(spark: SparkSession, paths: dict[str, str], root: str,
         out = f"{root.rstrip('/')}/_raw/{run_id}/{table}"
         read_raw_csv(spark, table, paths[table]).write.mode("overwrite").parquet(out)
         written[table] = out
+    tables = {t: spark.read.parquet(p) for t, p in written.items()}
+    verdict = Q.gate(Q.run_checks(tables, raw_constraints()))
+    if not verdict.passed:
+        raise RawLoadError(f"raw constraints violated: {verdict.failures}")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {RAW_LAYER}")
     for table, out in written.items():
         q = f"{RAW_LAYER}.{table}"
@@ -368,6 +394,3 @@ def build_or_raise(*args, **kwargs) -> BuildResult:
         raise QualityGateError(f"{len(res.failures)} checks failed: {res.failures[:5]}")
     return res
 
-
-def schema_of(df: DataFrame) -> T.StructType:
-    return df.schema

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ..functions.dates import as_ts_col  # noqa: F401
+import datetime
+
 from ..operators import history as H
 from ..operators import marts as M
 from ..operators import staging as S
@@ -81,7 +82,8 @@ from ..operators import quality as Q  # noqa: E402
 from ..sources import files as FILES  # noqa: E402
 from . import suite as SUITE  # noqa: E402
 
-FRESHNESS_RUN_TS = TB._dt.datetime(2024, 2, 1, 0, 0, 0)
+# Fixed value: run time the event freshness is measured against.
+FRESHNESS_RUN_TS = datetime.datetime(2024, 2, 1, 0, 0, 0)
 
 
 class LazyModels(dict):

@@ -102,3 +102,28 @@ def test_raw_load_is_all_or_nothing(spark, scratch):
         load_raw_csv(spark, d, scratch, run_id="bad")
     assert spark.table("ledger_raw.orders").count() == 1
     assert spark.table("ledger_raw.customers").count() == 1
+
+
+def test_raw_load_enforces_keys_and_lengths(spark, scratch):
+    from ledgerline.plans.build import RawLoadError, load_raw_csv
+    base = {
+        "customers": "customer_id,first_name,last_name,email,registration_date,country,"
+                     "updated_at,total_orders\n1,A,B,a@b.c,2024-01-01,UK,2024-01-02,3\n",
+        "products": "product_id,product_name,category,price,created_at\n"
+                    "1,P,Books,10.50,2024-01-01\n",
+        "orders": "order_id,customer_id,product_id,quantity,order_date,status,total_amount\n"
+                  "1,1,1,2,2024-01-03,completed,21.00\n",
+    }
+    bad_cases = {
+        "orders": base["orders"] + "2,9,1,1,2024-01-03,completed,5.00\n",      # orphan
+        "products": base["products"] + "1,Q,Books,1.00,2024-01-01\n",        # duplicate key
+        "customers": base["customers"].replace(",A,", "," + "x" * 51 + ","),  # too long
+    }
+    for bad_table, bad_text in bad_cases.items():
+        d = {}
+        for name, text in base.items():
+            d[name] = os.path.join(scratch, f"{bad_table}_{name}.csv")
+            with open(d[name], "w") as fh:
+                fh.write(bad_text if name == bad_table else text)
+        with pytest.raises(RawLoadError):
+            load_raw_csv(spark, d, scratch, run_id=f"bad_{bad_table}")
