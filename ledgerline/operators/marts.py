@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.dates import as_ts_col, days_between, dow0
-from .ranking import ntile_scores, with_ntile_single_task
+from .ranking import freeze, ntile_scores, with_ntile_single_task
 from .skew import frequent_keys, hot_keys, left_join_dimension
 from .staging import successful_orders
 
@@ -113,6 +113,9 @@ def rfm_scores(rfm: DataFrame, distributed: bool = True) -> DataFrame:
         s = with_ntile_single_task(rfm, 4, _r_order(), "r_score")
         s = with_ntile_single_task(s, 4, _f_order(), "f_score")
         return with_ntile_single_task(s, 4, _m_order(), "m_score")
+    # the per-customer aggregate over all orders is computed once; the
+    # three rankings and the join back read the frozen rows
+    rfm = freeze(rfm)
     scores = ntile_scores(rfm, "customer_id", 4, [
         ("r_score", ["recency"], _r_order()),
         ("f_score", ["frequency"], _f_order()),

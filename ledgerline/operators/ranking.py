@@ -39,6 +39,17 @@ def ntile_from_rank(rank0: str, total: str, n: int) -> Column:
         f" ELSE {r} + ({rank0} - {big}) div nullif({q}, 0) END + 1 AS int)")
 
 
+def freeze(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint (computed once, then read from the shared
+    checkpoint folder).  Persisting first lets the checkpoint write reuse
+    the computed rows instead of computing them a second time."""
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist()
+    frozen = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return frozen
+
+
 def global_rank(df: DataFrame, order: Sequence[Column], out_col: str = "rank0",
                 num_partitions: int | None = None) -> DataFrame:
     """0-based position of each row in ``order`` plus the row count in
@@ -54,11 +65,7 @@ def global_rank(df: DataFrame, order: Sequence[Column], out_col: str = "rank0",
               # (the id keeps the partition index in its upper 31 bits)
               .withColumn(_POS, F.monotonically_increasing_id()
                           - F.shiftleft(F.col(_PID).cast("long"), 33)))
-    # persist first so the checkpoint write reads the computed rows
-    # instead of recomputing them; the cache is dropped right after
-    cached = placed.persist()
-    placed = cached.checkpoint(eager=True)
-    cached.unpersist()
+    placed = freeze(placed)
     counts = placed.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy(_PID)
     offsets = counts.select(
