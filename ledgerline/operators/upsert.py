@@ -84,27 +84,46 @@ def incremental_load(source: DataFrame, target: DataFrame | None, key: str = "or
     return delta, new_target
 
 
-def partition_upsert(source: DataFrame, target: DataFrame, key: str, date_col: str,
-                     part_col: str) -> tuple[DataFrame, DataFrame]:
-    """Flags for a partition-level upsert: (delta rows, replaced target keys).
+CHANGE_ROLE = "_change_role"
+
 
-    Only the target's key and partition columns are read here (a
-    two-column scan), so the cost is the key check, not a rewrite of the
-    target.  The caller rewrites just the partitions named by the two
-    results.
+def partition_changes(source: DataFrame, target: DataFrame, key: str, date_col: str,
+                      part_col: str) -> DataFrame:
+    """All changes of a partition-level upsert in one frame: delta rows
+    (``_change_role`` = 'delta', full columns) and replaced target keys
+    ('replaced', key and partition column only).
+
+    Only the target's key and partition columns are read (a two-column
+    scan), so the cost is the key check, not a rewrite of the target;
+    writing this one frame runs the keyed shuffle once.
     """
     cols = target.columns
     rest = [c for c in cols if c not in (key, part_col)]
     types = dict(target.dtypes)
     tk = target.select(key, part_col, *[F.lit(None).cast(types[c]).alias(c) for c in rest])
-    cutoff_src = target.select(date_col)
     m = _merged(source.select(*cols), tk.select(*cols), key, date_col,
-                cutoff_from=cutoff_src)
-    delta = m.where(F.col(_NEW)).select(*cols)
-    replaced = m.where((F.col(_SRC) == 0) & F.col(_REPL)).select(key, part_col)
+                cutoff_from=target.select(date_col))
+    role = (F.when(F.col(_NEW), F.lit("delta"))
+            .when((F.col(_SRC) == 0) & F.col(_REPL), F.lit("replaced")))
+    return m.withColumn(CHANGE_ROLE, role).where(F.col(CHANGE_ROLE).isNotNull()) \
+        .select(*cols, CHANGE_ROLE)
+
+
+def split_changes(changes: DataFrame, key: str, part_col: str) -> tuple[DataFrame, DataFrame]:
+    """(delta rows, replaced keys) of a ``partition_changes`` frame."""
+    role = F.col(CHANGE_ROLE)
+    delta = changes.where(role == "delta").drop(CHANGE_ROLE)
+    replaced = changes.where(role == "replaced").select(key, part_col)
     return delta, replaced
 
 
+def partition_upsert(source: DataFrame, target: DataFrame, key: str, date_col: str,
+                     part_col: str) -> tuple[DataFrame, DataFrame]:
+    """(delta rows, replaced target keys) for a partition-level upsert."""
+    return split_changes(partition_changes(source, target, key, date_col, part_col),
+                         key, part_col)
+
+
 def touched_partitions(delta: DataFrame, replaced: DataFrame, part_col: str) -> DataFrame:
     """Partition values a run changes: one row per value (for month
     partitions, bounded by the calendar)."""

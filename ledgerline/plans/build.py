@@ -146,12 +146,11 @@ def _incremental_step(spark: SparkSession, rows: DataFrame, path: str):
         written_back = _read_back(spark, data, rows.columns)
         return written_back, ("create", data, written_back.schema, None, None)
     target = target.select(*rows.columns)
-    delta, replaced = U.partition_upsert(rows, target, INCREMENTAL_KEY, INCREMENTAL_DATE,
-                                         INCREMENTAL_PART)
-    delta.write.mode("overwrite").parquet(f"{path}/flags_delta")
-    replaced.write.mode("overwrite").parquet(f"{path}/flags_replaced")
-    delta = spark.read.parquet(f"{path}/flags_delta")
-    replaced = spark.read.parquet(f"{path}/flags_replaced")
+    changes = U.partition_changes(rows, target, INCREMENTAL_KEY, INCREMENTAL_DATE,
+                                  INCREMENTAL_PART)
+    changes.write.mode("overwrite").parquet(f"{path}/changes")   # one job, lineage cut
+    delta, replaced = U.split_changes(spark.read.parquet(f"{path}/changes"),
+                                      INCREMENTAL_KEY, INCREMENTAL_PART)
     # one value per touched month: bounded by the calendar
     touched = [r[0] for r in U.touched_partitions(delta, replaced, INCREMENTAL_PART).collect()]
     if any(v is None for v in touched):
