@@ -166,43 +166,66 @@ def _incremental_step(spark: SparkSession, rows: DataFrame, path: str):
     return untouched.unionByName(fresh), ("update", data, None, written, gone)
 
 
-def _partition_spec(col: str, value) -> str:
-    if isinstance(value, _dt.date):
-        return f"PARTITION ({col} = DATE '{value.isoformat()}')"
-    return f"PARTITION ({col} = '{value}')"
+def _as_tuple(value) -> tuple:
+    return value if isinstance(value, tuple) else (value,)
 
 
-def _partition_dir(value) -> str:
-    return value.isoformat() if isinstance(value, _dt.date) else str(value)
+def _partition_spec(cols: list[str], value) -> str:
+    parts = []
+    for c, v in zip(cols, _as_tuple(value)):
+        lit = f"DATE '{v.isoformat()}'" if isinstance(v, _dt.date) else f"'{v}'"
+        parts.append(f"{c} = {lit}")
+    return "PARTITION (" + ", ".join(parts) + ")"
+
+
+def _partition_dir(cols: list[str], value) -> str:
+    return "/".join(f"{c}={v.isoformat() if isinstance(v, _dt.date) else v}"
+                    for c, v in zip(cols, _as_tuple(value)))
 
 
-def _publish_partitioned(spark: SparkSession, q: str, part_col: str, plan) -> None:
+def _publish_partitioned(spark: SparkSession, q: str, part_cols, plan) -> None:
     """Create a partitioned table, or re-point / add / drop single
     partitions.  Each statement is atomic per partition; partitions not
     named keep their files."""
+    part_cols = [part_cols] if isinstance(part_cols, str) else list(part_cols)
     kind, data, schema, set_values, drop_values = plan
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {q.split('.')[0]}")
     if kind == "create":
-        # partition column last, as it is stored
-        fields = ([f for f in schema.fields if f.name != part_col]
-                  + [f for f in schema.fields if f.name == part_col])
+        # partition columns last, as they are stored
+        fields = ([f for f in schema.fields if f.name not in part_cols]
+                  + [f for c in part_cols for f in schema.fields if f.name == c])
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
         if spark.catalog.tableExists(q):
             spark.sql(f"DROP TABLE {q}")
         spark.sql(f"CREATE TABLE {q} ({columns}) USING parquet "
-                  f"PARTITIONED BY ({part_col}) LOCATION '{data}'")
+                  f"PARTITIONED BY ({', '.join(part_cols)}) LOCATION '{data}'")
         spark.sql(f"ALTER TABLE {q} RECOVER PARTITIONS")
         return
     for v in set_values:
-        spec = _partition_spec(part_col, v)
-        loc = f"{data}/{part_col}={_partition_dir(v)}"
+        spec = _partition_spec(part_cols, v)
+        loc = f"{data}/{_partition_dir(part_cols, v)}"
         spark.sql(f"ALTER TABLE {q} ADD IF NOT EXISTS {spec} LOCATION '{loc}'")
         spark.sql(f"ALTER TABLE {q} {spec} SET LOCATION '{loc}'")
     for v in drop_values:
-        spark.sql(f"ALTER TABLE {q} DROP IF EXISTS {_partition_spec(part_col, v)}")
+        spark.sql(f"ALTER TABLE {q} DROP IF EXISTS {_partition_spec(part_cols, v)}")
     spark.sql(f"REFRESH TABLE {q}")
 
 
+def _rebuild_plan(spark: SparkSession, q: str, part_cols: list[str], data: str,
+                  written: DataFrame):
+    """Publish plan for a fully rebuilt partitioned table: every written
+    partition re-pointed, partitions that disappeared dropped.  Both lists
+    hold one entry per partition (months: bounded by the calendar)."""
+    values = [tuple(str(x) for x in r) for r in written.select(*part_cols).distinct().collect()]
+    if not spark.catalog.tableExists(q):
+        return ("create", data, written.schema, None, None)
+    existing = []
+    for r in spark.sql(f"SHOW PARTITIONS {q}").collect():
+        kv = dict(p.split("=", 1) for p in r[0].split("/"))
+        existing.append(tuple(kv[c] for c in part_cols))
+    return ("update", data, written.schema, values, [v for v in existing if v not in values])
+
+
 SNAPSHOTS = {"customers_snapshot": "timestamp", "customers_snapshot_check": "check"}
 SNAPSHOT_STATE, OPEN_STATE = "version_state", "open"
 
@@ -305,6 +328,9 @@ def build(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame
         _write(df, path, name)
         built[name] = _read_back(spark, path, df.columns)
         paths[name] = (layer, path)
+        if name in PARTITION_COLUMNS:
+            partitioned_plans[name] = _rebuild_plan(
+                spark, _qualified(name, layer), PARTITION_COLUMNS[name], path, built[name])
 
     models = {**built, "raw_customers": raw_customers, "raw_products": raw_products,
               "raw_orders": raw_orders}
@@ -323,6 +349,9 @@ def build(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame
         elif name in SNAPSHOTS:
             _publish_partitioned(spark, _qualified(name, layer), SNAPSHOT_STATE,
                                  partitioned_plans[name])
+        elif name in PARTITION_COLUMNS:
+            _publish_partitioned(spark, _qualified(name, layer), PARTITION_COLUMNS[name],
+                                 partitioned_plans[name])
         else:
             _publish(spark, name, layer, path)
     res.published = True

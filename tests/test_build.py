@@ -22,6 +22,13 @@ def test_build_publish_rerun_and_gate(spark, scratch):
     assert {r["status"] for r in res.postflight} == {"ok"}
     assert spark.table("ledger_marts.fct_orders_incremental").count() == 3000
     assert spark.table("ledger_snapshots.customers_snapshot").count() == 300
+    # every published table reads back through the catalog
+    assert spark.table("ledger_marts.dim_customers").count() == 300
+    assert spark.table("ledger_marts.fct_daily_sales").count() == \
+        o.where(F.col("status").isin("completed", "shipped")).count()
+    assert spark.table("ledger_analytics.daily_sales_summary").count() > 0
+    assert spark.table("ledger_analytics.customer_cohorts").count() > 0
+    assert spark.table("ledger_snapshots.customers_snapshot_check").count() == 300
     first_loc = _location(spark, "ledger_marts.dim_customers")
     assert first_loc.endswith("/_runs/r1/dim_customers")
 
@@ -128,3 +135,25 @@ def test_snapshot_runs_rewrite_only_open_versions(spark, scratch):
             sorted(map(tuple, hist[strategy].select(*cols).collect()), key=repr)
         states = {r[0] for r in got.select("version_state").distinct().collect()}
         assert "open" in states and all(s == "open" or s.startswith("closed-") for s in states)
+
+
+def test_partitioned_full_rebuild_is_readable_and_current(spark, scratch):
+    c, p, o = G.generate(spark, 100, 800, AS_OF, num_partitions=2)
+    spark.sql("DROP TABLE IF EXISTS ledger_marts.fct_daily_sales")
+    r1 = B.build(spark, c, p, o, scratch, AS_OF, dt.datetime(2025, 1, 1), run_id="f1",
+                 tags={"sales"})
+    assert r1.published, r1.failures
+    t = spark.table("ledger_marts.fct_daily_sales")
+    assert t.count() == r1_count(o)
+    # second build: 2023 orders disappear (their month partitions must go)
+    o2 = o.where(F.year("order_date") == 2024)
+    r2 = B.build(spark, c, p, o2, scratch, AS_OF, dt.datetime(2025, 1, 2), run_id="f2",
+                 tags={"sales"})
+    assert r2.published, r2.failures
+    t = spark.table("ledger_marts.fct_daily_sales")
+    assert t.count() == r1_count(o2)
+    assert t.where("order_year = 2023").count() == 0
+
+
+def r1_count(orders):
+    return orders.where(F.col("status").isin("completed", "shipped")).count()
