@@ -1,14 +1,22 @@
-"""Further registered queries: incremental load, SCD2 history."""
+"""Further registered queries: incremental load, SCD2 history, quality,
+expression coverage, seeds, generator, streaming."""
 
 from __future__ import annotations
 
 import datetime
 
+from pyspark.sql import functions as F
+
+from ..functions import rules as R
+from ..operators import analytics as A
 from ..operators import history as H
 from ..operators import marts as M
+from ..operators import quality as Q
 from ..operators import staging as S
 from ..operators import upsert as U
+from ..sources import files as FILES
 from ..sources import testbind as TB
+from . import suite as SUITE
 from .registry import Inputs, exposed, register
 
 CHECK_COLS = ["first_name", "last_name", "email", "country", "customer_tier"]
@@ -74,13 +82,7 @@ def q_scd2_check(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ quality
-from pyspark.sql import functions as F  # noqa: E402
 
-from ..functions import rules as R  # noqa: E402
-from ..operators import analytics as A  # noqa: E402
-from ..operators import quality as Q  # noqa: E402
-from ..sources import files as FILES  # noqa: E402
-from . import suite as SUITE  # noqa: E402
 
 # Fixed value: run time the event freshness is measured against.
 FRESHNESS_RUN_TS = datetime.datetime(2024, 2, 1, 0, 0, 0)
