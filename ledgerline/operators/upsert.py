@@ -46,7 +46,7 @@ _SRC, _IN_T, _NEW, _REPL = "_upsert_src", "_upsert_in_target", "_upsert_delta",
 
 
 def _merged(source: DataFrame, target: DataFrame, key: str, date_col: str,
-            cutoff_from: DataFrame | None = None) -> DataFrame:
+            cutoff_from: DataFrame | None = None, lookback_days: int = 0) -> DataFrame:
     """Target and source rows in one frame, flagged per key.
 
     One shuffle by key (a window with no ordering) replaces the existence
@@ -55,8 +55,10 @@ def _merged(source: DataFrame, target: DataFrame, key: str, date_col: str,
     (as in SQL).
     """
     cols = target.columns
-    cutoff = (cutoff_from if cutoff_from is not None else target).select(
-        F.coalesce(F.max(date_col), F.lit(EMPTY_TARGET_DATE))).scalar()
+    latest = F.coalesce(F.max(date_col), F.lit(EMPTY_TARGET_DATE))
+    if lookback_days:
+        latest = F.date_sub(latest, lookback_days)
+    cutoff = (cutoff_from if cutoff_from is not None else target).select(latest).scalar()
     u = (target.select(*cols, F.lit(0).alias(_SRC))
          .unionByName(source.select(*cols, F.lit(1).alias(_SRC))))
     w = Window.partitionBy(key)
@@ -73,11 +75,16 @@ def _merged(source: DataFrame, target: DataFrame, key: str, date_col: str,
 
 
 def incremental_load(source: DataFrame, target: DataFrame | None, key: str = "order_id",
-                     date_col: str = "order_date") -> tuple[DataFrame, DataFrame]:
-    """Return (delta, new_target) for one run (both lazy, same plan)."""
+                     date_col: str = "order_date",
+                     lookback_days: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Return (delta, new_target) for one run (both lazy, same plan).
+
+    ``lookback_days`` > 0 re-reads that many days before the latest loaded
+    date as well, so late changes to recent orders are picked up (0 is the
+    reference rule: only the last loaded day)."""
     if target is None:
         return source, source
-    m = _merged(source, target, key, date_col)
+    m = _merged(source, target, key, date_col, lookback_days=lookback_days)
     cols = target.columns
     delta = m.where(F.col(_NEW)).select(*cols)
     new_target = m.where(((F.col(_SRC) == 0) & ~F.col(_REPL)) | F.col(_NEW)).select(*cols)

@@ -71,3 +71,16 @@ def test_literal_two_step_form_equals_single_pass(spark):
     assert sorted(map(tuple, lit_new.collect()), key=repr) == \
         sorted(map(tuple, new.collect()), key=repr)
     assert delta.count() > 0
+
+
+def test_lookback_days_reloads_recent_changes(spark):
+    target = spark.createDataFrame([(1, D(2024, 1, 3), "pending"), (2, D(2024, 1, 5), "pending"),
+                                    (3, D(2023, 12, 1), "pending")], SCHEMA)
+    src = spark.createDataFrame([(1, D(2024, 1, 3), "completed"), (2, D(2024, 1, 5), "completed"),
+                                 (3, D(2023, 12, 1), "completed")], SCHEMA)
+    _, plain = incremental_load(src, target)
+    _, wide = incremental_load(src, target, lookback_days=3)
+    assert _rows(plain) == [(1, D(2024, 1, 3), "pending"), (2, D(2024, 1, 5), "completed"),
+                            (3, D(2023, 12, 1), "pending")]
+    assert _rows(wide) == [(1, D(2024, 1, 3), "completed"), (2, D(2024, 1, 5), "completed"),
+                           (3, D(2023, 12, 1), "pending")]
