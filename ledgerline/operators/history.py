@@ -38,6 +38,20 @@ def scd_id(key: Column, version_ts: Column) -> Column:
                              F.coalesce(version_ts.cast("string"), empty)))
 
 
+_NULL_SALT = "_scd_null_salt"
+NULL_SALTS = 64
+
+
+def _null_salted(df: DataFrame, key: str) -> DataFrame:
+    """Salt 0 for real keys; NULL keys (which never match) get 1..64 from
+    a row hash, so the join shuffle spreads them instead of sending them
+    all to one task."""
+    k = F.col(key)
+    return df.withColumn(_NULL_SALT, F.when(k.isNull(), F.pmod(
+        F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(NULL_SALTS)) + 1)
+        .otherwise(0))
+
+
 def _version_ts(source_alias: str, strategy: str, updated_at: str, run_ts: Column) -> Column:
     if strategy == "timestamp":
         return F.col(f"{source_alias}.{updated_at}").cast("timestamp_ntz")
@@ -71,8 +85,10 @@ def snapshot(source: DataFrame, history: DataFrame | None, key: str, strategy: s
 
     is_open = F.col(VALID_TO).isNull()
     closed = history.where(~is_open)
-    h = history.where(is_open).alias("_h")
-    j = h.join(s, F.col(f"_h.{key}") == F.col(f"_s.{key}"), "full_outer")
+    h = _null_salted(history.where(is_open), key).alias("_h")
+    s = _null_salted(source, key).alias("_s")
+    j = h.join(s, (F.col(f"_h.{key}") == F.col(f"_s.{key}"))
+               & (F.col(f"_h.{_NULL_SALT}") == F.col(f"_s.{_NULL_SALT}")), "full_outer")
     has_h, has_s = F.col(f"_h.{key}").isNotNull(), F.col(f"_s.{key}").isNotNull()
     changed = has_h & has_s & _changed(strategy, updated_at, check_cols)
     v = _version_ts("_s", strategy, updated_at, run)
@@ -98,9 +114,10 @@ def snapshot(source: DataFrame, history: DataFrame | None, key: str, strategy: s
 def change_summary(source: DataFrame, history: DataFrame, key: str, strategy: str,
                    updated_at: str = "updated_at", check_cols: Sequence[str] = ()) -> DataFrame:
     """Counts of new / changed / deleted / unchanged keys a run would see."""
-    h = history.where(F.col(VALID_TO).isNull()).alias("_h")
-    s = source.alias("_s")
-    j = h.join(s, F.col(f"_h.{key}") == F.col(f"_s.{key}"), "full_outer")
+    h = _null_salted(history.where(F.col(VALID_TO).isNull()), key).alias("_h")
+    s = _null_salted(source, key).alias("_s")
+    j = h.join(s, (F.col(f"_h.{key}") == F.col(f"_s.{key}"))
+               & (F.col(f"_h.{_NULL_SALT}") == F.col(f"_s.{_NULL_SALT}")), "full_outer")
     has_h, has_s = F.col(f"_h.{key}").isNotNull(), F.col(f"_s.{key}").isNotNull()
     kind = (F.when(~has_h, "new").when(~has_s, "deleted")
             .when(_changed(strategy, updated_at, check_cols), "changed").otherwise("same"))

@@ -43,6 +43,8 @@ def replace_keys(target: DataFrame, delta: DataFrame, key: str = "order_id") ->
 
 
 _SRC, _IN_T, _NEW, _REPL = "_upsert_src", "_upsert_in_target", "_upsert_delta", "_upsert_replaced"
+_NULL_SALT = "_upsert_null_salt"
+NULL_SALTS = 64
 
 
 def _merged(source: DataFrame, target: DataFrame, key: str, date_col: str,
@@ -61,8 +63,12 @@ def _merged(source: DataFrame, target: DataFrame, key: str, date_col: str,
     cutoff = (cutoff_from if cutoff_from is not None else target).select(latest).scalar()
     u = (target.select(*cols, F.lit(0).alias(_SRC))
          .unionByName(source.select(*cols, F.lit(1).alias(_SRC))))
-    w = Window.partitionBy(key)
     k = F.col(key)
+    # NULL keys never match, so their grouping does not matter: spread
+    # them over many window groups instead of one
+    u = u.withColumn(_NULL_SALT, F.when(k.isNull(), F.pmod(
+        F.xxhash64(*[F.col(f"`{c}`") for c in cols]), F.lit(NULL_SALTS)) + 1).otherwise(0))
+    w = Window.partitionBy(key, _NULL_SALT)
     in_target = F.when(k.isNull(), F.lit(False)).otherwise(
         F.max((F.col(_SRC) == 0).cast("int")).over(w) == 1)
     u = u.withColumn(_IN_T, in_target)
