@@ -113,7 +113,9 @@ def left_join_dimension(fact: DataFrame, dim: DataFrame, key: str,
         return fact.join(F.broadcast(dim), key, "left").select(*fact.columns, *attrs)
     if hot is None:
         hot = hot_keys(fact, key, hot_share)
+    # one row per key (a repeated key would duplicate fact rows below);
     # at most 1 / hot_share rows: safe to broadcast
+    hot = hot.select(key).distinct()
     hot_tag = F.broadcast(hot.where(F.col(key).isNotNull())
                           .select(F.col(key).alias("_skew_k"), F.lit(True).alias(_HOT)))
     k = F.col(key)
