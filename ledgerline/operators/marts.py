@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..functions.dates import as_ts_col, days_between, dow0
 from .ranking import freeze, ntile_scores, with_ntile_single_task
-from .skew import frequent_keys, hot_keys, left_join_dimension
+from .skew import broadcast_row_budget, fits_broadcast, hot_key_values, left_join_dimension
 from .staging import successful_orders
 
 
@@ -50,14 +50,23 @@ def _with_dimensions(orders: DataFrame, products: DataFrame,
                      customers: DataFrame) -> DataFrame:
     """orders LEFT JOIN products LEFT JOIN customers, hot keys split.
 
-    Hot keys of both columns are found in one frequent-items pass over the
-    orders themselves, so the second join does not re-run the first for
-    its detection."""
-    frequent = frequent_keys(orders, ["product_id", "customer_id"])
-    hot_p = hot_keys(orders, "product_id", frequent=frequent)
-    hot_c = hot_keys(orders, "customer_id", frequent=frequent)
-    j = left_join_dimension(orders, products, "product_id", hot=hot_p)
-    return left_join_dimension(j, customers, "customer_id", hot=hot_c)
+    A dimension that fits the broadcast budget is broadcast; otherwise the
+    hot keys of both columns come from one frequent-items pass over the
+    orders (run only when needed), so the second join does not re-run the
+    first for its detection."""
+    hot: dict[str, list] = {}
+
+    def hot_for(key):
+        if not hot:
+            hot.update(hot_key_values(orders, ["product_id", "customer_id"]))
+        return hot[key]
+
+    def join(fact, dim, key):
+        if fits_broadcast(dim, broadcast_row_budget(dim)):
+            return left_join_dimension(fact, dim, key, broadcast_ok=True)
+        return left_join_dimension(fact, dim, key, hot=hot_for(key), broadcast_ok=False)
+
+    return join(join(orders, products, "product_id"), customers, "customer_id")
 
 
 def rfm_metrics(stg_orders: DataFrame, as_of) -> DataFrame:

@@ -8,7 +8,7 @@ the plan around the join.  This join splits hot keys explicitly:
 
 1. keys holding at least ``hot_share`` of the fact rows are found with
    the one-pass frequent-items aggregate (at most ``1 / hot_share``
-   candidates -- a proven bound);
+   candidates -- a proven bound), collected once and used as literals;
 2. fact rows of hot keys (and of the NULL key, which never matches) get a
    salt 1..``buckets`` from a hash of the row, the others salt 0;
 3. dimension rows of hot keys are repeated once per salt, the others keep
@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 HOT_SHARE = 0.01
 BUCKETS = 64
-_SALT, _HOT = "_skew_salt", "_skew_hot"
+_SALT = "_skew_salt"
 
 
 def frequent_keys(fact: DataFrame, keys: list[str], hot_share: float = HOT_SHARE) -> DataFrame:
@@ -50,12 +50,18 @@ def frequent_keys(fact: DataFrame, keys: list[str], hot_share: float = HOT_SHARE
     return fact.stat.freqItems(keys, hot_share)
 
 
-def hot_keys(fact: DataFrame, key: str, hot_share: float = HOT_SHARE,
-             frequent: DataFrame | None = None) -> DataFrame:
-    """Candidate hot keys of one column (at most ``1 / hot_share`` rows)."""
-    items = frequent if frequent is not None else frequent_keys(fact, [key], hot_share)
-    return items.select(F.explode(F.col(f"{key}_freqItems")).alias(key)).where(
-        F.col(key).isNotNull())
+def hot_key_values(fact: DataFrame, keys: list[str],
+                   hot_share: float = HOT_SHARE) -> dict[str, list]:
+    """Candidate hot keys per column, computed once (one job) and returned
+    as short lists: at most ``1 / hot_share`` values per column, so they
+    can be used as literals in the plan instead of re-running the pass."""
+    row = frequent_keys(fact, keys, hot_share).first()
+    return {k: [v for v in row[f"{k}_freqItems"] if v is not None] for k in keys}
+
+
+def hot_keys(fact: DataFrame, key: str, hot_share: float = HOT_SHARE) -> list:
+    """Candidate hot keys of one column (at most ``1 / hot_share`` values)."""
+    return hot_key_values(fact, [key], hot_share)[key]
 
 
 def _row_bytes(df: DataFrame) -> int:
@@ -98,37 +104,32 @@ def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
 
 
 def left_join_dimension(fact: DataFrame, dim: DataFrame, key: str,
-                        hot: DataFrame | None = None, hot_share: float = HOT_SHARE,
-                        buckets: int = BUCKETS) -> DataFrame:
+                        hot: list | None = None, hot_share: float = HOT_SHARE,
+                        buckets: int = BUCKETS, broadcast_ok: bool | None = None) -> DataFrame:
     """``fact LEFT JOIN dim USING (key)`` with hot keys spread over tasks.
 
     ``dim`` holds the key plus the attributes to add (no other column
-    names in common with ``fact``).  ``hot`` may be given (computed from
-    an upstream frame with the same key column, to avoid re-running joins
-    that precede this one).
+    names in common with ``fact``).  ``hot`` may be given (the hot key
+    values, e.g. from one ``hot_key_values`` pass over an upstream frame
+    with the same key column); ``broadcast_ok`` may carry an earlier
+    ``fits_broadcast`` verdict for ``dim``.
     """
     attrs = [c for c in dim.columns if c != key]
-    if fits_broadcast(dim, broadcast_row_budget(dim)):
+    if broadcast_ok is None:
+        broadcast_ok = fits_broadcast(dim, broadcast_row_budget(dim))
+    if broadcast_ok:
         # size checked: a map-side join, which no hot key can unbalance
         return fact.join(F.broadcast(dim), key, "left").select(*fact.columns, *attrs)
     if hot is None:
         hot = hot_keys(fact, key, hot_share)
-    # one row per key (a repeated key would duplicate fact rows below);
-    # at most 1 / hot_share rows: safe to broadcast
-    hot = hot.select(key).distinct()
-    hot_tag = F.broadcast(hot.where(F.col(key).isNotNull())
-                          .select(F.col(key).alias("_skew_k"), F.lit(True).alias(_HOT)))
+    values = sorted(set(hot))  # at most 1 / hot_share literals
     k = F.col(key)
-    tagged = fact.join(hot_tag, k == F.col("_skew_k"), "left").drop("_skew_k")
+    is_hot = k.isin(values) if values else F.lit(False)
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
-    salt = F.when(F.coalesce(F.col(_HOT), F.lit(False)) | k.isNull(),
-                  F.pmod(row_hash, F.lit(buckets)) + 1).otherwise(F.lit(0))
-    f = tagged.withColumn(_SALT, salt.cast("int")).drop(_HOT)
-
-    hot_keys_b = F.broadcast(hot.where(k.isNotNull()))
-    cold_dim = dim.join(hot_keys_b, key, "left_anti").withColumn(_SALT, F.lit(0))
-    hot_dim = (dim.join(hot_keys_b, key, "left_semi")
-               .withColumn(_SALT, F.explode(F.sequence(F.lit(1), F.lit(buckets)))))
+    salt = F.when(is_hot | k.isNull(), F.pmod(row_hash, F.lit(buckets)) + 1).otherwise(F.lit(0))
+    f = fact.withColumn(_SALT, salt.cast("int"))
+    cold_dim = dim.where(~is_hot | k.isNull()).withColumn(_SALT, F.lit(0))
+    hot_dim = dim.where(is_hot).withColumn(_SALT, F.explode(F.sequence(F.lit(1), F.lit(buckets))))
     d = cold_dim.unionByName(hot_dim)
     j = f.join(d, [key, _SALT], "left")
     return j.select(*fact.columns, *attrs)
