@@ -176,6 +176,14 @@ def singular(df: DataFrame, condition: Column, name: str, model: str,
     return df.where(F.coalesce(condition, F.lit(False))).select(*columns)
 
 
+def singular_result(df: DataFrame, condition_sql: str, model: str, column: str) -> DataFrame:
+    """A custom assertion as one result row (failures = violating rows)."""
+    bad = F.coalesce(F.expr(condition_sql), F.lit(False))
+    return df.agg(F.lit("singular").alias("test"), F.lit(model).alias("model"),
+                  F.lit(column).alias("column_name"), F.lit(condition_sql).alias("rule"),
+                  F.count_if(bad).cast("long").alias("failures"))
+
+
 @dataclass
 class Freshness:
     warn_after_hours: float = 24

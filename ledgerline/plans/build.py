@@ -337,6 +337,10 @@ def build(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame
     checks = [c for c in SUITE.SUITE if c.model in models
               and (c.kind != "relationships" or c.to in models)]
     results = Q.run_checks(models, checks, as_of=as_of)
+    # the custom assertion gates the build as well
+    results = results.unionByName(Q.singular_result(
+        models[SUITE.SINGULAR_MODEL], SUITE.SINGULAR_CONDITION, SUITE.SINGULAR_MODEL,
+        "total_amount"))
     verdict = Q.gate(results)
     res = BuildResult(run_id=run_id, published=False,
                       tables={k: v[1] for k, v in paths.items()}, failures=verdict.failures)

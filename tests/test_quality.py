@@ -72,3 +72,9 @@ def test_declared_suite_size():
     assert suite_counts() == {"unique": 8, "not_null": 32, "accepted_values": 8,
                               "relationships": 3, "accepted_range": 4,
                               "expression_is_true": 3}
+
+
+def test_singular_result_row(spark):
+    df = spark.createDataFrame([(1, 5.0), (2, -1.0), (3, None)], "order_id int, total_amount double")
+    r = Q.singular_result(df, "total_amount < 0", "stg_orders", "total_amount").first()
+    assert (r.test, r.model, r.failures) == ("singular", "stg_orders", 1)
