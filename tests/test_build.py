@@ -157,3 +157,11 @@ def test_partitioned_full_rebuild_is_readable_and_current(spark, scratch):
 
 def r1_count(orders):
     return orders.where(F.col("status").isin("completed", "shipped")).count()
+
+
+def test_postflight_reports_missing_and_empty(spark):
+    full = spark.range(3).toDF("x")
+    empty = spark.range(0).toDF("x")
+    rows = {r.table_name: (r.table_exists, r.row_count, r.status) for r in
+            B.postflight({"a": full, "b": empty}, ["a", "b", "c"]).collect()}
+    assert rows == {"a": (True, 3, "ok"), "b": (True, 0, "empty"), "c": (False, None, "missing")}
