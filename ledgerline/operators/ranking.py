@@ -66,16 +66,16 @@ def global_rank(df: DataFrame, order: Sequence[Column], out_col: str = "rank0",
               .withColumn(_POS, F.monotonically_increasing_id()
                           - F.shiftleft(F.col(_PID).cast("long"), 33)))
     placed = freeze(placed)
-    counts = placed.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy(_PID)
-    offsets = counts.select(
-        _PID,
-        (F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"))
-        .alias(_OFF),
-        F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding,
-                                       Window.unboundedFollowing)).alias(_TOT),
-    )
-    # offsets has one row per range partition: a proven size bound
+    # one count per range partition: the only values that come back to the
+    # driver (bounded by the partition count, not by the data)
+    counts = sorted((r[0], r[1]) for r in
+                    placed.groupBy(_PID).agg(F.count(F.lit(1))).collect())
+    total = sum(n for _, n in counts)
+    rows, running = [], 0
+    for pid, n in counts:
+        rows.append((pid, running, total))
+        running += n
+    offsets = spark.createDataFrame(rows, f"{_PID} int, {_OFF} long, {_TOT} long")
     return (placed.join(F.broadcast(offsets), _PID)
             .withColumn(out_col, F.col(_OFF) + F.col(_POS))
             .drop(_PID, _POS, _OFF))
