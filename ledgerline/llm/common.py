@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -61,6 +62,39 @@ def _batch(cols: dict, schema: pa.Schema) -> pa.RecordBatch:
          for f in schema], schema=schema)
 
 
+def quoted(names) -> list[str]:
+    return [f"`{n}`" for n in names]
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it if the frame has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def beside(df: DataFrame, text_col: str, keep: tuple[str, ...], new: list[tuple[str, str]],
+           make: Callable[[], Callable[[pa.Array], list[list]]]) -> DataFrame:
+    """``keep`` columns and new ones that a task's function makes from the text column.
+    Inside, columns go by number, so no name can clash."""
+    src = df.select(F.col(f"`{text_col}`").alias("t"),
+                    *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)])
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in src.schema.fields[1:]]
+                       + [f"n{i} {kind}" for i, (_, kind) in enumerate(new)])
+
+    def start():
+        work = make()
+
+        def run(batch: pa.RecordBatch) -> dict:
+            out = {f"k{i}": batch.column(1 + i) for i in range(len(keep))}
+            return out | {f"n{i}": col for i, col in enumerate(work(batch.column(0)))}
+
+        return run
+
+    return per_batch(src, schema, start).toDF(*keep, *[name for name, _ in new])
+
+
 def tokenizer_file(name: str) -> str:
     """Path of a public vocabulary file; LEDGERLINE_TOKENIZERS overrides the folder."""
     folder = os.environ.get("LEDGERLINE_TOKENIZERS")

@@ -16,11 +16,21 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_table(table(spark, sf_dir, "documents"), ids=False, digests=True)
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import identify
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import rate
+    return rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def all_queries() -> dict[str, QueryFn]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
