@@ -26,6 +26,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import round_trip
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import rate
     return rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -36,4 +41,5 @@ def all_queries() -> dict[str, QueryFn]:
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    from . import oracle
+    return {k: v for k, v in vars(oracle).items() if k in all_queries()}
