@@ -12,3 +12,25 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN response <> page_id THEN response END AS refers_to
 FROM w
 """
+
+op2_url_filter = """
+WITH rules(rule, verdict) AS (
+  VALUES ('org/', 'allow'), ('example.org/es/', 'block'), ('example.org/en/1', 'block'),
+         ('com/fr/', 'allow'), ('com/de/', 'block')),
+r AS (SELECT *, split_part(rule, '/', 1) AS rule_host,
+             substr(rule, length(split_part(rule, '/', 1)) + 1) AS rule_path FROM rules),
+cut AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+  FROM pages),
+parts AS (
+  SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw_host, rest FROM cut),
+p AS (
+  SELECT page_id, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(raw_host) + 1), '^[^?#]*') AS path
+  FROM parts),
+best AS (
+  SELECT p.page_id, p.host, p.path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM p LEFT JOIN r ON (p.host = rule_host OR ends_with(p.host, '.' || rule_host)) AND starts_with(p.path, rule_path)
+  GROUP BY ALL)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best
+"""

@@ -11,6 +11,16 @@ from .common import table
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import judge
+    return judge(table(spark, sf_dir, "pages"))
+
+
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import neighbours
+    return neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pieces import encode_table
     return encode_table(table(spark, sf_dir, "documents"), ids=False, digests=True)
