@@ -41,6 +41,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"))
 
 
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprint import compare
+    return compare(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import rate
     return rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
