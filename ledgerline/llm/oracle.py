@@ -34,3 +34,28 @@ best AS (
   GROUP BY ALL)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best
 """
+
+op1_near_dedup = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM documents),
+sh AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN []
+           WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END)) AS s
+  FROM words),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT x, y FROM common JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y
+  WHERE 100 * c >= 75 * (p.n + q.n - c)),
+reach(x, y) AS (
+  SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(m, d.doc_id)) AS kept
+FROM documents d LEFT JOIN size USING (doc_id)
+LEFT JOIN (SELECT x AS doc_id, min(y) AS m FROM reach GROUP BY 1) USING (doc_id)
+"""

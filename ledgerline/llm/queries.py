@@ -11,6 +11,11 @@ from .common import table
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dedup import group
+    return group(table(spark, sf_dir, "documents"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import judge
     return judge(table(spark, sf_dir, "pages"))
