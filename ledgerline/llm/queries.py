@@ -56,6 +56,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import report
+    return report(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, QueryFn]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
