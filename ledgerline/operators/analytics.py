@@ -34,13 +34,16 @@ def _trend_window() -> Window:
 def daily_aggregates(fct: DataFrame) -> DataFrame:
     """The nine-key daily grain with all plain aggregates.
 
-    Partial aggregation runs before the shuffle; the output is bounded by
-    days x countries x categories x price segments, not by order volume.
+    Two stages, each with partial aggregation before its shuffle: first by
+    the nine keys and the customer, then by the nine keys, where a customer
+    is one row.  So the distinct customers are counted without expanding
+    the fact; an order is one fact row (its key is unique, which the
+    quality gate checks), so orders are counted as rows.
     """
     per_item = R.safe_ratio(F.col("net_revenue"), F.col("quantity")).cast("decimal(28,10)")
-    g = fct.groupBy(*SUMMARY_KEYS).agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
+    flagged = lambda flag, value: F.sum(F.when(F.col(flag), value).otherwise(0))
+    by_customer = fct.groupBy(*SUMMARY_KEYS, "customer_id").agg(
+        F.count("order_id").alias("total_orders"),
         F.sum("quantity").alias("total_items_sold"),
         F.sum("total_amount").alias("gross_revenue"),
         F.sum("net_revenue").alias("net_revenue"),
@@ -48,14 +51,16 @@ def daily_aggregates(fct: DataFrame) -> DataFrame:
         F.count("total_amount").alias("_n_total"),
         F.sum(per_item).alias("_sum_per_item"),
         F.count(per_item).alias("_n_per_item"),
-        F.sum(F.when(F.col("is_high_value"), 1).otherwise(0)).alias("high_value_orders"),
-        F.sum(F.when(F.col("is_bulk_order"), 1).otherwise(0)).alias("bulk_orders"),
-        F.sum(F.when(F.col("is_vip_customer"), 1).otherwise(0)).alias("vip_orders"),
-        F.sum(F.when(F.col("is_high_value"), F.col("net_revenue")).otherwise(0))
-        .alias("_hv_net"),
-        F.sum(F.when(F.col("is_weekend"), F.col("net_revenue")).otherwise(0))
-        .alias("_we_net"),
+        flagged("is_high_value", F.lit(1)).alias("high_value_orders"),
+        flagged("is_bulk_order", F.lit(1)).alias("bulk_orders"),
+        flagged("is_vip_customer", F.lit(1)).alias("vip_orders"),
+        flagged("is_high_value", F.col("net_revenue")).alias("_hv_net"),
+        flagged("is_weekend", F.col("net_revenue")).alias("_we_net"),
     )
+    totals = [c for c in by_customer.columns if c not in (*SUMMARY_KEYS, "customer_id")]
+    g = by_customer.groupBy(*SUMMARY_KEYS).agg(
+        F.count("customer_id").alias("unique_customers"),
+        *[F.sum(c).alias(c) for c in totals])
     return g.select(
         *SUMMARY_KEYS, "total_orders", "unique_customers", "total_items_sold",
         "gross_revenue", "net_revenue", "estimated_margin",
@@ -111,6 +116,8 @@ def customer_cohorts(stg_customers: DataFrame, stg_orders: DataFrame,
     """Active customers, revenue and retention per (cohort month, order month).
 
     Orders are first reduced to one row per (customer, order month), so
+    active customers are counted as rows (a customer is one row of the
+    dimension, which the quality gate checks) and
     the customer join sees at most one row per active month of a customer;
     the cohort sizes (one row per month) are joined only after the final
     aggregation, which is equivalent because the size is constant per
@@ -125,7 +132,7 @@ def customer_cohorts(stg_customers: DataFrame, stg_orders: DataFrame,
                                 month_start(F.col("registration_date")).alias("cohort_month"))
     act = (cust.join(monthly, "customer_id")
            .groupBy("cohort_month", "order_month")
-           .agg(F.count_distinct("customer_id").alias("active_customers"),
+           .agg(F.count("customer_id").alias("active_customers"),
                 F.sum("net").alias("total_revenue")))
     # one row per registration month: bounded by the calendar
     sizes = F.broadcast(cohort_size(stg_customers))

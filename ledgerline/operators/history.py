@@ -9,7 +9,9 @@ NULL), by key, in one full outer join:
   version's ``dbt_updated_at``, new open version added;
 * unchanged                         -> nothing;
 * open version without a source row -> closed at the run time (hard
-  delete), when ``invalidate_hard_deletes``.
+  delete), when ``invalidate_hard_deletes``;
+* NULL key (matches nothing, as in SQL) -> its open version is closed and
+  the source row is inserted as new.
 
 Changed means ``valid_from < source.updated_at`` (timestamp strategy) or
 any check column differing, NULL-aware (check strategy).  Closed history
@@ -38,18 +40,25 @@ def scd_id(key: Column, version_ts: Column) -> Column:
                              F.coalesce(version_ts.cast("string"), empty)))
 
 
-_NULL_SALT = "_scd_null_salt"
-NULL_SALTS = 64
+_SALT, _HERE = "_scd_salt", "_scd_here"
 
 
-def _null_salted(df: DataFrame, key: str) -> DataFrame:
-    """Salt 0 for real keys; NULL keys (which never match) get 1..64 from
-    a row hash, so the join shuffle spreads them instead of sending them
-    all to one task."""
-    k = F.col(key)
-    return df.withColumn(_NULL_SALT, F.when(k.isNull(), F.pmod(
-        F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(NULL_SALTS)) + 1)
-        .otherwise(0))
+def _tagged(df: DataFrame, key: str) -> DataFrame:
+    """Adds a presence mark (a row with a NULL key is present as well) and
+    a salt: NULL keys never match, so a row hash spreads them over as many
+    join groups as there are shuffle partitions."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(n))
+    return df.withColumn(_SALT, F.when(F.col(key).isNull(), rows).otherwise(0)).withColumn(
+        _HERE, F.lit(True))
+
+
+def _joined(history_open: DataFrame, source: DataFrame, key: str):
+    """Full outer join by key; (rows, open version present, source row present)."""
+    h, s = _tagged(history_open, key).alias("_h"), _tagged(source, key).alias("_s")
+    j = h.join(s, (F.col(f"_h.{key}") == F.col(f"_s.{key}"))
+               & (F.col(f"_h.{_SALT}") == F.col(f"_s.{_SALT}")), "full_outer")
+    return j, F.col(f"_h.{_HERE}").isNotNull(), F.col(f"_s.{_HERE}").isNotNull()
 
 
 def _version_ts(source_alias: str, strategy: str, updated_at: str, run_ts: Column) -> Column:
@@ -85,11 +94,7 @@ def snapshot(source: DataFrame, history: DataFrame | None, key: str, strategy: s
 
     is_open = F.col(VALID_TO).isNull()
     closed = history.where(~is_open)
-    h = _null_salted(history.where(is_open), key).alias("_h")
-    s = _null_salted(source, key).alias("_s")
-    j = h.join(s, (F.col(f"_h.{key}") == F.col(f"_s.{key}"))
-               & (F.col(f"_h.{_NULL_SALT}") == F.col(f"_s.{_NULL_SALT}")), "full_outer")
-    has_h, has_s = F.col(f"_h.{key}").isNotNull(), F.col(f"_s.{key}").isNotNull()
+    j, has_h, has_s = _joined(history.where(is_open), source, key)
     changed = has_h & has_s & _changed(strategy, updated_at, check_cols)
     v = _version_ts("_s", strategy, updated_at, run)
 
@@ -114,11 +119,7 @@ def snapshot(source: DataFrame, history: DataFrame | None, key: str, strategy: s
 def change_summary(source: DataFrame, history: DataFrame, key: str, strategy: str,
                    updated_at: str = "updated_at", check_cols: Sequence[str] = ()) -> DataFrame:
     """Counts of new / changed / deleted / unchanged keys a run would see."""
-    h = _null_salted(history.where(F.col(VALID_TO).isNull()), key).alias("_h")
-    s = _null_salted(source, key).alias("_s")
-    j = h.join(s, (F.col(f"_h.{key}") == F.col(f"_s.{key}"))
-               & (F.col(f"_h.{_NULL_SALT}") == F.col(f"_s.{_NULL_SALT}")), "full_outer")
-    has_h, has_s = F.col(f"_h.{key}").isNotNull(), F.col(f"_s.{key}").isNotNull()
+    j, has_h, has_s = _joined(history.where(F.col(VALID_TO).isNull()), source, key)
     kind = (F.when(~has_h, "new").when(~has_s, "deleted")
             .when(_changed(strategy, updated_at, check_cols), "changed").otherwise("same"))
     return j.groupBy(kind.alias("change")).agg(F.count(F.lit(1)).alias("keys"))

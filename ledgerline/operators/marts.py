@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..functions.dates import as_ts_col, days_between, dow0
 from .ranking import freeze, ntile_scores, with_ntile_single_task
-from .skew import broadcast_row_budget, fits_broadcast, hot_key_values, left_join_dimension
+from .skew import hot_buckets, left_join_dimension
 from .staging import successful_orders
 
 
@@ -50,46 +50,41 @@ def _with_dimensions(orders: DataFrame, products: DataFrame,
                      customers: DataFrame) -> DataFrame:
     """orders LEFT JOIN products LEFT JOIN customers, hot keys split.
 
-    A dimension that fits the broadcast budget is broadcast; otherwise the
-    hot keys of both columns come from one frequent-items pass over the
-    orders (run only when needed), so the second join does not re-run the
-    first for its detection."""
-    hot: dict[str, list] = {}
-
-    def hot_for(key):
-        if not hot:
-            hot.update(hot_key_values(orders, ["product_id", "customer_id"]))
-        return hot[key]
-
-    def join(fact, dim, key):
-        if fits_broadcast(dim, broadcast_row_budget(dim)):
-            return left_join_dimension(fact, dim, key, broadcast_ok=True)
-        return left_join_dimension(fact, dim, key, hot=hot_for(key), broadcast_ok=False)
-
-    return join(join(orders, products, "product_id"), customers, "customer_id")
+    The hot keys of both columns come from one detection over the orders."""
+    hot = hot_buckets(orders, ["product_id", "customer_id"])
+    j = left_join_dimension(orders, products, "product_id", hot["product_id"])
+    return left_join_dimension(j, customers, "customer_id", hot["customer_id"])
 
 
 def rfm_metrics(stg_orders: DataFrame, as_of) -> DataFrame:
     """Per-customer recency / frequency / monetary over successful orders.
 
-    One shuffle by customer_id; partial aggregation runs map-side so a
-    customer holding a third of all orders ships one row per map task.
-    The two exact distinct counts are expanded by Catalyst.
+    Two stages, each with partial aggregation before its shuffle: by
+    customer and order month, then by customer, where a month is one row.
+    A customer holding a third of all orders ships one row per month and
+    map task.  An order is one row (its key is unique, which the quality
+    gate checks), so orders are counted as rows.
     """
+    d = F.col("order_date")
     o = successful_orders(stg_orders).select(
         "customer_id", "order_id", "order_date", "quantity",
+        (F.year(d) * 100 + F.month(d)).alias("_month"),
         (F.col("total_amount") - F.col("estimated_discount")).alias("net_amount"))
-    d = F.col("order_date")
-    agg = o.groupBy("customer_id").agg(
+    monthly = o.groupBy("customer_id", "_month").agg(
         F.max(d).alias("last_order_date"),
-        F.count_distinct("order_id").alias("frequency"),
+        F.count("order_id").alias("frequency"),
         F.sum("net_amount").alias("monetary"),
         F.count("net_amount").alias("_n_net"),
         F.min(d).alias("first_order_date"),
-        F.count_distinct(F.year(d) * 100 + F.month(d)).alias("active_months"),
         F.sum(R.is_weekend(dow0(d)).cast("int")).alias("weekend_orders"),
         F.sum("quantity").alias("total_items_bought"),
     )
+    agg = monthly.groupBy("customer_id").agg(
+        F.max("last_order_date").alias("last_order_date"),
+        F.min("first_order_date").alias("first_order_date"),
+        F.count("_month").alias("active_months"),
+        *[F.sum(c).alias(c) for c in ("frequency", "monetary", "_n_net", "weekend_orders",
+                                      "total_items_bought")])
     return agg.select(
         "customer_id", "last_order_date", "frequency", "monetary",
         R.safe_ratio(F.col("monetary"), F.col("_n_net")).alias("avg_order_value"),

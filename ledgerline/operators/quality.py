@@ -94,8 +94,7 @@ def violation(check: Check, as_of: _dt.date | None = None) -> Column:
     raise ValueError(f"not a row-level check: {check.kind}")
 
 
-ROW_LEVEL = {"not_null", "accepted_values", "accepted_range", "expression_is_true",
-             "max_length"}
+ROW_LEVEL = {"not_null", "accepted_range", "expression_is_true", "max_length"}
 
 
 def _result_row(check: Check, failures: Column) -> list[Column]:
@@ -105,15 +104,8 @@ def _result_row(check: Check, failures: Column) -> list[Column]:
 
 
 def failure_count(check: Check, as_of=None) -> Column:
-    """Aggregate giving the check's failure count.
-
-    Like the violation queries it mirrors: accepted_values reports one
-    failure per distinct invalid value, the other row checks one per row.
-    """
-    bad = violation(check, as_of)
-    if check.kind == "accepted_values":
-        return F.count_distinct(F.when(bad, F.col(check.column)))
-    return F.count_if(bad)
+    """Aggregate giving a row-level check's failure count: one per row."""
+    return F.count_if(violation(check, as_of))
 
 
 def row_level_results(df: DataFrame, checks: list[Check], as_of=None) -> DataFrame:
@@ -132,6 +124,13 @@ def unique_result(df: DataFrame, check: Check) -> DataFrame:
     return dups.agg(*_result_row(check, F.count(F.lit(1))))
 
 
+def accepted_values_result(df: DataFrame, check: Check, as_of=None) -> DataFrame:
+    """One failure per distinct invalid value: a grouped count of the
+    column's values, of which there are few after partial aggregation."""
+    values = df.where(violation(check, as_of)).groupBy(check.column).agg(F.count(F.lit(1)).alias("_n"))
+    return values.agg(*_result_row(check, F.count(F.col(check.column))))
+
+
 def relationships_result(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
     """Child rows whose non-NULL key has no parent row.
 
@@ -156,6 +155,8 @@ def run_checks(models: dict[str, DataFrame], checks: list[Check], as_of=None,
             by_model.setdefault(ch.model, []).append(ch)
         elif ch.kind == "unique":
             parts.append(unique_result(models[ch.model], ch))
+        elif ch.kind == "accepted_values":
+            parts.append(accepted_values_result(models[ch.model], ch, as_of))
         elif ch.kind == "relationships":
             parts.append(relationships_result(models[ch.model], models[ch.to], ch))
         else:

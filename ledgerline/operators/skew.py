@@ -6,130 +6,79 @@ join sends all of its rows to one task; AQE can split such a partition
 only when both join inputs are fresh shuffle stages, which depends on
 the plan around the join.  This join splits hot keys explicitly:
 
-1. keys holding at least ``hot_share`` of the fact rows are found with
-   the one-pass frequent-items aggregate (at most ``1 / hot_share``
-   candidates -- a proven bound), collected once and used as literals;
-2. fact rows of hot keys (and of the NULL key, which never matches) get a
-   salt 1..``buckets`` from a hash of the row, the others salt 0;
-3. dimension rows of hot keys are repeated once per salt, the others keep
-   salt 0;
-4. one shuffle join on (key, salt): a hot key is spread over ``buckets``
-   tasks, and no dimension data is broadcast.
-
-A dimension whose row count is checked to fit the session's broadcast
-threshold is simply broadcast instead (a map-side join has no hot-key
-problem and does not shuffle the fact).
+1. candidates for keys with at least ``hot_share`` of the fact rows come
+   from the one-pass frequent-items aggregate (at most ``1 / hot_share``
+   a column, a proven bound); a second pass counts them;
+2. a key that holds more rows than a shuffle partition's share is dealt
+   over ``ceil(share * shuffle partitions)`` buckets by a hash of the row;
+   the NULL key, which never matches, over all shuffle partitions;
+3. dimension rows of hot keys are repeated once a bucket;
+4. one join on (key, bucket).  Whether its dimension is broadcast is left
+   to Spark's statistics and AQE; there is one plan whatever the size.
 
 The result is exactly ``fact LEFT JOIN dim USING (key)``.
 """
 
 from __future__ import annotations
 
-import re
+import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 HOT_SHARE = 0.01
-BUCKETS = 64
 _SALT = "_skew_salt"
 
 
-def frequent_keys(fact: DataFrame, keys: list[str], hot_share: float = HOT_SHARE) -> DataFrame:
-    """One row with, per key column, the candidate keys holding at least
-    ``hot_share`` of the rows (column ``<key>_freqItems``).
-
-    One pass with Spark's frequent-items aggregate for all key columns
-    together: each task keeps at most ``1 / hot_share`` counters per
-    column and only those summaries are merged, so no key column is
-    shuffled.  The candidates are a superset of the truly hot keys; a
-    false positive only means a few extra dimension rows are repeated,
-    never a wrong result.
-    """
-    return fact.stat.freqItems(keys, hot_share)
-
-
-def hot_key_values(fact: DataFrame, keys: list[str],
-                   hot_share: float = HOT_SHARE) -> dict[str, list]:
-    """Candidate hot keys per column, computed once (one job) and returned
-    as short lists: at most ``1 / hot_share`` values per column, so they
-    can be used as literals in the plan instead of re-running the pass."""
-    row = frequent_keys(fact, keys, hot_share).first()
-    return {k: [v for v in row[f"{k}_freqItems"] if v is not None] for k in keys}
-
-
-def hot_keys(fact: DataFrame, key: str, hot_share: float = HOT_SHARE) -> list:
-    """Candidate hot keys of one column (at most ``1 / hot_share`` values)."""
-    return hot_key_values(fact, [key], hot_share)[key]
-
-
-def _row_bytes(df: DataFrame) -> int:
-    """Rough in-memory width of a row of ``df`` (for the broadcast budget)."""
-    width = 16
-    for f in df.schema.fields:
-        t = f.dataType
-        if isinstance(t, T.StringType):
-            width += 40
-        elif isinstance(t, T.DecimalType):
-            width += 16
-        else:
-            width += 8
-    return width
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30}
+def hot_buckets(fact: DataFrame, keys: list[str], hot_share: float = HOT_SHARE) -> dict[str, dict]:
+    """Per key column {key value: bucket count} of the keys that hold more
+    than one shuffle partition's share of the rows.
 
-
-def _bytes(text: str) -> int:
-    """A size setting such as '10485760b', '10MB' or '-1' in bytes."""
-    m = re.fullmatch(r"\s*(-?\d+)\s*([a-z]*)\s*", str(text).lower())
-    return int(m.group(1)) * _UNITS.get(m.group(2), 1)
-
-
-def broadcast_row_budget(df: DataFrame) -> int:
-    """Rows of ``df`` that fit the session's broadcast threshold (0 when
-    broadcasting is switched off)."""
-    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
-    return max(limit, 0) // _row_bytes(df)
-
-
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  The check reads at
-    most ``max_rows + 1`` rows, so a large table stops it early."""
-    if max_rows <= 0:
-        return False
-    return df.limit(max_rows + 1).count() <= max_rows
+    Two jobs over the key columns: the frequent-items aggregate (bounded
+    counters per task, no shuffle of keys), then one count of at most
+    ``1 / hot_share`` candidates a column.
+    """
+    found = fact.select(*keys).stat.freqItems(keys, hot_share).first()
+    candidates = [(k, v) for k in keys for v in found[f"{k}_freqItems"] if v is not None]
+    if not candidates:
+        return {k: {} for k in keys}
+    counts = fact.agg(F.count(F.lit(1)), *[F.count_if(F.col(k) == F.lit(v)) for k, v in candidates]).first()
+    out: dict[str, dict] = {k: {} for k in keys}
+    for (k, v), n in zip(candidates, counts[1:]):
+        buckets = math.ceil(n / counts[0] * _partitions(fact))
+        if buckets > 1 and n >= hot_share * counts[0]:
+            out[k][v] = buckets
+    return out
 
 
 def left_join_dimension(fact: DataFrame, dim: DataFrame, key: str,
-                        hot: list | None = None, hot_share: float = HOT_SHARE,
-                        buckets: int = BUCKETS, broadcast_ok: bool | None = None) -> DataFrame:
+                        hot: dict | None = None, hot_share: float = HOT_SHARE) -> DataFrame:
     """``fact LEFT JOIN dim USING (key)`` with hot keys spread over tasks.
 
     ``dim`` holds the key plus the attributes to add (no other column
-    names in common with ``fact``).  ``hot`` may be given (the hot key
-    values, e.g. from one ``hot_key_values`` pass over an upstream frame
-    with the same key column); ``broadcast_ok`` may carry an earlier
-    ``fits_broadcast`` verdict for ``dim``.
+    names in common with ``fact``).  ``hot`` may carry the result of an
+    earlier ``hot_buckets`` pass for this column.
     """
     attrs = [c for c in dim.columns if c != key]
-    if broadcast_ok is None:
-        broadcast_ok = fits_broadcast(dim, broadcast_row_budget(dim))
-    if broadcast_ok:
-        # size checked: a map-side join, which no hot key can unbalance
-        return fact.join(F.broadcast(dim), key, "left").select(*fact.columns, *attrs)
     if hot is None:
-        hot = hot_keys(fact, key, hot_share)
-    values = sorted(set(hot))  # at most 1 / hot_share literals
+        hot = hot_buckets(fact, [key], hot_share)[key]
     k = F.col(key)
-    is_hot = k.isin(values) if values else F.lit(False)
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
-    salt = F.when(is_hot | k.isNull(), F.pmod(row_hash, F.lit(buckets)) + 1).otherwise(F.lit(0))
+
+    def by_key(value) -> Column:  # at most 1 / hot_share branches
+        out = F.lit(0)
+        for v, n in sorted(hot.items()):
+            out = F.when(k == F.lit(v), value(n)).otherwise(out)
+        return out
+
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
+    salt = F.when(k.isNull(), F.pmod(row, F.lit(_partitions(fact)))).otherwise(
+        by_key(lambda n: F.pmod(row, F.lit(n))))
     f = fact.withColumn(_SALT, salt.cast("int"))
-    cold_dim = dim.where(~is_hot | k.isNull()).withColumn(_SALT, F.lit(0))
-    hot_dim = dim.where(is_hot).withColumn(_SALT, F.explode(F.sequence(F.lit(1), F.lit(buckets))))
-    d = cold_dim.unionByName(hot_dim)
-    j = f.join(d, [key, _SALT], "left")
-    return j.select(*fact.columns, *attrs)
+    last = by_key(lambda n: F.lit(n - 1))
+    d = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), last))) if hot else dim.withColumn(
+        _SALT, F.lit(0))
+    return f.join(d, [key, _SALT], "left").select(*fact.columns, *attrs)

@@ -5,18 +5,19 @@ whose key is not in the target, or whose date is on/after the target's
 latest date (the last loaded day is re-read).  Target rows whose key is
 in the delta are replaced by the delta rows.
 
-Plan shape (``incremental_load``): one scalar subquery for the cut-off
-date (a single-row aggregate over the target's date column) and one
-shuffle of target + source rows by key, where a window per key decides
-which rows stay.  ``select_delta`` / ``replace_keys`` keep the literal
-two-step form (existence join, then anti-join + union) for reference.
+Plan shape (``incremental_load``): the delta is chosen on the source as it
+is, before any enrichment: rows on/after the cut-off (one scalar subquery)
+by a filter that reaches the scan, and of the older rows only the key
+column meets the target's keys.  Dimension joins then run for the delta.
+``select_delta`` keeps the literal NOT EXISTS form for reference.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: cut-off used when the target is empty.
@@ -42,84 +43,66 @@ def replace_keys(target: DataFrame, delta: DataFrame, key: str = "order_id") ->
     return kept.unionByName(delta.select(target.columns))
 
 
-_SRC, _IN_T, _NEW, _REPL = "_upsert_src", "_upsert_in_target", "_upsert_delta", "_upsert_replaced"
-_NULL_SALT = "_upsert_null_salt"
-NULL_SALTS = 64
-
+def cutoff(target: DataFrame, date_col: str, lookback_days: int = 0, part_col: str | None = None):
+    """Latest loaded date as a scalar subquery; with a partition column
+    (which must follow the date) only its newest partition is read."""
+    if part_col is not None:
+        target = target.where(F.col(part_col) == target.select(F.max(part_col)).scalar())
+    latest = F.coalesce(F.max(date_col), F.lit(EMPTY_TARGET_DATE))
+    return target.select(F.date_sub(latest, lookback_days) if lookback_days else latest).scalar()
 
-def _merged(source: DataFrame, target: DataFrame, key: str, date_col: str,
-            cutoff_from: DataFrame | None = None, lookback_days: int = 0) -> DataFrame:
-    """Target and source rows in one frame, flagged per key.
 
-    One shuffle by key (a window with no ordering) replaces the existence
-    join, the anti-join and the second evaluation of the source that the
-    two-step form needs.  Exact with duplicate keys; NULL keys never match
-    (as in SQL).
-    """
-    cols = target.columns
-    latest = F.coalesce(F.max(date_col), F.lit(EMPTY_TARGET_DATE))
-    if lookback_days:
-        latest = F.date_sub(latest, lookback_days)
-    cutoff = (cutoff_from if cutoff_from is not None else target).select(latest).scalar()
-    u = (target.select(*cols, F.lit(0).alias(_SRC))
-         .unionByName(source.select(*cols, F.lit(1).alias(_SRC))))
-    k = F.col(key)
-    # NULL keys never match, so their grouping does not matter: spread
-    # them over many window groups instead of one
-    u = u.withColumn(_NULL_SALT, F.when(k.isNull(), F.pmod(
-        F.xxhash64(*[F.col(f"`{c}`") for c in cols]), F.lit(NULL_SALTS)) + 1).otherwise(0))
-    w = Window.partitionBy(key, _NULL_SALT)
-    in_target = F.when(k.isNull(), F.lit(False)).otherwise(
-        F.max((F.col(_SRC) == 0).cast("int")).over(w) == 1)
-    u = u.withColumn(_IN_T, in_target)
-    is_new = (F.col(_SRC) == 1) & (~F.col(_IN_T) | F.coalesce(F.col(date_col) >= cutoff,
-                                                             F.lit(False)))
-    u = u.withColumn(_NEW, is_new)
-    replaced = F.when(k.isNull(), F.lit(False)).otherwise(
-        F.max(F.col(_NEW).cast("int")).over(w) == 1)
-    return u.withColumn(_REPL, replaced)
+def changed_rows(source: DataFrame, target: DataFrame, key: str, date_col: str,
+                 lookback_days: int = 0, part_col: str | None = None) -> DataFrame:
+    """The delta: recent source rows, and older ones whose key the target
+    lacks.  NULL keys never match (as in SQL), so they are always part."""
+    recent = F.coalesce(F.col(date_col) >= cutoff(target, date_col, lookback_days, part_col), F.lit(False))
+    older = source.where(~recent)
+    missing = (older.select(key).where(F.col(key).isNotNull()).distinct()
+               .join(target.select(key), key, "left_anti"))
+    return (source.where(F.col(date_col) >= cutoff(target, date_col, lookback_days, part_col))
+            .unionByName(older.join(missing, key, "left_semi").select(*source.columns))
+            .unionByName(older.where(F.col(key).isNull())))
 
 
 def incremental_load(source: DataFrame, target: DataFrame | None, key: str = "order_id",
-                     date_col: str = "order_date",
-                     lookback_days: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Return (delta, new_target) for one run (both lazy, same plan).
-
-    ``lookback_days`` > 0 re-reads that many days before the latest loaded
-    date as well, so late changes to recent orders are picked up (0 is the
-    reference rule: only the last loaded day)."""
+                     date_col: str = "order_date", lookback_days: int = 0,
+                     enrich: Callable[[DataFrame], DataFrame] | None = None
+                     ) -> tuple[DataFrame, DataFrame]:
+    """Return (delta, new_target) for one run (both lazy).
+
+    ``enrich`` turns chosen source rows into target rows (dimension
+    joins); it must keep the key.  ``lookback_days`` > 0 re-reads that many
+    days before the latest loaded date as well, so late changes to recent
+    orders are picked up (0 is the reference rule: the last loaded day)."""
+    enrich = enrich or (lambda rows: rows)
     if target is None:
-        return source, source
-    m = _merged(source, target, key, date_col, lookback_days=lookback_days)
-    cols = target.columns
-    delta = m.where(F.col(_NEW)).select(*cols)
-    new_target = m.where(((F.col(_SRC) == 0) & ~F.col(_REPL)) | F.col(_NEW)).select(*cols)
-    return delta, new_target
+        return (rows := enrich(source)), rows
+    chosen = changed_rows(source, target, key, date_col, lookback_days)
+    delta = enrich(chosen).select(target.columns)
+    kept = target.join(chosen.select(key), key, "left_anti").select(target.columns)
+    return delta, kept.unionByName(delta)
 
 
 CHANGE_ROLE = "_change_role"
 
 
 def partition_changes(source: DataFrame, target: DataFrame, key: str, date_col: str,
-                      part_col: str) -> DataFrame:
+                      part_col: str, enrich: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """All changes of a partition-level upsert in one frame: delta rows
     (``_change_role`` = 'delta', full columns) and replaced target keys
     ('replaced', key and partition column only).
 
-    Only the target's key and partition columns are read (a two-column
-    scan), so the cost is the key check, not a rewrite of the target;
-    writing this one frame runs the keyed shuffle once.
+    Of the target only key and partition column are read, and the dates
+    of its newest partition; of the older source only the key.
     """
     cols = target.columns
-    rest = [c for c in cols if c not in (key, part_col)]
     types = dict(target.dtypes)
-    tk = target.select(key, part_col, *[F.lit(None).cast(types[c]).alias(c) for c in rest])
-    m = _merged(source.select(*cols), tk.select(*cols), key, date_col,
-                cutoff_from=target.select(date_col))
-    role = (F.when(F.col(_NEW), F.lit("delta"))
-            .when((F.col(_SRC) == 0) & F.col(_REPL), F.lit("replaced")))
-    return m.withColumn(CHANGE_ROLE, role).where(F.col(CHANGE_ROLE).isNotNull()) \
-        .select(*cols, CHANGE_ROLE)
+    chosen = changed_rows(source, target, key, date_col, part_col=part_col)
+    replaced = target.select(key, part_col).join(chosen.select(key), key, "left_semi").select(
+        *[F.col(c) if c in (key, part_col) else F.lit(None).cast(types[c]).alias(c) for c in cols])
+    return (enrich(chosen).select(*cols, F.lit("delta").alias(CHANGE_ROLE))
+            .unionByName(replaced.withColumn(CHANGE_ROLE, F.lit("replaced"))))
 
 
 def split_changes(changes: DataFrame, key: str, part_col: str) -> tuple[DataFrame, DataFrame]:
@@ -130,13 +113,6 @@ def split_changes(changes: DataFrame, key: str, part_col: str) -> tuple[DataFram
     return delta, replaced
 
 
-def partition_upsert(source: DataFrame, target: DataFrame, key: str, date_col: str,
-                     part_col: str) -> tuple[DataFrame, DataFrame]:
-    """(delta rows, replaced target keys) for a partition-level upsert."""
-    return split_changes(partition_changes(source, target, key, date_col, part_col),
-                         key, part_col)
-
-
 def touched_partitions(delta: DataFrame, replaced: DataFrame, part_col: str) -> DataFrame:
     """Partition values a run changes: one row per value (for month
     partitions, bounded by the calendar)."""

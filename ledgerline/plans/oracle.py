@@ -38,7 +38,7 @@ def with_ctes(*names: str) -> str:
 
 # --------------------------------------------------------------- raw binding
 cte("raw_customers", [], """
-SELECT CAST(c_custkey AS INTEGER) AS customer_id,
+SELECT CAST(c_custkey AS BIGINT) AS customer_id,
        c_mktsegment AS first_name,
        c_name AS last_name,
        lower(c_mktsegment) || '.' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email,
@@ -53,7 +53,7 @@ SELECT CAST(c_custkey AS INTEGER) AS customer_id,
 FROM customer""")
 
 cte("raw_products", [], """
-SELECT CAST(p_partkey AS INTEGER) AS product_id,
+SELECT CAST(p_partkey AS BIGINT) AS product_id,
        p_name AS product_name,
        CASE p_type WHEN 'STANDARD' THEN 'Electronics' WHEN 'ECONOMY' THEN 'Electronics'
             WHEN 'MEDIUM' THEN 'Clothing' WHEN 'PROMO' THEN 'Books' WHEN 'SMALL' THEN 'Home'
@@ -64,9 +64,9 @@ SELECT CAST(p_partkey AS INTEGER) AS product_id,
 FROM (SELECT *, CAST(round(p_retailprice * 100) AS BIGINT) AS pc FROM part) p""")
 
 cte("raw_orders", [], """
-SELECT CAST(o.o_orderkey AS INTEGER) AS order_id,
-       CAST(o.o_custkey AS INTEGER) AS customer_id,
-       CAST(fl.l_partkey AS INTEGER) AS product_id,
+SELECT CAST(o.o_orderkey AS BIGINT) AS order_id,
+       CAST(o.o_custkey AS BIGINT) AS customer_id,
+       CAST(fl.l_partkey AS BIGINT) AS product_id,
        CAST(coalesce(fl.l_linenumber, 0) AS INTEGER) AS quantity,
        CAST(o.o_orderdate AS DATE) + 10000 AS order_date,
        CASE o.o_orderstatus WHEN 'F' THEN 'completed'

@@ -31,8 +31,9 @@ def _two_loads(spark, sf_dir):
     r1, r2 = TB.LOAD_RUNS
     first = _order_rows(i, TB.orders_first_load(i.raw.orders), r1)
     _, target1 = U.incremental_load(first, None)
-    second = _order_rows(i, TB.orders_second_load(i.raw.orders), r2)
-    delta, target2 = U.incremental_load(second, target1)
+    delta, target2 = U.incremental_load(
+        S.stg_orders(TB.orders_second_load(i.raw.orders)), target1,
+        enrich=lambda o: M.fct_orders_rows(o, i.stg_products, i.stg_customers, r2))
     return delta, target2
 
 

@@ -24,9 +24,6 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Partition overwrite only touches the partitions a write produces
-    # (used when facts are published partitioned by month).
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

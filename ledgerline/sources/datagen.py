@@ -77,15 +77,17 @@ def weighted_choice(id_col: Column, salt: str, values: list, weights: list[float
     return expr.otherwise(F.lit(values[-1]))
 
 
-def poisson(id_col: Column, salt: str, mean: float, kmax: int = 20) -> Column:
-    """Inverse-CDF Poisson draw (CDF terms computed from the mean)."""
+def poisson(id_col: Column, salt: str, mean: float) -> Column:
+    """Inverse-CDF Poisson draw.  The terms run until the largest 53-bit
+    uniform number cannot exceed the CDF (or another term adds nothing)."""
     u = uniform(id_col, salt)
-    expr, cdf, p = None, 0.0, math.exp(-mean)
-    for k in range(kmax):
+    expr, cdf, p, k = None, 0.0, math.exp(-mean), 0
+    while cdf <= 1.0 - 2.0 ** -53 and (k <= mean or cdf + p > cdf):
         cdf += p
         expr = F.when(u < cdf, F.lit(k)) if expr is None else expr.when(u < cdf, F.lit(k))
-        p *= mean / (k + 1)
-    return expr.otherwise(F.lit(kmax))
+        k += 1
+        p *= mean / k
+    return expr.otherwise(F.lit(k))
 
 
 def customers(ids: DataFrame, as_of: _dt.date) -> DataFrame:
@@ -96,7 +98,7 @@ def customers(ids: DataFrame, as_of: _dt.date) -> DataFrame:
                    F.lit(float(REGISTRATION_MAX_DAYS)))
     reg = F.date_sub(F.lit(as_of), F.floor(days).cast("int"))
     return ids.select(
-        i.cast("int").alias("customer_id"), first.alias("first_name"), last.alias("last_name"),
+        i.cast("long").alias("customer_id"), first.alias("first_name"), last.alias("last_name"),
         F.concat(F.lower(first), F.lit("."), F.lower(last),
                  randint(i, "num", 1, 999).cast("string"), F.lit("@"),
                  choice(i, "domain", DOMAINS)).alias("email"),
@@ -114,7 +116,7 @@ def products(spark: SparkSession, as_of: _dt.date) -> DataFrame:
         for name in items:
             rows.append((pid, name, category, lo, hi))
             pid += 1
-    base = spark.createDataFrame(rows, "id int, product_name string, category string, "
+    base = spark.createDataFrame(rows, "id long, product_name string, category string, "
                                        "lo double, hi double")
     i = F.col("id")
     price = F.round(F.col("lo") + uniform(i, "price") * (F.col("hi") - F.col("lo")), 2)
@@ -139,9 +141,9 @@ def orders(ids: DataFrame, n_customers: Column, product_df: DataFrame) -> DataFr
                  ).otherwise(randint(i, "day_old", 1, MAX_DAY_OF_MONTH))
     year = F.when(recent, F.lit(RECENT_YEAR)).otherwise(F.lit(OLDER_YEAR))
     o = ids.select(
-        i.cast("int").alias("order_id"),
-        (F.floor(uniform(i, "cust") * n_customers) + 1).cast("int").alias("customer_id"),
-        randint(i, "prod", 1, n_products).alias("product_id"),
+        i.cast("long").alias("order_id"),
+        (F.floor(uniform(i, "cust") * n_customers) + 1).cast("long").alias("customer_id"),
+        randint(i, "prod", 1, n_products).cast("long").alias("product_id"),
         (poisson(i, "qty", POISSON_MEAN) + 1).alias("quantity"),
         F.make_date(year, month, day).alias("order_date"),
         weighted_choice(i, "status", STATUSES, STATUS_WEIGHTS).alias("status"),

@@ -17,31 +17,45 @@ from . import schemas
 SEED_DIR = os.path.join(os.path.dirname(__file__), "seeds")
 
 
+#: Tables whose fields may have blanks after the delimiter (header too).
+SKIP_BLANKS = {"customers"}
+#: Columns a file may lack, with the default of the raw table.
+DEFAULTS = {"customers": {"total_orders": 0}}
+
+
+class MissingColumnsError(ValueError):
+    pass
+
+
 def read_raw_csv(spark: SparkSession, table: str, path: str) -> DataFrame:
     """Typed raw load of customers / products / orders from CSV files.
 
-    Blanks after the delimiter are skipped (and a blank field is NULL).
-    A missing ``total_orders`` column gets the DDL default 0.
+    Only customers skip blanks after the delimiter (a blank field is NULL
+    there); products and orders keep them.  Header names are trimmed.  A
+    column that is missing stops the load, except for one with a default.
     """
     schema = schemas.RAW[table]
-    header = (spark.read.option("header", True).csv(path).columns)
+    blanks = table in SKIP_BLANKS
+    header = [c.strip() for c in spark.read.option("header", True).csv(path).columns]
+    defaults = DEFAULTS.get(table, {})
+    missing = [f.name for f in schema.fields if f.name not in header and f.name not in defaults]
+    if missing:
+        raise MissingColumnsError(f"{table}: no column {', '.join(missing)} in {path}")
     by_name = {f.name: f for f in schema.fields}
-    # The file's own column order, typed by the declaration.
+    # The file's own column order, typed by the declaration; names come from
+    # the header read above, so the reader need not compare them again.
     file_schema = T.StructType([by_name.get(c, T.StructField(c, T.StringType()))
                                 for c in header])
     df = (spark.read
           .schema(file_schema)
           .option("header", True)
           .option("mode", "FAILFAST")
-          .option("ignoreLeadingWhiteSpace", True)
-          .option("enforceSchema", False)
+          .option("ignoreLeadingWhiteSpace", blanks)
+          .option("enforceSchema", True)
           .csv(path))
-    for f in schema.fields:
-        if f.name not in header:
-            if table == "customers" and f.name == "total_orders":
-                df = df.withColumn(f.name, F.lit(0))
-            else:
-                df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
+    for name, value in defaults.items():
+        if name not in header:
+            df = df.withColumn(name, F.lit(value))
     return df.select([F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 

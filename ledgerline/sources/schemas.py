@@ -1,13 +1,12 @@
 """Declared schemas for the raw tables and the seeds.
 
-Raw keys are ints as declared; at very large scale ids can be widened to
-long without touching any rule.
+Keys are 64-bit: an order key passes 2^31 well before 100 TB.
 """
 
 from pyspark.sql import types as T
 
 RAW_CUSTOMERS = T.StructType([
-    T.StructField("customer_id", T.IntegerType(), False),
+    T.StructField("customer_id", T.LongType(), False),
     T.StructField("first_name", T.StringType()),
     T.StructField("last_name", T.StringType()),
     T.StructField("email", T.StringType()),
@@ -18,7 +17,7 @@ RAW_CUSTOMERS = T.StructType([
 ])
 
 RAW_PRODUCTS = T.StructType([
-    T.StructField("product_id", T.IntegerType(), False),
+    T.StructField("product_id", T.LongType(), False),
     T.StructField("product_name", T.StringType()),
     T.StructField("category", T.StringType()),
     T.StructField("price", T.DecimalType(10, 2)),
@@ -26,9 +25,9 @@ RAW_PRODUCTS = T.StructType([
 ])
 
 RAW_ORDERS = T.StructType([
-    T.StructField("order_id", T.IntegerType(), False),
-    T.StructField("customer_id", T.IntegerType()),
-    T.StructField("product_id", T.IntegerType()),
+    T.StructField("order_id", T.LongType(), False),
+    T.StructField("customer_id", T.LongType()),
+    T.StructField("product_id", T.LongType()),
     T.StructField("quantity", T.IntegerType()),
     T.StructField("order_date", T.DateType()),
     T.StructField("status", T.StringType()),
@@ -60,3 +59,4 @@ VARCHAR_LIMITS = {
     "products": {"product_name": 100, "category": 50},
     "orders": {"status": 20},
 }
+SEED_VARCHAR_LIMITS = {"regions": {"region_code": 3}}

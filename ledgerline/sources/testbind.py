@@ -57,7 +57,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     upd = F.when(k % 5 == 0, F.lit(None).cast("date")).otherwise(
         F.date_add(reg, (1 + (k * 17) % 365).cast("int")))
     return c.select(
-        k.cast("int").alias("customer_id"),
+        k.cast("long").alias("customer_id"),
         F.col("c_mktsegment").alias("first_name"),
         F.col("c_name").alias("last_name"),
         F.concat(F.lower("c_mktsegment"), F.lit("."), k.cast("string"),
@@ -83,7 +83,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         cond = F.col("p_type") == t
         category = F.when(cond, cat) if category is None else category.when(cond, cat)
     return p.select(
-        F.col("p_partkey").cast("int").alias("product_id"),
+        F.col("p_partkey").cast("long").alias("product_id"),
         F.col("p_name").alias("product_name"),
         category.alias("category"),
         _money(cents).alias("price"),
@@ -121,9 +121,9 @@ def raw_orders_from(orders: DataFrame, first_line: DataFrame) -> DataFrame:
                                                     F.lit("on_hold")),
                                             (k % 3 + 1).cast("int"))))
     return j.select(
-        k.cast("int").alias("order_id"),
-        F.col("o_custkey").cast("int").alias("customer_id"),
-        F.col("l_partkey").cast("int").alias("product_id"),
+        k.cast("long").alias("order_id"),
+        F.col("o_custkey").cast("long").alias("customer_id"),
+        F.col("l_partkey").cast("long").alias("product_id"),
         F.coalesce(F.col("l_linenumber"), F.lit(0)).cast("int").alias("quantity"),
         F.date_add(F.to_date("o_orderdate"), ORDER_DATE_SHIFT_DAYS).alias("order_date"),
         status.alias("status"),
