@@ -49,12 +49,12 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         print(json.dumps({"generated": args.out, "customers": args.customers,
                           "orders": args.orders}))
         return 0
-    from .plans.build import RAW_LAYER, build, load_raw_csv
+    from .plans.build import build, load_raw_csv, published_table
     run_ts = (dt.datetime.fromisoformat(args.run_ts) if args.run_ts
               else dt.datetime.combine(as_of, dt.time()))
     paths = {t: f"{args.csv_dir.rstrip('/')}/{t}" for t in RAW_TABLES}
     load_raw_csv(spark, paths, args.root)
-    raw = {t: spark.table(f"{RAW_LAYER}.{t}") for t in RAW_TABLES}
+    raw = {t: published_table(spark, args.root, f"raw_{t}") for t in RAW_TABLES}
     tags = set(args.tags.split(",")) if args.tags else None
     res = build(spark, raw["customers"], raw["products"], raw["orders"], args.root, as_of,
                 run_ts, tags=tags)

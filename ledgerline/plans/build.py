@@ -2,21 +2,23 @@
 
 Order of a run (the reference's DAG, as one Spark application):
 
-1. pre-flight: customers present and at least one completed order;
-2. staging views are registered (lazy, nothing written);
-3. marts and analytics are written under ``<root>/_runs/<run_id>/`` --
-   never over a published table, so a failed run exposes nothing;
-4. the declared checks run over what was written (tables read back, so
-   the checks do not recompute the plans);
-5. only when no error-severity check fails, every table's catalog entry
-   is pointed at its new folder (publish); otherwise the run folder is
-   left unpublished;
-6. post-flight: required tables exist, row counts, empty ones flagged.
-
-Incremental and snapshot tables read their currently published version
-as the target/history of the run, and rewrite only the partitions a run
-changes: order months for the incremental fact, the open versions (plus
-one new partition of versions closed by the run) for the snapshots.
+1. pre-flight: customers present and at least one completed order; the
+   source freshness, when a load time is given;
+2. staging views are registered, the checks on sources and staging run;
+3. each further model is written under ``<root>/_runs/<run_id>/`` (never
+   into a folder that exists) and checked at once; a failed check stops
+   the run there and its folder is removed;
+4. publish: one manifest version under ``<root>`` names every table's
+   folders (state.py).  A crash before it leaves the old version, after
+   it the new one; catalog entries follow the manifest;
+5. the checks run again over the published tables;
+6. post-flight: required tables read from the catalog, row counts, empty
+   ones flagged; a missing one is an error.
+
+Targets and histories come from the manifest, so they survive the
+process.  Incremental and snapshot tables rewrite only the partitions a
+run changes: order months, and the open versions (plus one new partition
+of versions closed by the run).
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import state as ST
 from ..operators import analytics as A
 from ..operators import history as H
 from ..operators import marts as M
@@ -34,6 +37,7 @@ from ..operators import quality as Q
 from ..operators import staging as S
 from ..operators import upsert as U
 from ..session import new_run_id
+from ..sources.files import read_seed
 from . import suite as SUITE
 
 LAYERS = {"staging": "ledger_staging", "marts": "ledger_marts",
@@ -78,7 +82,7 @@ def preflight(raw_customers: DataFrame, raw_orders: DataFrame) -> DataFrame:
 
 def postflight(tables: dict[str, DataFrame], required: list[str]) -> DataFrame:
     """Required tables: present?, row count, ok / empty / missing."""
-    spark = next(iter(tables.values())).sparkSession
+    spark = SparkSession.getActiveSession()
     parts = []
     for name in required:
         if name in tables:
@@ -106,124 +110,52 @@ class BuildResult:
     postflight: list = field(default_factory=list)
 
 
-def _qualified(name: str, layer: str) -> str:
-    return f"{LAYERS[layer]}.{name}"
-
-
-def published_table(spark: SparkSession, name: str, layer: str) -> DataFrame | None:
-    q = _qualified(name, layer)
-    return spark.table(q) if spark.catalog.tableExists(q) else None
-
-
-def _publish(spark: SparkSession, name: str, layer: str, path: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {LAYERS[layer]}")
-    q = _qualified(name, layer)
-    if spark.catalog.tableExists(q):
-        spark.sql(f"ALTER TABLE {q} SET LOCATION '{path}'")
-        spark.sql(f"REFRESH TABLE {q}")
-    else:
-        spark.sql(f"CREATE TABLE {q} USING parquet LOCATION '{path}'")
+def published_table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """The published version of a table, from the root's manifest."""
+    t = ST.load(spark, root).tables.get(name)
+    return None if t is None else ST.read(spark, t)
 
 
 INCREMENTAL = "fct_orders_incremental"
 INCREMENTAL_KEY, INCREMENTAL_DATE, INCREMENTAL_PART = "order_id", "order_date", "order_month"
 
 
-def _incremental_step(spark: SparkSession, rows: DataFrame, path: str):
-    """Keyed upsert of the order fact, rewriting only touched months.
+def upsert_by_month(spark: SparkSession, orders: DataFrame, enrich, table: ST.Table | None,
+                    path: str) -> tuple[DataFrame, ST.Table]:
+    """Keyed upsert of an order fact, rewriting only touched months.
 
-    First run: the whole fact, partitioned by order month.  Later runs:
-    the delta and the replaced keys are computed from the target's key
-    and month columns only and written to the run folder (which also cuts
-    the lineage); then only the months they touch are rewritten.  Returns
-    (the would-be table for the checks, what to publish).
+    First load: the whole fact, partitioned by order month.  Later loads:
+    the delta and the replaced keys are written to ``path`` (which cuts
+    the lineage); then only the months they touch are written anew.
+    Returns the would-be rows and the table entry to publish.
     """
-    rows = rows.withColumn(INCREMENTAL_PART, F.trunc(INCREMENTAL_DATE, "month"))
-    target = published_table(spark, INCREMENTAL, "marts")
-    data = f"{path}/data"
-    if target is None:
-        rows.write.mode("overwrite").partitionBy(INCREMENTAL_PART).parquet(data)
-        written_back = _read_back(spark, data, rows.columns)
-        return written_back, ("create", data, written_back.schema, None, None)
-    target = target.select(*rows.columns)
-    changes = U.partition_changes(rows, target, INCREMENTAL_KEY, INCREMENTAL_DATE,
-                                  INCREMENTAL_PART)
-    changes.write.mode("overwrite").parquet(f"{path}/changes")   # one job, lineage cut
-    delta, replaced = U.split_changes(spark.read.parquet(f"{path}/changes"),
-                                      INCREMENTAL_KEY, INCREMENTAL_PART)
+    def rows(o: DataFrame) -> DataFrame:
+        return enrich(o).withColumn(INCREMENTAL_PART, F.trunc(INCREMENTAL_DATE, "month"))
+
+    data, by = f"{path}/data", [INCREMENTAL_PART]
+    if table is None:
+        whole = rows(orders)
+        _write_partitioned(whole, data, by)
+        back = _read_back(spark, data, whole)
+        return back, ST.partitioned(back, by, [[v, data] for v in ST.partition_values(back, by)])
+    target = ST.read(spark, table)
+    changes = U.partition_changes(orders, target, INCREMENTAL_KEY, INCREMENTAL_DATE, INCREMENTAL_PART,
+                                  rows)
+    changes.write.parquet(f"{path}/changes")   # one job, lineage cut
+    delta, replaced = U.split_changes(
+        spark.read.schema(changes.schema).parquet(f"{path}/changes"), INCREMENTAL_KEY, INCREMENTAL_PART)
     # one value per touched month: bounded by the calendar
     touched = [r[0] for r in U.touched_partitions(delta, replaced, INCREMENTAL_PART).collect()]
     if any(v is None for v in touched):
         raise ValueError("orders without a date cannot be loaded incrementally")
-    fresh_rows = U.rewrite_partitions(target, delta, replaced, INCREMENTAL_KEY,
-                                      INCREMENTAL_PART, touched)
-    fresh_rows.write.mode("overwrite").partitionBy(INCREMENTAL_PART).parquet(data)
-    fresh = (_read_back(spark, data, rows.columns) if touched
-             else spark.createDataFrame([], rows.schema))
-    written = [r[0] for r in fresh.select(INCREMENTAL_PART).distinct().collect()]
-    untouched = target.where(~F.col(INCREMENTAL_PART).isin(touched)) if touched else target
-    gone = [v for v in touched if v not in written]
-    return untouched.unionByName(fresh), ("update", data, None, written, gone)
-
-
-def _as_tuple(value) -> tuple:
-    return value if isinstance(value, tuple) else (value,)
-
-
-def _partition_spec(cols: list[str], value) -> str:
-    parts = []
-    for c, v in zip(cols, _as_tuple(value)):
-        lit = f"DATE '{v.isoformat()}'" if isinstance(v, _dt.date) else f"'{v}'"
-        parts.append(f"{c} = {lit}")
-    return "PARTITION (" + ", ".join(parts) + ")"
-
-
-def _partition_dir(cols: list[str], value) -> str:
-    return "/".join(f"{c}={v.isoformat() if isinstance(v, _dt.date) else v}"
-                    for c, v in zip(cols, _as_tuple(value)))
-
-
-def _publish_partitioned(spark: SparkSession, q: str, part_cols, plan) -> None:
-    """Create a partitioned table, or re-point / add / drop single
-    partitions.  Each statement is atomic per partition; partitions not
-    named keep their files."""
-    part_cols = [part_cols] if isinstance(part_cols, str) else list(part_cols)
-    kind, data, schema, set_values, drop_values = plan
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {q.split('.')[0]}")
-    if kind == "create":
-        # partition columns last, as they are stored
-        fields = ([f for f in schema.fields if f.name not in part_cols]
-                  + [f for c in part_cols for f in schema.fields if f.name == c])
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-        if spark.catalog.tableExists(q):
-            spark.sql(f"DROP TABLE {q}")
-        spark.sql(f"CREATE TABLE {q} ({columns}) USING parquet "
-                  f"PARTITIONED BY ({', '.join(part_cols)}) LOCATION '{data}'")
-        spark.sql(f"ALTER TABLE {q} RECOVER PARTITIONS")
-        return
-    for v in set_values:
-        spec = _partition_spec(part_cols, v)
-        loc = f"{data}/{_partition_dir(part_cols, v)}"
-        spark.sql(f"ALTER TABLE {q} ADD IF NOT EXISTS {spec} LOCATION '{loc}'")
-        spark.sql(f"ALTER TABLE {q} {spec} SET LOCATION '{loc}'")
-    for v in drop_values:
-        spark.sql(f"ALTER TABLE {q} DROP IF EXISTS {_partition_spec(part_cols, v)}")
-    spark.sql(f"REFRESH TABLE {q}")
-
-
-def _rebuild_plan(spark: SparkSession, q: str, part_cols: list[str], data: str,
-                  written: DataFrame):
-    """Publish plan for a fully rebuilt partitioned table: every written
-    partition re-pointed, partitions that disappeared dropped.  Both lists
-    hold one entry per partition (months: bounded by the calendar)."""
-    values = [tuple(str(x) for x in r) for r in written.select(*part_cols).distinct().collect()]
-    if not spark.catalog.tableExists(q):
-        return ("create", data, written.schema, None, None)
-    existing = []
-    for r in spark.sql(f"SHOW PARTITIONS {q}").collect():
-        kv = dict(p.split("=", 1) for p in r[0].split("/"))
-        existing.append(tuple(kv[c] for c in part_cols))
-    return ("update", data, written.schema, values, [v for v in existing if v not in values])
+    kept = [p for p in table.parts if p[0][0] not in {str(v) for v in touched}]
+    if not touched:
+        return target, table
+    _write_partitioned(U.rewrite_partitions(target, delta, replaced, INCREMENTAL_KEY,
+                                            INCREMENTAL_PART, touched), data, by)
+    fresh = _read_back(spark, data, target)
+    new = ST.partitioned(target, by, kept + [[v, data] for v in ST.partition_values(fresh, by)])
+    return ST.read(spark, new), new
 
 
 SNAPSHOTS = {"customers_snapshot": "timestamp", "customers_snapshot_check": "check"}
@@ -231,59 +163,112 @@ SNAPSHOT_STATE, OPEN_STATE = "version_state", "open"
 
 
 def _snapshot_step(spark: SparkSession, name: str, source: DataFrame, run_ts, path: str,
-                   run_id: str):
+                   run_id: str, table: ST.Table | None) -> tuple[DataFrame, ST.Table]:
     """SCD2 run that reads and rewrites only the open versions.
 
     The history is partitioned by ``version_state``: 'open' for current
     versions and 'closed-<run id>' for the versions a run closed.  A run
     merges the open partition with the source, writes the new open rows
-    and this run's closed rows, and publishes by adding one partition and
-    re-pointing 'open'.  Closed history is never read or rewritten.
+    and this run's closed rows, and publishes both partitions.
     """
     strategy = SNAPSHOTS[name]
-    table = published_table(spark, name, "snapshots")
-    open_rows = None
+    parts, open_rows = [], None
     if table is not None:
-        open_rows = table.where(F.col(SNAPSHOT_STATE) == OPEN_STATE).drop(SNAPSHOT_STATE)
+        parts = [p for p in table.parts if p[0][0] != OPEN_STATE]
+        current = ST.Table(table.schema, table.partition_by,
+                           parts=[p for p in table.parts if p[0][0] == OPEN_STATE])
+        open_rows = ST.read(spark, current).drop(SNAPSHOT_STATE)
     merged = H.snapshot(source, open_rows, "customer_id", strategy, run_ts,
                         check_cols=CHECK_COLUMNS if strategy == "check" else ())
-    closed_state = f"closed-{run_id}"
     merged = merged.withColumn(SNAPSHOT_STATE, F.when(F.col(H.VALID_TO).isNull(), OPEN_STATE)
-                               .otherwise(closed_state))
-    data = f"{path}/data"
-    merged.write.mode("overwrite").partitionBy(SNAPSHOT_STATE).parquet(data)
-    fresh = _read_back(spark, data, merged.columns)
-    states = [r[0] for r in fresh.select(SNAPSHOT_STATE).distinct().collect()]  # <= 2
-    if table is None:
-        return fresh, ("create", data, fresh.schema, None, None)
-    kept = table.where(F.col(SNAPSHOT_STATE) != OPEN_STATE).select(*merged.columns)
-    drop = [] if OPEN_STATE in states else [OPEN_STATE]
-    return kept.unionByName(fresh), ("update", data, fresh.schema, states, drop)
+                               .otherwise(f"closed-{run_id}"))
+    data, by = f"{path}/data", [SNAPSHOT_STATE]
+    _write_partitioned(merged, data, by)
+    fresh = _read_back(spark, data, merged)
+    new = ST.partitioned(fresh, by, parts + [[v, data] for v in ST.partition_values(fresh, by)])  # <= 2 new
+    return ST.read(spark, new), new
 
 
-def _write(df: DataFrame, path: str, name: str) -> None:
-    w = df.write.mode("overwrite")
-    if name in PARTITION_COLUMNS:
-        w = w.partitionBy(*PARTITION_COLUMNS[name])
-    w.parquet(path)
+def _write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
+    """Rows of a partition meet in few files: dealt by partition, large
+    partitions split and small ones joined by AQE's rebalancing."""
+    df.hint("rebalance", *by).write.partitionBy(*by).parquet(path)
 
 
-def _read_back(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def _read_back(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     # partition columns come back last; restore the model's column order
-    return spark.read.parquet(path).select(*columns)
+    return spark.read.schema(like.schema).parquet(path).select(like.columns)
+
+
+SEED_LAYER = "ledger_reference"
+
+
+def _seed_checks() -> list:
+    from ..sources.schemas import SEED_VARCHAR_LIMITS
+    return [Q.Check("max_length", t, c, max_length=n)
+            for t, limits in SEED_VARCHAR_LIMITS.items() for c, n in limits.items()]
+
+
+def catalog_names(tables) -> dict[str, str]:
+    """Catalog entry of every manifest table."""
+    layers = {name: LAYERS[layer] for name, layer, _ in MODELS}
+    out = {}
+    for t in tables:
+        if t.startswith("raw_"):
+            out[t] = f"{RAW_LAYER}.{t[4:]}"
+        elif t.startswith("seed_"):
+            out[t] = f"{SEED_LAYER}.{t[5:]}"
+        elif t in layers:
+            out[t] = f"{layers[t]}.{t}"
+    return out
+
+
+def open_warehouse(spark: SparkSession, root: str) -> ST.Manifest:
+    """Catalog entries for everything the root has published (new process)."""
+    m = ST.load(spark, root)
+    ST.sync_catalog(spark, m, catalog_names(m.tables))
+    return m
+
+
+class PostflightError(RuntimeError):
+    pass
 
 
 def build(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame,
           raw_orders: DataFrame, root: str, as_of: _dt.date, run_ts: _dt.datetime,
-          tags: set[str] | None = None, run_id: str | None = None) -> BuildResult:
+          tags: set[str] | None = None, run_id: str | None = None,
+          loaded_at: DataFrame | None = None) -> BuildResult:
+    """``loaded_at``: one timestamp column, when the sources were loaded;
+    with it, a source too old for the freshness rule stops the run."""
     run_id = run_id or new_run_id()
     run_dir = f"{root.rstrip('/')}/_runs/{run_id}"
+    if ST.exists(spark, run_dir):
+        raise ValueError(f"run folder {run_dir} exists already")
 
     pf = preflight(raw_customers, raw_orders).first()
     if pf["status"] != "pass":
         raise PreflightError(f"pre-flight failed: {pf.asDict()}")
+    if loaded_at is not None:
+        rule = Q.Freshness(SUITE.FRESHNESS_WARN_HOURS, SUITE.FRESHNESS_ERROR_HOURS)
+        fresh = Q.source_freshness(loaded_at, loaded_at.columns[0], run_ts, rule).first()
+        if fresh["status"] == "error":
+            raise PreflightError(f"sources are stale: {fresh.asDict()}")
+    try:
+        res = _build(spark, raw_customers, raw_products, raw_orders, root, run_dir, as_of, run_ts,
+                     tags, run_id)
+    except BaseException:
+        ST.remove_folder(spark, run_dir)
+        raise
+    if not res.published:
+        ST.remove_folder(spark, run_dir)
+    return res
 
-    def wanted(name, model_tags):
+
+def _build(spark, raw_customers, raw_products, raw_orders, root, run_dir, as_of, run_ts, tags,
+           run_id) -> BuildResult:
+    manifest = ST.load(spark, root)
+
+    def wanted(model_tags):
         return tags is None or bool(tags & model_tags)
 
     stg = {
@@ -303,67 +288,94 @@ def build(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame
         "customer_cohorts": lambda: A.customer_cohorts(stg["stg_customers"], stg["stg_orders"],
                                                        ordered=False),
     }
-
     built: dict[str, DataFrame] = dict(stg)
-    paths: dict[str, tuple[str, str]] = {}
-    partitioned_plans: dict[str, tuple] = {}
+    models = {**stg, "raw_customers": raw_customers, "raw_products": raw_products,
+              "raw_orders": raw_orders}
+    entries: dict[str, ST.Table] = {}
+    paths: dict[str, str] = {}
+    done: set[int] = set()
+
+    def failures() -> list:
+        """The checks that have become possible with the models so far."""
+        ready = [(i, c) for i, c in enumerate(SUITE.SUITE) if i not in done and c.model in models
+                 and (c.kind != "relationships" or c.to in models)]
+        done.update(i for i, _ in ready)
+        return Q.gate(Q.run_checks(models, [c for _, c in ready], as_of=as_of)).failures if ready else []
+
+    found = failures() + Q.gate(Q.singular_result(
+        models[SUITE.SINGULAR_MODEL], SUITE.SINGULAR_CONDITION, SUITE.SINGULAR_MODEL,
+        "total_amount")).failures
+    if wanted({"seeds"}) and not found:
+        seeds = {}
+        for seed in ("regions", "categories"):
+            paths[f"seed_{seed}"] = path = f"{run_dir}/seed_{seed}"
+            read_seed(spark, seed).write.parquet(path)
+            seeds[seed] = spark.read.parquet(path)
+            entries[f"seed_{seed}"] = ST.plain(seeds[seed], path)
+        found = Q.gate(Q.run_checks(seeds, _seed_checks())).failures
     for name, layer, model_tags in MODELS:
-        if layer == "staging" or not wanted(name, model_tags):
+        if found:
+            break  # what would come after a failed model is not built
+        if layer == "staging" or not wanted(model_tags):
             continue
         if name == "daily_sales_summary" and "fct_daily_sales" not in built:
             built["fct_daily_sales"] = builders["fct_daily_sales"]()
-        path = f"{run_dir}/{name}"
+        path = paths[name] = f"{run_dir}/{name}"
         if name == INCREMENTAL:
-            rows = M.fct_orders_rows(stg["stg_orders"], stg["stg_products"],
-                                     stg["stg_customers"], run_ts)
-            built[name], partitioned_plans[name] = _incremental_step(spark, rows, path)
-            paths[name] = (layer, path)
-            continue
-        if name in SNAPSHOTS:
-            built[name], partitioned_plans[name] = _snapshot_step(
-                spark, name, stg["stg_customers"], run_ts, path, run_id)
-            paths[name] = (layer, path)
-            continue
-        df = builders[name]()
-        _write(df, path, name)
-        built[name] = _read_back(spark, path, df.columns)
-        paths[name] = (layer, path)
-        if name in PARTITION_COLUMNS:
-            partitioned_plans[name] = _rebuild_plan(
-                spark, _qualified(name, layer), PARTITION_COLUMNS[name], path, built[name])
-
-    models = {**built, "raw_customers": raw_customers, "raw_products": raw_products,
-              "raw_orders": raw_orders}
-    checks = [c for c in SUITE.SUITE if c.model in models
-              and (c.kind != "relationships" or c.to in models)]
-    results = Q.run_checks(models, checks, as_of=as_of)
-    # the custom assertion gates the build as well
-    results = results.unionByName(Q.singular_result(
-        models[SUITE.SINGULAR_MODEL], SUITE.SINGULAR_CONDITION, SUITE.SINGULAR_MODEL,
-        "total_amount"))
-    verdict = Q.gate(results)
-    res = BuildResult(run_id=run_id, published=False,
-                      tables={k: v[1] for k, v in paths.items()}, failures=verdict.failures)
-    if not verdict.passed:
-        return res
-    for name, (layer, path) in paths.items():
-        if name == INCREMENTAL:
-            _publish_partitioned(spark, _qualified(name, layer), INCREMENTAL_PART,
-                                 partitioned_plans[name])
+            built[name], entries[name] = upsert_by_month(
+                spark, stg["stg_orders"],
+                lambda o: M.fct_orders_rows(o, stg["stg_products"], stg["stg_customers"], run_ts),
+                manifest.tables.get(name), path)
         elif name in SNAPSHOTS:
-            _publish_partitioned(spark, _qualified(name, layer), SNAPSHOT_STATE,
-                                 partitioned_plans[name])
+            built[name], entries[name] = _snapshot_step(
+                spark, name, stg["stg_customers"], run_ts, path, run_id, manifest.tables.get(name))
         elif name in PARTITION_COLUMNS:
-            _publish_partitioned(spark, _qualified(name, layer), PARTITION_COLUMNS[name],
-                                 partitioned_plans[name])
+            df, by = builders[name](), PARTITION_COLUMNS[name]
+            _write_partitioned(df, path, by)
+            built[name] = _read_back(spark, path, df)
+            entries[name] = ST.partitioned(built[name], by,
+                                           [[v, path] for v in ST.partition_values(built[name], by)])
         else:
-            _publish(spark, name, layer, path)
+            df = builders[name]()
+            df.write.parquet(path)
+            built[name] = _read_back(spark, path, df)
+            entries[name] = ST.plain(built[name], path)
+        models[name] = built[name]
+        found = failures()
+    res = BuildResult(run_id=run_id, published=False, tables=paths, failures=found)
+    if found:
+        return res
+    manifest = ST.commit(spark, root, manifest, run_id, entries)
     res.published = True
-    required = [t for t in SUITE.REQUIRED_TABLES if t in built]
-    res.postflight = [r.asDict() for r in postflight(built, required).collect()]
+    names = catalog_names(manifest.tables)
+    ST.sync_catalog(spark, manifest, {k: q for k, q in names.items()
+                                      if k in entries or not spark.catalog.tableExists(q)})
+    # test again, over what readers now get
+    now = {**models, **{k: spark.table(names[k]) for k in entries if k in names}}
+    again = [c for c in SUITE.SUITE if c.model in now and (c.kind != "relationships" or c.to in now)]
+    res.failures = Q.gate(Q.run_checks(now, again, as_of=as_of)).failures
+    required = [t for t in SUITE.REQUIRED_TABLES if tags is None or t in entries or t in stg]
+    present = {t: spark.table(names.get(t, t)) for t in required if spark.catalog.tableExists(names.get(t, t))}
+    res.postflight = [r.asDict() for r in postflight(present, required).collect()]
+    missing = [r["table_name"] for r in res.postflight if r["status"] == "missing"]
+    if missing:
+        raise PostflightError(f"not published: {missing}")
     return res
 
 
+def prune(spark: SparkSession, root: str) -> list[str]:
+    """Remove run and raw folders that the newest manifest does not name."""
+    m = ST.load(spark, root)
+    named = {p for t in m.tables.values() for p in ([t.path] if t.path else [b for _, b in t.parts])}
+    gone = []
+    for top in ("_runs", "_raw"):
+        for folder in ST.children(spark, f"{root.rstrip('/')}/{top}"):
+            if not any(p.startswith(folder + "/") for p in named):
+                ST.remove_folder(spark, folder)
+                gone.append(folder)
+    return gone
+
+
 RAW_LAYER = "ledger_raw"
 
 
@@ -395,28 +407,29 @@ def load_raw_csv(spark: SparkSession, paths: dict[str, str], root: str,
 
     Each file is read with its declared schema and FAILFAST and written to
     ``<root>/_raw/<run_id>/<table>``; the written tables must then pass the
-    DDL's constraints (keys, foreign keys, lengths).  Only then are the
-    catalog entries ``ledger_raw.<table>`` moved to the new folders; any
-    failure leaves the previous raw tables in place (the rollback)."""
+    DDL's constraints (keys, foreign keys, lengths).  Only then one manifest
+    version names the three new folders; any failure removes them and leaves
+    the previous raw tables in place (the rollback)."""
     from ..sources.files import read_raw_csv
     run_id = run_id or new_run_id()
-    written = {}
-    for table in ("customers", "products", "orders"):
-        out = f"{root.rstrip('/')}/_raw/{run_id}/{table}"
-        read_raw_csv(spark, table, paths[table]).write.mode("overwrite").parquet(out)
-        written[table] = out
-    tables = {t: spark.read.parquet(p) for t, p in written.items()}
-    verdict = Q.gate(Q.run_checks(tables, raw_constraints()))
-    if not verdict.passed:
-        raise RawLoadError(f"raw constraints violated: {verdict.failures}")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {RAW_LAYER}")
-    for table, out in written.items():
-        q = f"{RAW_LAYER}.{table}"
-        if spark.catalog.tableExists(q):
-            spark.sql(f"ALTER TABLE {q} SET LOCATION '{out}'")
-            spark.sql(f"REFRESH TABLE {q}")
-        else:
-            spark.sql(f"CREATE TABLE {q} USING parquet LOCATION '{out}'")
+    folder = f"{root.rstrip('/')}/_raw/{run_id}"
+    if ST.exists(spark, folder):
+        raise ValueError(f"raw folder {folder} exists already")
+    manifest = ST.load(spark, root)
+    written = {t: f"{folder}/{t}" for t in ("customers", "products", "orders")}
+    try:
+        for table, out in written.items():
+            read_raw_csv(spark, table, paths[table]).write.parquet(out)
+        tables = {t: spark.read.parquet(p) for t, p in written.items()}
+        verdict = Q.gate(Q.run_checks(tables, raw_constraints()))
+        if not verdict.passed:
+            raise RawLoadError(f"raw constraints violated: {verdict.failures}")
+        manifest = ST.commit(spark, root, manifest, run_id,
+                             {f"raw_{t}": ST.plain(df, written[t]) for t, df in tables.items()})
+    except BaseException:
+        ST.remove_folder(spark, folder)
+        raise
+    ST.sync_catalog(spark, manifest, {f"raw_{t}": f"{RAW_LAYER}.{t}" for t in written})
     return written
 
 

@@ -273,26 +273,24 @@ def q_gen_orders_profile(spark, sf_dir):
 # ---------------------------------------------------------------- streaming
 @register("stream_incremental_load")
 def q_stream_incremental_load(spark, sf_dir):
-    """Order files streamed through foreachBatch(upsert) until caught up
-    (AvailableNow); returns the published target."""
+    """Both load waves as arriving order files, streamed through
+    foreachBatch(upsert) until caught up (AvailableNow) after each wave;
+    returns the published target."""
+    from ..plans import state as ST
     from ..session import new_run_id, scratch_path
     from ..streaming.incremental import start_incremental_stream
-    base = sf_dir.rstrip("/")
-    orders_schema = spark.read.parquet(f"{base}/orders.parquet").schema
-    stream = spark.readStream.schema(orders_schema).parquet(f"{base}/orders*.parquet")
     i = Inputs(spark, sf_dir)
-    raw = TB.raw_orders_from(stream, TB.first_lines(
-        spark.read.parquet(f"{base}/lineitem.parquet")))
     products, customers = i.stg_products, i.stg_customers
-
-    def to_rows(batch):
-        return M.fct_orders_rows(batch, products, customers, TB.LOAD_RUNS[0])
-
     run = new_run_id()
     table = f"ledger_stream.fct_orders_incremental_{run}"
-    q = start_incremental_stream(S.stg_orders(raw), table,
-                                 scratch_path(spark, "stream", run, "data"),
-                                 scratch_path(spark, "stream", run, "checkpoint"),
-                                 transform=to_rows)
-    q.awaitTermination()
-    return exposed(spark.table(table))
+    root, incoming = scratch_path(spark, "stream", run, "data"), scratch_path(spark, "stream", run, "in")
+    waves = [TB.orders_first_load(i.raw.orders), TB.orders_second_load(i.raw.orders)]
+    for n, (wave, run_ts) in enumerate(zip(waves, TB.LOAD_RUNS)):
+        wave.write.parquet(f"{incoming}/wave={n}")
+        stream = (spark.readStream.schema(wave.schema).option("recursiveFileLookup", True)
+                  .parquet(incoming))
+        q = start_incremental_stream(
+            S.stg_orders(stream), table, root, scratch_path(spark, "stream", run, "checkpoint"),
+            transform=lambda o, ts=run_ts: M.fct_orders_rows(o, products, customers, ts))
+        q.awaitTermination()
+    return exposed(ST.read(spark, ST.load(spark, root).tables[table]).drop("order_month"))

@@ -144,3 +144,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Folders in a folder; none if it does not exist."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [f"{path}/{s.getPath().getName()}" for s in fs.listStatus(p) if s.isDirectory()]

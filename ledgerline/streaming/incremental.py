@@ -1,66 +1,55 @@
 """Structured Streaming form of the incremental order load.
 
 Arriving order files are read with ``readStream``; each micro-batch is
-turned into order-fact rows (stream-static joins to the product and
-customer dimensions) and merged into the target with the same
-delete-then-insert rule as the batch load, inside ``foreachBatch``.
-
-Exactly-once: a batch writes its new target version to
-``<root>/epoch=<id>`` (a retried epoch overwrites the same folder with
-the same rows) and only then moves the catalog pointer; a retry after
-the pointer moved re-applies the same delta, which the key replace
-makes idempotent.  Progress lives in the checkpoint location, which
-must be on shared storage.
+merged into the target with the same delete-then-insert rule as the batch
+load, inside ``foreachBatch``: only the order months it touches are
+written anew, and dimension joins run for the delta only.
+
+Exactly-once: an epoch writes its months to a folder of its own attempt
+and then publishes folders and epoch number together in one manifest
+version.  A replayed epoch finds its number there and does nothing, so it
+never reads or writes what it has published.  Progress lives in the
+checkpoint location, which must be on shared storage like ``root``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
-from ..operators.upsert import incremental_load
-
+from pyspark.sql import DataFrame
 
-def _publish(spark: SparkSession, table: str, path: str) -> None:
-    db = table.split(".")[0] if "." in table else None
-    if db:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.sql(f"REFRESH TABLE {table}")
-    else:
-        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+from ..plans import build as B
+from ..plans import state as ST
+from ..session import new_run_id
 
 
-def upsert_batch_writer(table: str, root: str, key: str = "order_id",
-                        date_col: str = "order_date",
+def upsert_batch_writer(table: str, root: str,
                         transform: Callable[[DataFrame], DataFrame] | None = None
                         ) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        target = spark.table(table) if spark.catalog.tableExists(table) else None
-        # per-batch work that needs a static frame (dimension joins with
-        # hot-key detection) runs here
-        rows = (transform(batch) if transform else batch).persist()
-        try:
-            _, new_target = incremental_load(rows, target, key, date_col)
-            path = f"{root.rstrip('/')}/epoch={epoch_id}"
-            new_target.write.mode("overwrite").parquet(path)
-        finally:
-            rows.unpersist()
-        _publish(spark, table, path)
+        manifest = ST.load(spark, root)
+        if manifest.epochs.get(table, -1) < epoch_id:
+            path = f"{root.rstrip('/')}/_epochs/{epoch_id}-{new_run_id()}"
+            rows = batch.persist()  # the delta choice reads the micro-batch more than once
+            try:
+                _, entry = B.upsert_by_month(spark, rows, transform or (lambda o: o),
+                                             manifest.tables.get(table), path)
+            finally:
+                rows.unpersist()
+            manifest = ST.commit(spark, root, manifest, f"epoch-{epoch_id}", {table: entry},
+                                 {table: epoch_id})
+        ST.sync_catalog(spark, manifest, {table: table})
     return write
 
 
 def start_incremental_stream(stream_rows: DataFrame, table: str, root: str,
-                             checkpoint: str, key: str = "order_id",
-                             date_col: str = "order_date", available_now: bool = True,
+                             checkpoint: str, available_now: bool = True,
                              transform: Callable[[DataFrame], DataFrame] | None = None):
     """Start the streaming load; returns the StreamingQuery.  ``transform``
-    turns each micro-batch into target rows before the upsert."""
+    turns chosen order rows into target rows (it must keep the order key)."""
     w = (stream_rows.writeStream
-         .foreachBatch(upsert_batch_writer(table, root, key, date_col, transform))
+         .foreachBatch(upsert_batch_writer(table, root, transform))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

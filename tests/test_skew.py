@@ -24,17 +24,12 @@ def _rows(df):
     return sorted(tuple(r) for r in df.select("row_id", "k", "attr").collect())
 
 
-def test_bytes_parser():
-    assert skew._bytes("10485760b") == 10485760
-    assert skew._bytes("10MB") == 10 << 20
-    assert skew._bytes("-1") == -1
-    assert skew._bytes("512k") == 512 << 10
-
-
-def test_frequent_keys_finds_hot_key(spark, hot_fixture):
+def test_hot_buckets_follow_the_share(spark, hot_fixture):
     fact, _ = hot_fixture
-    hot = set(skew.hot_keys(fact, "k"))
-    assert 7 in hot and len(hot) <= 100
+    hot = skew.hot_buckets(fact, ["k"])["k"]
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert hot[7] == -(-fact.where("k = 7").count() * partitions // fact.count())
+    assert len(hot) <= 100
 
 
 @pytest.mark.parametrize("threshold", ["-1", "10m"])
@@ -45,8 +40,7 @@ def test_same_rows_as_plain_left_join(spark, hot_fixture, threshold):
     try:
         got = skew.left_join_dimension(fact, dim, "k")
         plan = got._jdf.queryExecution().optimizedPlan().toString()
-        if threshold == "-1":
-            assert "_skew_salt" in plan
+        assert "_skew_salt" in plan  # one plan, whatever the size
         expect = fact.join(dim, "k", "left")
         assert _rows(got) == _rows(expect)
     finally:
