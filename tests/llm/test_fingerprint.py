@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from ledgerline.llm import fingerprint as P
+from llm_helpers import corpus, no_rows  # noqa: F401
 
 
 def likeness(a, b):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID
 from ledgerline.llm import language as L
+from llm_helpers import corpus, no_rows  # noqa: F401
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 

@@ -7,6 +7,7 @@ import numpy as np
 from conftest import SF_SMALL
 from ledgerline.llm import near_dedup as N
 from ledgerline.llm.graph import components
+from llm_helpers import corpus, no_rows  # noqa: F401
 
 
 def words(text):

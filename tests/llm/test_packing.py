@@ -8,6 +8,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from ledgerline.llm.packing import Packer, WordTokenizer, pack
+from llm_helpers import corpus, no_rows, rng  # noqa: F401
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", " ", "a!'s", "!'s x", "don't.", "x<|endoftext|>y", "x<|ENDofTEXT|>y", "é!x", "!́a",
@@ -50,7 +51,8 @@ def test_pieces_cover_every_id(spark, corpus, no_rows):
     texts = {r.doc_id: r.text for r in unique.collect()}
     check_pieces(pack(unique.repartition(2), PATH).collect(), texts)
     assert pack(no_rows, PATH).count() == 0
-    assert pack(corpus, PATH).where("doc_id = 9").count() == 2  # repeated rows are packed each
+    again = pack(corpus, PATH).where("doc_id = 9").collect()  # repeated rows are packed each
+    assert sum(p.length for p in again) == 2 * again[0].doc_tokens
 
 
 def test_level_choice_minimises_the_sum_of_squares(rng):

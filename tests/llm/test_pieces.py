@@ -8,6 +8,7 @@ import sentencepiece
 
 from conftest import SF_SMALL
 from ledgerline.llm.pieces import encode_table, model
+from llm_helpers import corpus, no_rows  # noqa: F401
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 ODD = ["", " ", "  ", "a", " a  b   c    d\n\n  e", "▁▁x▁y", "\t\t \t x", "<s> </s> <0x0A> <unk>",

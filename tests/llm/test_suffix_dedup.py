@@ -8,7 +8,7 @@ import pytest
 
 from ledgerline.llm.columns import Collection, repeated_starts
 from ledgerline.llm.suffix_dedup import remove, report
-from llm_helpers import sha
+from llm_helpers import corpus, no_rows, sha  # noqa: F401
 
 
 def brute(texts, length):

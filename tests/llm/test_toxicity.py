@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ledgerline.llm import toxicity as T
+from llm_helpers import corpus, no_rows  # noqa: F401
 
 
 def planted(spark, n=1500):
