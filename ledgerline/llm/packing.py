@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import functools
 import re
+import unicodedata
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,9 @@ WINDOW = 2048
 END_ID = 1
 MEMO_WORDS = 1_000_000
 LONG_WORD = 64
+#: With these, lower case before composition may differ from lower case after it, or make an
+#: added token of the text.
+UNSAFE = re.compile("[\u0300-\u036f\u03a3]|<[|]")
 DIGITS = frozenset("0123456789")
 #: ASCII punctuation but the apostrophe, and what lies between.
 PARTS = re.compile(r"[!-&(-/:-@\[-`{-~]+|[^!-&(-/:-@\[-`{-~]+")
@@ -41,18 +46,30 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "sequence_id long, offset long")
 
 
+def byte_letters() -> dict[int, int]:
+    """The byte-level alphabet: printable bytes stand for themselves, others for 256, 257, ..."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
+
+
 class WordTokenizer:
-    """Ids of whole texts by a word-level memo over a tokenizer that drops white space."""
+    """Ids of whole texts by a word-level memo over a tokenizer that lower-cases and drops
+    white space.  Runs of letters go to its model at once, all else through its whole chain."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.model = self.tok.model
+        self.letters = byte_letters()
         self.words = Memo(MEMO_WORDS)
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
         out = []
         for text in texts:
+            if text and not UNSAFE.search(text):
+                text = text.lower()
             words = text.replace("\n", " ").split(" ") if text else []
             found = list(map(self.words.get, words))
             if None in found:
@@ -64,19 +81,41 @@ class WordTokenizer:
     def look_up(self, words: set[str]) -> dict[str, bytes]:
         """Ids of words; ASCII punctuation beside letters or digits is a word of its own to the
         tokenizer, so what lies between comes from the memo too."""
-        parts = {w: self.parts(w) for w in words}
-        new = sorted({p for ps in parts.values() for p in ps if p not in self.words})
-        codes = self.tok.encode_batch_fast(new, add_special_tokens=False) if new else []
-        fresh = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, codes)}
-        known = {p: fresh[p] if p in fresh else self.words[p] for ps in parts.values() for p in ps}
-        out = {w: known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])
-               for w, ps in parts.items()}
-        for found in (fresh, out):
-            for w, ids in found.items():
-                if len(w) <= LONG_WORD:
-                    self.words.put(w, ids)
+        known: dict[str, bytes] = {}
+        chain: set[str] = set()
+        parts: dict[str, list[str]] = {}
+        get = self.words.get
+        for w in words:
+            parts[w] = found = [w] if w.isalpha() else self.parts(w)
+            for p in found:
+                if p not in known:
+                    ids = get(p)
+                    if ids is None and p.isalpha() and p == p.lower() and (
+                            p.isascii() or unicodedata.is_normalized("NFC", p)):
+                        ids = self.letter_ids(p)
+                    if ids is None:
+                        chain.add(p)
+                    else:
+                        known[p] = ids
+        if chain:
+            order = sorted(chain)
+            for p, e in zip(order, self.tok.encode_batch_fast(order, add_special_tokens=False)):
+                known[p] = array("I", e.ids).tobytes()
+        out = {}
+        for w, ps in parts.items():
+            out[w] = ids = known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])
+            if len(w) <= LONG_WORD:
+                self.words.put(w, ids)
+        for p, ids in known.items():
+            if len(p) <= LONG_WORD:
+                self.words.put(p, ids)
         return out
 
+    def letter_ids(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode("utf-8").decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
     @staticmethod
     def parts(word: str) -> list[str]:
         found = PARTS.findall(word) if len(word) <= LONG_WORD and "<|" not in word else [word]
