@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,11 +74,11 @@ def test_null_keys_in_history(spark, strategy):
 def test_keys_beyond_32_bits(spark):
     big = (1 << 31) + 5
     day = dt.date(2024, 5, 6)
-    o = spark.createDataFrame([(big, big, big, 2, day, "completed", 20)],
+    o = spark.createDataFrame([(big, big, big, 2, day, "completed", Decimal(20))],
                               "order_id long, customer_id long, product_id long, quantity int, order_date date, "
                               "status string, total_amount decimal(10,2)")
     c = spark.createDataFrame([(big, "A", "B", "e", day, "UK", day, 7)], schemas.RAW_CUSTOMERS)
-    p = spark.createDataFrame([(big, "P", "Books", 5, day)], "product_id long, product_name string, "
+    p = spark.createDataFrame([(big, "P", "Books", Decimal(5), day)], "product_id long, product_name string, "
                               "category string, price decimal(10,2), created_at date")
     sc, so, sp = S.stg_customers(c, day), S.stg_orders(o), S.stg_products(p, day)
     assert M.fct_daily_sales(so, sp, sc).first().order_id == big
