@@ -316,3 +316,57 @@ SELECT p.product_id, p.category, CAST(k.category_id AS INTEGER) AS category_id,
 FROM stg_products p LEFT JOIN {SEED_CATEGORIES_SQL} ON p.category = k.category_name"""
 
 SQL["stream_incremental_load"] = SQL["incremental_upsert"]
+
+
+# ---------------------------------------------------------------- generator
+# Fixed values of the generator, written out: price ranges by product number,
+# cumulated status weights, Poisson(1) terms.
+GEN_PRICES = [(1, 13, 29.99, 2499.99), (14, 26, 9.99, 299.99), (27, 36, 19.99, 89.99), (37, 46, 49.99, 999.99)]
+GEN_STATUS = [("completed", 0.65), ("pending", 0.15), ("cancelled", 0.08), ("refunded", 0.05), ("shipped", 0.07)]
+
+
+def _u(id_sql: str, salt: str) -> str:
+    return (f"(CAST(CAST('0x' || substr(md5(CAST({id_sql} AS VARCHAR) || '|{salt}'), 1, 13) AS BIGINT) AS DOUBLE)"
+            " / 4503599627370496.0)")
+
+
+def _double(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+def _steps(u: str, terms: list[tuple[str, float]], last: str) -> str:
+    """CASE over a running sum of weights."""
+    run, out = 0.0, "CASE"
+    for label, weight in terms:
+        run += weight
+        out += f" WHEN {u} < {_double(run)} THEN {label}"
+    return f"{out} ELSE {last} END"
+
+
+def _gen_orders() -> str:
+    import math
+    whole = sum(w for _, w in GEN_STATUS)
+    status = _steps("us", [(_q(n), w / whole) for n, w in GEN_STATUS[:-1]], _q(GEN_STATUS[-1][0]))
+    poisson = _steps("uq", [(str(k), math.exp(-1.0) / math.factorial(k)) for k in range(17)], "17")
+    ranges = ", ".join(f"({a}, {b}, {_double(lo)}, {_double(hi)})" for a, b, lo, hi in GEN_PRICES)
+    return f"""
+WITH draws AS (
+  SELECT o_orderkey AS id, {_u('o_orderkey', 'year')} AS uy, {_u('o_orderkey', 'status')} AS us,
+         {_u('o_orderkey', 'qty')} AS uq, {_u('o_orderkey', 'amount')} AS ua,
+         CAST(floor({_u('o_orderkey', 'cust')} * (SELECT count(*) FROM customer)) AS BIGINT) + 1 AS cust,
+         CAST(floor({_u('o_orderkey', 'prod')} * 46) AS BIGINT) + 1 AS prod
+  FROM orders),
+prices AS (
+  SELECT p AS prod, CAST(round(lo + {_u('p', 'price')} * (hi - lo), 2) AS DECIMAL(10,2)) AS price
+  FROM range(1, 47) AS t(p) JOIN (VALUES {ranges}) AS r(a, b, lo, hi) ON p BETWEEN a AND b),
+made AS (
+  SELECT CASE WHEN uy < {_double(0.7)} THEN 2024 ELSE 2023 END AS order_year, {status} AS status,
+         {poisson} + 1 AS quantity, cust, price, {_double(0.8)} + ua * {_double(1.2 - 0.8)} AS factor
+  FROM draws JOIN prices USING (prod))
+SELECT CAST(order_year AS INTEGER) AS order_year, status, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS items,
+       CAST(sum(CAST(round(CAST(price AS DOUBLE) * quantity * factor, 2) AS DECIMAL(10,2))) AS DOUBLE) AS revenue,
+       count(DISTINCT cust) AS customers
+FROM made GROUP BY ALL"""
+
+
+SQL["gen_orders_profile"] = _gen_orders()

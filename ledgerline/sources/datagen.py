@@ -49,12 +49,13 @@ AMOUNT_LOW, AMOUNT_HIGH = 0.8, 1.2
 POISSON_MEAN = 1.0
 # ---------------------------------------------------------------------------
 
-_MASK53 = (1 << 53) - 1
+UNIFORM_DIGITS = 13  # hexadecimal digits of the hash: 52 bits
 
 
 def uniform(id_col: Column, salt: str) -> Column:
-    """A [0, 1) double from a 64-bit hash of (id, salt)."""
-    return F.xxhash64(id_col, F.lit(salt)).bitwiseAND(F.lit(_MASK53)).cast("double") / float(1 << 53)
+    """A [0, 1) double from the MD5 of 'id|salt', which any engine can repeat."""
+    digits = F.substring(F.md5(F.concat_ws("|", id_col.cast("string"), F.lit(salt))), 1, UNIFORM_DIGITS)
+    return F.conv(digits, 16, 10).cast("double") / float(16 ** UNIFORM_DIGITS)
 
 
 def randint(id_col: Column, salt: str, lo: int, hi: int) -> Column:
@@ -78,7 +79,7 @@ def weighted_choice(id_col: Column, salt: str, values: list, weights: list[float
 
 
 def poisson(id_col: Column, salt: str, mean: float) -> Column:
-    """Inverse-CDF Poisson draw.  The terms run until the largest 53-bit
+    """Inverse-CDF Poisson draw.  The terms run until the largest
     uniform number cannot exceed the CDF (or another term adds nothing)."""
     u = uniform(id_col, salt)
     expr, cdf, p, k = None, 0.0, math.exp(-mean), 0

@@ -56,10 +56,10 @@ def test_publish_is_all_or_nothing(spark, scratch, monkeypatch):
 
     monkeypatch.setattr(ST, "commit", crash)
     with pytest.raises(RuntimeError):
-        _build(spark, scratch, "b", c.limit(30), p, o.limit(0).unionByName(o), 2)
+        _build(spark, scratch, "b", c.withColumn("first_name", F.lit("Zed")), p, o, 2)
     monkeypatch.undo()
     assert ST.load(spark, scratch) == before
-    assert B.published_table(spark, scratch, "dim_customers").count() == 50
+    assert B.published_table(spark, scratch, "dim_customers").where("first_name = 'Zed'").count() == 0
     assert not os.path.exists(f"{scratch}/_runs/b")  # an unpublished run leaves nothing
     # a crash after the manifest: the next process's catalog follows the manifest
     monkeypatch.setattr(ST, "sync_catalog", crash)
