@@ -5,15 +5,19 @@ truncated logarithm (base ``BASE``) of the smallest of exponentially distributed
 the set: mergeable, and equal in two sketches with a probability that follows their Jaccard
 similarity.  ``ROWS`` registers make a band; sets that share a band are candidates (a pair of
 similarity 0.75 shares none with a probability of 3e-8).  From the registers of both and the
-set sizes the similarity's likelihood is known; a pair is dropped if 0.75 and above are e**20
+set sizes the similarity's likelihood is known; a pair is dropped if 0.75 and above are e**12
 times less likely than the best value, or excluded by the sizes.  The others are verified on
 their full sets.
 
 Equal sets are one node, so copies cost nothing.  No bucket is expanded into pairs: first each
 node is compared with its bucket's smallest node and the links are contracted to components;
-then only nodes that are still apart in a common bucket are compared, those outside the
-smallest node's component against the rest.  Every candidate pair is thereby linked, compared,
-or already connected, so components are those of all links.
+then only nodes still apart in a common bucket count.  How many of a node's shingles any other
+such node has bounds what it can share; that excludes the many variants of one text that are
+near it but not near enough, and names each bucket's most typical node, with which the others
+are compared next.  The few nodes then outside a bucket's main component are compared with what
+is apart from them there.
+Every candidate pair is thereby linked, compared, or already connected, so components are those
+of all links.
 
 Defined cases: null or empty text, or text of white space: empty set, linked with nothing;
 fewer words than a shingle: the whole sequence is the one shingle; a null id: the row is
@@ -38,7 +42,7 @@ from .graph import components
 WORDS, PERCENT = 5, 75
 BANDS, ROWS = 32, 3
 BASE = 1.02
-SURE = 20.0
+SURE = 12.0
 CHUNK = 1024
 
 _rng = np.random.default_rng(20)
@@ -177,23 +181,17 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                     .join(wanted, ["doc_id", "h"]).dropDuplicates(["doc_id", "h", "node"])
                     .select("node", "text"), "texts")
 
-    first = likely(shared.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-                   .distinct(), nodes)
-    links = written(verified(first, texts).unionByName(same_ids(rows)), "links")
+    links = written(verified(likely(shared.where("node <> hub").select(
+        F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), nodes), texts)
+        .unionByName(same_ids(rows)), "links")
     comps = components(links)
-
-    labelled = shared.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
-    labelled = labelled.join(comps.select(F.col("node").alias("hub"), F.col("component").alias("hc")), "hub", "left")
-    labelled = written(labelled.select("bucket", "node", "hub", "comp", F.coalesce("hc", "hub").alias("hub_comp")),
-                       "labelled")
-    # a node outside the hub's component against the others in the bucket that are apart from
-    # it; the pair with the hub itself was compared before
-    rest = labelled.where("comp <> hub_comp AND node <> hub").select(
-        "bucket", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("hub_comp").alias("ch"))
-    others = labelled.where("node <> hub").select("bucket", F.col("node").alias("y"), F.col("comp").alias("cy"))
-    apart = rest.join(others, "bucket").where("cx <> cy AND (cy = ch OR y < x)").select(
-        F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-    more = written(verified(likely(apart, nodes), texts), "links")
+    rest = able(open_buckets(shared, comps), texts, nodes)
+    more = written(verified(likely(hub_pairs(rest), nodes), texts), "links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        comps = components(links)
+        rest = open_buckets(rest, comps)
+    more = written(verified(likely(last_pairs(rest), nodes), texts), "links")
     if not more.isEmpty():
         comps = components(links.unionByName(more))
 
@@ -207,6 +205,74 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                       F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"))
 
 
+def open_buckets(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """``rows`` (bucket, node, ...) with their component (comp), of the buckets that hold more
+    than one component."""
+    keep = [c for c in rows.columns if c not in ("hub", "comp")]
+    rows = written(rows.select(*keep).join(comps, "node", "left").select(
+        *keep, F.coalesce("component", "node").alias("comp")), "labelled")
+    return several(rows)
+
+
+def several(rows: DataFrame) -> DataFrame:
+    apart = (rows.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+             .where("low < high").select("bucket"))
+    return rows.join(apart, "bucket")
+
+
+#: What two sets share is at most the smaller c, and a link of similarity j needs j / (1 + j)
+#: of both sizes.
+MAY_LINK = f"least({{0}}.c, {{1}}.c) * {100 + PERCENT} >= {PERCENT} * ({{0}}.n + {{1}}.n)"
+
+
+def hub_pairs(rows: DataFrame) -> DataFrame:
+    """Each node against its bucket's most typical one (the largest share of shingles that
+    others have), where both are apart: no more pairs than rows."""
+    hubs = rows.groupBy("bucket").agg(F.max(F.struct(
+        (F.col("c") / F.col("n")).alias("share"), "node", "comp", "n", "c")).alias("h"))
+    pairs = rows.withColumn("x", F.struct("n", "c")).join(hubs, "bucket").where("comp <> h.comp").where(
+        MAY_LINK.format("x", "h"))
+    return pairs.select(F.greatest("node", "h.node").alias("a"), F.least("node", "h.node").alias("b")).distinct()
+
+
+def able(rows: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``rows`` of nodes that can still link, with n and the number c of their shingles that
+    another open node has as well: a link needs c >= 0.75 n.  Shingles of one node only are
+    found by a count per shingle; nothing is joined back."""
+    open_nodes = written(rows.select("node").distinct(), "open")
+
+    def make():
+        def work(batch: pa.RecordBatch) -> dict:
+            sets = [shingles(t.as_py()) for t in batch.column(1)]
+            node = np.repeat(batch.column(0).to_numpy(), [len(s) for s in sets])
+            return {"node": pa.array(node), "s": pa.array(np.concatenate(sets).view(np.int64))}
+        return work
+
+    every = per_batch(texts.join(open_nodes, "node").select("node", "text"), "node long, s long", make)
+    own = (every.groupBy("s").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1")
+           .groupBy("node").agg(F.count("*").alias("u")))
+    bounds = open_nodes.join(nodes.select("node", "n"), "node").join(own, "node", "left").select(
+        "node", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("c")).where(F.col("c") * 100 >= F.col("n") * PERCENT)
+    return several(written(rows.join(bounds, "node"), "able"))
+
+
+def last_pairs(rows: DataFrame) -> DataFrame:
+    """All pairs that may link and are apart in a common bucket: the nodes outside a bucket's
+    most common component against its other nodes."""
+    sizes = rows.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
+    main = sizes.groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("m")).select(
+        "bucket", F.col("m.comp").alias("main"))
+    # a node has at most BANDS buckets; a pair counts in the first one that both have
+    own = rows.groupBy("node").agg(F.collect_set("bucket").alias("all"))
+    all_rows = rows.join(main, "bucket").join(own, "node").select(
+        "bucket", "main", F.struct("node", "comp", "n", "c", "all").alias("x"))
+    rest, others = all_rows.where("x.comp <> main"), all_rows.withColumnRenamed("x", "y").drop("main")
+    pairs = rest.join(others, "bucket").where(
+        "x.comp <> y.comp AND (y.comp = main OR y.node < x.node) AND " + MAY_LINK.format("x", "y")
+        + " AND bucket = array_min(array_intersect(x.all, y.all))")
+    return pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
+
+
 def same_ids(rows: DataFrame) -> DataFrame:
     """Links (a, b) between the sets of one id that has several."""
     sets = rows.where("node IS NOT NULL").select("doc_id", "node")
