@@ -61,8 +61,10 @@ def sketch(keys: Column, width: Column) -> Column:
                         F.aggregate(hit, zero, lambda a, d: a.bitwiseXOR(check(d))).alias("c"))
 
     def subtable(j: int) -> Column:
-        return F.transform(F.sequence(F.lit(0), (width - 1).cast("int")),
-                           lambda i: let(F.filter(keys, lambda d: place(d, j, width) == i), cell))
+        placed = F.transform(keys, lambda d: F.struct(place(d, j, width).alias("at"), d.alias("k")))
+        return let(placed, lambda ps: F.transform(
+            F.sequence(F.lit(0).cast("long"), width - 1),
+            lambda i: let(F.transform(F.filter(ps, lambda p: p["at"] == i), lambda p: p["k"]), cell)))
 
     return F.concat(*[subtable(j) for j in range(SUBTABLES)])
 
@@ -73,24 +75,24 @@ def peel(a: Column, b: Column, width: Column) -> Column:
         (x["n"] - y["n"]).alias("n"), x["k"].bitwiseXOR(y["k"]).alias("k"), x["c"].bitwiseXOR(y["c"]).alias("c")))
     none = F.expr("CAST(array() AS array<struct<k:bigint,n:int>>)")
 
-    def index(p: Column, i: Column) -> Column:
-        table = F.floor(i / width)
-        part = F.when(table == 0, place(p, 0, width)).when(table == 1, place(p, 1, width)).otherwise(
-            place(p, 2, width))
-        return part + table * width == i
+    def placed(x: Column) -> Column:
+        k = x["k"]
+        return F.struct(k.alias("k"), x["n"].alias("n"), x["c"].alias("c"), place(k, 0, width).alias("i"),
+                        (place(k, 1, width) + width).alias("j"), (place(k, 2, width) + 2 * width).alias("l"))
 
     def step(state: Column, _: Column) -> Column:
         pure = F.array_distinct(F.transform(
-            F.filter(state["cells"], lambda x: (F.abs(x["n"]) == 1) & (check(x["k"]) == x["c"])),
-            lambda x: F.struct(x["k"].alias("k"), x["n"].alias("n"))))
+            F.filter(state["cells"], lambda x: ((x["n"] == 1) | (x["n"] == -1)) & (check(x["k"]) == x["c"])),
+            placed))
 
         def taken(found: Column) -> Column:
             left = F.when(F.size(found) == 0, state["cells"]).otherwise(F.transform(
                 state["cells"], lambda x, i: F.aggregate(
-                    F.filter(found, lambda p: index(p["k"], i)), x,
+                    F.filter(found, lambda p: (p["i"] == i) | (p["j"] == i) | (p["l"] == i)), x,
                     lambda acc, p: F.struct((acc["n"] - p["n"]).alias("n"), acc["k"].bitwiseXOR(p["k"]).alias("k"),
-                                            acc["c"].bitwiseXOR(check(p["k"])).alias("c")))))
-            return F.struct(left.alias("cells"), F.concat(state["found"], found).alias("found"))
+                                            acc["c"].bitwiseXOR(p["c"]).alias("c")))))
+            new = F.transform(found, lambda p: F.struct(p["k"].alias("k"), p["n"].alias("n")))
+            return F.struct(left.alias("cells"), F.concat(state["found"], new).alias("found"))
 
         return let(pure, taken)
 
