@@ -11,12 +11,14 @@ A text's evidence is length-normalised twice: the log-likelihood ratio a word ov
 text, and over its ``TOP`` most telling distinct words, which long clean texts do not dilute.
 The score is a logistic function of both.
 
-Counts live in tables of fixed size by word hash (2**20 words, 2**20 pairs); the corpus counts
-are linear counts in 64-bit masks, which merge by OR.  Every task adds up its own tables and
-sends its used slots; Spark sums them.  Nothing that is collected or broadcast is larger than
-the tables.  Class counts come from a bounded sample of labelled rows (``SAMPLE`` rows a class,
-smallest id hash first, not held out); corpus counts from all rows.  A quarter of the sample is
-kept from the counts and fits the logistic.
+Words go by their full 64-bit hash; a word and its neighbour by the two places of their hashes
+in the sorted words of the sample, so no two share a count.  Class counts are exact numbers of
+documents from a bounded sample of labelled rows (``SAMPLE`` rows a class, smallest id hash
+first, not held out).  The number of distinct words after a word is exact over all rows and
+grows with them: it is counted in Spark, for the words of the sample.  The model holds the
+sample's distinct words and pairs and no others; it is collected and broadcast, and follows
+the sample, which is bounded.  What the sample does not hold is unseen: it backs off.  A
+quarter of the sample is kept from the counts and fits the logistic.
 
 Defined cases: null or empty text has the score of no evidence, below 0.5; several labels of
 one id count as their maximum, null labels not at all; a null id is carried, never labelled;
@@ -26,19 +28,20 @@ without labels of both classes nothing is predicted toxic; an empty table gives
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, beside, per_batch, quoted, unused
+from .common import Memo, beside, per_batch, quoted, unused, written
 from .language import held_out
 
 WORD = re.compile(r"[^\W\d_]+")
-SLOTS = 1 << 20
 MEMO_WORDS = 600_000
+#: Words that a task gathers before it makes rows of them.
+PART = 1_000_000
 SAMPLE = 100_000
 DISCOUNT = 0.75
 #: Documents' worth of smoothing for a word, and for the pairs of a context.
@@ -52,7 +55,7 @@ _hashes = Memo(MEMO_WORDS)
 
 
 def _hash(word: str) -> int:
-    return _hashes.put(word, zlib.crc32(word.encode("utf-8")))
+    return _hashes.put(word, xxhash.xxh3_64_intdigest(word))
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -63,45 +66,126 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.array(found, np.uint64)
 
 
-def slots(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word slots, and slots of the pairs of neighbours."""
-    mixed = (h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
-    return (h & np.uint64(SLOTS - 1)).astype(np.int64), (mixed >> np.uint64(44)).astype(np.int64)
-
-
-class _Count:
-    """Tables of one task: documents with a word, a pair or pairs of a context, by class; and
-    masks of the words that come after a word in the corpus."""
-
-    def __init__(self):
-        self.classes = np.zeros((2, 2 * SLOTS), np.int32)
-        self.contexts = np.zeros((2, SLOTS), np.int32)
-        self.after = np.zeros(SLOTS, np.uint64)
-
-    def __call__(self, batch: pa.RecordBatch) -> None:
-        one = np.uint64(1)
-        for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
-            h = word_hashes(text.as_py())
-            if not len(h):
-                continue
-            words, pairs = slots(h)
-            np.bitwise_or.at(self.after, words[:-1], one << (h[1:] >> np.uint64(26)))
-            if label is not None:
-                self.classes[label][np.unique(words)] += 1
-                pairs, first = np.unique(pairs, return_index=True)
-                self.classes[label][pairs + SLOTS] += 1
-                np.add.at(self.contexts[label], words[first], 1)
-
-    def finish(self) -> dict:
-        used = self.classes.any(axis=0)
-        used[:SLOTS] |= self.after != 0
-        at = np.flatnonzero(used)
-        pad = np.zeros(SLOTS, np.int32)
-        wide = [np.concatenate([x, pad.astype(x.dtype)])[at] for x in (*self.contexts, self.after)]
-        return {"slot": pa.array(at.astype(np.int32)),
-                "ordinary": pa.array(self.classes[0][at]), "toxic": pa.array(self.classes[1][at]),
-                "from_ordinary": pa.array(wide[0]), "from_toxic": pa.array(wide[1]),
-                "after": pa.array(wide[2].view(np.int64))}
+def places(values: np.ndarray, sorted_values: np.ndarray) -> np.ndarray:
+    """Places of values in a sorted array without repeats, -1 for those it does not hold."""
+    if not len(sorted_values):
+        return np.full(len(values), -1, np.int64)
+    at = np.minimum(np.searchsorted(sorted_values, values), len(sorted_values) - 1)
+    return np.where(sorted_values[at] == values, at, -1)
+
+
+def distinct_places(values: np.ndarray, sorted_values: np.ndarray) -> np.ndarray:
+    """``places`` of many values with repeats; sorted, they are found in one sweep."""
+    distinct, back = np.unique(values, return_inverse=True)
+    return places(distinct, sorted_values)[back]
+
+
+def pair_keys(at: np.ndarray) -> np.ndarray:
+    """Keys of neighbours by their places; negative if either word is not in the sample."""
+    key = (at[:-1] << 32) | at[1:]
+    key[(at[:-1] < 0) | (at[1:] < 0)] = -1
+    return key
+
+
+def packed(pairs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys as the number of pairs of each of ``n`` first words and their second words."""
+    ends = np.searchsorted(pairs, np.arange(n + 1, dtype=np.int64) << 32)
+    return np.diff(ends).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32)
+
+
+def unpacked(numbers: np.ndarray, second: np.ndarray) -> np.ndarray:
+    pairs = np.repeat(np.arange(len(numbers), dtype=np.int64) << 32, numbers)
+    pairs |= second
+    return pairs
+
+
+def parts(batch: pa.RecordBatch):
+    """Word hashes of the texts of a batch (its first column), with their row numbers, for
+    some ``PART`` words at once."""
+    rows, found, size = [], [], 0
+    for i, text in enumerate(batch.column(0)):
+        h = word_hashes(text.as_py())
+        if len(h):
+            rows.append(i)
+            found.append(h)
+            size += len(h)
+        if size >= PART:
+            yield rows, found
+            rows, found, size = [], [], 0
+    if rows:
+        yield rows, found
+
+
+def _counted(name: str, by_class: list[list[np.ndarray]]) -> dict:
+    """Rows (value, ordinary, toxic) from arrays of values, one a document, by class."""
+    values, counts = zip(*[np.unique(np.concatenate([np.empty(0, np.int64), *v]), return_counts=True)
+                           for v in by_class])
+    zero = [np.zeros(len(v), np.int32) for v in values]
+    return {name: pa.array(np.concatenate(values)),
+            "ordinary": pa.array(np.concatenate([counts[0].astype(np.int32), zero[1]])),
+            "toxic": pa.array(np.concatenate([zero[0], counts[1].astype(np.int32)]))}
+
+
+def _merged(made: list[dict]) -> dict | None:
+    return {k: pa.concat_arrays([m[k] for m in made]) for k in made[0]} if made else None
+
+
+def _words():
+    """Documents of a class with a word."""
+    def work(batch: pa.RecordBatch) -> dict | None:
+        labels, made = batch.column(1).to_pylist(), []
+        for rows, found in parts(batch):
+            by_class = [[], []]
+            for i, h in zip(rows, found):
+                by_class[labels[i]].append(np.unique(h).view(np.int64))
+            made.append(_counted("word", by_class))
+        return _merged(made)
+
+    return work
+
+
+def _pairs(shared):
+    """Documents of a class with a pair."""
+    words = shared.value
+
+    def work(batch: pa.RecordBatch) -> dict | None:
+        labels, made = batch.column(1).to_pylist(), []
+        for rows, found in parts(batch):
+            at = distinct_places(np.concatenate(found), words)
+            by_class, start = [[], []], 0
+            for i, h in zip(rows, found):
+                by_class[labels[i]].append(np.unique(pair_keys(at[start:start + len(h)])))
+                start += len(h)
+            made.append(_counted("pair", by_class))
+        return _merged(made)
+
+    return work
+
+
+def _others(shared):
+    """Distinct pairs that are not in the sample, by places; all first words outside the sample
+    are one, -1, a second word outside it goes by its hash."""
+    words, pairs = shared.value
+    pairs = unpacked(*pairs)
+
+    def work(batch: pa.RecordBatch) -> dict | None:
+        made = []
+        for _, found in parts(batch):
+            h = np.concatenate(found)
+            at = distinct_places(h, words)
+            follows = np.ones(len(h), bool)
+            follows[np.cumsum([0, *map(len, found)])[:-1]] = False
+            first = np.flatnonzero(follows[1:])
+            a, b = at[first], at[first + 1]
+            known = np.unique((a[b >= 0] << 32) | b[b >= 0])
+            known = known[places(known, pairs) < 0]
+            rare = np.unique(np.column_stack([a[b < 0], h[first + 1][b < 0].view(np.int64)]), axis=0)
+            made.append({"word": pa.array(np.concatenate([known >> 32, rare[:, 0]]).astype(np.int32)),
+                         "place": pa.array(np.concatenate([known & 0xFFFFFFFF, np.full(len(rare), -1)]).astype(np.int32)),
+                         "hash": pa.array(np.concatenate([np.zeros(len(known), np.int64), rare[:, 1]]))})
+        return _merged(made)
+
+    return work
 
 
 def linear_count(masks: np.ndarray) -> np.ndarray:
@@ -111,50 +195,85 @@ def linear_count(masks: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Log-probability ratios of words, and what pairs add to them."""
+    """Log-probability ratios of words and pairs.  ``words``: sorted hashes; ``counts`` and
+    ``pair_counts``: documents by class; ``pairs``: sorted keys; ``after``: distinct words
+    that come after a word in the corpus, at last after all words outside the sample."""
 
-    def __init__(self, classes: np.ndarray, contexts: np.ndarray, after: np.ndarray):
+    def __init__(self, words: np.ndarray, counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray,
+                 after: np.ndarray):
         self.fit = DEFAULT_FIT
-        words, pairs = classes[:, :SLOTS].astype(np.float64), classes[:, SLOTS:]
-        size = words.sum(axis=1)
+        self.words, self.pairs = words, pairs
+        size = counts.sum(axis=1).astype(np.float64)
         self.known = bool(size.all())
         if not self.known:
             return
         share = size / size.sum()
-        rare = WORD_WEIGHT * share[:, None]
-        word = np.maximum(words - DISCOUNT, 0.0) + rare
-        self.word = word / word.sum(axis=1, keepdims=True)
-        self.ratio = np.log(self.word[1] / self.word[0]).astype(np.float32)
-        self.pairs = pairs.astype(np.float32)
-        self.handed = (share[:, None] * (DISCOUNT * linear_count(after) + CONTEXT_WEIGHT)).astype(np.float32)
-        self.room = (contexts + self.handed).astype(np.float32)
-        self.often = pairs.sum(axis=0) >= 10  # below that a pair weighs less than a hundredth
+        word = np.maximum(counts - DISCOUNT, 0.0) + WORD_WEIGHT * share[:, None]
+        # one factor for both classes: a word that neither has is as likely in both
+        word /= size[:, None] * (word.sum() / size.sum())
+        # the last place, -1, is that of all words that are not in the sample
+        self.ratio = np.append(np.log(word[1] / word[0]), 0.0).astype(np.float32)
+        self.handed = share[:, None] * (DISCOUNT * after + CONTEXT_WEIGHT)
+        self.adds = np.zeros(len(pairs) + 1, np.float32)  # what a pair adds; the last: no pair of the sample
+        contexts = np.zeros((2, len(after)))
+        for i in range(0, len(pairs), PART):
+            first, second = pairs[i:i + PART] >> 32, pairs[i:i + PART] & 0xFFFFFFFF
+            side = [np.log(np.maximum(n[i:i + PART] - DISCOUNT, 0.0)
+                           / (self.handed[c][first] * word[c][second]) + 1.0)
+                    for c, n in enumerate(pair_counts)]
+            self.adds[i:i + len(first)] = side[1] - side[0]
+            for c, n in enumerate(pair_counts):
+                np.add.at(contexts[c], first, n[i:i + PART])
+        often = pair_counts.sum(axis=0) >= 10  # below that a pair weighs less than a hundredth
+        back = np.log(self.handed / (contexts + self.handed))
+        self.adds[:-1] = np.where(often, self.adds[:-1] + (back[1] - back[0])[pairs >> 32], 0.0)
+
+    def __getstate__(self) -> dict:
+        """What a task needs."""
+        state = {k: v for k, v in vars(self).items() if k != "handed"}
+        return state | {"pairs": packed(self.pairs, len(self.words))}
+
+    def __setstate__(self, state: dict) -> None:
+        vars(self).update(state | {"pairs": unpacked(*state["pairs"])})
+
+    def evidences(self, texts) -> list[tuple[float, float]]:
+        """Log-likelihood ratio a word of the most telling distinct words, and of all words."""
+        out = [(0.0, 0.0)] * len(texts)
+        if not self.known:
+            return out
+        for rows, found in parts(pa.record_batch([texts], names=["text"])):
+            h = np.concatenate(found)
+            at = distinct_places(h, self.words)
+            logs = self.ratio[at].astype(np.float64)
+            more = self.adds[distinct_places(pair_keys(at), self.pairs)]
+            ends = np.cumsum(list(map(len, found)))
+            more[ends[:-1] - 1] = 0.0  # the next text's first word
+            logs[1:] += more
+            for i, start, end in zip(rows, [0, *ends], ends):
+                out[i] = _evidence_of(h[start:end], logs[start:end])
+        return out
 
     def evidence(self, text: str | None) -> tuple[float, float]:
-        """Log-likelihood ratio a word of the most telling distinct words, and of all words."""
-        h = word_hashes(text)
-        if not len(h) or not self.known:
-            return 0.0, 0.0
-        words, pairs = slots(h)
-        logs = self.ratio[words].astype(np.float64)
-        at = np.flatnonzero(self.often[pairs])
-        if len(at):
-            context, word, pair = words[at], words[at + 1], pairs[at]
-            side = [np.log((np.maximum(self.pairs[c][pair] - DISCOUNT, 0.0)
-                            + self.handed[c][context] * self.word[c][word]) / self.room[c][context])
-                    for c in (0, 1)]
-            logs[at + 1] = side[1] - side[0]
-        order = np.argsort(-logs, kind="stable")
-        _, first = np.unique(words[order], return_index=True)
-        best = logs[order[np.sort(first)[:TOP]]]
-        return float(best.sum()) / TOP, float(logs.sum()) / (len(logs) + 20.0)
-
-    def score(self, text: str | None) -> float:
+        return self.evidences(pa.array([text], pa.string()))[0]
+
+    def scores(self, texts) -> list[float]:
         if not self.known:
-            return 0.0
-        x, y = self.evidence(text)
+            return [0.0] * len(texts)
         a, b, c = self.fit
-        return float(1.0 / (1.0 + np.exp(-np.clip(a * x + b * y + c, -50, 50))))
+        x, y = np.array(self.evidences(texts)).reshape(-1, 2).T
+        return (1.0 / (1.0 + np.exp(-np.clip(a * x + b * y + c, -50, 50)))).tolist()
+
+
+def _evidence_of(h: np.ndarray, logs: np.ndarray) -> tuple[float, float]:
+    order = np.argsort(-logs, kind="stable")
+    best, seen = 0.0, set()
+    for i in order:
+        if h[i] not in seen:
+            seen.add(h[i])
+            best += logs[i]
+            if len(seen) == TOP:
+                break
+    return float(best) / TOP, float(logs.sum()) / (len(logs) + 20.0)
 
 
 def labelled_sample(labels: DataFrame, size: int = SAMPLE) -> DataFrame:
@@ -167,6 +286,14 @@ def labelled_sample(labels: DataFrame, size: int = SAMPLE) -> DataFrame:
             .unionByName(one.where("label = 1").orderBy(*order).limit(size)))
 
 
+def _sorted(rows: DataFrame, kind) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (the first column) in order and both classes' counts."""
+    found = rows.toArrow()
+    keys = found[0].to_numpy().view(kind)
+    order = np.argsort(keys)
+    return keys[order], np.stack([found[c].to_numpy()[order] for c in ("ordinary", "toxic")])
+
+
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
     spark = docs.sparkSession
     sample = labelled_sample(labels, size).select(
@@ -177,20 +304,36 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
     # the sample has at most 2 * size rows of two small numbers
     joined = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").alias("_text")).join(
         F.broadcast(sample), F.col("_doc") == F.col("_id"), "left")
-    rows = per_batch(joined.select("_text", "_label"), "slot int, ordinary int, toxic int, "
-                     "from_ordinary int, from_toxic int, after long", _Count, finish="finish")
-    found = rows.groupBy("slot").agg(
-        *[F.sum(c).alias(c) for c in ("ordinary", "toxic", "from_ordinary", "from_toxic")],
-        F.bit_or("after").alias("after")).toArrow()  # at most 2 * SLOTS rows
-    at = found["slot"].to_numpy()
-    classes, contexts = np.zeros((2, 2 * SLOTS), np.int64), np.zeros((2, 2 * SLOTS), np.int64)
-    for c, name in enumerate(("ordinary", "toxic")):
-        classes[c][at], contexts[c][at] = found[name].to_numpy(), found[f"from_{name}"].to_numpy()
-    after = np.zeros(2 * SLOTS, np.uint64)
-    after[at] = found["after"].to_numpy().view(np.uint64)
-    model = Model(classes, contexts[:, :SLOTS], after[:SLOTS])
-    if not model.known:
-        return model
+    counted = joined.where("_label is not null").select("_text", "_label")
+
+    def summed(rows: DataFrame, by: str) -> DataFrame:
+        return rows.groupBy(by).agg(*[F.sum(c).cast("int").alias(c) for c in ("ordinary", "toxic")])
+
+    # distinct words, then pairs, of the bounded sample
+    words, counts = _sorted(summed(per_batch(counted, "word long, ordinary int, toxic int", _words), "word"), np.uint64)
+    if not counts.sum(axis=1).all():
+        return Model(words, counts, np.empty(0, np.int64), np.empty((2, 0), np.int32), np.zeros(len(words) + 1))
+    lent = spark.sparkContext.broadcast(words)
+    table = written(summed(per_batch(counted, "pair long, ordinary int, toxic int", lambda: _pairs(lent)), "pair"),
+                    "toxicity-pairs")
+    n = table.count()
+    pairs, pair_counts, done = np.empty(n, np.int64), np.empty((2, n), np.int32), 0
+    step = -(-len(words) // max(1, n // PART))
+    for low in range(0, len(words), step):  # the driver gathers some PART pairs at once
+        keys, found = _sorted(table.where((F.col("pair") >= low << 32) & (F.col("pair") < (low + step) << 32)), np.int64)
+        pairs[done:done + len(keys)], pair_counts[:, done:done + len(keys)] = keys, found
+        done += len(keys)
+
+    # distinct words after each: those of the sample's pairs, and all others of the corpus
+    both = spark.sparkContext.broadcast((words, packed(pairs, len(words))))
+    others = per_batch(joined.where("_label is null").select("_text"), "word int, place int, hash long",
+                       lambda: _others(both)).distinct().groupBy("word").count().toArrow()  # a row a word
+    after = np.bincount(pairs >> 32, minlength=len(words) + 1).astype(np.float64)
+    after[others["word"].to_numpy()] += others["count"].to_numpy()
+    lent.destroy()
+    both.destroy()
+    spark.sparkContext._jvm.java.lang.System.gc()  # lets go of shuffles that are read
+    model = Model(words, counts, pairs, pair_counts, after)
     shared = spark.sparkContext.broadcast(model)
     held = joined.where("_target is not null and _label is null").select("_text", "_target")
     pairs = per_batch(held, "best double, mean double, target int", lambda: _evidence(shared)).toPandas()
@@ -202,7 +345,7 @@ def _evidence(shared):
     model = shared.value
 
     def work(batch: pa.RecordBatch) -> dict:
-        found = [model.evidence(t.as_py()) for t in batch.column(0)]
+        found = model.evidences(batch.column(0))
         return {"best": [x for x, _ in found], "mean": [y for _, y in found], "target": batch.column(1)}
 
     return work
@@ -228,13 +371,13 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[float, flo
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",),
           names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """``keep`` columns plus score and predicted of every row; nothing is shuffled."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # tables of fixed size
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # words and pairs of the bounded sample
 
     def make():
         model = shared.value
 
         def work(texts: pa.Array) -> list[list]:
-            found = [model.score(t.as_py()) for t in texts]
+            found = model.scores(texts)
             return [found, [int(p >= 0.5) for p in found]]
 
         return work

@@ -1,6 +1,8 @@
 """Toxicity: planted expressions on held-out rows, odd rows, what a score may read."""
 
+import itertools
 import random
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -71,3 +73,16 @@ def test_linear_count():
     masks = np.array([0, 1, 3, 2**64 - 1], np.uint64)
     n = T.linear_count(masks)
     assert n[0] == 0 and 1 <= n[1] < 1.1 and n[2] > n[1] and 300 < n[3] < 340
+
+
+def test_counts_are_exact_and_words_share_nothing(spark):
+    docs, labels = planted(spark, 400)
+    more = spark.createDataFrame([(10000 + i, f"ban q{'abcdefghijklmnopqrstuvwxyz'[i % 26]}{'x' * (i // 26)}")
+                                  for i in range(500)], "doc_id long, text string")
+    a, b = T.fit(docs, labels), T.fit(docs.unionByName(more), labels)
+    grown = (b.handed - a.handed).sum(axis=0)
+    assert np.isclose(grown.max(), 500 * T.DISCOUNT) and (np.round(grown, 6) > 0).sum() == 1
+    wanted = zlib.crc32(b"zork") % 2**20
+    other = next(w for w in map("".join, itertools.product("abcdefghijklmnopqrstuvwxyz", repeat=5))
+                 if zlib.crc32(w.encode()) % 2**20 == wanted)
+    assert a.evidence("zork")[0] > 1 and a.evidence(other) == (0.0, 0.0)
