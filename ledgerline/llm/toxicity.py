@@ -216,17 +216,19 @@ class Model:
         self.handed = share[:, None] * (DISCOUNT * after + CONTEXT_WEIGHT)
         self.adds = np.zeros(len(pairs) + 1, np.float32)  # what a pair adds; the last: no pair of the sample
         contexts = np.zeros((2, len(after)))
+        # a pair's backoff is also worth as many documents as a word's, however rare the word
+        weight = WORD_WEIGHT / (share[:, None] * word).sum(axis=0)
         for i in range(0, len(pairs), PART):
             first, second = pairs[i:i + PART] >> 32, pairs[i:i + PART] & 0xFFFFFFFF
             side = [np.log(np.maximum(n[i:i + PART] - DISCOUNT, 0.0)
-                           / (self.handed[c][first] * word[c][second]) + 1.0)
+                           / ((self.handed[c][first] + share[c] * weight[second]) * word[c][second]) + 1.0)
                     for c, n in enumerate(pair_counts)]
             self.adds[i:i + len(first)] = side[1] - side[0]
             for c, n in enumerate(pair_counts):
                 np.add.at(contexts[c], first, n[i:i + PART])
-        often = pair_counts.sum(axis=0) >= 10  # below that a pair weighs less than a hundredth
         back = np.log(self.handed / (contexts + self.handed))
-        self.adds[:-1] = np.where(often, self.adds[:-1] + (back[1] - back[0])[pairs >> 32], 0.0)
+        #: What a context changes of a word's ratio where their pair is unseen.
+        self.back = (back[1] - back[0]).astype(np.float32)
 
     def __getstate__(self) -> dict:
         """What a task needs."""
@@ -245,7 +247,7 @@ class Model:
             h = np.concatenate(found)
             at = distinct_places(h, self.words)
             logs = self.ratio[at].astype(np.float64)
-            more = self.adds[distinct_places(pair_keys(at), self.pairs)]
+            more = self.back[at[:-1]] + self.adds[distinct_places(pair_keys(at), self.pairs)]
             ends = np.cumsum(list(map(len, found)))
             more[ends[:-1] - 1] = 0.0  # the next text's first word
             logs[1:] += more

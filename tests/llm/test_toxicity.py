@@ -86,3 +86,16 @@ def test_counts_are_exact_and_words_share_nothing(spark):
     other = next(w for w in map("".join, itertools.product("abcdefghijklmnopqrstuvwxyz", repeat=5))
                  if zlib.crc32(w.encode()) % 2**20 == wanted)
     assert a.evidence("zork")[0] > 1 and a.evidence(other) == (0.0, 0.0)
+
+
+def test_expressions_of_few_documents_count(spark):
+    """A pair of ordinary words in nine toxic documents and no ordinary one."""
+    docs, labels = planted(spark, 600)
+    ids = [r.doc_id for r in T.labelled_sample(labels).where("label = 1").orderBy("doc_id").collect()
+           if zlib.crc32(str(r.doc_id).encode()) % 5 != T.CALIBRATE_REST][:9]
+    assert len(ids) == 9
+    docs = docs.withColumn("text", F.when(F.col("doc_id").isin(ids), F.concat(F.lit("ban gust "), "text"))
+                           .otherwise(F.regexp_replace("text", "ban gust", "ban")))
+    model = T.fit(docs, labels)
+    together, apart = model.evidence("ban gust"), model.evidence("gust ban")
+    assert together[0] > apart[0] + 0.5 and together[1] > apart[1]
