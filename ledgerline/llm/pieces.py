@@ -83,6 +83,8 @@ class PieceModel:
         self.words = Memo(MEMO_WORDS)
         self.spaced = [p.replace(MARK, " ") for p in self.text]
         self.shown = {p: str(i) for p, i in self.ids.items()}
+        self.surface_of = {str(i): p for i, p in enumerate(self.spaced)
+                           if i != self.unk and i not in self.byte_of and i not in self.control}
         #: Neighbours inside some piece; between any others a word may be parted.
         self.within = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
 
@@ -288,6 +290,16 @@ class PieceModel:
     def decode(self, ids: list[int]) -> str:
         return self.strip(self.surface(ids))
 
+    def decode_joined(self, joined: str) -> str:
+        """``decode`` of ids in decimal; runs without bytes go by a table of surfaces."""
+        if not joined:
+            return ""
+        shown = joined.split(",")
+        found = list(map(self.surface_of.get, shown))
+        if None in found:
+            return self.decode(list(map(int, shown)))
+        return self.strip("".join(found))
+
     def strip(self, text: str) -> str:
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
@@ -318,8 +330,7 @@ def encode_table(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
                 joined = m.joined(text)
                 out["n_tokens"].append(joined.count(",") + 1 if joined else 0)
                 found = np.array(joined.split(","), "<i4") if ids and joined else np.empty(0, "<i4")
-                # every word's ids were seen to decode to the word, so the whole text's do
-                decoded = m.decode(found.tolist()) if ids else (text or "").replace(MARK, " ")
+                decoded = m.decode(found.tolist()) if ids else m.decode_joined(joined)
                 if ids:
                     out["ids"].append(found)
                     out["decoded"].append(decoded)

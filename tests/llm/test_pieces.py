@@ -62,3 +62,21 @@ def test_query_digests(spark, library):
         ids = library.encode(texts[r.doc_id])
         assert r.ids_sha256 == sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == sha256(library.decode(ids).encode()).hexdigest()
+
+
+def test_query_decodes_the_ids(spark, monkeypatch):
+    """A wrong id shows in the digest of the decoded text."""
+    import ledgerline.llm.pieces as P
+
+    m = model(PATH)
+    for text in ODD:
+        assert m.decode_joined(m.joined(text)) == m.decode(m.encode(text)), text
+    made = {}
+    wrong = ",".join(map(str, m.encode("other")))
+    monkeypatch.setattr(m, "joined", lambda text: wrong)
+    monkeypatch.setattr(P, "per_batch", lambda df, schema, make: made.setdefault("work", make()))
+    encode_table(spark.createDataFrame([(1, "text")], "doc_id long, text string"), PATH, ids=False, digests=True)
+    import hashlib
+    import pyarrow as pa
+    out = made["work"](pa.record_batch([pa.array([1]), pa.array(["text"])], names=["doc_id", "text"]))
+    assert out["decoded_sha256"] == [hashlib.sha256(b"other").hexdigest()]
