@@ -131,10 +131,11 @@ def likeness(number: Column, keys_a: Column, keys_b: Column) -> Column:
 
 
 def as_text(cells: Column) -> Column:
-    """Cells as text: two hexadecimal digits of the count, sixteen of the XOR of digests."""
+    """Cells as text, hexadecimal: eight digits of the count, sixteen of the XOR of digests,
+    sixteen of the XOR of check values."""
     return F.array_join(F.transform(cells, lambda x: F.concat(
-        F.right(F.lpad(F.hex(x["n"].cast("long")), 2, "0"), F.lit(2)),
-        F.lpad(F.hex(x["k"]), 16, "0"))), "")
+        F.lpad(F.hex(x["n"].cast("long")), 8, "0"), F.lpad(F.hex(x["k"]), 16, "0"),
+        F.lpad(F.hex(x["c"]), 16, "0"))), "")
 
 
 def in_ranges(docs: DataFrame, key: str, ranges: int) -> tuple[Column, list[tuple[int, int]]]:

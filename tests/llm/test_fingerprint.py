@@ -66,3 +66,15 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
     plan = P.compare(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_stored_fingerprints_hold_whole_cells(spark):
+    text = "\n".join(f"line {i}" for i in range(9000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    sketched = df.select(P.sketch(P.digests(F.col("text")), F.lit(P.WIDTH).cast("long")).alias("c"))
+    cells, stored = sketched.select("c", P.as_text(F.col("c"))).first()
+    parts = [stored[i:i + 40] for i in range(0, len(stored), 40)]
+    unsigned = 2**64 - 1
+    assert max(c.n for c in cells) > 255
+    assert [(int(p[:8], 16), int(p[8:24], 16), int(p[24:], 16)) for p in parts] == [
+        (c.n, c.k & unsigned, c.c & unsigned) for c in cells]
