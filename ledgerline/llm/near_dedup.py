@@ -283,10 +283,10 @@ def same_ids(rows: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that are kept, one of each group, with all their columns; rows with a null
-    id all stay."""
+    id all stay, and so do different texts of a kept id."""
     kept = group(docs, id_col, text_col).where("kept AND doc_id IS NOT NULL").select(
         F.col("doc_id").alias("_kept_id")).distinct()
     named = docs.where(F.col(f"`{id_col}`").isNotNull())
     one = (named.join(kept, F.col(f"`{id_col}`").cast("long") == F.col("_kept_id"), "left_semi")
-           .dropDuplicates([id_col]))
+           .dropDuplicates([id_col, text_col]))
     return one.unionByName(docs.where(F.col(f"`{id_col}`").isNull())).select(*quoted(docs.columns))

@@ -100,3 +100,10 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 10: 10, 11: 10, 12: 10}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_texts_of_one_id_all_stay(spark):
+    rows = [(1, "some words of one text here"), (1, "quite another text that shares nothing"),
+            (1, "some words of one text here"), (2, "some words of one text here")]
+    kept = N.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in kept) == sorted(rows[:2])
