@@ -5,7 +5,7 @@ truncated logarithm (base ``BASE``) of the smallest of exponentially distributed
 the set: mergeable, and equal in two sketches with a probability that follows their Jaccard
 similarity.  ``ROWS`` registers make a band; sets that share a band are candidates (a pair of
 similarity 0.75 shares none with a probability of 3e-8).  From the registers of both and the
-set sizes the similarity's likelihood is known; a pair is dropped if 0.75 and above are e**12
+set sizes the similarity's likelihood is known; a pair is dropped if 0.75 and above are e**20
 times less likely than the best value, or excluded by the sizes.  The others are verified on
 their full sets.
 
@@ -42,7 +42,7 @@ from .graph import components
 WORDS, PERCENT = 5, 75
 BANDS, ROWS = 32, 3
 BASE = 1.02
-SURE = 12.0
+SURE = 20.0
 CHUNK = 1024
 
 _rng = np.random.default_rng(20)

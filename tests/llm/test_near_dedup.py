@@ -107,3 +107,16 @@ def test_texts_of_one_id_all_stay(spark):
             (1, "some words of one text here"), (2, "some words of one text here")]
     kept = N.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(tuple(r) for r in kept) == sorted(rows[:2])
+
+
+def test_only_pairs_at_e20_odds_are_dropped():
+    """A pair whose odds against 0.75 lie between e^12 and e^20 is verified."""
+    grid = np.linspace(0.01, 1.0, 100)
+    odds = []
+    for same in range(97):  # registers that two sets of one size have in common
+        a, b = np.zeros((1, 96)), np.zeros((1, 96))
+        a[0, same::2], b[0, same + 1::2] = 1, 1
+        ll = N.log_likelihoods(a, b, np.array([300.0]), np.array([300.0]), grid)
+        odds.append((ll.max() - ll[:, grid >= 0.75 - 1e-9].max(), same))
+    assert any(12 < o < 20 and o <= N.SURE for o, _ in odds)
+    assert all(o <= N.SURE for o, _ in odds if o <= 20)
