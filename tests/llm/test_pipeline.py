@@ -63,3 +63,25 @@ def test_run(spark, tables):
     for _, stage in C.STAGES[:-1]:
         docs = spark.createDataFrame(stage(spark, docs, folder).collect(), docs.schema)
     check_pieces(rows, {r.doc_id: r.text for r in docs.collect()})
+
+
+def test_run_against_brute_force(spark, tables):
+    """Kept ids and texts made without the stages: all pairs of sets, every window counted."""
+    from collections import Counter
+
+    from test_near_dedup import brute
+
+    folder, _ = tables
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    rows = [(i, t) for i, t in rows if t is not None and i != 1001 and (i >= 600 or i % 10)]  # not toxic, a language
+    comp, _ = brute(rows)
+    data = {i: t.encode() for i, t in rows if comp[i] == i}
+    seen = Counter(d[k:k + 200] for d in data.values() for k in range(len(d) - 199))
+    want = {}
+    for i, d in data.items():
+        gone = bytearray(len(d))
+        for k in range(len(d) - 199):
+            if seen[d[k:k + 200]] > 1:
+                gone[k:k + 200] = b"\x01" * 200
+        want[i] = bytes(c for c, g in zip(d, gone) if not g).decode()
+    check_pieces(C.run(spark, folder).collect(), want)
