@@ -56,6 +56,25 @@ def per_batch(df: DataFrame, schema: str,
     return df.mapInArrow(run, schema)
 
 
+def stream(df: DataFrame, schema: str, make: Callable[[], object]) -> DataFrame:
+    """Map each partition's Arrow batches, in order, through one ``make()``: its ``batch(batch)``
+    and, at the end, ``rest()`` yield dicts of columns."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    out = to_arrow_schema(_parse_datatype_string(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            for cols in work.batch(batch):
+                yield _batch(cols, out)
+        for cols in work.rest():
+            yield _batch(cols, out)
+
+    return df.mapInArrow(run, schema)
+
+
 def _batch(cols: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c := cols[f.name], pa.Array) else pa.array(c, type=f.type, from_pandas=False)

@@ -59,3 +59,124 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc
 FROM documents d LEFT JOIN size USING (doc_id)
 LEFT JOIN (SELECT x AS doc_id, min(y) AS m FROM reach GROUP BY 1) USING (doc_id)
 """
+
+op11_lexical_search = r"""
+WITH terms AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents WHERE text IS NOT NULL),
+docs AS (SELECT r, doc_id, t, len(t) AS n FROM terms WHERE len(t) > 0),
+total AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM docs),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM docs) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+      FROM tf, total GROUP BY term),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+scored AS (
+  SELECT item_id, r, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN w USING (term) JOIN tf USING (term) JOIN docs USING (r), total GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 50
+"""
+
+op13_chat_format = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -1, unnest([0, 1]), unnest(['user', 'assistant']), '<|im_end|><|im_start|>assistant ok'),
+sized AS (
+  SELECT *, length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\1\\|', 'g'))
+            + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) + length('<|im_start|>' || '<|im_end|>') + 2 AS size
+  FROM rows),
+upto AS (
+  SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING) AS prefix,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+         count(*) OVER (PARTITION BY conv_id) AS n
+  FROM sized)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(prefix) FILTER (role = 'assistant' OR place = n)::BIGINT AS formatted_chars
+FROM upto GROUP BY conv_id
+"""
+
+op12_repair = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_prepend(b, [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[]),
+                lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY b) AS t
+  FROM range(256) AS bytes(b)),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+  FROM conversations),
+fated AS (
+  SELECT k.*, xor(list_reduce(
+           list_prepend(4294967295, [ascii(k[i]) FOR i IN range(1, length(k) + 1)]::BIGINT[]),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS fate
+  FROM keyed k, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM fated WHERE fate <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text), copy) AS i
+  FROM damaged),
+judged AS (
+  SELECT *, left(role, 1) AS r0, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS last,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault
+  FROM placed),
+counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (last IS NOT NULL AND last || r0 NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+-- the least (cost, audit) with its turns after i rows, by what these end with, inserts included
+walk(conv_id, i, e, s, u, a) AS (
+  SELECT conv_id, 0::BIGINT, {'c': 0::BIGINT, 'w': '', 'o': ''}, {'c': 1000000::BIGINT, 'w': '', 'o': ''},
+         {'c': 3::BIGINT, 'w': 'I', 'o': chr(10) || 'user:'},
+         {'c': 6::BIGINT, 'w': 'II', 'o': chr(10) || 'user:' || chr(10) || 'assistant:'}
+  FROM counted
+  UNION ALL
+  SELECT conv_id, i, e, s, u,
+         list_sort([a, {'c': u.c + 3, 'w': u.w || 'I', 'o': u.o || chr(10) || 'assistant:'}])[1]
+  FROM (
+    SELECT conv_id, i, e, s, a,
+           list_sort([u] || [{'c': x.c + 3, 'w': x.w || 'I', 'o': x.o || chr(10) || 'user:'} FOR x IN [e, s, a]])[1] AS u
+    FROM (
+      SELECT w.conv_id, w.i + 1 AS i,
+             {'c': e.c + 4, 'w': e.w || 'D', 'o': e.o} AS e,
+             list_sort([{'c': s.c + 4, 'w': s.w || 'D', 'o': s.o}] || CASE WHEN may AND r0 = 's' THEN
+               [{'c': e.c + cut, 'w': e.w || 'K', 'o': e.o || kept}] ELSE [] END)[1] AS s,
+             list_sort([{'c': u.c + 4, 'w': u.w || 'D', 'o': u.o}] || CASE WHEN may THEN
+               [{'c': x.c + cut + 3, 'w': x.w || 'R', 'o': x.o || chr(10) || 'user:' || text} FOR x IN [e, s, a]]
+               ELSE [] END || CASE WHEN may AND r0 = 'u' THEN
+               [{'c': x.c + cut, 'w': x.w || 'K', 'o': x.o || kept} FOR x IN [e, s, a]] ELSE [] END)[1] AS u,
+             list_sort([{'c': a.c + 4, 'w': a.w || 'D', 'o': a.o}] || CASE WHEN may THEN
+               [{'c': u.c + cut + 3, 'w': u.w || 'R', 'o': u.o || chr(10) || 'assistant:' || text}]
+               ELSE [] END || CASE WHEN may AND r0 = 'a' THEN
+               [{'c': u.c + cut, 'w': u.w || 'K', 'o': u.o || kept}] ELSE [] END)[1] AS a
+      FROM walk w JOIN (
+        SELECT *, fault NOT IN ('blank', 'duplicate') AS may, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS cut,
+               chr(10) || role || ':' || text AS kept
+        FROM judged) j ON w.conv_id IS NOT DISTINCT FROM j.conv_id AND j.i = w.i + 1))),
+best AS (
+  SELECT w.conv_id, list_sort([e, a])[1] AS b
+  FROM walk w JOIN counted d ON w.conv_id IS NOT DISTINCT FROM d.conv_id AND w.i = d.n)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.c, 0) AS cost,
+       coalesce(b.w, '') AS audit, sha256(coalesce(substr(b.o, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted d ON o.conv_id IS NOT DISTINCT FROM d.conv_id
+LEFT JOIN best ON o.conv_id IS NOT DISTINCT FROM best.conv_id
+"""

@@ -61,6 +61,21 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lexical import search
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repair import report
+    return report(table(spark, sf_dir, "conversations"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat import report
+    return report(table(spark, sf_dir, "conversations"))
+
+
 def all_queries() -> dict[str, QueryFn]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 

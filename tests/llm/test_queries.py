@@ -12,7 +12,7 @@ TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 def test_names_and_registration():
     names = sorted(Q.all_queries(), key=lambda n: int(n[2:].split("_")[0]))
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert {*names, "pipeline"} <= set(E.queries())
     assert set(Q.all_sql()) <= set(E.oracle_sql())
 
