@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.dates import month_start, months_between_starts
+from .distinct import REPEATS, repeats_by, rows_of_repeated
 from .staging import successful_orders
 
 SUMMARY_KEYS = ["sale_date", "order_year", "order_month", "order_quarter",
@@ -31,14 +32,17 @@ def _trend_window() -> Window:
                      F.col("price_segment").asc_nulls_last()))
 
 
-def daily_aggregates(fct: DataFrame) -> DataFrame:
+def daily_aggregates(fct: DataFrame, repeated: DataFrame | None = None,
+                     unique_orders: bool = False) -> DataFrame:
     """The nine-key daily grain with all plain aggregates.
 
     Two stages, each with partial aggregation before its shuffle: first by
     the nine keys and the customer, then by the nine keys, where a customer
     is one row.  So the distinct customers are counted without expanding
-    the fact; an order is one fact row (its key is unique, which the
-    quality gate checks), so orders are counted as rows.
+    the fact.  Distinct orders are rows less repeats (distinct.py):
+    ``repeated`` holds the fact rows whose order id is on several rows, if
+    the caller can tell them more cheaply than from the fact;
+    ``unique_orders`` says that a gate has found none.
     """
     per_item = R.safe_ratio(F.col("net_revenue"), F.col("quantity")).cast("decimal(28,10)")
     flagged = lambda flag, value: F.sum(F.when(F.col(flag), value).otherwise(0))
@@ -58,6 +62,12 @@ def daily_aggregates(fct: DataFrame) -> DataFrame:
         flagged("is_weekend", F.col("net_revenue")).alias("_we_net"),
     )
     totals = [c for c in by_customer.columns if c not in (*SUMMARY_KEYS, "customer_id")]
+    if not unique_orders:
+        if repeated is None:
+            repeated = rows_of_repeated(fct.select(*SUMMARY_KEYS, "order_id"), "order_id")
+        repeats = repeats_by(repeated, SUMMARY_KEYS, "order_id")
+        by_customer = by_customer.unionByName(
+            repeats.select(*SUMMARY_KEYS, (-F.col(REPEATS)).alias("total_orders")), allowMissingColumns=True)
     g = by_customer.groupBy(*SUMMARY_KEYS).agg(
         F.count("customer_id").alias("unique_customers"),
         *[F.sum(c).alias(c) for c in totals])
@@ -93,8 +103,9 @@ def with_trends(daily: DataFrame) -> DataFrame:
     )
 
 
-def daily_sales_summary(fct: DataFrame, ordered: bool = True) -> DataFrame:
-    out = with_trends(daily_aggregates(fct))
+def daily_sales_summary(fct: DataFrame, ordered: bool = True, repeated: DataFrame | None = None,
+                        unique_orders: bool = False) -> DataFrame:
+    out = with_trends(daily_aggregates(fct, repeated, unique_orders))
     if ordered:
         # reference order: DESC puts NULLs first
         out = out.orderBy(F.col("sale_date").desc_nulls_first(),
@@ -115,10 +126,11 @@ def customer_cohorts(stg_customers: DataFrame, stg_orders: DataFrame,
                      ordered: bool = True) -> DataFrame:
     """Active customers, revenue and retention per (cohort month, order month).
 
-    Orders are first reduced to one row per (customer, order month), so
-    active customers are counted as rows (a customer is one row of the
-    dimension, which the quality gate checks) and
-    the customer join sees at most one row per active month of a customer;
+    Orders are first reduced to one row per (customer, order month) and
+    customers to one row per (customer, cohort month), so active customers
+    are counted as rows and the join sees at most one row per active month
+    of a customer (a customer listed several times counts once, with its
+    revenue as often as it is listed);
     the cohort sizes (one row per month) are joined only after the final
     aggregation, which is equivalent because the size is constant per
     cohort month.
@@ -128,12 +140,16 @@ def customer_cohorts(stg_customers: DataFrame, stg_orders: DataFrame,
                        (F.col("total_amount") - F.col("estimated_discount")).alias("net"))
                .groupBy("customer_id", "order_month")
                .agg(F.sum("net").alias("net")))
-    cust = stg_customers.select("customer_id",
-                                month_start(F.col("registration_date")).alias("cohort_month"))
+    # the shuffle by customer serves the aggregate and the join
+    cust = (stg_customers.select("customer_id", month_start(F.col("registration_date")).alias("cohort_month"))
+            .repartition("customer_id").groupBy("customer_id", "cohort_month")
+            .agg(F.count(F.lit(1)).alias("_listed")))
+    revenue = F.sum("net")
+    again = F.sum(F.when(F.col("_listed") > 1, F.col("net") * (F.col("_listed") - 1).cast("decimal(5,0)")))
     act = (cust.join(monthly, "customer_id")
            .groupBy("cohort_month", "order_month")
            .agg(F.count("customer_id").alias("active_customers"),
-                F.sum("net").alias("total_revenue")))
+                (revenue + F.coalesce(again, F.lit(0))).alias("total_revenue")))
     # one row per registration month: bounded by the calendar
     sizes = F.broadcast(cohort_size(stg_customers))
     out = act.join(sizes, "cohort_month").select(

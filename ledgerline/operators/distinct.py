@@ -1,0 +1,30 @@
+"""Exact COUNT(DISTINCT key) beside other aggregates, without expanding the rows.
+
+Counting rows is right wherever a key occurs on one row.  So the distinct
+count of a group is its rows with a key less the repeats: for each key on
+several rows of the group, all but one.  Keys on several rows come from one
+key-only aggregate (partial before its shuffle); in sound data there are
+none, and AQE drops the rest of that branch once its stage is empty.  The
+repeats join the groups' partial rows by a union with negative counts, so
+the groups are not joined to anything.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+REPEATS = "_repeats"
+
+
+def rows_of_repeated(rows: DataFrame, key: str) -> DataFrame:
+    """The rows whose (non-NULL) key is on another row as well."""
+    several = (rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+               .where(F.col("_n") > 1).select(key))
+    return rows.join(several, key, "left_semi")
+
+
+def repeats_by(repeated: DataFrame, group: list[str], key: str) -> DataFrame:
+    """``group`` columns and ``_repeats``: rows beyond the first of each key in the group."""
+    per_key = repeated.groupBy(*group, key).agg((F.count(F.lit(1)) - 1).alias("_more"))
+    return per_key.where(F.col("_more") > 0).groupBy(*group).agg(F.sum("_more").alias(REPEATS))

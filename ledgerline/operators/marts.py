@@ -2,10 +2,11 @@
 order fact rows.
 
 Fact -> dimension joins go through ``skew.left_join_dimension``: keys
-holding a large share of the orders (a hot product or customer, or the
-NULL key of orders without a product) are spread over many tasks
-explicitly; the rest is an ordinary shuffle join, which AQE may still
-turn into a broadcast when it measures a small dimension.
+holding a large share of the orders (a hot product or customer, known
+from the load's key statistics, or the NULL key of orders without a
+product) are spread over many tasks explicitly; the rest is an ordinary
+shuffle join, which AQE may still turn into a broadcast when it measures
+a small dimension.  Building these plans runs no job.
 """
 
 from __future__ import annotations
@@ -15,20 +16,22 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.dates import as_ts_col, days_between, dow0
-from .ranking import freeze, ntile_scores, with_ntile_single_task
-from .skew import hot_buckets, left_join_dimension
+from .ranking import Order, with_ntile_single_task, with_ntiles
+from .distinct import REPEATS, repeats_by, rows_of_repeated
+from .skew import left_join_dimension
 from .staging import successful_orders
 
 
 def fct_daily_sales(stg_orders: DataFrame, stg_products: DataFrame,
-                    stg_customers: DataFrame) -> DataFrame:
-    """One row per successful order with customer and product attributes."""
+                    stg_customers: DataFrame, hot: dict | None = None) -> DataFrame:
+    """One row per successful order with customer and product attributes.
+    ``hot``: the orders' frequent keys, as the raw load keeps them."""
     o = successful_orders(stg_orders)
     p = stg_products.select("product_id", "product_name", "category", "price_segment",
                             F.col("price").alias("current_price"))
     c = stg_customers.select("customer_id", "country", "country_code", "customer_tier",
                              "is_major_market")
-    j = _with_dimensions(o, p, c)
+    j = _with_dimensions(o, p, c, hot)
     total, disc, qty = F.col("total_amount"), F.col("estimated_discount"), F.col("quantity")
     return j.select(
         F.col("order_date").alias("sale_date"),
@@ -46,24 +49,22 @@ def fct_daily_sales(stg_orders: DataFrame, stg_products: DataFrame,
     )
 
 
-def _with_dimensions(orders: DataFrame, products: DataFrame,
-                     customers: DataFrame) -> DataFrame:
-    """orders LEFT JOIN products LEFT JOIN customers, hot keys split.
+def _with_dimensions(orders: DataFrame, products: DataFrame, customers: DataFrame,
+                     hot: dict | None = None) -> DataFrame:
+    """orders LEFT JOIN products LEFT JOIN customers, hot keys split."""
+    j = left_join_dimension(orders, products, "product_id", hot)
+    return left_join_dimension(j, customers, "customer_id", hot)
 
-    The hot keys of both columns come from one detection over the orders."""
-    hot = hot_buckets(orders, ["product_id", "customer_id"])
-    j = left_join_dimension(orders, products, "product_id", hot["product_id"])
-    return left_join_dimension(j, customers, "customer_id", hot["customer_id"])
 
-
-def rfm_metrics(stg_orders: DataFrame, as_of) -> DataFrame:
+def rfm_metrics(stg_orders: DataFrame, as_of, unique_orders: bool = False) -> DataFrame:
     """Per-customer recency / frequency / monetary over successful orders.
 
     Two stages, each with partial aggregation before its shuffle: by
     customer and order month, then by customer, where a month is one row.
     A customer holding a third of all orders ships one row per month and
-    map task.  An order is one row (its key is unique, which the quality
-    gate checks), so orders are counted as rows.
+    map task.  ``frequency`` counts distinct orders: rows, less the repeats of
+    order ids that occur on several rows (distinct.py); ``unique_orders`` says
+    that a gate has found none.
     """
     d = F.col("order_date")
     o = successful_orders(stg_orders).select(
@@ -79,6 +80,10 @@ def rfm_metrics(stg_orders: DataFrame, as_of) -> DataFrame:
         F.sum(R.is_weekend(dow0(d)).cast("int")).alias("weekend_orders"),
         F.sum("quantity").alias("total_items_bought"),
     )
+    if not unique_orders:
+        repeats = repeats_by(rows_of_repeated(o, "order_id"), ["customer_id"], "order_id")
+        monthly = monthly.unionByName(repeats.select("customer_id", (-F.col(REPEATS)).alias("frequency")),
+                                      allowMissingColumns=True)
     agg = monthly.groupBy("customer_id").agg(
         F.max("last_order_date").alias("last_order_date"),
         F.min("first_order_date").alias("first_order_date"),
@@ -94,43 +99,25 @@ def rfm_metrics(stg_orders: DataFrame, as_of) -> DataFrame:
     )
 
 
-# NTILE orders with the customer id as the final tie-break (total order).
-def _r_order():
-    return [F.col("recency").desc_nulls_first(), F.col("customer_id").asc()]
-
-
-def _f_order():
-    return [F.col("frequency").asc_nulls_last(), F.col("customer_id").asc()]
-
-
-def _m_order():
-    return [F.col("monetary").asc_nulls_last(), F.col("customer_id").asc()]
+#: The quartile orders; ties go by customer id.
+SCORES = [Order("r_score", "recency", descending=True), Order("f_score", "frequency"),
+          Order("m_score", "monetary")]
 
 
 def rfm_scores(rfm: DataFrame, distributed: bool = True) -> DataFrame:
-    """Quartile scores r/f/m (4 = best) over all customers with orders.
-
-    Each score is ranked on (customer_id, its value) only; the three
-    score tables join back on customer_id, by which ``rfm`` is already
-    partitioned (it is a group-by on that key)."""
+    """Quartile scores r/f/m (4 = best) over all customers with orders: a comparison of each row
+    with the three cuts of each order."""
     if not distributed:
-        s = with_ntile_single_task(rfm, 4, _r_order(), "r_score")
-        s = with_ntile_single_task(s, 4, _f_order(), "f_score")
-        return with_ntile_single_task(s, 4, _m_order(), "m_score")
-    # the per-customer aggregate over all orders is computed once; the
-    # three rankings and the join back read the frozen rows
-    rfm = freeze(rfm)
-    scores = ntile_scores(rfm, "customer_id", 4, [
-        ("r_score", ["recency"], _r_order()),
-        ("f_score", ["frequency"], _f_order()),
-        ("m_score", ["monetary"], _m_order()),
-    ])
-    return rfm.join(scores, "customer_id")
+        for o in SCORES:
+            by = F.col(o.value).desc_nulls_first() if o.descending else F.col(o.value).asc_nulls_last()
+            rfm = with_ntile_single_task(rfm, 4, [by, F.col("customer_id").asc()], o.out_col)
+        return rfm
+    return with_ntiles(rfm, "customer_id", 4, SCORES)
 
 
 def dim_customers(stg_customers: DataFrame, stg_orders: DataFrame, as_of,
-                  distributed_ntile: bool = True) -> DataFrame:
-    scored = rfm_scores(rfm_metrics(stg_orders, as_of), distributed_ntile).alias("r")
+                  distributed_ntile: bool = True, unique_orders: bool = False) -> DataFrame:
+    scored = rfm_scores(rfm_metrics(stg_orders, as_of, unique_orders), distributed_ntile).alias("r")
     c = stg_customers.alias("c")
     j = c.join(scored, F.col("c.customer_id") == F.col("r.customer_id"), "left")
     r, f, m = F.col("r.r_score"), F.col("r.f_score"), F.col("r.m_score")
@@ -155,11 +142,11 @@ def dim_customers(stg_customers: DataFrame, stg_orders: DataFrame, as_of,
 
 
 def fct_orders_rows(stg_orders: DataFrame, stg_products: DataFrame,
-                    stg_customers: DataFrame, run_ts) -> DataFrame:
+                    stg_customers: DataFrame, run_ts, hot: dict | None = None) -> DataFrame:
     """Rows of the incremental order fact (all statuses)."""
     p = stg_products.select("product_id", "product_name", "category")
     c = stg_customers.select("customer_id", "first_name", "last_name")
-    j = _with_dimensions(stg_orders, p, c)
+    j = _with_dimensions(stg_orders, p, c, hot)
     return j.select(
         "order_id", "customer_id", "product_id", "first_name", "last_name", "product_name",
         "category", "quantity", "order_date", "status", "total_amount", "estimated_discount",

@@ -1,114 +1,188 @@
-"""Exact NTILE over a whole table without funnelling it into one task.
-
-``NTILE(n) OVER (ORDER BY k)`` with no PARTITION BY makes Spark plan an
-``Exchange SinglePartition``: every row goes through one task.  Here the
-rows are range-partitioned on the (total) sort order instead, each row's
-position inside its partition is recorded, and a table of per-partition
-offsets -- one row per partition, so its size is bounded by the partition
-count, not by the data -- turns positions into global ranks.
-
-The range bounds come from sampling, and the rows of a shuffled input can
-arrive in a different order when a task is recomputed, so the partitioned
-rows are frozen with a reliable ``checkpoint()`` (in the shared
-``spark.checkpoint.dir``) before the offsets are counted.  Both passes
-then read the same partitions, even after an executor is lost.
+"""Exact NTILE over a whole table without sorting it or funnelling it into one task.
+
+``NTILE(n) OVER (ORDER BY value, id)`` only needs the n - 1 rows that end a
+tile.  They are selected, not sorted for.  A row's place in the order is
+decided by a few non-null keys (is the value NULL, the value, is the id
+NULL, the id).  Key by key, approximate percentiles give candidates around
+each wanted place and one count per candidate tells which of them it is or
+which two it lies between; rows outside drop out.  As soon as few rows are
+left around a place they are fetched and the row is read off.  Every job is
+one aggregate over (id, values); the driver gets at most ``FETCH`` rows a cut.
+A row's tile is then a comparison with the cuts: no shuffle of the rows, no
+checkpoint and no join back.
+
+Cuts follow from the rows alone, so recomputed partitions change nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
-
-from ..session import ensure_checkpoint_dir
-
-_PID, _POS, _OFF, _TOT = "_ntile_pid", "_ntile_pos", "_ntile_off", "_ntile_total"
-
-
-def ntile_from_rank(rank0: str, total: str, n: int) -> Column:
-    """Bucket 1..n of the 0-based rank column ``rank0`` among ``total``
-    rows: the first ``total % n`` buckets hold one row more (standard
-    NTILE).  Integer arithmetic only."""
-    q = f"({total} div {n})"
-    r = f"({total} % {n})"
-    big = f"({r} * ({q} + 1))"
-    return F.expr(
-        f"cast(CASE WHEN {rank0} < {big} THEN {rank0} div ({q} + 1)"
-        f" ELSE {r} + ({rank0} - {big}) div nullif({q}, 0) END + 1 AS int)")
-
-
-def freeze(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (computed once, then read from the shared
-    checkpoint folder).  Persisting first lets the checkpoint write reuse
-    the computed rows instead of computing them a second time."""
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist()
-    frozen = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return frozen
-
-
-def global_rank(df: DataFrame, order: Sequence[Column], out_col: str = "rank0",
-                num_partitions: int | None = None) -> DataFrame:
-    """0-based position of each row in ``order`` plus the row count in
-    ``_ntile_total``.  ``order`` must be a total order (end it with a
-    unique key) for the result to be deterministic."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (df.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .withColumn(_PID, F.spark_partition_id())
-              # position in partition = id minus the partition's base
-              # (the id keeps the partition index in its upper 31 bits)
-              .withColumn(_POS, F.monotonically_increasing_id()
-                          - F.shiftleft(F.col(_PID).cast("long"), 33)))
-    placed = freeze(placed)
-    # one count per range partition: the only values that come back to the
-    # driver (bounded by the partition count, not by the data)
-    counts = sorted((r[0], r[1]) for r in
-                    placed.groupBy(_PID).agg(F.count(F.lit(1))).collect())
-    total = sum(n for _, n in counts)
-    rows, running = [], 0
-    for pid, n in counts:
-        rows.append((pid, running, total))
-        running += n
-    offsets = spark.createDataFrame(rows, f"{_PID} int, {_OFF} long, {_TOT} long")
-    return (placed.join(F.broadcast(offsets), _PID)
-            .withColumn(out_col, F.col(_OFF) + F.col(_POS))
-            .drop(_PID, _POS, _OFF))
-
-
-def with_ntile(df: DataFrame, n: int, order: Sequence[Column], out_col: str,
-               num_partitions: int | None = None) -> DataFrame:
-    ranked = global_rank(df, order, "_ntile_rank0", num_partitions)
-    return (ranked.withColumn(out_col, ntile_from_rank("_ntile_rank0", _TOT, n))
-            .drop("_ntile_rank0", _TOT))
+
+#: Rows around a cut that may be fetched, and the accuracy of the percentiles.
+FETCH = 4096
+ACCURACY = 10_000
+
+
+@dataclass
+class Order:
+    """One NTILE: its column, the value it ranks by, and whether from the largest down.  NULL counts
+    as the largest value; ties go by ascending id (a NULL id first)."""
+    out_col: str
+    value: str
+    descending: bool = False
+
+
+def tile_ends(rows: int, n: int) -> list[int]:
+    """Places of the last row of tiles 1 to n - 1 (-1: none before): the first ``rows % n`` tiles
+    hold one row more."""
+    size, longer = divmod(rows, n)
+    return [k * size + min(k, longer) - 1 for k in range(1, n)]
+
+
+def _keys(df: DataFrame, order: Order, id_col: str, null_values: bool, null_ids: bool) -> list[Column]:
+    """Ascending keys, none of them NULL, that put the rows in order."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    value, ident = F.col(order.value), F.col(id_col)
+    keys = [F.coalesce(-value if order.descending else value, F.lit(0).cast(types[order.value]))]
+    if null_values:
+        keys.insert(0, F.when(value.isNull() == F.lit(order.descending), 0).otherwise(1))
+    if null_ids:
+        keys.append(F.when(ident.isNull(), 0).otherwise(1))
+    return [*keys, F.coalesce(ident, F.lit(0).cast(types[id_col]))]
+
+
+@dataclass
+class _Cut:
+    """The row at ``place`` among ``inside`` rows: those with ``fixed`` first keys and the next key
+    between ``low`` and ``high`` (exclusive)."""
+    keys: list[Column]
+    place: int
+    inside: int
+    fixed: list = field(default_factory=list)
+    low: object = None
+    high: object = None
+    stuck: bool = False
+
+    @property
+    def done(self) -> bool:
+        return len(self.fixed) == len(self.keys)
+
+    @property
+    def key(self) -> Column:
+        return self.keys[len(self.fixed)]
+
+    def rows(self) -> Column:
+        keep = F.lit(True)
+        for key, value in zip(self.keys, self.fixed):
+            keep &= key == F.lit(value)
+        if self.low is not None:
+            keep &= self.key > F.lit(self.low)
+        if self.high is not None:
+            keep &= self.key < F.lit(self.high)
+        return keep
+
+    def holds(self, row: tuple) -> bool:
+        at = len(self.fixed)
+        return (list(row[:at]) == self.fixed and (self.low is None or row[at] > self.low)
+                and (self.high is None or row[at] < self.high))
+
+    def narrow(self, counted: list[tuple[object, int, int]]) -> None:
+        """Take in candidates, ascending, each with the rows below it and equal to it."""
+        start, end, before = 0, self.inside, (self.low, self.high)
+        for value, less, same in counted:
+            if less <= self.place < less + same:
+                self.fixed.append(value)
+                self.low = self.high = None
+                self.place, self.inside = self.place - less, same
+                return
+            if less + same <= self.place:
+                self.low, start = value, less + same
+            else:
+                self.high, end = value, less
+                break
+        self.place, self.inside = self.place - start, end - start
+        self.stuck = (self.low, self.high) == before  # keys that a double cannot tell apart
+
+
+def _round(rows: DataFrame, cuts: list[_Cut]) -> None:
+    """Candidates for every cut in one job, their counts in a second."""
+    shares = []
+    for cut in cuts:
+        at, width = (cut.place + 0.5) / cut.inside, 2 / ACCURACY
+        shares.append([max(0.0, at - width), at, min(1.0, at + width)])
+    near = rows.agg(*[F.percentile_approx(F.when(c.rows(), c.key), s, ACCURACY).alias(f"c{i}")
+                      for i, (c, s) in enumerate(zip(cuts, shares))]).first()
+    asked = [(i, v) for i, found in enumerate(near) for v in sorted(set(found))]
+    counts = []
+    for i, v in asked:
+        counts += [F.count_if(cuts[i].rows() & (cuts[i].key < F.lit(v))),
+                   F.count_if(cuts[i].rows() & (cuts[i].key == F.lit(v)))]
+    got = rows.agg(*[c.alias(f"n{j}") for j, c in enumerate(counts)]).first()
+    for i, cut in enumerate(cuts):
+        cut.narrow([(v, got[2 * j], got[2 * j + 1]) for j, (of, v) in enumerate(asked) if of == i])
+
+
+def _fetch(rows: DataFrame, cuts: list[_Cut]) -> None:
+    """The few rows around the cuts of one order."""
+    keep = F.lit(False)
+    for cut in cuts:
+        keep |= cut.rows()
+    found = sorted(tuple(r) for r in rows.where(keep).select(
+        *[k.alias(f"k{i}") for i, k in enumerate(cuts[0].keys)]).collect())
+    for cut in cuts:
+        cut.fixed = list([r for r in found if cut.holds(r)][cut.place])
+
+
+def find_cuts(df: DataFrame, id_col: str, n: int, orders: Sequence[Order],
+              fetch: int = FETCH) -> dict[str, tuple[list[Column], list[list]]]:
+    """Per order its keys and, as key values, the last rows of tiles 1 to n - 1."""
+    rows = df.select(id_col, *sorted({o.value for o in orders})).persist()
+    try:
+        counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count(id_col).alias("i"),
+                          *[F.count(o.value).alias(f"v{k}") for k, o in enumerate(orders)]).first()
+        cuts: dict[str, list[_Cut]] = {}
+        for k, o in enumerate(orders):
+            keys = _keys(df, o, id_col, counts[f"v{k}"] < counts["n"], counts["i"] < counts["n"])
+            cuts[o.out_col] = [_Cut(keys, at, counts["n"]) for at in tile_ends(counts["n"], n) if at >= 0]
+        every = [c for of_order in cuts.values() for c in of_order]
+        while wide := [c for c in every if not c.done and not c.stuck and c.inside > fetch]:
+            _round(rows, wide)
+        for of_order in cuts.values():
+            if few := [c for c in of_order if not c.done and not c.stuck]:
+                _fetch(rows, few)
+        for cut in every:
+            if not cut.done:
+                rest = [k.alias(f"k{i}") for i, k in enumerate(cut.keys)]
+                row = rows.where(cut.rows()).select(*rest).orderBy(*[f"k{i}" for i in range(len(rest))])
+                cut.fixed = list(row.offset(cut.place).limit(1).first())
+        return {o.out_col: (_keys(df, o, id_col, counts[f"v{k}"] < counts["n"], counts["i"] < counts["n"]),
+                            [c.fixed for c in cuts[o.out_col]]) for k, o in enumerate(orders)}
+    finally:
+        rows.unpersist()
+
+
+def tile(keys: list[Column], cuts: list[list]) -> Column:
+    """1 + the number of cuts before the row."""
+    out = F.lit(1)
+    for cut in cuts:
+        after = F.lit(False)
+        for key, value in list(zip(keys, cut))[::-1]:
+            after = (key > F.lit(value)) | ((key == F.lit(value)) & after)
+        out = out + F.when(after, 1).otherwise(0)
+    return out.cast("int")
+
+
+def with_ntiles(df: DataFrame, id_col: str, n: int, orders: Sequence[Order], fetch: int = FETCH) -> DataFrame:
+    """``df`` (one row per id) with the NTILE of each order."""
+    found = find_cuts(df, id_col, n, orders, fetch)
+    return df.withColumns({o.out_col: tile(*found[o.out_col]) for o in orders})
 
 
 def with_ntile_single_task(df: DataFrame, n: int, order: Sequence[Column],
                            out_col: str) -> DataFrame:
     """Plain window NTILE (one task); kept as the reference for tests."""
     return df.withColumn(out_col, F.ntile(n).over(Window.orderBy(*order)))
-
-
-def ntile_scores(df: DataFrame, id_col: str, n: int,
-                 specs: Sequence[tuple[str, Sequence[str], Sequence[Column]]],
-                 num_partitions: int | None = None) -> DataFrame:
-    """Several NTILEs of one table as ``(id_col, score...)``.
-
-    Each ranking runs on a narrow projection (the id and the columns its
-    order reads), so the range shuffles and checkpoints carry a few
-    columns instead of whole rows; the per-score tables (one row per id)
-    are then joined on the id.  ``specs`` is ``[(out_col, columns,
-    order), ...]`` where ``order`` is a total order over ``columns`` and
-    ``id_col``.
-    """
-    out = None
-    for out_col, columns, order in specs:
-        narrow = df.select(id_col, *[c for c in columns if c != id_col])
-        part = with_ntile(narrow, n, order, out_col, num_partitions).select(id_col, out_col)
-        out = part if out is None else out.join(part, id_col)
-    return out

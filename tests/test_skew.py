@@ -24,12 +24,68 @@ def _rows(df):
     return sorted(tuple(r) for r in df.select("row_id", "k", "attr").collect())
 
 
-def test_hot_buckets_follow_the_share(spark, hot_fixture):
+def _hot(fact):
+    return skew.hot_keys(skew.key_sketch(fact, ["k"]))
+
+
+def test_buckets_follow_the_share(spark, hot_fixture):
     fact, _ = hot_fixture
-    hot = skew.hot_buckets(fact, ["k"])["k"]
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert hot[7] == -(-fact.where("k = 7").count() * partitions // fact.count())
-    assert len(hot) <= 100
+    hot = _hot(fact)
+    assert len(hot["keys"]["k"]) <= 100
+    assert skew.buckets(hot, "k", partitions)[7] == -(-fact.where("k = 7").count() * partitions // fact.count())
+    assert skew.buckets(None, "k", partitions) == skew.buckets({"n_rows": 0, "keys": {}}, "k", partitions) == {}
+
+
+def test_sketches_of_parts_merge(spark, hot_fixture, scratch):
+    fact, _ = hot_fixture
+    for n in range(3):
+        skew.key_sketch(fact.where(F.col("row_id") % 3 == n), ["k"]).write.parquet(f"{scratch}/part={n}")
+    parts = spark.read.parquet(scratch).drop("part")
+    merged, whole = skew.hot_keys(skew.merge_sketches(parts)), _hot(fact)
+    assert merged["n_rows"] == whole["n_rows"] == 3000
+    assert sorted(merged["keys"]["k"]) == sorted(whole["keys"]["k"])
+
+
+def test_building_a_fact_runs_no_job(spark):
+    from conftest import SF_SMALL
+    from ledgerline.plans.registry import Inputs
+    i = Inputs(spark, SF_SMALL)
+    orders, products, customers = i.stg_orders, i.stg_products, i.stg_customers
+    from ledgerline.operators import marts as M
+    hot = {"n_rows": 90, "keys": {"product_id": [[1, 30]], "customer_id": [[2, 30]]}}
+    sc = spark.sparkContext
+    sc.setJobGroup("building", "no job")
+    try:
+        facts = [M.fct_daily_sales(orders, products, customers, hot),
+                 M.fct_orders_rows(orders, products, customers, i.run_ts, hot)]
+        assert list(sc.statusTracker().getJobIdsForGroup("building")) == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert facts[0].count() == M.fct_daily_sales(orders, products, customers).count()
+
+
+def test_hot_and_null_keys_are_spread(spark, hot_fixture):
+    """With statistics no partition of the fact side holds a hot key's rows alone; NULL needs none."""
+    fact, dim = hot_fixture
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(old, ("-1", "false")):
+            spark.conf.set(k, v)
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        most = {}
+        for name, hot in (("without", None), ("with", _hot(fact))):
+            joined = skew.left_join_dimension(fact, dim, "k", hot)
+            per = joined.groupBy(F.spark_partition_id().alias("p")).agg(
+                F.count_if(F.col("k") == 7).alias("hot"), F.count_if(F.col("k").isNull()).alias("null")).collect()
+            most[name] = max(r.hot for r in per), max(r.null for r in per)
+        total = fact.where("k = 7").count()
+        assert most["without"][0] >= total and most["with"][0] < total
+        assert max(m[1] for m in most.values()) < fact.where("k is null").count() / 2
+        assert n >= 8
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 @pytest.mark.parametrize("threshold", ["-1", "10m"])
@@ -38,11 +94,12 @@ def test_same_rows_as_plain_left_join(spark, hot_fixture, threshold):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        got = skew.left_join_dimension(fact, dim, "k")
+        got = skew.left_join_dimension(fact, dim, "k", _hot(fact))
         plan = got._jdf.queryExecution().optimizedPlan().toString()
         assert "_skew_salt" in plan  # one plan, whatever the size
         expect = fact.join(dim, "k", "left")
         assert _rows(got) == _rows(expect)
+        assert _rows(skew.left_join_dimension(fact, dim, "k")) == _rows(expect)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
