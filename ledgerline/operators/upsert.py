@@ -10,6 +10,11 @@ is, before any enrichment: rows on/after the cut-off (one scalar subquery)
 by a filter that reaches the scan, and of the older rows only the key
 column meets the target's keys.  Dimension joins then run for the delta.
 ``select_delta`` keeps the literal NOT EXISTS form for reference.
+
+A stored target (plans/build.py) keeps its keys as sets per partition:
+``missing_keys``, ``chosen_rows`` and ``replaced_keys`` decide from them,
+each written once, and no partition of the target is read that the run
+does not rewrite.
 """
 
 from __future__ import annotations
@@ -20,6 +25,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import keysets as KS
+
 # Fixed value: cut-off used when the target is empty.
 EMPTY_TARGET_DATE = _dt.date(1900, 1, 1)
 
@@ -84,52 +91,33 @@ def incremental_load(source: DataFrame, target: DataFrame | None, key: str = "or
     return delta, kept.unionByName(delta)
 
 
-CHANGE_ROLE = "_change_role"
-
+# ------------------------------------------------------- with a stored set of the target's keys
 
-def partition_changes(source: DataFrame, target: DataFrame, key: str, date_col: str,
-                      part_col: str, enrich: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """All changes of a partition-level upsert in one frame: delta rows
-    (``_change_role`` = 'delta', full columns) and replaced target keys
-    ('replaced', key and partition column only).
 
-    Of the target only key and partition column are read, and the dates
-    of its newest partition; of the older source only the key.
-    """
-    cols = target.columns
-    types = dict(target.dtypes)
-    chosen = changed_rows(source, target, key, date_col, part_col=part_col)
-    replaced = target.select(key, part_col).join(chosen.select(key), key, "left_semi").select(
-        *[F.col(c) if c in (key, part_col) else F.lit(None).cast(types[c]).alias(c) for c in cols])
-    return (enrich(chosen).select(*cols, F.lit("delta").alias(CHANGE_ROLE))
-            .unionByName(replaced.withColumn(CHANGE_ROLE, F.lit("replaced"))))
+def missing_keys(source: DataFrame, held: DataFrame, key: str, date_col: str, latest: _dt.date) -> DataFrame:
+    """Keys of source rows older than ``latest`` (or undated) that the target lacks.
 
+    ``held``: the target's keys as sets (keysets.py), so nothing of the target is read; the
+    source's keys become sets before their shuffle."""
+    older = source.where(~F.coalesce(F.col(date_col) >= F.lit(latest), F.lit(False)))
+    return KS.keys(KS.minus(KS.key_sets(older, key), KS.union(held)), key)
 
-def split_changes(changes: DataFrame, key: str, part_col: str) -> tuple[DataFrame, DataFrame]:
-    """(delta rows, replaced keys) of a ``partition_changes`` frame."""
-    role = F.col(CHANGE_ROLE)
-    delta = changes.where(role == "delta").drop(CHANGE_ROLE)
-    replaced = changes.where(role == "replaced").select(key, part_col)
-    return delta, replaced
 
+def chosen_rows(source: DataFrame, missing: DataFrame, key: str, date_col: str, latest: _dt.date) -> DataFrame:
+    """The delta's source rows: on or after ``latest``, or with a key the target lacks (``missing``,
+    one row a key), or without a key.  One pass over the source."""
+    flag = "_missing"
+    rows = source.join(missing.withColumn(flag, F.lit(True)), key, "left")
+    recent = F.coalesce(F.col(date_col) >= F.lit(latest), F.lit(False))
+    return rows.where(recent | F.col(flag).isNotNull() | F.col(key).isNull()).select(*source.columns)
 
-def touched_partitions(delta: DataFrame, replaced: DataFrame, part_col: str) -> DataFrame:
-    """Partition values a run changes: one row per value (for month
-    partitions, bounded by the calendar)."""
-    return delta.select(part_col).unionByName(replaced.select(part_col)).distinct()
 
+def replaced_keys(chosen: DataFrame, held: DataFrame, key: str, part_col: str) -> DataFrame:
+    """(key, partition) of the target rows that chosen rows replace, from the stored sets alone."""
+    return KS.keys(KS.overlap(KS.key_sets(chosen, key), held, (part_col,)), key, (part_col,))
 
-def rewrite_partitions(target: DataFrame, delta: DataFrame, replaced: DataFrame, key: str,
-                       part_col: str, touched: list) -> DataFrame:
-    """Complete new rows of the touched partitions.
 
-    ``touched`` is the collected list of partition values, so the target
-    scan prunes every other partition statically.
-    """
-    c = F.col(part_col)
-    values = [v for v in touched if v is not None]
-    keep = c.isin(values) if values else F.lit(False)
-    if any(v is None for v in touched):
-        keep = keep | c.isNull()
-    old = target.where(keep).join(replaced.select(key), key, "left_anti")
-    return old.unionByName(delta.select(target.columns))
+def rewritten(old: DataFrame, delta: DataFrame, replaced: DataFrame, key: str) -> DataFrame:
+    """Complete new rows of the touched partitions, whose rows are ``old``."""
+    return (old.join(replaced.select(key).distinct(), key, "left_anti").select(old.columns)
+            .unionByName(delta.select(old.columns)))

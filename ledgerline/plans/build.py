@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 from . import state as ST
 from ..operators import analytics as A
 from ..operators import history as H
+from ..operators import keysets as KS
 from ..operators import marts as M
 from ..operators import quality as Q
+from ..operators import skew as SK
 from ..operators import staging as S
 from ..operators import upsert as U
 from ..session import new_run_id
@@ -120,42 +122,96 @@ INCREMENTAL = "fct_orders_incremental"
 INCREMENTAL_KEY, INCREMENTAL_DATE, INCREMENTAL_PART = "order_id", "order_date", "order_month"
 
 
+def keys_of(name: str) -> str:
+    """Manifest entry of a table's stored key sets."""
+    return f"{name}.keys"
+
+
+@dataclass
+class Upsert:
+    """An incremental run: the entries to publish and the rows it loaded."""
+    spark: SparkSession
+    table: ST.Table
+    keys: ST.Table
+    delta: DataFrame
+
+    @property
+    def rows(self) -> DataFrame:
+        """The would-be table."""
+        return ST.read(self.spark, self.table)
+
+
+def _month_keys(spark: SparkSession, rows: DataFrame, path: str, kept: list) -> ST.Table:
+    """Stored key sets of the months in ``rows``, beside those of the months kept."""
+    by = [INCREMENTAL_PART]
+    sets = KS.key_sets(rows, INCREMENTAL_KEY, (INCREMENTAL_PART,))
+    _write_partitioned(sets, path, by)
+    back = _read_back(spark, path, sets)
+    return ST.partitioned(back, by, kept + [[v, path] for v in ST.partition_values(back, by)])
+
+
+def choose_changes(spark: SparkSession, orders: DataFrame, table: ST.Table, keys: ST.Table,
+                   path: str) -> tuple[DataFrame, DataFrame]:
+    """(chosen order rows, replaced keys with their months), each written once under ``path``.
+
+    Of the target only its newest month (for the latest date) and its key sets are read."""
+    newest = max((p[0][0] for p in table.parts), default=None)
+    latest = U.EMPTY_TARGET_DATE
+    if newest is not None:
+        latest = ST.read(spark, ST.only(table, [newest])).agg(F.max(INCREMENTAL_DATE)).first()[0]
+    held = ST.read(spark, keys)
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{path}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
+
+    missing = written(U.missing_keys(orders, held, INCREMENTAL_KEY, INCREMENTAL_DATE, latest), "missing")
+    chosen = written(U.chosen_rows(orders, missing, INCREMENTAL_KEY, INCREMENTAL_DATE, latest), "chosen")
+    return chosen, written(U.replaced_keys(chosen, held, INCREMENTAL_KEY, INCREMENTAL_PART), "replaced")
+
+
 def upsert_by_month(spark: SparkSession, orders: DataFrame, enrich, table: ST.Table | None,
-                    path: str) -> tuple[DataFrame, ST.Table]:
+                    path: str, keys: ST.Table | None = None) -> Upsert:
     """Keyed upsert of an order fact, rewriting only touched months.
 
-    First load: the whole fact, partitioned by order month.  Later loads:
-    the delta and the replaced keys are written to ``path`` (which cuts
-    the lineage); then only the months they touch are written anew.
-    Returns the would-be rows and the table entry to publish.
+    First load: the whole fact, partitioned by order month, and the sets of
+    its keys per month.  Later loads choose their rows from those sets
+    (``choose_changes``); only the months that chosen or replaced rows lie
+    in are read and written anew, with their key sets.  ``keys``: the entry
+    that goes with ``table``; made from the table where it is missing.
     """
+    month = F.trunc(INCREMENTAL_DATE, "month")
+
     def rows(o: DataFrame) -> DataFrame:
-        return enrich(o).withColumn(INCREMENTAL_PART, F.trunc(INCREMENTAL_DATE, "month"))
+        return enrich(o).withColumn(INCREMENTAL_PART, month)
 
     data, by = f"{path}/data", [INCREMENTAL_PART]
     if table is None:
         whole = rows(orders)
         _write_partitioned(whole, data, by)
         back = _read_back(spark, data, whole)
-        return back, ST.partitioned(back, by, [[v, data] for v in ST.partition_values(back, by)])
-    target = ST.read(spark, table)
-    changes = U.partition_changes(orders, target, INCREMENTAL_KEY, INCREMENTAL_DATE, INCREMENTAL_PART,
-                                  rows)
-    changes.write.parquet(f"{path}/changes")   # one job, lineage cut
-    delta, replaced = U.split_changes(
-        spark.read.schema(changes.schema).parquet(f"{path}/changes"), INCREMENTAL_KEY, INCREMENTAL_PART)
+        entry = ST.partitioned(back, by, [[v, data] for v in ST.partition_values(back, by)])
+        return Upsert(spark, entry, _month_keys(spark, back, f"{path}/keys", []), back)
+    if keys is None:
+        keys = _month_keys(spark, ST.read(spark, table), f"{path}/keys-of-target", [])
+    chosen, replaced = choose_changes(spark, orders, table, keys, path)
+    columns = ST.columns(table)
+    delta = rows(chosen).select(columns)
     # one value per touched month: bounded by the calendar
-    touched = [r[0] for r in U.touched_partitions(delta, replaced, INCREMENTAL_PART).collect()]
+    touched = [r[0] for r in chosen.select(month.alias(INCREMENTAL_PART))
+               .unionByName(replaced.select(INCREMENTAL_PART)).distinct().collect()]
     if any(v is None for v in touched):
         raise ValueError("orders without a date cannot be loaded incrementally")
-    kept = [p for p in table.parts if p[0][0] not in {str(v) for v in touched}]
     if not touched:
-        return target, table
-    _write_partitioned(U.rewrite_partitions(target, delta, replaced, INCREMENTAL_KEY,
-                                            INCREMENTAL_PART, touched), data, by)
-    fresh = _read_back(spark, data, target)
-    new = ST.partitioned(target, by, kept + [[v, data] for v in ST.partition_values(fresh, by)])
-    return ST.read(spark, new), new
+        return Upsert(spark, table, keys, delta)
+    gone = {str(v) for v in touched}
+    old = ST.read(spark, ST.only(table, touched)).select(columns)
+    _write_partitioned(U.rewritten(old, delta, replaced, INCREMENTAL_KEY), data, by)
+    fresh = _read_back(spark, data, old)
+    entry = ST.partitioned(old, by, [p for p in table.parts if p[0][0] not in gone]
+                           + [[v, data] for v in ST.partition_values(fresh, by)])
+    new_keys = _month_keys(spark, fresh, f"{path}/keys", [p for p in keys.parts if p[0][0] not in gone])
+    return Upsert(spark, entry, new_keys, delta)
 
 
 SNAPSHOTS = {"customers_snapshot": "timestamp", "customers_snapshot_check": "check"}
@@ -267,6 +323,8 @@ def build(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame
 def _build(spark, raw_customers, raw_products, raw_orders, root, run_dir, as_of, run_ts, tags,
            run_id) -> BuildResult:
     manifest = ST.load(spark, root)
+    # frequent order keys, as the raw load found them (older ones cost balance, never rows)
+    hot = manifest.tables["raw_orders"].hot if "raw_orders" in manifest.tables else None
 
     def wanted(model_tags):
         return tags is None or bool(tags & model_tags)
@@ -280,11 +338,12 @@ def _build(spark, raw_customers, raw_products, raw_orders, root, run_dir, as_of,
         df.createOrReplaceTempView(name)
 
     builders = {
-        "dim_customers": lambda: M.dim_customers(stg["stg_customers"], stg["stg_orders"], as_of),
+        "dim_customers": lambda: M.dim_customers(stg["stg_customers"], stg["stg_orders"], as_of,
+                                                   unique_orders=True),  # a check before says so
         "fct_daily_sales": lambda: M.fct_daily_sales(stg["stg_orders"], stg["stg_products"],
-                                                     stg["stg_customers"]),
+                                                     stg["stg_customers"], hot),
         "daily_sales_summary": lambda: A.daily_sales_summary(built["fct_daily_sales"],
-                                                             ordered=False),
+                                                             ordered=False, unique_orders=True),
         "customer_cohorts": lambda: A.customer_cohorts(stg["stg_customers"], stg["stg_orders"],
                                                        ordered=False),
     }
@@ -322,10 +381,11 @@ def _build(spark, raw_customers, raw_products, raw_orders, root, run_dir, as_of,
             built["fct_daily_sales"] = builders["fct_daily_sales"]()
         path = paths[name] = f"{run_dir}/{name}"
         if name == INCREMENTAL:
-            built[name], entries[name] = upsert_by_month(
+            up = upsert_by_month(
                 spark, stg["stg_orders"],
-                lambda o: M.fct_orders_rows(o, stg["stg_products"], stg["stg_customers"], run_ts),
-                manifest.tables.get(name), path)
+                lambda o: M.fct_orders_rows(o, stg["stg_products"], stg["stg_customers"], run_ts, hot),
+                manifest.tables.get(name), path, manifest.tables.get(keys_of(name)))
+            built[name], entries[name], entries[keys_of(name)] = up.rows, up.table, up.keys
         elif name in SNAPSHOTS:
             built[name], entries[name] = _snapshot_step(
                 spark, name, stg["stg_customers"], run_ts, path, run_id, manifest.tables.get(name))
@@ -363,12 +423,19 @@ def _build(spark, raw_customers, raw_products, raw_orders, root, run_dir, as_of,
     return res
 
 
-def prune(spark: SparkSession, root: str) -> list[str]:
-    """Remove run and raw folders that the newest manifest does not name."""
+#: Manifests that ``prune`` leaves in the log.
+KEPT_VERSIONS = 10
+
+
+def prune(spark: SparkSession, root: str, keep: int = KEPT_VERSIONS) -> list[str]:
+    """Remove run, raw and stream folders that the newest manifest does not name, and all but the
+    newest ``keep`` manifests.  Not to be run beside a build or stream, whose folders are not
+    named yet."""
     m = ST.load(spark, root)
+    ST.drop_versions(spark, root, keep)
     named = {p for t in m.tables.values() for p in ([t.path] if t.path else [b for _, b in t.parts])}
     gone = []
-    for top in ("_runs", "_raw"):
+    for top in ("_runs", "_raw", "_epochs"):
         for folder in ST.children(spark, f"{root.rstrip('/')}/{top}"):
             if not any(p.startswith(folder + "/") for p in named):
                 ST.remove_folder(spark, folder)
@@ -401,6 +468,16 @@ def raw_constraints() -> list:
     return checks
 
 
+#: Columns whose frequent values a raw load keeps.
+HOT_KEYS = {"orders": ["product_id", "customer_id"]}
+
+
+def key_statistics(spark: SparkSession, rows: DataFrame, keys: list[str], path: str) -> dict:
+    """Writes the rows' key sketch beside them (it merges with others') and returns its frequent keys."""
+    SK.key_sketch(rows, keys).write.parquet(path)
+    return SK.hot_keys(spark.read.parquet(path))
+
+
 def load_raw_csv(spark: SparkSession, paths: dict[str, str], root: str,
                  run_id: str | None = None) -> dict[str, str]:
     """Full-refresh load of the three raw tables from CSV, all or nothing.
@@ -424,8 +501,9 @@ def load_raw_csv(spark: SparkSession, paths: dict[str, str], root: str,
         verdict = Q.gate(Q.run_checks(tables, raw_constraints()))
         if not verdict.passed:
             raise RawLoadError(f"raw constraints violated: {verdict.failures}")
+        hot = {t: key_statistics(spark, tables[t], keys, f"{folder}/{t}_keys") for t, keys in HOT_KEYS.items()}
         manifest = ST.commit(spark, root, manifest, run_id,
-                             {f"raw_{t}": ST.plain(df, written[t]) for t, df in tables.items()})
+                             {f"raw_{t}": ST.plain(df, written[t], hot=hot.get(t)) for t, df in tables.items()})
     except BaseException:
         ST.remove_folder(spark, folder)
         raise

@@ -164,18 +164,21 @@ FROM sold LEFT JOIN stg_customers USING (customer_id) LEFT JOIN stg_products USI
 
 cte("customer_totals", ["stg_orders"], f"""
 WITH months AS (
-  SELECT customer_id, order_year, order_month, count(order_id) AS orders, min(order_date) AS first_day,
+  SELECT customer_id, order_year, order_month, min(order_date) AS first_day,
          max(order_date) AS last_day, sum(total_amount - estimated_discount) AS net,
          count(total_amount - estimated_discount) AS priced, sum(quantity) AS items,
          count(*) FILTER (WHERE is_weekend) AS weekend
+  FROM stg_orders WHERE order_category = 'successful' GROUP BY ALL),
+ordered AS (
+  SELECT customer_id, count(DISTINCT order_id) AS frequency
   FROM stg_orders WHERE order_category = 'successful' GROUP BY ALL)
-SELECT customer_id, max(last_day) AS last_order_date, CAST(sum(orders) AS BIGINT) AS frequency,
+SELECT m.customer_id, max(last_day) AS last_order_date, any_value(frequency) AS frequency,
        sum(net) AS monetary,
        CASE WHEN sum(priced) > 0 THEN CAST(sum(net) AS DOUBLE) / CAST(sum(priced) AS DOUBLE) END AS avg_order_value,
        min(first_day) AS first_order_date, CAST({AS_OF} - max(last_day) AS INTEGER) AS recency,
        count(*) AS active_months, CAST(sum(weekend) AS BIGINT) AS weekend_orders,
        CAST(sum(items) AS BIGINT) AS total_items_bought
-FROM months GROUP BY customer_id""")
+FROM months m JOIN ordered o ON o.customer_id IS NOT DISTINCT FROM m.customer_id GROUP BY m.customer_id""")
 
 # quartile of a 0-based rank among n rows: the first n % 4 quartiles hold one row more
 cte("customer_quartiles", ["customer_totals"], """
@@ -216,27 +219,20 @@ LEFT JOIN LATERAL (SELECT min_by(label, days) AS label FROM age_limits WHERE day
 _DAY = ("sale_date, order_year, order_month, order_quarter, country, country_code, is_major_market, "
         "category, price_segment")
 cte("daily_grain", ["fct_daily_sales"], f"""
-WITH per_customer AS (
-  SELECT {_DAY}, customer_id, count(order_id) AS orders, sum(quantity) AS items, sum(total_amount) AS gross,
-         sum(net_revenue) AS net, sum(estimated_margin) AS margin, count(total_amount) AS priced,
-         sum(CAST(CAST(net_revenue AS DOUBLE) / nullif(quantity, 0) AS DECIMAL(28,10))) AS item_net,
-         count(CAST(net_revenue AS DOUBLE) / nullif(quantity, 0)) AS item_rows,
-         count(*) FILTER (WHERE is_high_value) AS high, count(*) FILTER (WHERE is_bulk_order) AS bulk,
-         count(*) FILTER (WHERE is_vip_customer) AS vip,
-         sum(CASE WHEN is_high_value THEN net_revenue ELSE 0 END) AS high_net,
-         sum(CASE WHEN is_weekend THEN net_revenue ELSE 0 END) AS weekend_net
-  FROM fct_daily_sales GROUP BY ALL)
-SELECT {_DAY}, CAST(sum(orders) AS BIGINT) AS total_orders, count(customer_id) AS unique_customers,
-       CAST(sum(items) AS BIGINT) AS total_items_sold, sum(gross) AS gross_revenue, sum(net) AS net_revenue,
-       sum(margin) AS estimated_margin,
-       CAST(sum(gross) AS DOUBLE) / CAST(nullif(sum(priced), 0) AS DOUBLE) AS avg_order_value,
-       CAST(sum(item_net) AS DOUBLE) / CAST(nullif(sum(item_rows), 0) AS DOUBLE) AS avg_revenue_per_item,
-       CAST(sum(net) AS DOUBLE) / CAST(nullif(count(customer_id), 0) AS DOUBLE) AS avg_revenue_per_customer,
-       CAST(sum(high) AS BIGINT) AS high_value_orders, CAST(sum(bulk) AS BIGINT) AS bulk_orders,
-       CAST(sum(vip) AS BIGINT) AS vip_orders,
-       CAST(sum(high_net) AS DOUBLE) / CAST(nullif(sum(net), 0) AS DOUBLE) AS high_value_revenue_share,
-       CAST(sum(weekend_net) AS DOUBLE) / CAST(nullif(sum(net), 0) AS DOUBLE) AS weekend_revenue_share
-FROM per_customer GROUP BY ALL""")
+SELECT {_DAY}, count(DISTINCT order_id) AS total_orders, count(DISTINCT customer_id) AS unique_customers,
+       CAST(sum(quantity) AS BIGINT) AS total_items_sold, sum(total_amount) AS gross_revenue,
+       sum(net_revenue) AS net_revenue, sum(estimated_margin) AS estimated_margin,
+       CAST(sum(total_amount) AS DOUBLE) / CAST(nullif(count(total_amount), 0) AS DOUBLE) AS avg_order_value,
+       CAST(sum(CAST(CAST(net_revenue AS DOUBLE) / nullif(quantity, 0) AS DECIMAL(28,10))) AS DOUBLE)
+         / CAST(nullif(count(CAST(net_revenue AS DOUBLE) / nullif(quantity, 0)), 0) AS DOUBLE) AS avg_revenue_per_item,
+       CAST(sum(net_revenue) AS DOUBLE) / CAST(nullif(count(DISTINCT customer_id), 0) AS DOUBLE) AS avg_revenue_per_customer,
+       count(*) FILTER (WHERE is_high_value) AS high_value_orders, count(*) FILTER (WHERE is_bulk_order) AS bulk_orders,
+       count(*) FILTER (WHERE is_vip_customer) AS vip_orders,
+       CAST(sum(CASE WHEN is_high_value THEN net_revenue ELSE 0 END) AS DOUBLE)
+         / CAST(nullif(sum(net_revenue), 0) AS DOUBLE) AS high_value_revenue_share,
+       CAST(sum(CASE WHEN is_weekend THEN net_revenue ELSE 0 END) AS DOUBLE)
+         / CAST(nullif(sum(net_revenue), 0) AS DOUBLE) AS weekend_revenue_share
+FROM fct_daily_sales GROUP BY ALL""")
 
 # the row seven places before, and the seven rows up to this one, by row number
 cte("daily_sales_summary", ["daily_grain"], """
@@ -264,7 +260,7 @@ WITH spent AS (
          sum(total_amount - estimated_discount) AS net
   FROM stg_orders WHERE order_category = 'successful' GROUP BY ALL),
 active AS (
-  SELECT cohort_month, order_month, count(*) AS active_customers, sum(net) AS total_revenue
+  SELECT cohort_month, order_month, count(DISTINCT customer_id) AS active_customers, sum(net) AS total_revenue
   FROM spent JOIN stg_customers USING (customer_id) GROUP BY ALL)
 SELECT cohort_month, order_month,
        CAST(datediff('month', cohort_month, order_month) AS INTEGER) AS period_number,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from .oracle import AS_OF, CTES, DEPS, SQL, cte, money, with_ctes
+import re
+
+from .oracle import AS_OF, CTES, DEPS, SQL, cte, money, select_from, with_ctes
 
 
 def variant(base: str, name: str, deps: list[str], replacements: list[tuple[str, str]]):
@@ -370,3 +372,39 @@ FROM made GROUP BY ALL"""
 
 
 SQL["gen_orders_profile"] = _gen_orders()
+
+# ------------------------------------------- distinct counts over repeated keys
+cte("raw_orders_twice", ["raw_orders"], """
+SELECT * FROM raw_orders
+UNION ALL
+SELECT order_id, CASE WHEN order_id % 9 = 0 THEN customer_id + 1 ELSE customer_id END, product_id, quantity,
+       order_date, status, total_amount
+FROM raw_orders WHERE order_id % 3 = 0""")
+cte("raw_customers_twice", ["raw_customers"], """
+SELECT * FROM raw_customers UNION ALL SELECT * FROM raw_customers WHERE customer_id % 4 = 0""")
+
+
+def over(base: str, old: str, new: str) -> None:
+    """``base`` computed over table ``new`` in place of ``old``, as <base>_twice."""
+    cte(f"{base}_twice", [new if d == old else d for d in DEPS[base]],
+        re.sub(rf"\b{old}\b", new, CTES[base]))
+
+
+over("stg_orders", "raw_orders", "raw_orders_twice")
+over("fct_daily_sales", "stg_orders", "stg_orders_twice")
+over("daily_grain", "fct_daily_sales", "fct_daily_sales_twice")
+over("customer_totals", "stg_orders", "stg_orders_twice")
+over("stg_customers", "raw_customers", "raw_customers_twice")
+over("cohort_size", "stg_customers", "stg_customers_twice")
+cte("cohorts_once_replaced", ["stg_customers_twice", "stg_orders", "cohort_size_twice"],
+    CTES["customer_cohorts"].replace("stg_customers", "stg_customers_twice").replace("cohort_size USING",
+                                                                                      "cohort_size_twice USING"))
+SQL["repeated_orders_summary"] = select_from("daily_grain_twice", [
+    "sale_date", "order_year", "order_month", "order_quarter", "country", "country_code", "is_major_market",
+    "category", "price_segment", "total_orders", "unique_customers", "total_items_sold", "gross_revenue",
+    "avg_revenue_per_customer"], money("gross_revenue"))
+SQL["repeated_orders_rfm"] = with_ctes("customer_totals_twice") + """SELECT * REPLACE (CAST(monetary AS DOUBLE) AS monetary)
+FROM customer_totals_twice"""
+SQL["repeated_customers_cohorts"] = (with_ctes("cohorts_once_replaced")
+                                     + "SELECT * REPLACE (CAST(total_revenue AS DOUBLE) AS total_revenue) "
+                                       "FROM cohorts_once_replaced")

@@ -22,19 +22,20 @@ from .registry import Inputs, exposed, register
 CHECK_COLS = ["first_name", "last_name", "email", "country", "customer_tier"]
 
 
-def _order_rows(i: Inputs, raw_orders, run_ts):
-    return M.fct_orders_rows(S.stg_orders(raw_orders), i.stg_products, i.stg_customers, run_ts)
+def _stored_loads(spark, sf_dir):
+    """The first load, stored, and what the second needs: (inputs, enrichment, folder, first load)."""
+    from ..session import new_run_id, scratch_path
+    from .build import upsert_by_month
+    i = Inputs(spark, sf_dir)
+    products, customers = i.stg_products, i.stg_customers
 
+    def enrich(run_ts):
+        return lambda o: M.fct_orders_rows(o, products, customers, run_ts)
 
-def _two_loads(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
-    r1, r2 = TB.LOAD_RUNS
-    first = _order_rows(i, TB.orders_first_load(i.raw.orders), r1)
-    _, target1 = U.incremental_load(first, None)
-    delta, target2 = U.incremental_load(
-        S.stg_orders(TB.orders_second_load(i.raw.orders)), target1,
-        enrich=lambda o: M.fct_orders_rows(o, i.stg_products, i.stg_customers, r2))
-    return delta, target2
+    folder = scratch_path(spark, "upsert", new_run_id())
+    first = upsert_by_month(spark, S.stg_orders(TB.orders_first_load(i.raw.orders)), enrich(TB.LOAD_RUNS[0]),
+                            None, f"{folder}/first")
+    return i, enrich(TB.LOAD_RUNS[1]), folder, first
 
 
 @register("fct_orders_incremental_full")
@@ -46,12 +47,43 @@ def q_fct_orders_incremental_full(spark, sf_dir):
 
 @register("incremental_delta")
 def q_incremental_delta(spark, sf_dir):
-    return exposed(_two_loads(spark, sf_dir)[0])
+    from .build import choose_changes
+    i, enrich, folder, first = _stored_loads(spark, sf_dir)
+    second = S.stg_orders(TB.orders_second_load(i.raw.orders))
+    return exposed(enrich(choose_changes(spark, second, first.table, first.keys, f"{folder}/second")[0]))
 
 
 @register("incremental_upsert")
 def q_incremental_upsert(spark, sf_dir):
-    return exposed(_two_loads(spark, sf_dir)[1])
+    """Both loads as a stored target takes them: by month, from its key sets."""
+    from .build import upsert_by_month
+    i, enrich, folder, first = _stored_loads(spark, sf_dir)
+    second = S.stg_orders(TB.orders_second_load(i.raw.orders))
+    up = upsert_by_month(spark, second, enrich, first.table, f"{folder}/second", first.keys)
+    return exposed(up.rows.drop("order_month"))
+
+
+# ----------------------------------------------------- distinct counts over repeated keys
+@register("repeated_orders_summary")
+def q_repeated_orders_summary(spark, sf_dir):
+    """Distinct orders and customers a day where order ids are on several rows."""
+    i = Inputs(spark, sf_dir)
+    d = i.daily_sales_summary(False, S.stg_orders(TB.orders_with_repeats(i.raw.orders)))
+    return exposed(d.select(*A.SUMMARY_KEYS, "total_orders", "unique_customers", "total_items_sold",
+                            "gross_revenue", "avg_revenue_per_customer"))
+
+
+@register("repeated_orders_rfm")
+def q_repeated_orders_rfm(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    return exposed(M.rfm_metrics(S.stg_orders(TB.orders_with_repeats(i.raw.orders)), i.as_of))
+
+
+@register("repeated_customers_cohorts")
+def q_repeated_customers_cohorts(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    c = S.stg_customers(TB.customers_with_repeats(i.raw.customers), i.as_of)
+    return exposed(A.customer_cohorts(c, i.stg_orders, ordered=False))
 
 
 def _snapshot_source(raw_customers, run_ts):
@@ -167,7 +199,7 @@ def q_postflight_row_counts(spark, sf_dir):
         "fct_daily_sales": i.fct_daily_sales(),
         "fct_orders_incremental": M.fct_orders_rows(i.stg_orders, i.stg_products,
                                                     i.stg_customers, TB.LOAD_RUNS[0]),
-        "daily_sales_summary": A.daily_sales_summary(i.fct_daily_sales(), ordered=False),
+        "daily_sales_summary": i.daily_sales_summary(ordered=False),
         "customer_cohorts": A.customer_cohorts(i.stg_customers, i.stg_orders, ordered=False),
         "stg_customers": i.stg_customers, "stg_orders": i.stg_orders,
         "stg_products": i.stg_products,

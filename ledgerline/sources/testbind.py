@@ -195,3 +195,20 @@ def orders_second_load(raw_orders_df: DataFrame) -> DataFrame:
     return raw_orders_df.withColumn(
         "status", F.when(F.col("status") == "pending", F.lit("completed"))
         .otherwise(F.col("status")))
+
+
+# Repeated keys, which the gates would stop: fixed rules of the distinct-count queries.
+REPEAT_ORDERS, OTHER_CUSTOMER, REPEAT_CUSTOMERS = 3, 9, 4
+
+
+def orders_with_repeats(raw_orders_df: DataFrame) -> DataFrame:
+    """Every third order is loaded twice, every ninth the second time for the next customer."""
+    k = F.col("order_id")
+    again = raw_orders_df.where(k % REPEAT_ORDERS == 0).withColumn(
+        "customer_id", F.when(k % OTHER_CUSTOMER == 0, F.col("customer_id") + 1).otherwise(F.col("customer_id")))
+    return raw_orders_df.unionByName(again)
+
+
+def customers_with_repeats(raw_customers_df: DataFrame) -> DataFrame:
+    """Every fourth customer is listed twice."""
+    return raw_customers_df.unionByName(raw_customers_df.where(F.col("customer_id") % REPEAT_CUSTOMERS == 0))

@@ -33,12 +33,12 @@ def upsert_batch_writer(table: str, root: str,
             path = f"{root.rstrip('/')}/_epochs/{epoch_id}-{new_run_id()}"
             rows = batch.persist()  # the delta choice reads the micro-batch more than once
             try:
-                _, entry = B.upsert_by_month(spark, rows, transform or (lambda o: o),
-                                             manifest.tables.get(table), path)
+                up = B.upsert_by_month(spark, rows, transform or (lambda o: o), manifest.tables.get(table),
+                                       path, manifest.tables.get(B.keys_of(table)))
             finally:
                 rows.unpersist()
-            manifest = ST.commit(spark, root, manifest, f"epoch-{epoch_id}", {table: entry},
-                                 {table: epoch_id})
+            manifest = ST.commit(spark, root, manifest, f"epoch-{epoch_id}",
+                                 {table: up.table, B.keys_of(table): up.keys}, {table: epoch_id})
         ST.sync_catalog(spark, manifest, {table: table})
     return write
 
