@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.dates import month_start, months_between_starts
-from .distinct import REPEATS, repeats_by, rows_of_repeated
 from .staging import successful_orders
 
 SUMMARY_KEYS = ["sale_date", "order_year", "order_month", "order_quarter",
@@ -32,42 +31,55 @@ def _trend_window() -> Window:
                      F.col("price_segment").asc_nulls_last()))
 
 
-def daily_aggregates(fct: DataFrame, repeated: DataFrame | None = None,
-                     unique_orders: bool = False) -> DataFrame:
+def _measures() -> dict:
+    """Row values whose sums make up the summary (a count is a sum of ones)."""
+    per_item = R.safe_ratio(F.col("net_revenue"), F.col("quantity")).cast("decimal(28,10)")
+    one = lambda cond: F.when(cond, 1).otherwise(0)
+    of = lambda flag, value: F.when(F.col(flag), value).otherwise(0)
+    return {
+        "total_items_sold": F.col("quantity"), "gross_revenue": F.col("total_amount"),
+        "net_revenue": F.col("net_revenue"), "estimated_margin": F.col("estimated_margin"),
+        "_n_total": one(F.col("total_amount").isNotNull()),
+        "_sum_per_item": per_item, "_n_per_item": one(per_item.isNotNull()),
+        "high_value_orders": of("is_high_value", F.lit(1)), "bulk_orders": of("is_bulk_order", F.lit(1)),
+        "vip_orders": of("is_vip_customer", F.lit(1)),
+        "_hv_net": of("is_high_value", F.col("net_revenue")), "_we_net": of("is_weekend", F.col("net_revenue")),
+    }
+
+
+def _once_per_order(fct: DataFrame, measures: dict) -> DataFrame:
+    """One row per order and customer of a day's group, for orders on several rows: the order's sums
+    and its count (``_order``) on the first.  Rows without an order id are told apart by customer, so
+    no group of theirs grows beyond a customer's."""
+    without = F.when(F.col("order_id").isNull(), F.col("customer_id")).alias("_without_order")
+    per_order = fct.groupBy(*SUMMARY_KEYS, "order_id", without).agg(
+        *[F.sum(m).alias(name) for name, m in measures.items()],
+        F.collect_set("customer_id").alias("_customers"))
+    rows = per_order.select("*", F.posexplode_outer("_customers").alias("_place", "customer_id"))
+    first = F.coalesce(F.col("_place"), F.lit(0)) == 0
+    return rows.select(
+        *SUMMARY_KEYS, "customer_id", *[F.when(first, F.col(name)).alias(name) for name in measures],
+        F.when(first & F.col("order_id").isNotNull(), 1).otherwise(0).alias("_order"))
+
+
+def daily_aggregates(fct: DataFrame, unique_orders: bool = False) -> DataFrame:
     """The nine-key daily grain with all plain aggregates.
 
-    Two stages, each with partial aggregation before its shuffle: first by
-    the nine keys and the customer, then by the nine keys, where a customer
-    is one row.  So the distinct customers are counted without expanding
-    the fact.  Distinct orders are rows less repeats (distinct.py):
-    ``repeated`` holds the fact rows whose order id is on several rows, if
-    the caller can tell them more cheaply than from the fact;
-    ``unique_orders`` says that a gate has found none.
+    Each stage has partial aggregation before its shuffle: by the nine keys
+    and the customer, then by the nine keys, where a customer is one row.  So
+    the distinct customers are counted without expanding the fact.  Distinct
+    orders take a stage before these, by the nine keys and the order, which
+    ``unique_orders`` (a gate has found no repeated order id) leaves out.
     """
-    per_item = R.safe_ratio(F.col("net_revenue"), F.col("quantity")).cast("decimal(28,10)")
-    flagged = lambda flag, value: F.sum(F.when(F.col(flag), value).otherwise(0))
-    by_customer = fct.groupBy(*SUMMARY_KEYS, "customer_id").agg(
-        F.count("order_id").alias("total_orders"),
-        F.sum("quantity").alias("total_items_sold"),
-        F.sum("total_amount").alias("gross_revenue"),
-        F.sum("net_revenue").alias("net_revenue"),
-        F.sum("estimated_margin").alias("estimated_margin"),
-        F.count("total_amount").alias("_n_total"),
-        F.sum(per_item).alias("_sum_per_item"),
-        F.count(per_item).alias("_n_per_item"),
-        flagged("is_high_value", F.lit(1)).alias("high_value_orders"),
-        flagged("is_bulk_order", F.lit(1)).alias("bulk_orders"),
-        flagged("is_vip_customer", F.lit(1)).alias("vip_orders"),
-        flagged("is_high_value", F.col("net_revenue")).alias("_hv_net"),
-        flagged("is_weekend", F.col("net_revenue")).alias("_we_net"),
-    )
+    measures = _measures()
+    if unique_orders:
+        rows = fct.select(*SUMMARY_KEYS, "customer_id", *[m.alias(name) for name, m in measures.items()],
+                          F.when(F.col("order_id").isNotNull(), 1).otherwise(0).alias("_order"))
+    else:
+        rows = _once_per_order(fct, measures)
+    by_customer = rows.groupBy(*SUMMARY_KEYS, "customer_id").agg(
+        F.sum("_order").alias("total_orders"), *[F.sum(name).alias(name) for name in measures])
     totals = [c for c in by_customer.columns if c not in (*SUMMARY_KEYS, "customer_id")]
-    if not unique_orders:
-        if repeated is None:
-            repeated = rows_of_repeated(fct.select(*SUMMARY_KEYS, "order_id"), "order_id")
-        repeats = repeats_by(repeated, SUMMARY_KEYS, "order_id")
-        by_customer = by_customer.unionByName(
-            repeats.select(*SUMMARY_KEYS, (-F.col(REPEATS)).alias("total_orders")), allowMissingColumns=True)
     g = by_customer.groupBy(*SUMMARY_KEYS).agg(
         F.count("customer_id").alias("unique_customers"),
         *[F.sum(c).alias(c) for c in totals])
@@ -103,9 +115,8 @@ def with_trends(daily: DataFrame) -> DataFrame:
     )
 
 
-def daily_sales_summary(fct: DataFrame, ordered: bool = True, repeated: DataFrame | None = None,
-                        unique_orders: bool = False) -> DataFrame:
-    out = with_trends(daily_aggregates(fct, repeated, unique_orders))
+def daily_sales_summary(fct: DataFrame, ordered: bool = True, unique_orders: bool = False) -> DataFrame:
+    out = with_trends(daily_aggregates(fct, unique_orders))
     if ordered:
         # reference order: DESC puts NULLs first
         out = out.orderBy(F.col("sale_date").desc_nulls_first(),

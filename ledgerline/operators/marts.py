@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..functions.dates import as_ts_col, days_between, dow0
 from .ranking import Order, with_ntile_single_task, with_ntiles
-from .distinct import REPEATS, repeats_by, rows_of_repeated
 from .skew import left_join_dimension
 from .staging import successful_orders
 
@@ -56,15 +55,18 @@ def _with_dimensions(orders: DataFrame, products: DataFrame, customers: DataFram
     return left_join_dimension(j, customers, "customer_id", hot)
 
 
-def rfm_metrics(stg_orders: DataFrame, as_of, unique_orders: bool = False) -> DataFrame:
+def rfm_metrics(stg_orders: DataFrame, as_of, unique_orders: bool = False,
+                order_keys: DataFrame | None = None) -> DataFrame:
     """Per-customer recency / frequency / monetary over successful orders.
 
     Two stages, each with partial aggregation before its shuffle: by
     customer and order month, then by customer, where a month is one row.
     A customer holding a third of all orders ships one row per month and
     map task.  ``frequency`` counts distinct orders: rows, less the repeats of
-    order ids that occur on several rows (distinct.py); ``unique_orders`` says
-    that a gate has found none.
+    a customer's order ids, which one aggregate over (customer, order) finds
+    and a union with negative counts takes off; ``unique_orders`` says that a
+    gate has found none.  ``order_keys``: (order_id, customer_id) of the same rows,
+    if the caller has them more cheaply than from the orders.
     """
     d = F.col("order_date")
     o = successful_orders(stg_orders).select(
@@ -81,9 +83,10 @@ def rfm_metrics(stg_orders: DataFrame, as_of, unique_orders: bool = False) -> Da
         F.sum("quantity").alias("total_items_bought"),
     )
     if not unique_orders:
-        repeats = repeats_by(rows_of_repeated(o, "order_id"), ["customer_id"], "order_id")
-        monthly = monthly.unionByName(repeats.select("customer_id", (-F.col(REPEATS)).alias("frequency")),
-                                      allowMissingColumns=True)
+        keys = (o if order_keys is None else order_keys).where(F.col("order_id").isNotNull())
+        again = keys.groupBy("customer_id", "order_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+        repeats = again.groupBy("customer_id").agg(F.sum(1 - F.col("_n")).alias("frequency"))
+        monthly = monthly.unionByName(repeats, allowMissingColumns=True)
     agg = monthly.groupBy("customer_id").agg(
         F.max("last_order_date").alias("last_order_date"),
         F.min("first_order_date").alias("first_order_date"),
@@ -116,8 +119,9 @@ def rfm_scores(rfm: DataFrame, distributed: bool = True) -> DataFrame:
 
 
 def dim_customers(stg_customers: DataFrame, stg_orders: DataFrame, as_of,
-                  distributed_ntile: bool = True, unique_orders: bool = False) -> DataFrame:
-    scored = rfm_scores(rfm_metrics(stg_orders, as_of, unique_orders), distributed_ntile).alias("r")
+                  distributed_ntile: bool = True, unique_orders: bool = False,
+                  order_keys: DataFrame | None = None) -> DataFrame:
+    scored = rfm_scores(rfm_metrics(stg_orders, as_of, unique_orders, order_keys), distributed_ntile).alias("r")
     c = stg_customers.alias("c")
     j = c.join(scored, F.col("c.customer_id") == F.col("r.customer_id"), "left")
     r, f, m = F.col("r.r_score"), F.col("r.f_score"), F.col("r.m_score")

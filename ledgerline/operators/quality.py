@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,6 +116,49 @@ def row_level_results(df: DataFrame, checks: list[Check], as_of=None) -> DataFra
     return counts.select(F.explode(rows).alias("r")).select("r.*")
 
 
+#: Checks that metrics of a table's rows decide, without another look at them.
+METRIC_LEVEL = ROW_LEVEL | {"accepted_values"}
+
+
+def metric_columns(checks: list[Check], as_of=None) -> list[Column]:
+    """Row count and, per check, the rows that violate it: aggregates for one pass over a table,
+    its write included (``DataFrame.observe``)."""
+    return [F.count(F.lit(1)).alias("rows"),
+            *[failure_count(ch, as_of).alias(f"c{i}") for i, ch in enumerate(checks)]]
+
+
+@dataclass
+class Metrics:
+    """What one pass over a table found: its rows, the failures that are settled, and the checks
+    that need a second look (invalid values are counted once each, so they are looked up only
+    where there are any)."""
+    rows: int
+    failures: list
+    open: list
+
+
+def settle(checks: list[Check], values: dict) -> Metrics:
+    out = Metrics(values["rows"], [], [])
+    for i, ch in enumerate(checks):
+        if values[f"c{i}"] and ch.kind == "accepted_values":
+            out.open.append(ch)
+        elif values[f"c{i}"]:
+            out.failures.append({"test": ch.kind, "model": ch.model, "column_name": ch.column, "rule": ch.rule,
+                                 "failures": values[f"c{i}"]})
+    return out
+
+
+def observed(df: DataFrame, checks: list[Check], as_of=None) -> tuple[DataFrame, Observation]:
+    """The frame with its metrics observed by whatever action runs it."""
+    seen = Observation()
+    return df.observe(seen, *metric_columns(checks, as_of)), seen
+
+
+def profile(df: DataFrame, checks: list[Check], as_of=None) -> Metrics:
+    """The metrics of a table that is not written: one aggregate."""
+    return settle(checks, df.agg(*metric_columns(checks, as_of)).first().asDict())
+
+
 def unique_result(df: DataFrame, check: Check) -> DataFrame:
     """Number of non-NULL values that occur more than once."""
     c = F.col(check.column)

@@ -108,14 +108,13 @@ class _Cut:
         self.stuck = (self.low, self.high) == before  # keys that a double cannot tell apart
 
 
-def _round(rows: DataFrame, cuts: list[_Cut]) -> None:
-    """Candidates for every cut in one job, their counts in a second."""
-    shares = []
-    for cut in cuts:
-        at, width = (cut.place + 0.5) / cut.inside, 2 / ACCURACY
-        shares.append([max(0.0, at - width), at, min(1.0, at + width)])
-    near = rows.agg(*[F.percentile_approx(F.when(c.rows(), c.key), s, ACCURACY).alias(f"c{i}")
-                      for i, (c, s) in enumerate(zip(cuts, shares))]).first()
+def _shares(place: float) -> list[float]:
+    width = 2 / ACCURACY
+    return [max(0.0, place - width), place, min(1.0, place + width)]
+
+
+def _count(rows: DataFrame, cuts: list[_Cut], near: list) -> None:
+    """One job: the candidates' counts, which narrow every cut."""
     asked = [(i, v) for i, found in enumerate(near) for v in sorted(set(found))]
     counts = []
     for i, v in asked:
@@ -126,15 +125,26 @@ def _round(rows: DataFrame, cuts: list[_Cut]) -> None:
         cut.narrow([(v, got[2 * j], got[2 * j + 1]) for j, (of, v) in enumerate(asked) if of == i])
 
 
+def _candidates(rows: DataFrame, cuts: list[_Cut]) -> list:
+    return list(rows.agg(*[
+        F.percentile_approx(F.when(c.rows(), c.key), _shares((c.place + 0.5) / c.inside), ACCURACY).alias(f"c{i}")
+        for i, c in enumerate(cuts)]).first())
+
+
 def _fetch(rows: DataFrame, cuts: list[_Cut]) -> None:
-    """The few rows around the cuts of one order."""
-    keep = F.lit(False)
+    """One job: the few rows around the cuts of all orders."""
+    keep, all_keys, starts = F.lit(False), [], {}
     for cut in cuts:
         keep |= cut.rows()
-    found = sorted(tuple(r) for r in rows.where(keep).select(
-        *[k.alias(f"k{i}") for i, k in enumerate(cuts[0].keys)]).collect())
+        if id(cut.keys) not in starts:
+            starts[id(cut.keys)] = len(all_keys)
+            all_keys += cut.keys
+    found = [tuple(r) for r in rows.where(keep).select(
+        *[k.alias(f"k{i}") for i, k in enumerate(all_keys)]).collect()]
     for cut in cuts:
-        cut.fixed = list([r for r in found if cut.holds(r)][cut.place])
+        at = starts[id(cut.keys)]
+        own = sorted(r[at:at + len(cut.keys)] for r in found)
+        cut.fixed = list([r for r in own if cut.holds(r)][cut.place])
 
 
 def find_cuts(df: DataFrame, id_col: str, n: int, orders: Sequence[Order],
@@ -142,25 +152,38 @@ def find_cuts(df: DataFrame, id_col: str, n: int, orders: Sequence[Order],
     """Per order its keys and, as key values, the last rows of tiles 1 to n - 1."""
     rows = df.select(id_col, *sorted({o.value for o in orders})).persist()
     try:
-        counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count(id_col).alias("i"),
-                          *[F.count(o.value).alias(f"v{k}") for k, o in enumerate(orders)]).first()
-        cuts: dict[str, list[_Cut]] = {}
+        # counts, and the first candidates as if there were no NULL
+        plain = [_keys(df, o, id_col, False, False)[0] for o in orders]
+        first = rows.agg(
+            F.count(F.lit(1)).alias("n"), F.count(id_col).alias("i"),
+            *[F.count(o.value).alias(f"v{k}") for k, o in enumerate(orders)],
+            *[F.percentile_approx(key, [s for t in range(1, n) for s in _shares(t / n)], ACCURACY).alias(f"c{k}")
+              for k, key in enumerate(plain) if n > 1]).first()
+        total = first["n"]
+        keys, cuts, near = {}, {}, []
         for k, o in enumerate(orders):
-            keys = _keys(df, o, id_col, counts[f"v{k}"] < counts["n"], counts["i"] < counts["n"])
-            cuts[o.out_col] = [_Cut(keys, at, counts["n"]) for at in tile_ends(counts["n"], n) if at >= 0]
+            null_values, null_ids = first[f"v{k}"] < total, first["i"] < total
+            keys[o.out_col] = _keys(df, o, id_col, null_values, null_ids)
+            cuts[o.out_col] = []
+            for t, at in enumerate(tile_ends(total, n)):
+                if at >= 0:
+                    cuts[o.out_col].append(_Cut(keys[o.out_col], at, total))
+                    near.append(None if null_values else first[f"c{k}"][3 * t:3 * t + 3])
         every = [c for of_order in cuts.values() for c in of_order]
+        if total > fetch:
+            known = [(c, v) for c, v in zip(every, near) if v is not None]
+            if known:
+                _count(rows, [c for c, _ in known], [v for _, v in known])
         while wide := [c for c in every if not c.done and not c.stuck and c.inside > fetch]:
-            _round(rows, wide)
-        for of_order in cuts.values():
-            if few := [c for c in of_order if not c.done and not c.stuck]:
-                _fetch(rows, few)
+            _count(rows, wide, _candidates(rows, wide))
+        if few := [c for c in every if not c.done and not c.stuck]:
+            _fetch(rows, few)
         for cut in every:
             if not cut.done:
                 rest = [k.alias(f"k{i}") for i, k in enumerate(cut.keys)]
                 row = rows.where(cut.rows()).select(*rest).orderBy(*[f"k{i}" for i in range(len(rest))])
                 cut.fixed = list(row.offset(cut.place).limit(1).first())
-        return {o.out_col: (_keys(df, o, id_col, counts[f"v{k}"] < counts["n"], counts["i"] < counts["n"]),
-                            [c.fixed for c in cuts[o.out_col]]) for k, o in enumerate(orders)}
+        return {o.out_col: (keys[o.out_col], [c.fixed for c in cuts[o.out_col]]) for o in orders}
     finally:
         rows.unpersist()
 

@@ -5,10 +5,10 @@ whose key is not in the target, or whose date is on/after the target's
 latest date (the last loaded day is re-read).  Target rows whose key is
 in the delta are replaced by the delta rows.
 
-Plan shape (``incremental_load``): the delta is chosen on the source as it
-is, before any enrichment: rows on/after the cut-off (one scalar subquery)
-by a filter that reaches the scan, and of the older rows only the key
-column meets the target's keys.  Dimension joins then run for the delta.
+Plan shape (``incremental_load``, over any two frames): the delta is chosen
+on the source as it is, before any enrichment, by one join with the
+target's distinct keys and the cut-off (one scalar subquery).  Dimension
+joins then run for the delta.
 ``select_delta`` keeps the literal NOT EXISTS form for reference.
 
 A stored target (plans/build.py) keeps its keys as sets per partition:
@@ -50,26 +50,20 @@ def replace_keys(target: DataFrame, delta: DataFrame, key: str = "order_id") ->
     return kept.unionByName(delta.select(target.columns))
 
 
-def cutoff(target: DataFrame, date_col: str, lookback_days: int = 0, part_col: str | None = None):
-    """Latest loaded date as a scalar subquery; with a partition column
-    (which must follow the date) only its newest partition is read."""
-    if part_col is not None:
-        target = target.where(F.col(part_col) == target.select(F.max(part_col)).scalar())
+def cutoff(target: DataFrame, date_col: str, lookback_days: int = 0):
+    """Latest loaded date as a scalar subquery."""
     latest = F.coalesce(F.max(date_col), F.lit(EMPTY_TARGET_DATE))
     return target.select(F.date_sub(latest, lookback_days) if lookback_days else latest).scalar()
 
 
 def changed_rows(source: DataFrame, target: DataFrame, key: str, date_col: str,
-                 lookback_days: int = 0, part_col: str | None = None) -> DataFrame:
+                 lookback_days: int = 0) -> DataFrame:
     """The delta: recent source rows, and older ones whose key the target
-    lacks.  NULL keys never match (as in SQL), so they are always part."""
-    recent = F.coalesce(F.col(date_col) >= cutoff(target, date_col, lookback_days, part_col), F.lit(False))
-    older = source.where(~recent)
-    missing = (older.select(key).where(F.col(key).isNotNull()).distinct()
-               .join(target.select(key), key, "left_anti"))
-    return (source.where(F.col(date_col) >= cutoff(target, date_col, lookback_days, part_col))
-            .unionByName(older.join(missing, key, "left_semi").select(*source.columns))
-            .unionByName(older.where(F.col(key).isNull())))
+    lacks.  NULL keys never match (as in SQL), so they are always part.
+    One pass over the source, one over the target's keys."""
+    known = target.select(key).distinct().withColumn("_known", F.lit(True))
+    recent = F.coalesce(F.col(date_col) >= cutoff(target, date_col, lookback_days), F.lit(False))
+    return source.join(known, key, "left").where(recent | F.col("_known").isNull()).select(*source.columns)
 
 
 def incremental_load(source: DataFrame, target: DataFrame | None, key: str = "order_id",
@@ -81,13 +75,16 @@ def incremental_load(source: DataFrame, target: DataFrame | None, key: str = "or
     ``enrich`` turns chosen source rows into target rows (dimension
     joins); it must keep the key.  ``lookback_days`` > 0 re-reads that many
     days before the latest loaded date as well, so late changes to recent
-    orders are picked up (0 is the reference rule: the last loaded day)."""
+    orders are picked up (0 is the reference rule: the last loaded day).
+
+    A chosen row either is recent or has a key that the target lacks, so
+    recent source keys alone say which target rows go."""
     enrich = enrich or (lambda rows: rows)
     if target is None:
         return (rows := enrich(source)), rows
-    chosen = changed_rows(source, target, key, date_col, lookback_days)
-    delta = enrich(chosen).select(target.columns)
-    kept = target.join(chosen.select(key), key, "left_anti").select(target.columns)
+    delta = enrich(changed_rows(source, target, key, date_col, lookback_days)).select(target.columns)
+    recent = source.where(F.col(date_col) >= cutoff(target, date_col, lookback_days)).select(key)
+    kept = target.join(recent, key, "left_anti").select(target.columns)
     return delta, kept.unionByName(delta)
 
 

@@ -24,10 +24,12 @@ of versions closed by the run).
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import state as ST
 from ..operators import analytics as A
@@ -134,6 +136,7 @@ class Upsert:
     table: ST.Table
     keys: ST.Table
     delta: DataFrame
+    metrics: Q.Metrics | None = None
 
     @property
     def rows(self) -> DataFrame:
@@ -141,13 +144,24 @@ class Upsert:
         return ST.read(self.spark, self.table)
 
 
-def _month_keys(spark: SparkSession, rows: DataFrame, path: str, kept: list) -> ST.Table:
-    """Stored key sets of the months in ``rows``, beside those of the months kept."""
-    by = [INCREMENTAL_PART]
+def _month_keys(rows: DataFrame, months: list, path: str, kept: list) -> ST.Table:
+    """Stored key sets of ``rows``, which lie in ``months``, beside those of the months kept."""
     sets = KS.key_sets(rows, INCREMENTAL_KEY, (INCREMENTAL_PART,))
-    _write_partitioned(sets, path, by)
-    back = _read_back(spark, path, sets)
-    return ST.partitioned(back, by, kept + [[v, path] for v in ST.partition_values(back, by)])
+    sets.write.parquet(path)  # few files: the months of a run lie together
+    return ST.Table(schema=sets.schema.json(), parts=kept + [[v, path] for v in months])
+
+
+def read_keys(spark: SparkSession, keys: ST.Table) -> DataFrame:
+    """The key sets of the months that each run's folder still stands for."""
+    schema = T.StructType.fromJson(json.loads(keys.schema))
+    by_folder: dict[str, list] = {}
+    for (month,), path in keys.parts:
+        by_folder.setdefault(path, []).append(_dt.date.fromisoformat(month))
+    out = None
+    for path, months in by_folder.items():
+        df = spark.read.schema(schema).parquet(path).where(F.col(INCREMENTAL_PART).isin(months))
+        out = df if out is None else out.unionByName(df)
+    return out if out is not None else spark.createDataFrame([], schema)
 
 
 def choose_changes(spark: SparkSession, orders: DataFrame, table: ST.Table, keys: ST.Table,
@@ -159,7 +173,7 @@ def choose_changes(spark: SparkSession, orders: DataFrame, table: ST.Table, keys
     latest = U.EMPTY_TARGET_DATE
     if newest is not None:
         latest = ST.read(spark, ST.only(table, [newest])).agg(F.max(INCREMENTAL_DATE)).first()[0]
-    held = ST.read(spark, keys)
+    held = read_keys(spark, keys)
 
     def written(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{path}/{name}")
@@ -171,7 +185,7 @@ def choose_changes(spark: SparkSession, orders: DataFrame, table: ST.Table, keys
 
 
 def upsert_by_month(spark: SparkSession, orders: DataFrame, enrich, table: ST.Table | None,
-                    path: str, keys: ST.Table | None = None) -> Upsert:
+                    path: str, keys: ST.Table | None = None, checks=(), as_of=None) -> Upsert:
     """Keyed upsert of an order fact, rewriting only touched months.
 
     First load: the whole fact, partitioned by order month, and the sets of
@@ -179,6 +193,7 @@ def upsert_by_month(spark: SparkSession, orders: DataFrame, enrich, table: ST.Ta
     (``choose_changes``); only the months that chosen or replaced rows lie
     in are read and written anew, with their key sets.  ``keys``: the entry
     that goes with ``table``; made from the table where it is missing.
+    ``checks``: row checks whose metrics are taken of the rows written.
     """
     month = F.trunc(INCREMENTAL_DATE, "month")
 
@@ -187,13 +202,15 @@ def upsert_by_month(spark: SparkSession, orders: DataFrame, enrich, table: ST.Ta
 
     data, by = f"{path}/data", [INCREMENTAL_PART]
     if table is None:
-        whole = rows(orders)
+        whole, seen = Q.observed(rows(orders), checks, as_of)
         _write_partitioned(whole, data, by)
         back = _read_back(spark, data, whole)
-        entry = ST.partitioned(back, by, [[v, data] for v in ST.partition_values(back, by)])
-        return Upsert(spark, entry, _month_keys(spark, back, f"{path}/keys", []), back)
+        months = ST.partition_values(spark, data)
+        found = Q.settle(checks, seen.get)
+        entry = ST.partitioned(back, by, [[v, data] for v in months], rows=found.rows)
+        return Upsert(spark, entry, _month_keys(back, months, f"{path}/keys", []), back, found)
     if keys is None:
-        keys = _month_keys(spark, ST.read(spark, table), f"{path}/keys-of-target", [])
+        keys = _month_keys(ST.read(spark, table), [p[0] for p in table.parts], f"{path}/keys-of-target", [])
     chosen, replaced = choose_changes(spark, orders, table, keys, path)
     columns = ST.columns(table)
     delta = rows(chosen).select(columns)
@@ -203,15 +220,18 @@ def upsert_by_month(spark: SparkSession, orders: DataFrame, enrich, table: ST.Ta
     if any(v is None for v in touched):
         raise ValueError("orders without a date cannot be loaded incrementally")
     if not touched:
-        return Upsert(spark, table, keys, delta)
+        return Upsert(spark, table, keys, delta, Q.Metrics(0, [], []))
     gone = {str(v) for v in touched}
-    old = ST.read(spark, ST.only(table, touched)).select(columns)
-    _write_partitioned(U.rewritten(old, delta, replaced, INCREMENTAL_KEY), data, by)
+    old, before = Q.observed(ST.read(spark, ST.only(table, touched)).select(columns), ())
+    new, after = Q.observed(U.rewritten(old, delta, replaced, INCREMENTAL_KEY), checks, as_of)
+    _write_partitioned(new, data, by)
+    found = Q.settle(checks, after.get)
+    total = None if table.rows is None else table.rows - before.get["rows"] + found.rows
     fresh = _read_back(spark, data, old)
-    entry = ST.partitioned(old, by, [p for p in table.parts if p[0][0] not in gone]
-                           + [[v, data] for v in ST.partition_values(fresh, by)])
-    new_keys = _month_keys(spark, fresh, f"{path}/keys", [p for p in keys.parts if p[0][0] not in gone])
-    return Upsert(spark, entry, new_keys, delta)
+    months = ST.partition_values(spark, data)
+    entry = ST.partitioned(old, by, [p for p in table.parts if p[0][0] not in gone] + [[v, data] for v in months], rows=total)
+    new_keys = _month_keys(fresh, months, f"{path}/keys", [p for p in keys.parts if p[0][0] not in gone])
+    return Upsert(spark, entry, new_keys, delta, found)
 
 
 SNAPSHOTS = {"customers_snapshot": "timestamp", "customers_snapshot_check": "check"}
@@ -219,7 +239,8 @@ SNAPSHOT_STATE, OPEN_STATE = "version_state", "open"
 
 
 def _snapshot_step(spark: SparkSession, name: str, source: DataFrame, run_ts, path: str,
-                   run_id: str, table: ST.Table | None) -> tuple[DataFrame, ST.Table]:
+                   run_id: str, table: ST.Table | None, checks=(), as_of=None
+                   ) -> tuple[DataFrame, ST.Table, Q.Metrics]:
     """SCD2 run that reads and rewrites only the open versions.
 
     The history is partitioned by ``version_state``: 'open' for current
@@ -239,10 +260,18 @@ def _snapshot_step(spark: SparkSession, name: str, source: DataFrame, run_ts, pa
     merged = merged.withColumn(SNAPSHOT_STATE, F.when(F.col(H.VALID_TO).isNull(), OPEN_STATE)
                                .otherwise(f"closed-{run_id}"))
     data, by = f"{path}/data", [SNAPSHOT_STATE]
+    opened = Observation()
+    merged = merged.observe(opened, F.count_if(F.col(SNAPSHOT_STATE) == OPEN_STATE).alias("rows"))
+    merged, seen = Q.observed(merged, checks, as_of)
     _write_partitioned(merged, data, by)
     fresh = _read_back(spark, data, merged)
-    new = ST.partitioned(fresh, by, parts + [[v, data] for v in ST.partition_values(fresh, by)])  # <= 2 new
-    return ST.read(spark, new), new
+    found = Q.settle(checks, seen.get)
+    total = found.rows
+    if table is not None:
+        total = None if table.rows is None else table.rows - table.open_rows + total
+    new = ST.partitioned(fresh, by, parts + [[v, data] for v in ST.partition_values(spark, data)],  # <= 2 new
+                         rows=total, open_rows=opened.get["rows"])
+    return ST.read(spark, new), new, found
 
 
 def _write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
@@ -353,15 +382,29 @@ def _build(spark, raw_customers, raw_products, raw_orders, root, run_dir, as_of,
     entries: dict[str, ST.Table] = {}
     paths: dict[str, str] = {}
     done: set[int] = set()
-
-    def failures() -> list:
-        """The checks that have become possible with the models so far."""
-        ready = [(i, c) for i, c in enumerate(SUITE.SUITE) if i not in done and c.model in models
-                 and (c.kind != "relationships" or c.to in models)]
+    row_checks = {m: [c for c in SUITE.SUITE if c.model == m and c.kind in Q.METRIC_LEVEL]
+                  for m in {c.model for c in SUITE.SUITE}}
+    counted: dict[str, int] = {}
+
+    def settled(name: str, metrics: Q.Metrics) -> list:
+        """Failures of the row checks, from metrics of the pass that wrote (or profiled) the rows."""
+        if metrics.open:
+            return metrics.failures + Q.gate(Q.run_checks(models, metrics.open, as_of=as_of)).failures
+        return metrics.failures
+
+    def key_failures() -> list:
+        """The uniqueness and relationship checks that have become possible with the models so far."""
+        ready = [(i, c) for i, c in enumerate(SUITE.SUITE) if i not in done and c.kind not in Q.METRIC_LEVEL
+                 and c.model in models and (c.kind != "relationships" or c.to in models)]
         done.update(i for i, _ in ready)
         return Q.gate(Q.run_checks(models, [c for _, c in ready], as_of=as_of)).failures if ready else []
 
-    found = failures() + Q.gate(Q.singular_result(
+    found = []
+    for name, df in list(models.items()):
+        metrics = Q.profile(df, row_checks.get(name, []), as_of)
+        counted[name] = metrics.rows
+        found += settled(name, metrics)
+    found += key_failures() + Q.gate(Q.singular_result(
         models[SUITE.SINGULAR_MODEL], SUITE.SINGULAR_CONDITION, SUITE.SINGULAR_MODEL,
         "total_amount")).failures
     if wanted({"seeds"}) and not found:
@@ -380,28 +423,30 @@ def _build(spark, raw_customers, raw_products, raw_orders, root, run_dir, as_of,
         if name == "daily_sales_summary" and "fct_daily_sales" not in built:
             built["fct_daily_sales"] = builders["fct_daily_sales"]()
         path = paths[name] = f"{run_dir}/{name}"
+        checks = row_checks.get(name, [])
         if name == INCREMENTAL:
             up = upsert_by_month(
                 spark, stg["stg_orders"],
                 lambda o: M.fct_orders_rows(o, stg["stg_products"], stg["stg_customers"], run_ts, hot),
-                manifest.tables.get(name), path, manifest.tables.get(keys_of(name)))
+                manifest.tables.get(name), path, manifest.tables.get(keys_of(name)), checks, as_of)
             built[name], entries[name], entries[keys_of(name)] = up.rows, up.table, up.keys
+            metrics = up.metrics
         elif name in SNAPSHOTS:
-            built[name], entries[name] = _snapshot_step(
-                spark, name, stg["stg_customers"], run_ts, path, run_id, manifest.tables.get(name))
-        elif name in PARTITION_COLUMNS:
-            df, by = builders[name](), PARTITION_COLUMNS[name]
-            _write_partitioned(df, path, by)
-            built[name] = _read_back(spark, path, df)
-            entries[name] = ST.partitioned(built[name], by,
-                                           [[v, path] for v in ST.partition_values(built[name], by)])
+            built[name], entries[name], metrics = _snapshot_step(
+                spark, name, stg["stg_customers"], run_ts, path, run_id, manifest.tables.get(name), checks, as_of)
         else:
-            df = builders[name]()
-            df.write.parquet(path)
-            built[name] = _read_back(spark, path, df)
-            entries[name] = ST.plain(built[name], path)
+            df, seen = Q.observed(builders[name](), checks, as_of)
+            by = PARTITION_COLUMNS.get(name, [])
+            if by:
+                _write_partitioned(df, path, by)
+            else:
+                df.write.parquet(path)
+            built[name], metrics = _read_back(spark, path, df), Q.settle(checks, seen.get)
+            entries[name] = ST.partitioned(
+                built[name], by, [[v, path] for v in ST.partition_values(spark, path, len(by))],
+                rows=metrics.rows) if by else ST.plain(built[name], path, rows=metrics.rows)
         models[name] = built[name]
-        found = failures()
+        found = settled(name, metrics) + key_failures()
     res = BuildResult(run_id=run_id, published=False, tables=paths, failures=found)
     if found:
         return res
@@ -415,8 +460,14 @@ def _build(spark, raw_customers, raw_products, raw_orders, root, run_dir, as_of,
     again = [c for c in SUITE.SUITE if c.model in now and (c.kind != "relationships" or c.to in now)]
     res.failures = Q.gate(Q.run_checks(now, again, as_of=as_of)).failures
     required = [t for t in SUITE.REQUIRED_TABLES if tags is None or t in entries or t in stg]
-    present = {t: spark.table(names.get(t, t)) for t in required if spark.catalog.tableExists(names.get(t, t))}
-    res.postflight = [r.asDict() for r in postflight(present, required).collect()]
+    res.postflight = []
+    for t in required:  # counts as the manifest or the gate has them: nothing is read again
+        there = spark.catalog.tableExists(names.get(t, t))
+        n = manifest.tables[t].rows if t in manifest.tables and manifest.tables[t].sql is None else counted.get(t)
+        if there and n is None:
+            n = spark.table(names.get(t, t)).count()  # written before counts were kept
+        res.postflight.append({"table_name": t, "table_exists": there, "row_count": n if there else None,
+                               "status": "missing" if not there else "ok" if n else "empty"})
     missing = [r["table_name"] for r in res.postflight if r["status"] == "missing"]
     if missing:
         raise PostflightError(f"not published: {missing}")

@@ -317,7 +317,7 @@ SELECT p.product_id, p.category, CAST(k.category_id AS INTEGER) AS category_id,
        k.parent_category, k.is_active AS category_is_active
 FROM stg_products p LEFT JOIN {SEED_CATEGORIES_SQL} ON p.category = k.category_name"""
 
-SQL["stream_incremental_load"] = SQL["incremental_upsert"]
+SQL["stream_incremental_load"] = SQL["stored_upsert"] = SQL["incremental_upsert"]
 
 
 # ---------------------------------------------------------------- generator

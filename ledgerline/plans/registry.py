@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 from ..operators import analytics as A
 from ..operators import marts as M
 from ..operators import staging as S
-from ..operators.distinct import rows_of_repeated
 from ..sources import testbind as TB
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -66,15 +65,21 @@ class Inputs:
     def stg_products(self):
         return S.stg_products(self.raw.products, self.as_of)
 
+    @property
+    def order_keys(self):
+        """(order_id, customer_id) of the successful orders, from the orders table alone."""
+        return S.successful_orders(S.stg_orders(TB.raw_orders_alone(self.spark, self.sf_dir))).select(
+            "order_id", "customer_id")
+
+    def dim_customers(self):
+        return M.dim_customers(self.stg_customers, self.stg_orders, self.as_of, order_keys=self.order_keys)
+
     def fct_daily_sales(self, orders=None):
         return M.fct_daily_sales(self.stg_orders if orders is None else orders, self.stg_products,
                                  self.stg_customers)
 
-    def daily_sales_summary(self, ordered=True, orders=None):
-        """The summary; repeated order ids are told from the orders, before any join."""
-        orders = self.stg_orders if orders is None else orders
-        repeated = rows_of_repeated(S.successful_orders(orders), "order_id")
-        return A.daily_sales_summary(self.fct_daily_sales(orders), ordered, self.fct_daily_sales(repeated))
+    def daily_sales_summary(self, ordered=True):
+        return A.daily_sales_summary(self.fct_daily_sales(), ordered)
 
 
 @register("raw_customers")
@@ -134,13 +139,13 @@ def q_rolling_avg(spark, sf_dir):
 @register("rfm_metrics")
 def q_rfm_metrics(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return exposed(M.rfm_metrics(i.stg_orders, i.as_of))
+    return exposed(M.rfm_metrics(i.stg_orders, i.as_of, order_keys=i.order_keys))
 
 
 @register("rfm_scores")
 def q_rfm_scores(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    s = M.rfm_scores(M.rfm_metrics(i.stg_orders, i.as_of))
+    s = M.rfm_scores(M.rfm_metrics(i.stg_orders, i.as_of, order_keys=i.order_keys))
     return exposed(s.select("customer_id", "recency", "frequency", "monetary",
                             "r_score", "f_score", "m_score"))
 
@@ -148,14 +153,14 @@ def q_rfm_scores(spark, sf_dir):
 @register("rfm_segments")
 def q_rfm_segments(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    d = M.dim_customers(i.stg_customers, i.stg_orders, i.as_of)
+    d = i.dim_customers()
     return d.groupBy("rfm_segment").agg(F.count(F.lit(1)).alias("customers"))
 
 
 @register("dim_customers")
 def q_dim_customers(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return exposed(M.dim_customers(i.stg_customers, i.stg_orders, i.as_of))
+    return exposed(i.dim_customers())
 
 
 @register("cohort_size")

@@ -22,20 +22,13 @@ from .registry import Inputs, exposed, register
 CHECK_COLS = ["first_name", "last_name", "email", "country", "customer_tier"]
 
 
-def _stored_loads(spark, sf_dir):
-    """The first load, stored, and what the second needs: (inputs, enrichment, folder, first load)."""
-    from ..session import new_run_id, scratch_path
-    from .build import upsert_by_month
+def _two_loads(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    products, customers = i.stg_products, i.stg_customers
-
-    def enrich(run_ts):
-        return lambda o: M.fct_orders_rows(o, products, customers, run_ts)
-
-    folder = scratch_path(spark, "upsert", new_run_id())
-    first = upsert_by_month(spark, S.stg_orders(TB.orders_first_load(i.raw.orders)), enrich(TB.LOAD_RUNS[0]),
-                            None, f"{folder}/first")
-    return i, enrich(TB.LOAD_RUNS[1]), folder, first
+    r1, r2 = TB.LOAD_RUNS
+    first = M.fct_orders_rows(S.stg_orders(TB.orders_first_load(i.raw.orders)), i.stg_products, i.stg_customers, r1)
+    return U.incremental_load(
+        S.stg_orders(TB.orders_second_load(i.raw.orders)), U.incremental_load(first, None)[1],
+        enrich=lambda o: M.fct_orders_rows(o, i.stg_products, i.stg_customers, r2))
 
 
 @register("fct_orders_incremental_full")
@@ -47,19 +40,27 @@ def q_fct_orders_incremental_full(spark, sf_dir):
 
 @register("incremental_delta")
 def q_incremental_delta(spark, sf_dir):
-    from .build import choose_changes
-    i, enrich, folder, first = _stored_loads(spark, sf_dir)
-    second = S.stg_orders(TB.orders_second_load(i.raw.orders))
-    return exposed(enrich(choose_changes(spark, second, first.table, first.keys, f"{folder}/second")[0]))
+    return exposed(_two_loads(spark, sf_dir)[0])
 
 
 @register("incremental_upsert")
 def q_incremental_upsert(spark, sf_dir):
+    return exposed(_two_loads(spark, sf_dir)[1])
+
+
+@register("stored_upsert")
+def q_stored_upsert(spark, sf_dir):
     """Both loads as a stored target takes them: by month, from its key sets."""
+    from ..session import new_run_id, scratch_path
     from .build import upsert_by_month
-    i, enrich, folder, first = _stored_loads(spark, sf_dir)
-    second = S.stg_orders(TB.orders_second_load(i.raw.orders))
-    up = upsert_by_month(spark, second, enrich, first.table, f"{folder}/second", first.keys)
+    i = Inputs(spark, sf_dir)
+    products, customers = i.stg_products, i.stg_customers
+    folder, table, keys = scratch_path(spark, "upsert", new_run_id()), None, None
+    loads = [TB.orders_first_load(i.raw.orders), TB.orders_second_load(i.raw.orders)]
+    for n, (orders, run_ts) in enumerate(zip(loads, TB.LOAD_RUNS)):
+        up = upsert_by_month(spark, S.stg_orders(orders), lambda o, ts=run_ts: M.fct_orders_rows(
+            o, products, customers, ts), table, f"{folder}/{n}", keys)
+        table, keys = up.table, up.keys
     return exposed(up.rows.drop("order_month"))
 
 
@@ -68,7 +69,7 @@ def q_incremental_upsert(spark, sf_dir):
 def q_repeated_orders_summary(spark, sf_dir):
     """Distinct orders and customers a day where order ids are on several rows."""
     i = Inputs(spark, sf_dir)
-    d = i.daily_sales_summary(False, S.stg_orders(TB.orders_with_repeats(i.raw.orders)))
+    d = A.daily_sales_summary(i.fct_daily_sales(S.stg_orders(TB.orders_with_repeats(i.raw.orders))), ordered=False)
     return exposed(d.select(*A.SUMMARY_KEYS, "total_orders", "unique_customers", "total_items_sold",
                             "gross_revenue", "avg_revenue_per_customer"))
 
@@ -146,7 +147,7 @@ def quality_models(spark, sf_dir) -> LazyModels:
         "raw_orders": lambda: i.raw.orders,
         "stg_customers": lambda: i.stg_customers, "stg_orders": lambda: i.stg_orders,
         "stg_products": lambda: i.stg_products,
-        "dim_customers": lambda: M.dim_customers(i.stg_customers, i.stg_orders, i.as_of),
+        "dim_customers": lambda: i.dim_customers(),
         "fct_orders_incremental": lambda: U.incremental_load(
             M.fct_orders_rows(i.stg_orders, i.stg_products, i.stg_customers,
                               TB.LOAD_RUNS[0]), None)[1],
@@ -195,7 +196,7 @@ def q_postflight_row_counts(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     from .build import postflight
     tables = {
-        "dim_customers": M.dim_customers(i.stg_customers, i.stg_orders, i.as_of),
+        "dim_customers": i.dim_customers(),
         "fct_daily_sales": i.fct_daily_sales(),
         "fct_orders_incremental": M.fct_orders_rows(i.stg_orders, i.stg_products,
                                                     i.stg_customers, TB.LOAD_RUNS[0]),

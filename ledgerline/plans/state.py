@@ -30,13 +30,15 @@ from pyspark.sql import types as T
 class Table:
     """Columns (JSON schema), partition columns and data: a folder for a
     plain table, (partition values, base folder) pairs for a partitioned
-    one.  ``rows``: row count when written; ``hot``: frequent keys
+    one.  ``rows``: row count, ``open_rows``: those of them that a history
+    may still change, as counted when written; ``hot``: frequent keys
     (``skew.hot_keys``); ``sql``: a view's text instead of data."""
     schema: str
     partition_by: list[str] = field(default_factory=list)
     path: str | None = None
     parts: list = field(default_factory=list)
     rows: int | None = None
+    open_rows: int | None = None
     hot: dict | None = None
     sql: str | None = None
 
@@ -213,9 +215,13 @@ def partitioned(df: DataFrame, partition_by: list[str], parts: list, **more) ->
     return Table(schema=df.schema.json(), partition_by=partition_by, parts=parts, **more)
 
 
-def partition_values(df: DataFrame, cols: list[str]) -> list[list[str]]:
-    """The partitions a frame has, as folder names: one row a partition."""
-    return [[str(v) for v in r] for r in df.select(*cols).distinct().collect()]
+def partition_values(spark: SparkSession, path: str, depth: int = 1) -> list[list[str]]:
+    """The partitions a written folder has, from its folder names (no job)."""
+    found = [[]]
+    for _ in range(depth):
+        found = [[*names, f] for names in found for f in sorted(
+            c.rsplit("/", 1)[1] for c in children(spark, "/".join([path, *names]))) if "=" in f]
+    return [[n.split("=", 1)[1] for n in names] for names in found]
 
 
 #: Table property of a catalog entry: the root and the version of its log that it shows.

@@ -107,6 +107,12 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                            first_lines(_table(spark, sf_dir, "lineitem")))
 
 
+def raw_orders_alone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders without what comes from their lines (product and quantity are NULL)."""
+    no_lines = spark.createDataFrame([], "l_orderkey long, l_partkey long, l_linenumber int")
+    return raw_orders_from(_table(spark, sf_dir, "orders"), no_lines)
+
+
 def raw_orders_from(orders: DataFrame, first_line: DataFrame) -> DataFrame:
     """Raw orders from an orders frame (batch or stream) and the static
     per-order first line."""

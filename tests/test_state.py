@@ -154,7 +154,7 @@ def test_entries_stay_while_a_table_is_published(spark, scratch):
         frame.write.partitionBy("part").parquet(f"{scratch}/{n}/t")
         frame.write.parquet(f"{scratch}/{n}/flat")
         parts = [p for p in old.tables["t"].parts] if old.tables else []
-        new = ST.partition_values(frame, ["part"])
+        new = ST.partition_values(spark, f"{scratch}/{n}/t")
         parts = [p for p in parts if p[0] not in new] + [[v, f"{scratch}/{n}/t"] for v in new]
         return ST.commit(spark, scratch, old, str(n), {
             "t": ST.partitioned(frame, ["part"], parts), "flat": ST.plain(frame, f"{scratch}/{n}/flat")})
