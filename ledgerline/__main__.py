@@ -57,7 +57,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     raw = {t: published_table(spark, args.root, f"raw_{t}") for t in RAW_TABLES}
     tags = set(args.tags.split(",")) if args.tags else None
     res = build(spark, raw["customers"], raw["products"], raw["orders"], args.root, as_of,
-                run_ts, tags=tags)
+                run_ts, tags=tags, views=True)
     print(json.dumps({"run_id": res.run_id, "published": res.published,
                       "failed_checks": len(res.failures), "tables": sorted(res.tables),
                       "postflight": res.postflight}, default=str))

@@ -27,6 +27,8 @@ import datetime as _dt
 import json
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +45,7 @@ from ..operators import upsert as U
 from ..session import new_run_id
 from ..sources.files import read_seed
 from . import suite as SUITE
+from .views import view_sql
 
 LAYERS = {"staging": "ledger_staging", "marts": "ledger_marts",
           "analytics": "ledger_analytics", "snapshots": "ledger_snapshots"}
@@ -322,9 +325,11 @@ class PostflightError(RuntimeError):
 def build(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame,
           raw_orders: DataFrame, root: str, as_of: _dt.date, run_ts: _dt.datetime,
           tags: set[str] | None = None, run_id: str | None = None,
-          loaded_at: DataFrame | None = None) -> BuildResult:
+          loaded_at: DataFrame | None = None, views: bool = False) -> BuildResult:
     """``loaded_at``: one timestamp column, when the sources were loaded;
-    with it, a source too old for the freshness rule stops the run."""
+    with it, a source too old for the freshness rule stops the run.
+    ``views``: the sources are the raw tables this root has published; the
+    staging views over them are published too, for any session."""
     run_id = run_id or new_run_id()
     run_dir = f"{root.rstrip('/')}/_runs/{run_id}"
     if ST.exists(spark, run_dir):
@@ -340,7 +345,7 @@ def build(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame
             raise PreflightError(f"sources are stale: {fresh.asDict()}")
     try:
         res = _build(spark, raw_customers, raw_products, raw_orders, root, run_dir, as_of, run_ts,
-                     tags, run_id)
+                     tags, run_id, views)
     except BaseException:
         ST.remove_folder(spark, run_dir)
         raise
@@ -349,8 +354,20 @@ def build(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame
     return res
 
 
+def staging_views(spark: SparkSession, manifest: ST.Manifest, as_of: _dt.date) -> dict[str, ST.Table]:
+    """The staging layer as views over the published raw tables."""
+    ST.sync_catalog(spark, manifest, {f"raw_{t}": f"{RAW_LAYER}.{t}" for t in ("customers", "products", "orders")})
+    out = {}
+    for t, stage in (("customers", lambda df: S.stg_customers(df, as_of)), ("orders", S.stg_orders),
+                     ("products", lambda df: S.stg_products(df, as_of))):
+        table = f"{RAW_LAYER}.{t}"
+        df = stage(spark.table(table))
+        out[f"stg_{t}"] = ST.Table(schema=df.schema.json(), sql=view_sql(df, table))
+    return out
+
+
 def _build(spark, raw_customers, raw_products, raw_orders, root, run_dir, as_of, run_ts, tags,
-           run_id) -> BuildResult:
+           run_id, views=False) -> BuildResult:
     manifest = ST.load(spark, root)
     # frequent order keys, as the raw load found them (older ones cost balance, never rows)
     hot = manifest.tables["raw_orders"].hot if "raw_orders" in manifest.tables else None
@@ -450,6 +467,8 @@ def _build(spark, raw_customers, raw_products, raw_orders, root, run_dir, as_of,
     res = BuildResult(run_id=run_id, published=False, tables=paths, failures=found)
     if found:
         return res
+    if views:
+        entries.update(staging_views(spark, manifest, as_of))
     manifest = ST.commit(spark, root, manifest, run_id, entries)
     res.published = True
     names = catalog_names(manifest.tables)
@@ -463,7 +482,7 @@ def _build(spark, raw_customers, raw_products, raw_orders, root, run_dir, as_of,
     res.postflight = []
     for t in required:  # counts as the manifest or the gate has them: nothing is read again
         there = spark.catalog.tableExists(names.get(t, t))
-        n = manifest.tables[t].rows if t in manifest.tables and manifest.tables[t].sql is None else counted.get(t)
+        n = counted[t] if t in counted else manifest.tables[t].rows if t in manifest.tables else None
         if there and n is None:
             n = spark.table(names.get(t, t)).count()  # written before counts were kept
         res.postflight.append({"table_name": t, "table_exists": there, "row_count": n if there else None,
@@ -497,6 +516,10 @@ def prune(spark: SparkSession, root: str, keep: int = KEPT_VERSIONS) -> list[str
 RAW_LAYER = "ledger_raw"
 
 
+#: Rows that the report of a stopped load names.
+REPORTED_ROWS = 20
+
+
 class RawLoadError(RuntimeError):
     pass
 
@@ -537,8 +560,9 @@ def load_raw_csv(spark: SparkSession, paths: dict[str, str], root: str,
     ``<root>/_raw/<run_id>/<table>``; the written tables must then pass the
     DDL's constraints (keys, foreign keys, lengths).  Only then one manifest
     version names the three new folders; any failure removes them and leaves
-    the previous raw tables in place (the rollback)."""
-    from ..sources.files import read_raw_csv
+    the previous raw tables in place (the rollback).  A field that does not
+    fit its type stops the load with the files and rows at fault."""
+    from ..sources.files import read_raw_csv, rejected_rows
     run_id = run_id or new_run_id()
     folder = f"{root.rstrip('/')}/_raw/{run_id}"
     if ST.exists(spark, folder):
@@ -547,7 +571,14 @@ def load_raw_csv(spark: SparkSession, paths: dict[str, str], root: str,
     written = {t: f"{folder}/{t}" for t in ("customers", "products", "orders")}
     try:
         for table, out in written.items():
-            read_raw_csv(spark, table, paths[table]).write.parquet(out)
+            try:
+                read_raw_csv(spark, table, paths[table]).write.parquet(out)
+            except (SparkRuntimeException, AnalysisException, Py4JJavaError) as e:
+                bad = rejected_rows(spark, table, paths[table]).limit(REPORTED_ROWS).collect()
+                if not bad:
+                    raise
+                raise RawLoadError(f"{table}: " + "; ".join(
+                    f"{r.file}: {r.row!r} ({', '.join(r.columns) or 'number of fields'})" for r in bad)) from e
         tables = {t: spark.read.parquet(p) for t, p in written.items()}
         verdict = Q.gate(Q.run_checks(tables, raw_constraints()))
         if not verdict.passed:

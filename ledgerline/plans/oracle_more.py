@@ -20,7 +20,7 @@ def ts(text: str) -> str:
 
 
 LOAD_RUN_1, LOAD_RUN_2 = ts("2028-12-31 00:00:00"), ts("2029-01-01 00:00:00")
-SNAP_RUNS = [ts("2029-01-01 00:00:00"), ts("2029-02-01 00:00:00")]
+SNAP_RUNS = [ts(f"2029-0{n}-01 00:00:00") for n in (1, 2, 3, 4)]
 
 # ------------------------------------------------------------ load batches
 cte("raw_orders_b1", ["raw_orders"], """
@@ -87,8 +87,9 @@ FROM raw_customers
 WHERE country IS DISTINCT FROM 'Brazil'""")
 variant("stg_customers", "snap_src1", ["raw_customers_b1"],
         [("FROM raw_customers", "FROM raw_customers_b1"), (AS_OF, "DATE '2029-01-01'")])
-variant("stg_customers", "snap_src2", ["raw_customers_b2"],
-        [("FROM raw_customers", "FROM raw_customers_b2"), (AS_OF, "DATE '2029-02-01'")])
+for _n, _load in ((2, "b2"), (3, "b2"), (4, "b1")):
+    variant("stg_customers", f"snap_src{_n}", [f"raw_customers_{_load}"],
+            [("FROM raw_customers", f"FROM raw_customers_{_load}"), (AS_OF, f"DATE '2029-0{_n}-01'")])
 
 STG_COLS = ["customer_id", "first_name", "last_name", "email", "registration_date", "country",
             "country_code", "updated_at", "customer_tier", "days_since_registration",
@@ -103,45 +104,44 @@ def _scd_id(key: str, version: str) -> str:
             f"coalesce(CAST({version} AS VARCHAR), ''))")
 
 
-def scd2_sql(strategy: str) -> str:
-    def version(alias: str, run: str) -> str:
-        return f"CAST({alias}.updated_at AS TIMESTAMP)" if strategy == "timestamp" else run
+def scd2_sql(strategy: str, runs: int = 2) -> str:
+    def version(run: str) -> str:
+        return "CAST(s.updated_at AS TIMESTAMP)" if strategy == "timestamp" else run
 
-    def changed() -> str:
-        if strategy == "timestamp":
-            return "h.dbt_valid_from < CAST(s.updated_at AS TIMESTAMP)"
-        return "(" + " OR ".join(f"h.{c} IS DISTINCT FROM s.{c}" for c in CHECK_COLS) + ")"
-
-    run1, run2 = SNAP_RUNS
+    if strategy == "timestamp":
+        changed = "h.dbt_valid_from < CAST(s.updated_at AS TIMESTAMP)"
+    else:
+        changed = "(" + " OR ".join(f"h.{c} IS DISTINCT FROM s.{c}" for c in CHECK_COLS) + ")"
     scols = ", ".join(f"s.{c}" for c in STG_COLS)
     hcols = ", ".join(f"h.{c}" for c in STG_COLS)
-    v1, v2 = version("s", run1), version("s", run2)
-    h1 = f"h1_{strategy}"
-    cte(h1, ["snap_src1"], f"""
-SELECT {scols}, {_scd_id('s.customer_id', v1)} AS dbt_scd_id, {v1} AS dbt_updated_at,
-       {v1} AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to
-FROM snap_src1 s""")
-    h2 = f"h2_{strategy}"
-    cte(h2, [h1, "snap_src2"], f"""
-SELECT * FROM {h1} WHERE dbt_valid_to IS NOT NULL
+    name = ""
+    for n, run in enumerate(SNAP_RUNS[:runs], 1):
+        v, last, name = version(run), name, f"h{n}_{strategy}"
+        fresh = f"""
+SELECT {scols}, {_scd_id('s.customer_id', v)} AS dbt_scd_id, {v} AS dbt_updated_at,
+       {v} AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to
+FROM snap_src{n} s"""
+        if n == 1:
+            cte(name, ["snap_src1"], fresh)
+            continue
+        cte(name, [last, f"snap_src{n}"], f"""
+SELECT * FROM {last} WHERE dbt_valid_to IS NOT NULL
 UNION ALL
 SELECT {hcols}, h.dbt_scd_id, h.dbt_updated_at, h.dbt_valid_from,
-       CASE WHEN s.customer_id IS NULL THEN {run2}
-            WHEN {changed()} THEN {v2}
+       CASE WHEN s.customer_id IS NULL THEN {run}
+            WHEN {changed} THEN {v}
             ELSE h.dbt_valid_to END AS dbt_valid_to
-FROM (SELECT * FROM {h1} WHERE dbt_valid_to IS NULL) h
-LEFT JOIN snap_src2 s ON h.customer_id = s.customer_id
-UNION ALL
-SELECT {scols}, {_scd_id('s.customer_id', v2)} AS dbt_scd_id, {v2} AS dbt_updated_at,
-       {v2} AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to
-FROM snap_src2 s
-LEFT JOIN (SELECT * FROM {h1} WHERE dbt_valid_to IS NULL) h ON h.customer_id = s.customer_id
-WHERE h.customer_id IS NULL OR {changed()}""")
-    return with_ctes(h2) + f"SELECT {', '.join(STG_COLS + META)} FROM {h2}"
+FROM (SELECT * FROM {last} WHERE dbt_valid_to IS NULL) h
+LEFT JOIN snap_src{n} s ON h.customer_id = s.customer_id
+UNION ALL{fresh}
+LEFT JOIN (SELECT * FROM {last} WHERE dbt_valid_to IS NULL) h ON h.customer_id = s.customer_id
+WHERE h.customer_id IS NULL OR {changed}""")
+    return with_ctes(name) + f"SELECT {', '.join(STG_COLS + META)} FROM {name}"
 
 
-SQL["scd2_timestamp"] = scd2_sql("timestamp")
-SQL["scd2_check"] = scd2_sql("check")
+for _strategy in ("timestamp", "check"):
+    SQL[f"scd2_{_strategy}"] = scd2_sql(_strategy)
+    SQL[f"scd2_{_strategy}_four_runs"] = scd2_sql(_strategy, 4)
 
 # ------------------------------------------------------------------ quality
 # The declared checks, written out here on their own: a check that the
@@ -373,6 +373,38 @@ FROM made GROUP BY ALL"""
 
 SQL["gen_orders_profile"] = _gen_orders()
 
+# Fixed values of the generator: names, mail domains, countries.
+GEN_LISTS = {
+    "first": ["John", "Sarah", "Michael", "Emma", "James", "Emily", "Robert", "Linda", "David", "Lisa"],
+    "last": ["Smith", "Johnson", "Williams", "Brown", "Jones", "Miller", "Davis", "Wilson", "Moore", "Taylor"],
+    "domain": ["mail.ru", "gmail.com", "yahoo.com", "yandex.ru", "outlook.com"],
+    "country": ["Russia", "USA", "UK", "Germany"]}
+
+
+def _pick(salt: str) -> str:
+    values = GEN_LISTS[salt]
+    return f"list_extract([{', '.join(map(_q, values))}], CAST(floor({_u('c_custkey', salt)} * {len(values)}) AS INTEGER) + 1)"
+
+
+SQL["gen_customers"] = f"""
+WITH drawn AS (
+  SELECT CAST(c_custkey AS BIGINT) AS customer_id, {_pick('first')} AS first_name, {_pick('last')} AS last_name,
+         CAST(floor({_u('c_custkey', 'num')} * 999) AS INTEGER) + 1 AS number, {_pick('domain')} AS domain,
+         {AS_OF} - CAST(floor(least(-ln(1 - {_u('c_custkey', 'reg')}) * 100, 730)) AS INTEGER) AS registration_date,
+         {_pick('country')} AS country, CAST(floor({_u('c_custkey', 'upd')} * 365) AS INTEGER) + 1 AS update_days
+  FROM customer)
+SELECT customer_id, first_name, last_name,
+       lower(first_name) || '.' || lower(last_name) || CAST(number AS VARCHAR) || '@' || domain AS email,
+       registration_date, country, registration_date + update_days AS updated_at, CAST(0 AS INTEGER) AS total_orders
+FROM drawn"""
+
+# a raw table written as CSV and loaded again is the raw table
+for _table in ("customers", "products", "orders"):
+    SQL[f"csv_{_table}"] = SQL[f"raw_{_table}"]
+
+SQL["dq_singular_rows"] = with_ctes("stg_orders") + """SELECT order_id, CAST(total_amount AS DOUBLE) AS total_amount, quantity
+FROM stg_orders WHERE quantity < 1 OR product_id IS NULL"""
+
 # ------------------------------------------- distinct counts over repeated keys
 cte("raw_orders_twice", ["raw_orders"], """
 SELECT * FROM raw_orders

@@ -115,6 +115,29 @@ def q_scd2_check(spark, sf_dir):
     return exposed(snapshot_runs(spark, sf_dir, "check"))
 
 
+def _four_runs(strategy: str):
+    """New, changed, unchanged, deleted and revived keys; each run's history is stored, as a build
+    stores it, so the next run reads one table."""
+    def q(spark, sf_dir):
+        from ..session import new_run_id, scratch_path
+        raw = TB.raw_customers(spark, sf_dir)
+        loads = [TB.customers_first_load(raw), TB.customers_second_load(raw),
+                 TB.customers_second_load(raw), TB.customers_first_load(raw)]
+        folder, hist = scratch_path(spark, "history", new_run_id()), None
+        for n, (load, run_ts) in enumerate(zip(loads, TB.SNAPSHOT_RUNS)):
+            hist = H.snapshot(_snapshot_source(load, run_ts), hist, "customer_id", strategy, run_ts,
+                              updated_at="updated_at", check_cols=CHECK_COLS)
+            if n < len(loads) - 1:
+                hist.write.parquet(f"{folder}/{n}")
+                hist = spark.read.schema(hist.schema).parquet(f"{folder}/{n}")
+        return exposed(hist)
+    return q
+
+
+register("scd2_timestamp_four_runs")(_four_runs("timestamp"))
+register("scd2_check_four_runs")(_four_runs("check"))
+
+
 # ------------------------------------------------------------------ quality
 
 
@@ -177,6 +200,14 @@ def q_dq_singular(spark, sf_dir):
                               SUITE.SINGULAR_MODEL, SUITE.SINGULAR_COLUMNS))
 
 
+@register("dq_singular_rows")
+def q_dq_singular_rows(spark, sf_dir):
+    """The custom assertion with a condition that the given tables do violate."""
+    i = Inputs(spark, sf_dir)
+    return exposed(Q.singular(i.stg_orders, F.expr("quantity < 1 OR product_id IS NULL"), "singular",
+                              SUITE.SINGULAR_MODEL, [*SUITE.SINGULAR_COLUMNS, "quantity"]))
+
+
 @register("source_freshness")
 def q_source_freshness(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
@@ -284,7 +315,30 @@ def q_seed_categories_lookup(spark, sf_dir):
         "product_id", "category", "category_id", "parent_category", "category_is_active")
 
 
+# ---------------------------------------------------------------- CSV
+def _through_csv(table: str):
+    """The raw table written by the CSV sink and read back by the typed raw load."""
+    def q(spark, sf_dir):
+        from ..session import new_run_id, scratch_path
+        path = scratch_path(spark, "csv", new_run_id(), table)
+        FILES.write_csv(getattr(Inputs(spark, sf_dir).raw, table), path)
+        return exposed(FILES.read_raw_csv(spark, table, path))
+    return q
+
+
+for _table in ("customers", "products", "orders"):
+    register(f"csv_{_table}")(_through_csv(_table))
+
+
 # ---------------------------------------------------------------- generator
+@register("gen_customers")
+def q_gen_customers(spark, sf_dir):
+    """One synthetic customer per customer key of the driver table."""
+    from ..sources import datagen as G
+    ids = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet").select(F.col("c_custkey").alias("id"))
+    return G.customers(ids, TB.AS_OF)
+
+
 @register("gen_orders_profile")
 def q_gen_orders_profile(spark, sf_dir):
     """Synthetic orders, one per order key of the driver table, profiled.

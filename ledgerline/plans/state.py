@@ -234,10 +234,8 @@ def sync_catalog(spark: SparkSession, manifest: Manifest, names: dict[str, str])
     An entry whose columns stay is kept: its location, or the locations of the partitions that
     changed, are set in place, so the table can be read at any time.  Views are replaced.
     Repeating it, in this or another process, gives the same entries."""
-    for name, q in names.items():
-        t = manifest.tables.get(name)
-        if t is None:
-            continue
+    known = [(name, q, manifest.tables[name]) for name, q in names.items() if name in manifest.tables]
+    for name, q, t in sorted(known, key=lambda k: k[2].sql is not None):  # views after their tables
         database = q.split(".")[0]
         if not spark.catalog.databaseExists(database):
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")

@@ -27,6 +27,39 @@ class MissingColumnsError(ValueError):
     pass
 
 
+def _file_schema(spark: SparkSession, table: str, path: str) -> T.StructType:
+    """The file's own column order, typed by the declaration; names come from the header, so the
+    reader need not compare them again."""
+    schema = schemas.RAW[table]
+    header = [c.strip() for c in spark.read.option("header", True).csv(path).columns]
+    defaults = DEFAULTS.get(table, {})
+    missing = [f.name for f in schema.fields if f.name not in header and f.name not in defaults]
+    if missing:
+        raise MissingColumnsError(f"{table}: no column {', '.join(missing)} in {path}")
+    by_name = {f.name: f for f in schema.fields}
+    return T.StructType([by_name.get(c, T.StructField(c, T.StringType())) for c in header])
+
+
+def rejected_rows(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """What keeps a file from loading: file, row (its text) and the columns whose field does not fit
+    its type (none: the row has more or fewer fields than the header).  A second, tolerant reading
+    of all columns, for the report of a load that stopped."""
+    typed = _file_schema(spark, table, path)
+    while (corrupt := "_corrupt") in typed.names:
+        corrupt = "_" + corrupt
+    blanks = table in SKIP_BLANKS
+    read = (spark.read.schema(typed.add(corrupt, T.StringType())).option("header", True)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
+            .option("ignoreLeadingWhiteSpace", blanks).option("enforceSchema", True).csv(path))
+    text = T.StructType([T.StructField(n, T.StringType()) for n in typed.names if n != corrupt])
+    as_text = F.from_csv(F.col(corrupt), text.simpleString()[7:-1].replace(":", " "),
+                         {"ignoreLeadingWhiteSpace": str(blanks).lower()})
+    unfit = F.array(*[F.when(F.col(n).isNull() & (F.trim(as_text[n]) != ""), F.lit(n)) for n in text.names])
+    return read.where(F.col(corrupt).isNotNull()).select(
+        F.col("_metadata.file_path").alias("file"), F.col(corrupt).alias("row"),
+        F.array_compact(unfit).alias("columns"))
+
+
 def read_raw_csv(spark: SparkSession, table: str, path: str) -> DataFrame:
     """Typed raw load of customers / products / orders from CSV files.
 
@@ -35,17 +68,8 @@ def read_raw_csv(spark: SparkSession, table: str, path: str) -> DataFrame:
     column that is missing stops the load, except for one with a default.
     """
     schema = schemas.RAW[table]
-    blanks = table in SKIP_BLANKS
-    header = [c.strip() for c in spark.read.option("header", True).csv(path).columns]
-    defaults = DEFAULTS.get(table, {})
-    missing = [f.name for f in schema.fields if f.name not in header and f.name not in defaults]
-    if missing:
-        raise MissingColumnsError(f"{table}: no column {', '.join(missing)} in {path}")
-    by_name = {f.name: f for f in schema.fields}
-    # The file's own column order, typed by the declaration; names come from
-    # the header read above, so the reader need not compare them again.
-    file_schema = T.StructType([by_name.get(c, T.StructField(c, T.StringType()))
-                                for c in header])
+    file_schema = _file_schema(spark, table, path)
+    header, defaults, blanks = file_schema.names, DEFAULTS.get(table, {}), table in SKIP_BLANKS
     df = (spark.read
           .schema(file_schema)
           .option("header", True)

@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerline.plans import build as B
+from ledgerline.plans import state as ST
 from ledgerline.sources import datagen as G
 
 AS_OF = dt.date(2025, 1, 1)
@@ -32,6 +33,8 @@ def test_build_publish_rerun_and_gate(spark, scratch):
     first_loc = _location(spark, "ledger_marts.dim_customers")
     assert first_loc.endswith("/_runs/r1/dim_customers")
 
+    _counts_are_kept(spark, scratch)
+
     # second run: one order changes status on the last loaded day
     last = o.agg(F.max("order_date")).first()[0]
     o2 = o.withColumn("status", F.when(F.col("order_date") == last, F.lit("shipped"))
@@ -44,6 +47,7 @@ def test_build_publish_rerun_and_gate(spark, scratch):
     assert inc.where(F.col("order_date") == last).where(F.col("status") != "shipped").count() == 0
     assert inc.where(F.col("loaded_at") == dt.datetime(2025, 1, 2)).count() == \
         o.where(F.col("order_date") == last).count()
+    _counts_are_kept(spark, scratch)
     # tag selection: dim_customers untouched by run 2
     assert _location(spark, "ledger_marts.dim_customers") == first_loc
 
@@ -56,6 +60,37 @@ def test_build_publish_rerun_and_gate(spark, scratch):
     assert _location(spark, "ledger_marts.dim_customers") == first_loc
 
 
+def _counts_are_kept(spark, root):
+    """The manifest's row counts, observed while writing, are the tables' own."""
+    m = ST.load(spark, root)
+    for name, q in B.catalog_names(m.tables).items():
+        if m.tables[name].rows is not None:
+            assert m.tables[name].rows == spark.table(q).count(), name
+    assert {n for n, t in m.tables.items() if t.rows is None} <= {B.keys_of(B.INCREMENTAL), "seed_regions", "seed_categories"}
+
+
+def test_row_checks_do_not_read_a_written_model(spark, scratch, monkeypatch):
+    """Row-level and value checks come from metrics of the write; only keys are read again."""
+    from ledgerline.operators import quality as Q
+    c, p, o = G.generate(spark, 60, 400, AS_OF, num_partitions=2)
+    asked, run = [], Q.run_checks
+    monkeypatch.setattr(Q, "run_checks", lambda models, checks, **k: asked.append([x.kind for x in checks]) or run(
+        models, checks, **k))
+    published = []
+    commit = ST.commit
+    monkeypatch.setattr(ST, "commit", lambda *a, **k: published.append(len(asked)) or commit(*a, **k))
+    res = B.build(spark, c, p, o, scratch, AS_OF, dt.datetime(2025, 1, 1), run_id="m", tags={"customers", "incremental"})
+    assert res.published and published
+    assert {k for kinds in asked[:published[0]] for k in kinds} <= {"unique", "relationships"}
+    # a NULL that only the model has is found by the write's metrics
+    monkeypatch.setattr(B.M, "fct_orders_rows", lambda *a, f=B.M.fct_orders_rows, **k: f(*a, **k).withColumn(
+        "net_amount", F.when(F.col("order_id") > 5, F.col("net_amount"))))
+    bad = B.build(spark, c, p, o, f"{scratch}/other", AS_OF, dt.datetime(2025, 1, 1), run_id="n", tags={"incremental"})
+    assert not bad.published
+    assert [(f["test"], f["column_name"], f["failures"]) for f in bad.failures] == [
+        ("not_null", "net_amount", o.where("order_id <= 5").count())]
+
+
 def test_preflight_blocks_empty_sources(spark, scratch):
     c, p, o = G.generate(spark, 10, 50, AS_OF)
     none = o.where(F.col("status") != "completed")

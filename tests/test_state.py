@@ -38,6 +38,8 @@ def test_history_continues_in_another_process(spark, scratch):
     orders = B.published_table(spark, root, "fct_orders_incremental")
     last = orders.agg(F.max("order_date")).first()[0]
     again = orders.where(F.col("loaded_at") == dt.datetime(2025, 2, 1))
+    B.open_warehouse(spark, root)  # views that the other process made
+    assert spark.table("ledger_staging.stg_customers").count() == 40
     assert orders.count() == 200 and again.where(F.col("order_date") < last).count() == 0
 
 
