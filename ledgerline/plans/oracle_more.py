@@ -440,3 +440,13 @@ FROM customer_totals_twice"""
 SQL["repeated_customers_cohorts"] = (with_ctes("cohorts_once_replaced")
                                      + "SELECT * REPLACE (CAST(total_revenue AS DOUBLE) AS total_revenue) "
                                        "FROM cohorts_once_replaced")
+
+# the whole run over the rows that keep the suite's rules
+SQL["published_build"] = with_ctes("fct_orders_full") + f"""SELECT {', '.join(
+    f"CAST(f.{c} AS DOUBLE) AS {c}" if c in ("total_amount", "estimated_discount", "net_amount") else f"f.{c}"
+    for c in ORDER_FACT_COLS)}, c.country_code
+FROM fct_orders_full f JOIN stg_customers c ON c.customer_id = f.customer_id
+JOIN stg_products p ON p.product_id = f.product_id
+WHERE c.country IN ('Russia', 'USA', 'UK', 'Germany') AND p.category IN ('Electronics', 'Clothing', 'Books', 'Home')
+  AND p.price BETWEEN 0.01 AND 10000 AND f.quantity BETWEEN 1 AND 100 AND f.total_amount >= 0.01
+  AND f.status IN ('completed', 'pending', 'cancelled', 'refunded', 'shipped')"""

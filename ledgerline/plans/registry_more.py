@@ -330,6 +330,35 @@ for _table in ("customers", "products", "orders"):
     register(f"csv_{_table}")(_through_csv(_table))
 
 
+# ---------------------------------------------------------------- the whole run
+@register("published_build")
+def q_published_build(spark, sf_dir):
+    """The rows that keep the suite's rules, through the whole run: written as CSV, loaded under the
+    raw constraints, staged, gated, built, published with its staging views and checked again; the
+    order fact is read back from the published state, its customers through the published view."""
+    from ..session import new_run_id, scratch_path
+    from .build import build_or_raise, load_raw_csv, open_warehouse, published_table
+    i = Inputs(spark, sf_dir)
+    customers = i.raw.customers.where(F.col("country").isin(*SUITE.COUNTRIES))
+    products = i.raw.products.where(F.col("category").isin(*SUITE.CATEGORIES) & F.col("price").between(0.01, 10000))
+    orders = (i.raw.orders.where(F.col("status").isin(*SUITE.STATUSES) & F.col("quantity").between(1, 100)
+                                 & (F.col("total_amount") >= 0.01))
+              .join(customers.select("customer_id"), "customer_id", "left_semi")
+              .join(products.select("product_id"), "product_id", "left_semi").select(i.raw.orders.columns))
+    root = scratch_path(spark, "published", new_run_id())
+    paths = {}
+    for name, df in (("customers", customers), ("products", products), ("orders", orders)):
+        paths[name] = f"{root}/csv/{name}"
+        FILES.write_csv(df, paths[name])
+    load_raw_csv(spark, paths, root)
+    raw = [published_table(spark, root, f"raw_{t}") for t in ("customers", "products", "orders")]
+    build_or_raise(spark, *raw, root, i.as_of, i.run_ts, tags={"incremental"}, views=True)
+    open_warehouse(spark, root)
+    listed = spark.table("ledger_staging.stg_customers").select("customer_id", "country_code")
+    return exposed(published_table(spark, root, "fct_orders_incremental").drop("order_month")
+                   .join(listed, "customer_id"))
+
+
 # ---------------------------------------------------------------- generator
 @register("gen_customers")
 def q_gen_customers(spark, sf_dir):
