@@ -53,11 +53,16 @@ def _tagged(df: DataFrame, key: str) -> DataFrame:
         _HERE, F.lit(True))
 
 
-def _joined(history_open: DataFrame, source: DataFrame, key: str):
-    """Full outer join by key; (rows, open version present, source row present)."""
+def _joined(history_open: DataFrame, source: DataFrame, key: str, keys_not_null: bool = False):
+    """Full outer join by key; (rows, open version present, source row present).
+
+    ``keys_not_null`` (a gate has said so) leaves the salt out: a history bucketed by key is then
+    joined as it lies, and only the source is exchanged."""
     h, s = _tagged(history_open, key).alias("_h"), _tagged(source, key).alias("_s")
-    j = h.join(s, (F.col(f"_h.{key}") == F.col(f"_s.{key}"))
-               & (F.col(f"_h.{_SALT}") == F.col(f"_s.{_SALT}")), "full_outer")
+    on = F.col(f"_h.{key}") == F.col(f"_s.{key}")
+    if not keys_not_null:
+        on = on & (F.col(f"_h.{_SALT}") == F.col(f"_s.{_SALT}"))
+    j = h.join(s, on, "full_outer")
     return j, F.col(f"_h.{_HERE}").isNotNull(), F.col(f"_s.{_HERE}").isNotNull()
 
 
@@ -80,8 +85,10 @@ def _changed(strategy: str, updated_at: str, check_cols: Sequence[str]) -> Colum
 
 def snapshot(source: DataFrame, history: DataFrame | None, key: str, strategy: str,
              run_ts, updated_at: str = "updated_at",
-             check_cols: Sequence[str] = (), invalidate_hard_deletes: bool = True) -> DataFrame:
-    """Return the full history after one snapshot run."""
+             check_cols: Sequence[str] = (), invalidate_hard_deletes: bool = True,
+             keys_not_null: bool = False, only_open: bool = False) -> DataFrame:
+    """Return the full history after one snapshot run.  ``only_open``: ``history`` holds open
+    versions alone, so it is not looked through for closed ones."""
     run = as_ts_col(run_ts)
     cols = source.columns
     s = source.alias("_s")
@@ -93,8 +100,7 @@ def snapshot(source: DataFrame, history: DataFrame | None, key: str, strategy: s
                         F.lit(None).cast("timestamp_ntz").alias(VALID_TO))
 
     is_open = F.col(VALID_TO).isNull()
-    closed = history.where(~is_open)
-    j, has_h, has_s = _joined(history.where(is_open), source, key)
+    j, has_h, has_s = _joined(history if only_open else history.where(is_open), source, key, keys_not_null)
     changed = has_h & has_s & _changed(strategy, updated_at, check_cols)
     v = _version_ts("_s", strategy, updated_at, run)
 
@@ -113,7 +119,7 @@ def snapshot(source: DataFrame, history: DataFrame | None, key: str, strategy: s
                            F.when(has_s & (~has_h | F.coalesce(changed, F.lit(False))), fresh)),
                    lambda x: x.isNotNull())
     merged = j.select(F.explode(out).alias("_v")).select("_v.*")
-    return closed.unionByName(merged)
+    return merged if only_open else history.where(~is_open).unionByName(merged)
 
 
 def change_summary(source: DataFrame, history: DataFrame, key: str, strategy: str,

@@ -238,7 +238,7 @@ def upsert_by_month(spark: SparkSession, orders: DataFrame, enrich, table: ST.Ta
 
 
 SNAPSHOTS = {"customers_snapshot": "timestamp", "customers_snapshot_check": "check"}
-SNAPSHOT_STATE, OPEN_STATE = "version_state", "open"
+SNAPSHOT_STATE, OPEN_STATE, SNAPSHOT_KEY = "version_state", "open", "customer_id"
 
 
 def _snapshot_step(spark: SparkSession, name: str, source: DataFrame, run_ts, path: str,
@@ -247,33 +247,38 @@ def _snapshot_step(spark: SparkSession, name: str, source: DataFrame, run_ts, pa
     """SCD2 run that reads and rewrites only the open versions.
 
     The history is partitioned by ``version_state``: 'open' for current
-    versions and 'closed-<run id>' for the versions a run closed.  A run
-    merges the open partition with the source, writes the new open rows
-    and this run's closed rows, and publishes both partitions.
+    versions and 'closed-<run id>' for the versions a run closed, each in
+    buckets by key.  A run merges the open partition with the source, of
+    which alone rows are exchanged, writes the new open rows and this run's
+    closed rows, and publishes both partitions.
     """
     strategy = SNAPSHOTS[name]
     parts, open_rows = [], None
+    buckets = [SNAPSHOT_KEY, int(spark.conf.get("spark.sql.shuffle.partitions"))]
     if table is not None:
         parts = [p for p in table.parts if p[0][0] != OPEN_STATE]
-        current = ST.Table(table.schema, table.partition_by,
-                           parts=[p for p in table.parts if p[0][0] == OPEN_STATE])
-        open_rows = ST.read(spark, current).drop(SNAPSHOT_STATE)
-    merged = H.snapshot(source, open_rows, "customer_id", strategy, run_ts,
-                        check_cols=CHECK_COLUMNS if strategy == "check" else ())
+        buckets = table.buckets
+        current = ST.only(table, [OPEN_STATE])
+        if current.parts:
+            open_rows = ST.read_bucketed(spark, current).drop(SNAPSHOT_STATE)
+    # the check of the source's key ran before: it is not NULL
+    merged = H.snapshot(source, open_rows, SNAPSHOT_KEY, strategy, run_ts,
+                        check_cols=CHECK_COLUMNS if strategy == "check" else (),
+                        keys_not_null=True, only_open=True)
     merged = merged.withColumn(SNAPSHOT_STATE, F.when(F.col(H.VALID_TO).isNull(), OPEN_STATE)
                                .otherwise(f"closed-{run_id}"))
     data, by = f"{path}/data", [SNAPSHOT_STATE]
     opened = Observation()
     merged = merged.observe(opened, F.count_if(F.col(SNAPSHOT_STATE) == OPEN_STATE).alias("rows"))
     merged, seen = Q.observed(merged, checks, as_of)
-    _write_partitioned(merged, data, by)
+    ST.write_bucketed(merged, data, by, buckets)
     fresh = _read_back(spark, data, merged)
     found = Q.settle(checks, seen.get)
     total = found.rows
     if table is not None:
         total = None if table.rows is None else table.rows - table.open_rows + total
     new = ST.partitioned(fresh, by, parts + [[v, data] for v in ST.partition_values(spark, data)],  # <= 2 new
-                         rows=total, open_rows=opened.get["rows"])
+                         rows=total, open_rows=opened.get["rows"], buckets=buckets)
     return ST.read(spark, new), new, found
 
 

@@ -17,6 +17,7 @@ same root.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from dataclasses import dataclass, field
@@ -32,7 +33,8 @@ class Table:
     plain table, (partition values, base folder) pairs for a partitioned
     one.  ``rows``: row count, ``open_rows``: those of them that a history
     may still change, as counted when written; ``hot``: frequent keys
-    (``skew.hot_keys``); ``sql``: a view's text instead of data."""
+    (``skew.hot_keys``); ``sql``: a view's text instead of data;
+    ``buckets``: column and number, for rows stored in buckets."""
     schema: str
     partition_by: list[str] = field(default_factory=list)
     path: str | None = None
@@ -41,6 +43,7 @@ class Table:
     open_rows: int | None = None
     hot: dict | None = None
     sql: str | None = None
+    buckets: list | None = None
 
 
 @dataclass
@@ -189,7 +192,8 @@ def _kinds(table: Table) -> list[tuple[str, str]]:
 def only(table: Table, values) -> Table:
     """The table with those partitions alone (by their first column's values)."""
     wanted = {str(v) for v in values}
-    return Table(table.schema, table.partition_by, parts=[p for p in table.parts if p[0][0] in wanted])
+    return Table(table.schema, table.partition_by, parts=[p for p in table.parts if p[0][0] in wanted],
+                 buckets=table.buckets)
 
 
 def read(spark: SparkSession, table: Table) -> DataFrame:
@@ -207,6 +211,35 @@ def read(spark: SparkSession, table: Table) -> DataFrame:
     return out if out is not None else spark.createDataFrame([], schema)
 
 
+#: Database of the entries through which stored buckets are written and read.
+STORE = "ledger_store"
+
+
+def _store_entry(spark: SparkSession, path: str) -> str:
+    if not spark.catalog.databaseExists(STORE):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {STORE}")
+    return f"{STORE}.t_{hashlib.md5(path.encode()).hexdigest()}"
+
+
+def write_bucketed(df: DataFrame, path: str, partition_by: list[str], buckets: list) -> None:
+    """Partitions whose rows lie in buckets by key, one sorted file a bucket.  Spark keeps buckets
+    with a catalog entry only, so one is made for the write; the files stay when it goes."""
+    key, n = buckets
+    entry = _store_entry(df.sparkSession, path)
+    (df.repartition(n, key).write.partitionBy(*partition_by).bucketBy(n, key).sortBy(key)
+     .format("parquet").option("path", path).saveAsTable(entry))
+    df.sparkSession.sql(f"DROP TABLE {entry}")
+
+
+def read_bucketed(spark: SparkSession, table: Table) -> DataFrame:
+    """One partition's rows as Spark's bucketed scan gives them: joined by key without an exchange."""
+    ((values, base),) = table.parts
+    entry = _store_entry(spark, f"{base} {values}")
+    if not spark.catalog.tableExists(entry):
+        _create_entry(spark, entry, table, "")
+    return spark.table(entry).select(columns(table))
+
+
 def plain(df: DataFrame, path: str, **more) -> Table:
     return Table(schema=df.schema.json(), path=path, **more)
 
@@ -243,7 +276,7 @@ def sync_catalog(spark: SparkSession, manifest: Manifest, names: dict[str, str])
             spark.sql(f"CREATE OR REPLACE VIEW {q} AS {t.sql}")
             continue
         shown = _shown(spark, manifest.root, name, q)
-        if shown is not None and (_kinds(shown), shown.partition_by) == (_kinds(t), t.partition_by):
+        if shown is not None and (_kinds(shown), shown.partition_by, shown.buckets) == (_kinds(t), t.partition_by, t.buckets):
             _move(spark, q, t, shown, manifest)
         else:
             _create(spark, q, t, manifest)
@@ -284,16 +317,23 @@ def _add(spark: SparkSession, q: str, t: Table, parts: list) -> None:
 
 
 def _create(spark: SparkSession, q: str, t: Table, manifest: Manifest) -> None:
-    fields = T.StructType.fromJson(json.loads(t.schema)).fields
-    last = [f for c in t.partition_by for f in fields if f.name == c]
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                        for f in [f for f in fields if f.name not in t.partition_by] + last)
     kind = "VIEW" if spark.catalog.tableExists(q) and spark.catalog.getTable(q).tableType == "VIEW" else "TABLE"
     spark.sql(f"DROP {kind} IF EXISTS {q}")  # other columns, or no entry of this log; the files stay
+    _create_entry(spark, q, t, f" TBLPROPERTIES {_mark(manifest)}")
+
+
+def _create_entry(spark: SparkSession, q: str, t: Table, properties: str) -> None:
+    fields = T.StructType.fromJson(json.loads(t.schema)).fields
+    last = [f for c in t.partition_by for f in fields if f.name == c]
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                      for f in [f for f in fields if f.name not in t.partition_by] + last)
     by = f" PARTITIONED BY ({', '.join(t.partition_by)})" if t.partition_by else ""
+    if t.buckets:
+        key, n = t.buckets
+        by += f" CLUSTERED BY ({key}) SORTED BY ({key}) INTO {n} BUCKETS"
     location = t.path or (t.parts[0][1] if t.parts else None)
     at = f" LOCATION {_quoted(location)}" if location else ""
-    spark.sql(f"CREATE TABLE {q} ({columns}) USING parquet{by}{at} TBLPROPERTIES {_mark(manifest)}")
+    spark.sql(f"CREATE TABLE {q} ({names}) USING parquet{by}{at}{properties}")
     _add(spark, q, t, t.parts)
 
 
