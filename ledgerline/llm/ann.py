@@ -15,7 +15,7 @@ collide everywhere, so ties by id are exact.
 
 Defined cases: vectors that are null, empty, zero, or hold a null or non-finite component take
 no part; vectors meet only those of their own length; repeated rows of one id count once (the
-smallest vector, if they differ), so do repeated queries; rows with a null id take no part;
+smallest vector of a length, if they differ), so do repeated queries; rows with a null id take no part;
 fewer candidates than k: all of them; an empty table gives an empty table.
 """
 
@@ -25,7 +25,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PROJECTIONS, THRESHOLD = 64, 38
@@ -33,6 +33,7 @@ HALF_WIDTH = 1.092  # P(|N(0,1)| <= 1.092) = 0.725
 WIDEN = 1.25
 BLOCK_ROWS, QUERY_ROWS = 16_384, 16_384
 SAMPLE = 512
+SHARES = 64
 SEED = 7
 
 
@@ -40,7 +41,9 @@ class Block:
     """Sorted projections of the vectors of one block."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, first_radius: float):
-        order = np.lexsort([*vectors.T[:1], ids])
+        order = np.argsort(ids, kind="stable")
+        if (np.diff(ids[order]) == 0).any():  # of repeated ids the smallest vector comes first
+            order = np.lexsort([*vectors.T[::-1], ids])
         ids, vectors = ids[order], vectors[order]
         keep = np.concatenate([[True], ids[1:] != ids[:-1]])
         self.ids, self.vectors = ids[keep], vectors[keep]
@@ -131,14 +134,14 @@ def neighbours(df: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_
     data = rows.select("vec_id", "v", F.size("v").alias("dim"), dealt(blocks, 1).alias("block"),
                        F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
     queries = (rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
-               .select("vec_id", "v", F.size("v").alias("dim"), dealt(chunks, 2).alias("chunk"),
+               .select(F.col("vec_id").alias("query_id"), "v", F.size("v").alias("dim"), dealt(chunks, 2).alias("chunk"),
                        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")))
 
     def search(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
         if len(left) and len(right):
             block = Block(left["vec_id"].to_numpy(np.int64), np.stack(left["v"]).astype(np.float64), radius)
-            for q, v in zip(right["vec_id"], right["v"]):
+            for q, v in zip(right["query_id"], right["v"]):
                 ids, d = block.search(int(q), np.asarray(v, np.float64), k)
                 out["query_id"] += [q] * len(ids)
                 out["vec_id"] += ids.tolist()
@@ -148,8 +151,8 @@ def neighbours(df: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_
     keys = ["dim", "block", "chunk"]
     found = data.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(
         search, "query_id long, vec_id long, score double")
-    near = F.slice(F.sort_array(F.collect_list(F.struct("score", "vec_id"))), 1, k)
-    return (found.groupBy("query_id").agg(near.alias("near"))  # at most k rows a block and query
-            .select("query_id", F.posexplode("near").alias("rank", "hit"))
-            .select("query_id", (F.col("rank") + 1).alias("rank"), F.col("hit.vec_id").alias("vec_id"),
-                    F.col("hit.score").alias("score")))
+    hits = found.withColumn("share", F.pmod(F.xxhash64("vec_id"), F.lit(SHARES)))
+    for by in (["query_id", "share"], ["query_id"]):  # a query's lists of all blocks meet in shares first
+        near = F.row_number().over(Window.partitionBy(*by).orderBy("score", "vec_id"))
+        hits = hits.withColumn("rank", near).where(F.col("rank") <= k)
+    return hits.select("query_id", "rank", "vec_id", "score")

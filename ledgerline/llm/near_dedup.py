@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_batch, quoted, written
+from .common import per_batch, quoted, unused, written
 from .graph import components
 
 WORDS, PERCENT = 5, 75
@@ -282,11 +282,13 @@ def same_ids(rows: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that are kept, one of each group, with all their columns; rows with a null
-    id all stay, and so do different texts of a kept id."""
+    """The documents that are kept, one of each group, with all their columns, whatever their names;
+    rows with a null id all stay, and so do different texts of a kept id.  Of rows that repeat id and
+    text but differ elsewhere any one stays."""
+    kept_id = unused(docs, "_kept_id")
     kept = group(docs, id_col, text_col).where("kept AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("_kept_id")).distinct()
+        F.col("doc_id").alias(kept_id)).distinct()
     named = docs.where(F.col(f"`{id_col}`").isNotNull())
-    one = (named.join(kept, F.col(f"`{id_col}`").cast("long") == F.col("_kept_id"), "left_semi")
+    one = (named.join(kept, F.col(f"`{id_col}`").cast("long") == F.col(kept_id), "left_semi")
            .dropDuplicates([id_col, text_col]))
     return one.unionByName(docs.where(F.col(f"`{id_col}`").isNull())).select(*quoted(docs.columns))

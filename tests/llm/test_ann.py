@@ -59,3 +59,13 @@ def test_odd_rows(spark):
 def test_fewer_candidates_than_k(spark, k):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<double>")
     assert ann.neighbours(df, k=k).count() == 1
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_repeated_ids_keep_the_smallest_vector(spark, order):
+    """Whatever the order of arrival, and on the query's side as on the index's."""
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 5.0]), (1, [1.0, 2.0]), (100, [9.0, 9.0]), (100, [9.0, 3.0])][::order]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = {(r.query_id, r.vec_id): r.score for r in ann.neighbours(df).collect()}
+    assert got[0, 1] == 2.0
+    assert got[0, 100] == got[100, 0] == np.sqrt(64.0 + 9.0)

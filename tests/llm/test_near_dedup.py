@@ -56,6 +56,8 @@ def test_odd_rows(spark, corpus, no_rows):
     ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
     assert kept.columns == corpus.columns and 2 not in ids and ids.count(9) == 1
     assert kept.where("doc_id is null").count() == 1
+    clash = N.keep_one(corpus.withColumnRenamed("node", "_kept_id"))
+    assert clash.columns[-1] == "_kept_id" and clash.count() == kept.count()
 
 
 def test_chains_and_large_groups(spark):
