@@ -272,6 +272,8 @@ def _snapshot_step(spark: SparkSession, name: str, source: DataFrame, run_ts, pa
     merged = merged.observe(opened, F.count_if(F.col(SNAPSHOT_STATE) == OPEN_STATE).alias("rows"))
     merged, seen = Q.observed(merged, checks, as_of)
     ST.write_bucketed(merged, data, by, buckets)
+    if open_rows is not None:
+        ST.forget_bucketed(spark, current)
     fresh = _read_back(spark, data, merged)
     found = Q.settle(checks, seen.get)
     total = found.rows

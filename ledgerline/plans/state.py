@@ -240,6 +240,12 @@ def read_bucketed(spark: SparkSession, table: Table) -> DataFrame:
     return spark.table(entry).select(columns(table))
 
 
+def forget_bucketed(spark: SparkSession, table: Table) -> None:
+    """Drops the entry that ``read_bucketed`` made; the files stay."""
+    ((values, base),) = table.parts
+    spark.sql(f"DROP TABLE IF EXISTS {_store_entry(spark, f'{base} {values}')}")
+
+
 def plain(df: DataFrame, path: str, **more) -> Table:
     return Table(schema=df.schema.json(), path=path, **more)
 
