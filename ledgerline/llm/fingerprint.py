@@ -5,8 +5,11 @@ digest enters one cell in each of three subtables: a count, an XOR of digests an
 check values.  Sketches of two versions subtract cell by cell; what both share vanishes, and
 peeling cells that hold one digest recovers the digests that only one version has.  When
 peeling gets stuck, it is tried again with sketches four times as large, then with sketches
-larger than both paragraph lists; a cycle that even these keep is settled by comparing the
-lists.  Likeness is 1 - differing / all digests of both.
+larger than both paragraph lists: digests are dealt by hash into blocks of about
+``BLOCK_KEYS``, each with a sketch of its own, so the work follows the number of lines (times
+the root of the number of blocks for dealing them) and not its square.  A block that is stuck
+gets a sketch four times as large; a cycle that even this keeps is settled by comparing the
+block's lists.  Likeness is 1 - differing / all digests of both.
 
 Documents meet their successor in one pass: ids are cut into ranges, the first row of each
 range is also given to the range before (and the very first to the last), and a window looks
@@ -27,6 +30,7 @@ from pyspark.sql import functions as F
 
 WIDTH = 10  # cells of a subtable of the fingerprint itself
 SUBTABLES, ROUNDS = 3, 10
+BLOCK_KEYS = 8  # digests of both texts in a block of the largest sketches, on average
 RANGES_PER_PARTITION = 4
 LOWEST = -(1 << 63)
 
@@ -104,25 +108,68 @@ def peel(a: Column, b: Column, width: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, finish)
 
 
-def differing(a: Column, keys_a: Column, b: Column, keys_b: Column, width: int = WIDTH) -> Column:
-    """Number of digests in one text only: from the fingerprints, from larger sketches of both
-    texts on failure, at last from the lists themselves."""
-    small, large = F.lit(width).cast("long"), F.lit(4 * width).cast("long")
-    ample = F.greatest(F.lit(8 * width), F.size(keys_a) + F.size(keys_b)).cast("long")
+def lists_differ(a: Column, b: Column) -> Column:
+    return F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))
+
+
+def peeled(a: Column, b: Column, width: int) -> Column:
+    """Number of digests in one list only, from sketches of both; null when stuck."""
+    w = F.lit(width).cast("long")
+    n = F.size(peel(sketch(a, w), sketch(b, w), w))
+    return F.when(n >= 0, n)
+
+
+def in_blocks(a: Column, b: Column, width: int = WIDTH) -> Column:
+    """Number of digests in one list only, block by block.  Digests are dealt in two steps, into
+    about the root of the number of blocks each time."""
+    blocks = F.floor((F.size(a) + F.size(b)) / BLOCK_KEYS) + 1
+    side = F.ceil(F.sqrt(blocks)).cast("long")
+    none = F.lit(0).cast("long")
+
+    def numbers(last: Column) -> Column:
+        return F.sequence(none, last - 1)
+
+    def total(values: Column) -> Column:
+        return F.aggregate(values, none, lambda x, y: x + y)
 
-    def again(w: Column) -> Column:
-        return F.size(peel(sketch(keys_a, w), sketch(keys_b, w), w))
+    def one(x: Column, y: Column) -> Column:
+        return F.coalesce(peeled(x, y, width), peeled(x, y, 4 * width), lists_differ(x, y)).cast("long")
 
-    def unless_stuck(c: Column) -> Column:
-        return F.when(c >= 0, c)
+    def dealt(keys: Column, n: Column) -> Column:
+        def placed(d: Column) -> Column:
+            at = F.pmod(F.xxhash64(d, F.lit(2)), n * n)
+            return F.struct(F.floor(at / n).alias("i"), F.pmod(at, n).alias("j"), d.alias("k"))
 
-    lists = F.size(F.array_except(keys_a, keys_b)) + F.size(F.array_except(keys_b, keys_a))
+        return F.transform(keys, placed)
+
+    def of(rows: Column, name: str, i: Column) -> Column:
+        return F.filter(rows, lambda r: r[name] == i)
+
+    def cell(rows: Column, j: Column) -> Column:
+        return F.transform(of(rows, "j", j), lambda r: r["k"])
+
+    def rest(n: Column) -> Column:
+        both = F.struct(dealt(a, n).alias("a"), dealt(b, n).alias("b"))
+        return let(both, lambda ab: total(F.transform(numbers(n), lambda i: let(
+            F.struct(of(ab["a"], "i", i).alias("a"), of(ab["b"], "i", i).alias("b")),
+            lambda part: total(F.transform(numbers(n), lambda j: let(
+                F.struct(cell(part["a"], j).alias("a"), cell(part["b"], j).alias("b")),
+                lambda c: one(c["a"], c["b"]))))))))
+
+    return let(side, rest)
+
+
+def differing(a: Column, keys_a: Column, b: Column, keys_b: Column, width: int = WIDTH) -> Column:
+    """Number of digests in one text only: from the fingerprints, from larger sketches of both
+    texts on failure, at last from sketches in blocks."""
+    small = F.lit(width).cast("long")
     both = F.size(keys_a) + F.size(keys_b)
     fits = F.abs(F.size(keys_a) - F.size(keys_b)) <= SUBTABLES * width
     first = F.when(fits, F.size(peel(a, b, small)))
-    second = F.when(both <= 8 * SUBTABLES * width, again(large))
-    return (F.when(a == b, F.when(F.sort_array(keys_a) == F.sort_array(keys_b), F.lit(0)).otherwise(lists))
-            .otherwise(F.coalesce(unless_stuck(first), unless_stuck(second), unless_stuck(again(ample)), lists)))
+    second = F.when(both <= 8 * SUBTABLES * width, peeled(keys_a, keys_b, 4 * width))
+    same = F.when(F.sort_array(keys_a) == F.sort_array(keys_b), F.lit(0)).otherwise(lists_differ(keys_a, keys_b))
+    return F.when(a == b, same).otherwise(
+        F.coalesce(F.when(first >= 0, first), second, in_blocks(keys_a, keys_b, width)))
 
 
 def likeness(number: Column, keys_a: Column, keys_b: Column) -> Column:

@@ -78,3 +78,22 @@ def test_stored_fingerprints_hold_whole_cells(spark):
     assert max(c.n for c in cells) > 255
     assert [(int(p[:8], 16), int(p[8:24], 16), int(p[24:], 16)) for p in parts] == [
         (c.n, c.k & unsigned, c.c & unsigned) for c in cells]
+
+
+def test_long_texts(spark):
+    """Texts of 20,000 lines that differ in few, in many and in all lines."""
+    lines = [f"line {i}" for i in range(20_000)]
+    few = lines[:70] + ["new"] + lines[100:]
+    many = [x if i % 3 else f"other {i}" for i, x in enumerate(lines)]
+    texts = ["\n".join(t) for t in (lines, few, many, [f"else {i}" for i in range(15_000)])]
+    check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+
+
+def test_blocks_count_like_sets(spark):
+    rows = [(list(range(n)), [v for v in range(m, m + n) if v % 5]) for n, m in
+            ((0, 0), (1, 0), (1, 9), (9, 3), (100, 1), (400, 7), (900, 450))]
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>").select(
+        *[F.transform(c, lambda v: F.xxhash64(v)).alias(c) for c in "ab"])
+    for width in (1, 10):  # with one cell a subtable nearly every block is settled by its lists
+        for r in df.select("a", "b", P.in_blocks(F.col("a"), F.col("b"), width).alias("n")).collect():
+            assert r.n == len(set(r.a) ^ set(r.b))
