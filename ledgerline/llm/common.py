@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -31,23 +32,43 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_held: list[tuple[str, Callable[[], None]]] = []
+
+
+def held(function: Callable) -> Callable:
+    """Keep a function's last result in a worker, until a task of another module runs there: Spark
+    reuses workers, and they would otherwise hold the caches of all operators they have run."""
+    kept = functools.lru_cache(maxsize=1)(function)
+    _held.append((function.__module__, kept.cache_clear))
+    return kept
+
+
+def _let_go(module: str) -> None:
+    for owner, clear in _held:
+        if owner != module:
+            clear()
+
+
 def per_batch(df: DataFrame, schema: str,
-              make: Callable[[], Callable[[pa.RecordBatch], dict | None]],
-              finish: str | None = None) -> DataFrame:
+              make: Callable[[], Callable[[pa.RecordBatch], dict | Iterator[dict] | None]],
+              finish: str | None = None, owner: str | None = None) -> DataFrame:
     """Map Arrow batches through ``make()``, called once a task; it returns a function
-    from a batch to a dict of columns.  ``finish`` names a method called at the end."""
+    from a batch to a dict of columns, or to several in turn.  ``finish`` names a method called at the end.  What other
+    modules than ``owner`` (that of ``make``) have ``held`` in the worker goes first."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     out = to_arrow_schema(_parse_datatype_string(schema))
+    owner = owner or make.__module__
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _let_go(owner)
         work = make()
         for batch in batches:
             if batch.num_rows:
                 cols = work(batch)
-                if cols is not None:
-                    yield _batch(cols, out)
+                for part in (cols,) if isinstance(cols, dict) else cols or ():
+                    yield _batch(part, out)
         if finish is not None:
             cols = getattr(work, finish)()
             if cols is not None:
@@ -111,7 +132,7 @@ def beside(df: DataFrame, text_col: str, keep: tuple[str, ...], new: list[tuple[
 
         return run
 
-    return per_batch(src, schema, start).toDF(*keep, *[name for name, _ in new])
+    return per_batch(src, schema, start, owner=make.__module__).toDF(*keep, *[name for name, _ in new])
 
 
 def tokenizer_file(name: str) -> str:

@@ -17,7 +17,6 @@ counts as not held out; repeated rows count as often as they occur.
 
 from __future__ import annotations
 
-import functools
 import math
 import re
 import uuid
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, beside, per_batch, quoted, tokenizer_file, unused
+from .common import Memo, beside, held, per_batch, quoted, tokenizer_file, unused
 
 WORD = re.compile(r"[^\W\d_]+")
 MARK = "▁"
@@ -67,7 +66,7 @@ class Vocabulary:
         return self.cuts.put(word, found) if len(word) < 64 else found
 
 
-@functools.lru_cache(maxsize=1)
+@held
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 

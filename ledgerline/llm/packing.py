@@ -17,7 +17,6 @@ rows are packed each on its own; an empty table gives no pieces.
 
 from __future__ import annotations
 
-import functools
 import re
 import unicodedata
 import zlib
@@ -29,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, per_batch, tokenizer_file
+from .common import Memo, held, per_batch, tokenizer_file
 
 WINDOW = 2048
 END_ID = 1
@@ -125,7 +124,7 @@ class WordTokenizer:
         return found or [word]
 
 
-@functools.lru_cache(maxsize=2)
+@held
 def word_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 

@@ -16,7 +16,6 @@ null id, repeated rows and extra columns are carried; an empty table gives an em
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import re
 
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, per_batch, tokenizer_file
+from .common import Memo, held, per_batch, tokenizer_file
 
 MARK = "▁"
 MEMO_WORDS = 1_000_000
@@ -304,7 +303,7 @@ class PieceModel:
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
-@functools.lru_cache(maxsize=2)
+@held
 def model(path: str) -> PieceModel:
     return PieceModel(path)
 

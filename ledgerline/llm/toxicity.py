@@ -35,13 +35,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, beside, per_batch, quoted, unused, written
+from .common import Memo, beside, held, per_batch, quoted, scratch, unused
 from .language import held_out
 
 WORD = re.compile(r"[^\W\d_]+")
-MEMO_WORDS = 600_000
 #: Words that a task gathers before it makes rows of them.
-PART = 1_000_000
+PART = 500_000
+#: Parts in which the driver reads the sample's pairs.
+CHUNKS = 16
+MEMO_WORDS = 600_000
 SAMPLE = 100_000
 DISCOUNT = 0.75
 #: Documents' worth of smoothing for a word, and for the pairs of a context.
@@ -51,18 +53,17 @@ HELD_OUT_MOD, HELD_OUT_REST, CALIBRATE_REST = 5, 0, 4
 #: Weights of both kinds of evidence and offset while few rows can calibrate them.
 DEFAULT_FIT = (1.5, 1.0, -6.0)
 
-_hashes = Memo(MEMO_WORDS)
 
-
-def _hash(word: str) -> int:
-    return _hashes.put(word, xxhash.xxh3_64_intdigest(word))
+@held
+def _known() -> Memo:
+    return Memo(MEMO_WORDS)
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    words = WORD.findall(text.lower()) if text else []
-    found = list(map(_hashes.get, words))
+    words, known = WORD.findall(text.lower()) if text else [], _known()
+    found = list(map(known.get, words))
     if None in found:
-        found = [_hash(w) if h is None else h for w, h in zip(words, found)]
+        found = [known.put(w, xxhash.xxh3_64_intdigest(w)) if h is None else h for w, h in zip(words, found)]
     return np.array(found, np.uint64)
 
 
@@ -87,16 +88,32 @@ def pair_keys(at: np.ndarray) -> np.ndarray:
     return key
 
 
-def packed(pairs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys as the number of pairs of each of ``n`` first words and their second words."""
-    ends = np.searchsorted(pairs, np.arange(n + 1, dtype=np.int64) << 32)
-    return np.diff(ends).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32)
-
-
-def unpacked(numbers: np.ndarray, second: np.ndarray) -> np.ndarray:
-    pairs = np.repeat(np.arange(len(numbers), dtype=np.int64) << 32, numbers)
-    pairs |= second
-    return pairs
+class Pairs:
+    """Sorted pairs of places in four bytes a pair: ``second`` places, those of first place i from
+    ``starts[i]`` to ``starts[i + 1]``."""
+
+    def __init__(self, starts: np.ndarray, second: np.ndarray):
+        self.starts, self.second = starts, second
+
+    def __len__(self) -> int:
+        return len(self.second)
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Places of keys (``pair_keys``), -1 for those that are not here; all are halved at once."""
+        out = np.full(len(keys), -1, np.int64)
+        asked = np.flatnonzero(keys >= 0)
+        first, wanted = keys[asked] >> 32, (keys[asked] & 0xFFFFFFFF).astype(np.int32)
+        low, end = self.starts[first], self.starts[first + 1]
+        high = end.copy()
+        while (open_ := np.flatnonzero(low < high)).size:
+            middle = (low[open_] + high[open_]) >> 1
+            less = self.second[middle] < wanted[open_]
+            low[open_[less]] = middle[less] + 1
+            high[open_[~less]] = middle[~less]
+        found = np.flatnonzero(low < end)
+        found = found[self.second[low[found]] == wanted[found]]
+        out[asked[found]] = low[found]
+        return out
 
 
 def parts(batch: pa.RecordBatch):
@@ -126,20 +143,15 @@ def _counted(name: str, by_class: list[list[np.ndarray]]) -> dict:
             "toxic": pa.array(np.concatenate([zero[0], counts[1].astype(np.int32)]))}
 
 
-def _merged(made: list[dict]) -> dict | None:
-    return {k: pa.concat_arrays([m[k] for m in made]) for k in made[0]} if made else None
-
-
 def _words():
     """Documents of a class with a word."""
-    def work(batch: pa.RecordBatch) -> dict | None:
-        labels, made = batch.column(1).to_pylist(), []
+    def work(batch: pa.RecordBatch):
+        labels = batch.column(1).to_pylist()
         for rows, found in parts(batch):
             by_class = [[], []]
             for i, h in zip(rows, found):
                 by_class[labels[i]].append(np.unique(h).view(np.int64))
-            made.append(_counted("word", by_class))
-        return _merged(made)
+            yield _counted("word", by_class)
 
     return work
 
@@ -148,16 +160,15 @@ def _pairs(shared):
     """Documents of a class with a pair."""
     words = shared.value
 
-    def work(batch: pa.RecordBatch) -> dict | None:
-        labels, made = batch.column(1).to_pylist(), []
+    def work(batch: pa.RecordBatch):
+        labels = batch.column(1).to_pylist()
         for rows, found in parts(batch):
             at = distinct_places(np.concatenate(found), words)
             by_class, start = [[], []], 0
             for i, h in zip(rows, found):
                 by_class[labels[i]].append(np.unique(pair_keys(at[start:start + len(h)])))
                 start += len(h)
-            made.append(_counted("pair", by_class))
-        return _merged(made)
+            yield _counted("pair", by_class)
 
     return work
 
@@ -166,10 +177,8 @@ def _others(shared):
     """Distinct pairs that are not in the sample, by places; all first words outside the sample
     are one, -1, a second word outside it goes by its hash."""
     words, pairs = shared.value
-    pairs = unpacked(*pairs)
 
-    def work(batch: pa.RecordBatch) -> dict | None:
-        made = []
+    def work(batch: pa.RecordBatch):
         for _, found in parts(batch):
             h = np.concatenate(found)
             at = distinct_places(h, words)
@@ -178,29 +187,24 @@ def _others(shared):
             first = np.flatnonzero(follows[1:])
             a, b = at[first], at[first + 1]
             known = np.unique((a[b >= 0] << 32) | b[b >= 0])
-            known = known[places(known, pairs) < 0]
+            known = known[pairs.places(known) < 0]
             rare = np.unique(np.column_stack([a[b < 0], h[first + 1][b < 0].view(np.int64)]), axis=0)
-            made.append({"word": pa.array(np.concatenate([known >> 32, rare[:, 0]]).astype(np.int32)),
-                         "place": pa.array(np.concatenate([known & 0xFFFFFFFF, np.full(len(rare), -1)]).astype(np.int32)),
-                         "hash": pa.array(np.concatenate([np.zeros(len(known), np.int64), rare[:, 1]]))})
-        return _merged(made)
+            yield {"word": pa.array(np.concatenate([known >> 32, rare[:, 0]]).astype(np.int32)),
+                   "place": pa.array(np.concatenate([known & 0xFFFFFFFF, np.full(len(rare), -1)]).astype(np.int32)),
+                   "hash": pa.array(np.concatenate([np.zeros(len(known), np.int64), rare[:, 1]]))}
 
     return work
 
 
-def linear_count(masks: np.ndarray) -> np.ndarray:
-    """Number of distinct neighbours from a 64-bit mask; a full one counts as 64 * (ln 64 + 1)."""
-    ones = np.bitwise_count(masks).astype(np.float64)
-    return 64.0 * np.log(64.0 / np.maximum(64.0 - ones, 0.368))
-
-
 class Model:
-    """Log-probability ratios of words and pairs.  ``words``: sorted hashes; ``counts`` and
-    ``pair_counts``: documents by class; ``pairs``: sorted keys; ``after``: distinct words
-    that come after a word in the corpus, at last after all words outside the sample."""
-
-    def __init__(self, words: np.ndarray, counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray,
-                 after: np.ndarray):
+    """Log-probability ratios of words and pairs.  ``words``: sorted hashes; ``counts``: their
+    documents by class; ``pairs``: the sample's pairs; ``contexts``: documents of each
+    context's pairs by class; ``after``: distinct words that come after a word in the corpus, at
+    last after all words outside the sample; ``chunks``: yields (sorted keys, documents by class)
+    of all pairs in order, some at once."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, pairs: Pairs,
+                 contexts: np.ndarray, after: np.ndarray, chunks):
         self.fit = DEFAULT_FIT
         self.words, self.pairs = words, pairs
         size = counts.sum(axis=1).astype(np.float64)
@@ -208,35 +212,37 @@ class Model:
         if not self.known:
             return
         share = size / size.sum()
-        word = np.maximum(counts - DISCOUNT, 0.0) + WORD_WEIGHT * share[:, None]
+        word = counts - DISCOUNT
+        np.maximum(word, 0.0, out=word)
+        word += WORD_WEIGHT * share[:, None]
         # one factor for both classes: a word that neither has is as likely in both
         word /= size[:, None] * (word.sum() / size.sum())
         # the last place, -1, is that of all words that are not in the sample
         self.ratio = np.append(np.log(word[1] / word[0]), 0.0).astype(np.float32)
         self.handed = share[:, None] * (DISCOUNT * after + CONTEXT_WEIGHT)
-        self.adds = np.zeros(len(pairs) + 1, np.float32)  # what a pair adds; the last: no pair of the sample
-        contexts = np.zeros((2, len(after)))
         # a pair's backoff is also worth as many documents as a word's, however rare the word
-        weight = WORD_WEIGHT / (share[:, None] * word).sum(axis=0)
-        for i in range(0, len(pairs), PART):
-            first, second = pairs[i:i + PART] >> 32, pairs[i:i + PART] & 0xFFFFFFFF
-            side = [np.log(np.maximum(n[i:i + PART] - DISCOUNT, 0.0)
+        weight = WORD_WEIGHT / (share @ word)
+        self.adds = np.zeros(len(pairs) + 1, np.float32)  # what a pair adds; the last: no pair of the sample
+        done = 0
+        for keys, found in chunks():
+            first, second = keys >> 32, keys & 0xFFFFFFFF
+            side = [np.log(np.maximum(found[c] - DISCOUNT, 0.0)
                            / ((self.handed[c][first] + share[c] * weight[second]) * word[c][second]) + 1.0)
-                    for c, n in enumerate(pair_counts)]
-            self.adds[i:i + len(first)] = side[1] - side[0]
-            for c, n in enumerate(pair_counts):
-                np.add.at(contexts[c], first, n[i:i + PART])
-        back = np.log(self.handed / (contexts + self.handed))
+                    for c in (0, 1)]
+            self.adds[done:done + len(keys)] = side[1] - side[0]
+            done += len(keys)
+        contexts += self.handed  # in place: there is a row of words for each class
+        back = np.log(np.divide(self.handed, contexts, out=contexts), out=contexts)
         #: What a context changes of a word's ratio where their pair is unseen.
         self.back = (back[1] - back[0]).astype(np.float32)
 
     def __getstate__(self) -> dict:
         """What a task needs."""
-        state = {k: v for k, v in vars(self).items() if k != "handed"}
-        return state | {"pairs": packed(self.pairs, len(self.words))}
+        return {k: v for k, v in vars(self).items() if k != "handed"}
 
-    def __setstate__(self, state: dict) -> None:
-        vars(self).update(state | {"pairs": unpacked(*state["pairs"])})
+    def pair_places(self, keys: np.ndarray) -> np.ndarray:
+        distinct, back = np.unique(keys, return_inverse=True)
+        return self.pairs.places(distinct)[back]
 
     def evidences(self, texts) -> list[tuple[float, float]]:
         """Log-likelihood ratio a word of the most telling distinct words, and of all words."""
@@ -247,7 +253,7 @@ class Model:
             h = np.concatenate(found)
             at = distinct_places(h, self.words)
             logs = self.ratio[at].astype(np.float64)
-            more = self.back[at[:-1]] + self.adds[distinct_places(pair_keys(at), self.pairs)]
+            more = self.back[at[:-1]] + self.adds[self.pair_places(pair_keys(at))]
             ends = np.cumsum(list(map(len, found)))
             more[ends[:-1] - 1] = 0.0  # the next text's first word
             logs[1:] += more
@@ -293,7 +299,10 @@ def _sorted(rows: DataFrame, kind) -> tuple[np.ndarray, np.ndarray]:
     found = rows.toArrow()
     keys = found[0].to_numpy().view(kind)
     order = np.argsort(keys)
-    return keys[order], np.stack([found[c].to_numpy()[order] for c in ("ordinary", "toxic")])
+    out = keys[order], np.stack([found[c].to_numpy()[order] for c in ("ordinary", "toxic")])
+    del found, keys
+    pa.default_memory_pool().release_unused()
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
@@ -313,33 +322,46 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
 
     # distinct words, then pairs, of the bounded sample
     words, counts = _sorted(summed(per_batch(counted, "word long, ordinary int, toxic int", _words), "word"), np.uint64)
+    starts = np.zeros(len(words) + 1, np.int64)
     if not counts.sum(axis=1).all():
-        return Model(words, counts, np.empty(0, np.int64), np.empty((2, 0), np.int32), np.zeros(len(words) + 1))
+        return Model(words, counts, Pairs(starts, np.empty(0, np.int32)), np.zeros((2, 1)), np.zeros(1), list)
     lent = spark.sparkContext.broadcast(words)
-    table = written(summed(per_batch(counted, "pair long, ordinary int, toxic int", lambda: _pairs(lent)), "pair"),
-                    "toxicity-pairs")
-    n = table.count()
-    pairs, pair_counts, done = np.empty(n, np.int64), np.empty((2, n), np.int32), 0
-    step = -(-len(words) // max(1, n // PART))
-    for low in range(0, len(words), step):  # the driver gathers some PART pairs at once
-        keys, found = _sorted(table.where((F.col("pair") >= low << 32) & (F.col("pair") < (low + step) << 32)), np.int64)
-        pairs[done:done + len(keys)], pair_counts[:, done:done + len(keys)] = keys, found
+    path, step = scratch(spark, "toxicity-pairs"), -(-len(words) // CHUNKS)
+    (summed(per_batch(counted, "pair long, ordinary int, toxic int", lambda: _pairs(lent)).where("pair >= 0"), "pair")
+     .withColumn("chunk", F.floor(F.shiftright("pair", 32) / step).cast("int"))
+     .write.partitionBy("chunk").parquet(path))
+    table = spark.read.schema("pair long, ordinary int, toxic int, chunk int").parquet(path)
+
+    def chunks():
+        """One chunk's pairs at a time: the driver never holds the keys and counts of all."""
+        for chunk in range(CHUNKS):
+            yield _sorted(table.where(F.col("chunk") == chunk), np.int64)
+
+    second, done, contexts = np.empty(table.count(), np.int32), 0, np.zeros((2, len(words) + 1))
+    for keys, found in chunks():
+        first = keys >> 32
+        starts[1:] += np.bincount(first, minlength=len(words))
+        second[done:done + len(keys)] = keys & 0xFFFFFFFF
         done += len(keys)
+        for c in (0, 1):
+            contexts[c] += np.bincount(first, found[c], minlength=len(words) + 1)
+    after = np.append(starts[1:], 0).astype(np.float64)
+    pairs = Pairs(np.cumsum(starts), second)
+    keys = found = first = None
 
     # distinct words after each: those of the sample's pairs, and all others of the corpus
-    both = spark.sparkContext.broadcast((words, packed(pairs, len(words))))
+    both = spark.sparkContext.broadcast((words, pairs))
     others = per_batch(joined.where("_label is null").select("_text"), "word int, place int, hash long",
                        lambda: _others(both)).distinct().groupBy("word").count().toArrow()  # a row a word
-    after = np.bincount(pairs >> 32, minlength=len(words) + 1).astype(np.float64)
     after[others["word"].to_numpy()] += others["count"].to_numpy()
     lent.destroy()
     both.destroy()
-    spark.sparkContext._jvm.java.lang.System.gc()  # lets go of shuffles that are read
-    model = Model(words, counts, pairs, pair_counts, after)
+    model = Model(words, counts, pairs, contexts, after, chunks)
     shared = spark.sparkContext.broadcast(model)
-    held = joined.where("_target is not null and _label is null").select("_text", "_target")
-    pairs = per_batch(held, "best double, mean double, target int", lambda: _evidence(shared)).toPandas()
-    model.fit = logistic(pairs[["best", "mean"]].to_numpy(float), pairs["target"].to_numpy(float))
+    apart = joined.where("_target is not null and _label is null").select("_text", "_target")
+    seen = per_batch(apart, "best double, mean double, target int", lambda: _evidence(shared)).toArrow()
+    model.fit = logistic(np.column_stack([seen[c].to_numpy() for c in ("best", "mean")]),
+                         seen["target"].to_numpy().astype(float))
     return model
 
 

@@ -51,7 +51,7 @@ def test_corpus_counts_grow_with_unlabelled_rows(spark):
     more = docs.unionByName(docs.selectExpr("doc_id + 10000 AS doc_id", "concat('extra ', text) AS text"))
     a, b = T.fit(docs, labels), T.fit(more, labels)
     assert (b.handed >= a.handed).all() and (b.handed > a.handed).any()
-    assert (a.pairs == b.pairs).all()
+    assert (a.pairs.starts == b.pairs.starts).all() and (a.pairs.second == b.pairs.second).all()
 
 
 def test_odd_rows(spark, corpus, no_rows):
@@ -69,10 +69,14 @@ def test_odd_rows(spark, corpus, no_rows):
     assert kept.columns == corpus.columns and kept.count() == corpus.count()
 
 
-def test_linear_count():
-    masks = np.array([0, 1, 3, 2**64 - 1], np.uint64)
-    n = T.linear_count(masks)
-    assert n[0] == 0 and 1 <= n[1] < 1.1 and n[2] > n[1] and 300 < n[3] < 340
+def test_pairs_are_found_like_in_a_sorted_list():
+    r = np.random.default_rng(4)
+    keys = np.unique(r.integers(0, 40, 600) << 32 | r.integers(0, 50, 600))
+    starts = np.searchsorted(keys, np.arange(51, dtype=np.int64) << 32)
+    asked = np.concatenate([r.integers(0, 50, 3000) << 32 | r.integers(0, 60, 3000), keys, [-1]])
+    found = T.Pairs(starts, keys.astype(np.int32)).places(asked)
+    assert (found == T.places(asked, keys)).all()
+    assert (T.Pairs(np.zeros(9, np.int64), np.empty(0, np.int32)).places(keys[:3] % 8) == -1).all()
 
 
 def test_counts_are_exact_and_words_share_nothing(spark):
