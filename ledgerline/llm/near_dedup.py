@@ -41,7 +41,8 @@ from .graph import components
 
 WORDS, PERCENT = 5, 75
 BANDS, ROWS = 32, 3
-BASE = 1.02
+#: Close to 1: a register tells some thousand values apart, so sets that share nothing share no band.
+BASE = 1.001
 SURE = 20.0
 CHUNK = 1024
 
