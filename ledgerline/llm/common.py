@@ -24,14 +24,21 @@ def scratch(spark: SparkSession, what: str) -> str:
     return f"{base}/ledgerline-{what}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """Write once to the shared folder and read back: cuts lineage, survives lost executors."""
+def written(df: DataFrame, what: str, into: str | None = None) -> DataFrame:
+    """Write once to the shared folder (or a ``scratch`` folder there) and read back: cuts lineage,
+    survives lost executors."""
     spark = df.sparkSession
-    path = scratch(spark, what)
+    path = f"{into}/{what}-{uuid.uuid4().hex[:12]}" if into else scratch(spark, what)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a ``scratch`` folder once nothing reads it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _held: list[tuple[str, Callable[[], None]]] = []
 
 

@@ -15,11 +15,12 @@ def _linked(pairs: DataFrame) -> DataFrame:
     return pairs.join(least, F.col("u") == F.col("w"))
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, into: str | None = None, max_rounds: int = 60) -> DataFrame:
     """``edges`` (a, b) to (node, component): the smallest node reachable, for every node that
-    has an edge.  Ends when a round changes nothing; every round is a written table."""
+    has an edge.  Ends when a round changes nothing; every round is a written table
+    (in the scratch folder ``into``)."""
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                  .distinct(), "edges")
+                  .distinct(), "edges", into)
     mark = None
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -28,7 +29,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         near = _linked(large)
         small = (near.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(near.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        now = written(small, "edges")
+        now = written(small, "edges", into)
         new = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if new == mark:
             break

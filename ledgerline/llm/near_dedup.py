@@ -14,8 +14,9 @@ node is compared with its bucket's smallest node and the links are contracted to
 then only nodes still apart in a common bucket count.  How many of a node's shingles any other
 such node has bounds what it can share; that excludes the many variants of one text that are
 near it but not near enough, and names each bucket's most typical node, with which the others
-are compared next.  The few nodes then outside a bucket's main component are compared with what
-is apart from them there.
+are compared next.  The nodes then outside a bucket's main component meet what is apart from them
+there in blocks: their shingles are dealt into groups, and the smaller counts of each group bound
+what two share, which leaves few pairs to compare.
 Every candidate pair is thereby linked, compared, or already connected, so components are those
 of all links.
 
@@ -36,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_batch, quoted, unused, written
+from .common import discard, per_batch, quoted, scratch, stream, unused, written
 from .graph import components
 
 WORDS, PERCENT = 5, 75
@@ -45,6 +46,8 @@ BANDS, ROWS = 32, 3
 BASE = 1.001
 SURE = 20.0
 CHUNK = 1024
+#: Groups of shingles whose sizes bound what two sets share (a power of two), and nodes of a block.
+GROUPS, BLOCK = 64, 512
 
 _rng = np.random.default_rng(20)
 _XOR = _rng.integers(0, 2**64, (BANDS * ROWS, 1), np.uint64)
@@ -162,11 +165,12 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
-    rows = written(sketches(docs, id_col, text_col), "sketches")
+    into = scratch(docs.sparkSession, "near-dedup")  # goes at the end, but for what the result reads
+    rows = written(sketches(docs, id_col, text_col), "sketches", into)
     # a node is a set; its text is that of the smallest id
     nodes = written(rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("key").agg(
         F.min(F.struct("doc_id", "h")).alias("rep"), F.first("n").alias("n"), F.first("reg").alias("reg"))
-        .withColumn("node", F.monotonically_increasing_id()), "nodes")
+        .withColumn("node", F.monotonically_increasing_id()), "nodes", into)
     rows = written(rows.join(nodes.select("key", "node"), "key", "left").select("doc_id", "n", "node"), "rows")
 
     width = 2 * ROWS
@@ -174,44 +178,46 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         F.substring("reg", width * i + 1, width) for i in range(BANDS)])).alias("band", "part")).select(
         F.xxhash64("band", "part").alias("bucket"), "node")
     hubs = bands.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top")
-    shared = written(bands.join(hubs.select("bucket", "hub"), "bucket"), "buckets")  # those of two and more
+    shared = written(bands.join(hubs.select("bucket", "hub"), "bucket"), "buckets", into)  # those of two and more
     wanted = shared.select("node").distinct().join(nodes, "node").select("node", "rep.doc_id", "rep.h")
     text = F.col(f"`{text_col}`")
     texts = written(docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"),
                                 text.alias("text"))
                     .join(wanted, ["doc_id", "h"]).dropDuplicates(["doc_id", "h", "node"])
-                    .select("node", "text"), "texts")
+                    .select("node", "text"), "texts", into)
 
     links = written(verified(likely(shared.where("node <> hub").select(
         F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), nodes), texts)
-        .unionByName(same_ids(rows)), "links")
-    comps = components(links)
-    rest = able(open_buckets(shared, comps), texts, nodes)
-    more = written(verified(likely(hub_pairs(rest), nodes), texts), "links")
+        .unionByName(same_ids(rows)), "links", into)
+    comps = components(links, into)
+    rest, alone = able(open_buckets(shared, comps, into), texts, nodes, into)
+    more = written(verified(likely(hub_pairs(rest), nodes), texts), "links", into)
     if not more.isEmpty():
         links = links.unionByName(more)
-        comps = components(links)
-        rest = open_buckets(rest, comps)
-    more = written(verified(likely(last_pairs(rest), nodes), texts), "links")
+        comps = components(links, into)
+        rest = open_buckets(rest, comps, into)
+    more = written(verified(likely(last_pairs(rest, dealt(rest, texts, alone)), nodes), texts), "links", into)
     if not more.isEmpty():
-        comps = components(links.unionByName(more))
+        comps = components(links.unionByName(more), into)
 
     # the smallest id of each component, found among its nodes
     named = nodes.select("node", "rep.doc_id").join(comps, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    out = rows.join(named.select("node", "component"), "node", "left").join(least, "component", "left")
+    named = written(named.join(least, "component").select("node", "component_id"), "components")
+    discard(docs.sparkSession, into)
+    out = rows.join(named, "node", "left")
     comp = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"),
                       F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"))
 
 
-def open_buckets(rows: DataFrame, comps: DataFrame) -> DataFrame:
+def open_buckets(rows: DataFrame, comps: DataFrame, into: str) -> DataFrame:
     """``rows`` (bucket, node, ...) with their component (comp), of the buckets that hold more
     than one component."""
     keep = [c for c in rows.columns if c not in ("hub", "comp")]
     rows = written(rows.select(*keep).join(comps, "node", "left").select(
-        *keep, F.coalesce("component", "node").alias("comp")), "labelled")
+        *keep, F.coalesce("component", "node").alias("comp")), "labelled", into)
     return several(rows)
 
 
@@ -236,11 +242,12 @@ def hub_pairs(rows: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("node", "h.node").alias("a"), F.least("node", "h.node").alias("b")).distinct()
 
 
-def able(rows: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
+def able(rows: DataFrame, texts: DataFrame, nodes: DataFrame, into: str) -> tuple[DataFrame, DataFrame]:
     """``rows`` of nodes that can still link, with n and the number c of their shingles that
-    another open node has as well: a link needs c >= 0.75 n.  Shingles of one node only are
-    found by a count per shingle; nothing is joined back."""
-    open_nodes = written(rows.select("node").distinct(), "open")
+    another open node has as well: a link needs c >= 0.75 n.  Beside it (node, u, alone): how many
+    shingles a node has alone, and their groups.  Shingles of one node only are found by a count
+    per shingle; nothing is joined back."""
+    open_nodes = written(rows.select("node").distinct(), "open", into)
 
     def make():
         def work(batch: pa.RecordBatch) -> dict:
@@ -250,28 +257,98 @@ def able(rows: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
         return work
 
     every = per_batch(texts.join(open_nodes, "node").select("node", "text"), "node long, s long", make)
-    own = (every.groupBy("s").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1")
-           .groupBy("node").agg(F.count("*").alias("u")))
-    bounds = open_nodes.join(nodes.select("node", "n"), "node").join(own, "node", "left").select(
+    alone = written(
+        every.groupBy("s").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1")
+        .groupBy("node").agg(F.count("*").alias("u"), F.collect_list(F.expr(f"int(s & {GROUPS - 1})")).alias("alone")),
+        "alone", into)
+    bounds = open_nodes.join(nodes.select("node", "n"), "node").join(alone.select("node", "u"), "node", "left").select(
         "node", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("c")).where(F.col("c") * 100 >= F.col("n") * PERCENT)
-    return several(written(rows.join(bounds, "node"), "able"))
+    return several(written(rows.join(bounds, "node"), "able", into)), alone
 
 
-def last_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs that may link and are apart in a common bucket: the nodes outside a bucket's
-    most common component against its other nodes."""
+def dealt(rows: DataFrame, texts: DataFrame, alone: DataFrame) -> DataFrame:
+    """(node, g): how many of a node's shingles lie in each of ``GROUPS`` groups by hash, without
+    those it has alone."""
+    wanted = texts.join(rows.select("node").distinct(), "node").join(
+        alone.select("node", "alone"), "node", "left").select("node", "text", "alone")
+
+    def make():
+        def work(batch: pa.RecordBatch) -> dict:
+            g = []
+            for text, own in zip(batch.column(1), batch.column(2)):
+                at = (shingles(text.as_py()) & np.uint64(GROUPS - 1)).astype(np.int64)
+                g.append((np.bincount(at, minlength=GROUPS)
+                          - np.bincount(np.array(own.as_py() or [], np.int64), minlength=GROUPS)).astype("<i4").tobytes())
+            return {"node": batch.column(0), "g": g}
+        return work
+
+    return per_batch(wanted, "node long, g binary", make)
+
+
+def last_pairs(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs that may link and are apart in a common bucket: the nodes outside a bucket's most
+    common component against its other nodes.  Both are dealt into blocks of about ``BLOCK``
+    nodes, and a task compares two blocks; only pairs whose groups of shingles allow a link leave
+    it (``Blocks``).  A node has at most BANDS buckets; a pair counts in the first that both have."""
     sizes = rows.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
-    main = sizes.groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("m")).select(
-        "bucket", F.col("m.comp").alias("main"))
-    # a node has at most BANDS buckets; a pair counts in the first one that both have
-    own = rows.groupBy("node").agg(F.collect_set("bucket").alias("all"))
-    all_rows = rows.join(main, "bucket").join(own, "node").select(
-        "bucket", "main", F.struct("node", "comp", "n", "c", "all").alias("x"))
-    rest, others = all_rows.where("x.comp <> main"), all_rows.withColumnRenamed("x", "y").drop("main")
-    pairs = rest.join(others, "bucket").where(
-        "x.comp <> y.comp AND (y.comp = main OR y.node < x.node) AND " + MAY_LINK.format("x", "y")
-        + " AND bucket = array_min(array_intersect(x.all, y.all))")
-    return pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
+    main = sizes.groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("m"), F.sum("k").alias("size")).select(
+        "bucket", F.col("m.comp").alias("main"), F.ceil(F.col("size") / BLOCK).cast("int").alias("every"),
+        F.ceil((F.col("size") - F.col("m.k")) / BLOCK).cast("int").alias("outside"))
+    own = rows.groupBy("node").agg(F.sort_array(F.collect_set("bucket")).alias("all"))
+    all_rows = rows.join(main, "bucket").join(own.join(groups, "node"), "node").withColumn(
+        "in_main", F.col("comp") == F.col("main"))
+    cols = ["bucket", "i", "j", "side", "node", "comp", "in_main", "n", "g", "all"]
+    place = F.xxhash64(F.col("node"), F.lit(1))
+    first = all_rows.where("NOT in_main").withColumn("side", F.lit(0)).withColumn(
+        "i", F.pmod(place, "outside").cast("int")).withColumn("j", F.explode(F.expr("sequence(0, every - 1)")))
+    second = all_rows.withColumn("side", F.lit(1)).withColumn(
+        "j", F.pmod(place, "every").cast("int")).withColumn("i", F.explode(F.expr("sequence(0, outside - 1)")))
+    blocks = first.select(*cols).unionByName(second.select(*cols)).repartition("bucket", "i", "j").sortWithinPartitions(
+        "bucket", "i", "j", "side")
+    return stream(blocks, "a long, b long", Blocks)
+
+
+class Blocks:
+    """Compares the blocks of one sorted partition.  What two sets share is at most the sum, over
+    the groups of shingles, of the smaller count; a link needs j / (1 + j) of both sizes."""
+
+    def __init__(self):
+        self.open = None
+
+    def batch(self, batch: pa.RecordBatch):
+        table = pa.Table.from_batches([batch])
+        if self.open is not None:
+            table = pa.concat_tables([self.open, table]).combine_chunks()
+        key = np.stack([table.column(c).to_numpy() for c in ("bucket", "i", "j")])
+        starts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+        if len(starts):
+            yield self.pairs(table.slice(0, starts[-1]), np.append(0, starts))
+            table = table.slice(starts[-1])
+        self.open = table
+
+    def rest(self):
+        if self.open is not None:
+            yield self.pairs(self.open, np.array([0, len(self.open)]))
+
+    def pairs(self, table: pa.Table, starts: np.ndarray) -> dict:
+        bucket, side, node, comp, n, in_main = (table.column(c).to_numpy() for c in (
+            "bucket", "side", "node", "comp", "n", "in_main"))
+        g = np.frombuffer(b"".join(table.column("g").to_pylist()), "<i4").reshape(-1, GROUPS)
+        buckets = table.column("all").combine_chunks()
+        found = []
+        for low, high in zip(starts, starts[1:]):
+            cut = low + int(np.searchsorted(side[low:high], 1))
+            for x in range(low, cut):
+                y = np.arange(cut, high)
+                y = y[(comp[y] != comp[x]) & (in_main[y] | (node[y] < node[x]))]
+                shared = np.minimum(g[y], g[x]).sum(axis=1)
+                y = y[shared * (100 + PERCENT) >= PERCENT * (n[y] + n[x])]
+                if len(y):
+                    mine = set(buckets[x].as_py())
+                    found.extend((max(node[x], node[k]), min(node[x], node[k])) for k in y
+                                 if next(b for b in buckets[k].as_py() if b in mine) == bucket[x])
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return {"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])}
 
 
 def same_ids(rows: DataFrame) -> DataFrame:

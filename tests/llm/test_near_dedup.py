@@ -78,6 +78,36 @@ def test_chains_and_large_groups(spark):
     agrees(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def test_variants_on_both_sides_of_the_threshold(spark, monkeypatch):
+    """Many variants of one text, near it and far from it, in buckets of several blocks; scratch
+    tables of the run go."""
+    import os
+    monkeypatch.setattr(N, "BLOCK", 16)
+    r = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(300)]
+    base = [r.choice(vocabulary) for _ in range(140)]
+    rows = []
+    for i in range(300):
+        v = list(base)
+        for _ in range(r.randint(0, 12)):
+            v[r.randrange(len(v))] = r.choice(vocabulary)
+        rows.append((i, " ".join(v)))
+    agrees(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    folder = N.scratch(spark, "x").rsplit("/", 1)[0].removeprefix("file:")
+    assert not [f for f in os.listdir(folder) if f.startswith("ledgerline-near-dedup-")]
+
+
+def test_groups_bound_what_sets_share():
+    r = np.random.default_rng(6)
+    base = r.integers(0, 2**63, 150, np.uint64)
+    sets = [np.unique(np.concatenate([r.choice(base, r.integers(80, 150), False),
+                                      r.integers(0, 2**63, r.integers(0, 40), np.uint64)])) for _ in range(30)]
+    g = np.stack([np.bincount((s & np.uint64(N.GROUPS - 1)).astype(int), minlength=N.GROUPS) for s in sets])
+    for i in range(30):
+        for j in range(i):
+            assert np.minimum(g[i], g[j]).sum() >= len(np.intersect1d(sets[i], sets[j]))
+
+
 def test_whole_table(spark):
     agrees(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
 
