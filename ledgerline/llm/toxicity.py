@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, beside, held, per_batch, quoted, scratch, unused
+from .common import Memo, beside, discard, held, per_batch, quoted, scratch, unused
 from .language import held_out
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -173,10 +173,10 @@ def _pairs(shared):
     return work
 
 
-def _others(shared):
+def _others(lent_words, lent_pairs):
     """Distinct pairs that are not in the sample, by places; all first words outside the sample
     are one, -1, a second word outside it goes by its hash."""
-    words, pairs = shared.value
+    words, pairs = lent_words.value, lent_pairs.value
 
     def work(batch: pa.RecordBatch):
         for _, found in parts(batch):
@@ -237,8 +237,8 @@ class Model:
         self.back = (back[1] - back[0]).astype(np.float32)
 
     def __getstate__(self) -> dict:
-        """What a task needs."""
-        return {k: v for k, v in vars(self).items() if k != "handed"}
+        """What a task needs beside words and pairs, which are lent on their own."""
+        return {k: v for k, v in vars(self).items() if k not in ("handed", "words", "pairs")}
 
     def pair_places(self, keys: np.ndarray) -> np.ndarray:
         distinct, back = np.unique(keys, return_inverse=True)
@@ -272,6 +272,28 @@ class Model:
         return (1.0 / (1.0 + np.exp(-np.clip(a * x + b * y + c, -50, 50)))).tolist()
 
 
+class Fitted:
+    """A model in three broadcasts, words, pairs and the rest, each sent once; the driver keeps none
+    of its large arrays.  ``handed`` and ``fit`` as in ``Model``."""
+
+    def __init__(self, words, pairs, rest, handed):
+        self.lent, self.handed, self.fit = (words, pairs, rest), handed, DEFAULT_FIT
+
+    @property
+    def pairs(self) -> Pairs:
+        return self.lent[1].value
+
+    def evidence(self, text: str | None) -> tuple[float, float]:
+        return borrowed(self.lent).evidence(text)
+
+
+def borrowed(lent) -> Model:
+    """The model in a task."""
+    words, pairs, model = (part.value for part in lent)
+    model.words, model.pairs = words, pairs
+    return model
+
+
 def _evidence_of(h: np.ndarray, logs: np.ndarray) -> tuple[float, float]:
     order = np.argsort(-logs, kind="stable")
     best, seen = 0.0, set()
@@ -305,8 +327,9 @@ def _sorted(rows: DataFrame, kind) -> tuple[np.ndarray, np.ndarray]:
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Fitted:
     spark = docs.sparkSession
+    lend = spark.sparkContext.broadcast  # words and pairs of the bounded sample
     sample = labelled_sample(labels, size).select(
         F.col("doc_id").alias("_id"),
         F.when(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % HELD_OUT_MOD == CALIBRATE_REST,
@@ -324,8 +347,9 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
     words, counts = _sorted(summed(per_batch(counted, "word long, ordinary int, toxic int", _words), "word"), np.uint64)
     starts = np.zeros(len(words) + 1, np.int64)
     if not counts.sum(axis=1).all():
-        return Model(words, counts, Pairs(starts, np.empty(0, np.int32)), np.zeros((2, 1)), np.zeros(1), list)
-    lent = spark.sparkContext.broadcast(words)
+        pairs = Pairs(starts, np.empty(0, np.int32))
+        return Fitted(lend(words), lend(pairs), lend(Model(words, counts, pairs, np.zeros((2, 1)), np.zeros(1), list)), None)
+    lent = lend(words)
     path, step = scratch(spark, "toxicity-pairs"), -(-len(words) // CHUNKS)
     (summed(per_batch(counted, "pair long, ordinary int, toxic int", lambda: _pairs(lent)).where("pair >= 0"), "pair")
      .withColumn("chunk", F.floor(F.shiftright("pair", 32) / step).cast("int"))
@@ -350,23 +374,24 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
     keys = found = first = None
 
     # distinct words after each: those of the sample's pairs, and all others of the corpus
-    both = spark.sparkContext.broadcast((words, pairs))
+    lent_pairs = lend(pairs)
     others = per_batch(joined.where("_label is null").select("_text"), "word int, place int, hash long",
-                       lambda: _others(both)).distinct().groupBy("word").count().toArrow()  # a row a word
+                       lambda: _others(lent, lent_pairs)).distinct().groupBy("word").count().toArrow()  # a row a word
     after[others["word"].to_numpy()] += others["count"].to_numpy()
-    lent.destroy()
-    both.destroy()
+    del others
     model = Model(words, counts, pairs, contexts, after, chunks)
-    shared = spark.sparkContext.broadcast(model)
+    discard(spark, path)
+    out = Fitted(lent, lent_pairs, lend(model), model.handed)
+    del model, words, counts, pairs, contexts, second
     apart = joined.where("_target is not null and _label is null").select("_text", "_target")
-    seen = per_batch(apart, "best double, mean double, target int", lambda: _evidence(shared)).toArrow()
-    model.fit = logistic(np.column_stack([seen[c].to_numpy() for c in ("best", "mean")]),
-                         seen["target"].to_numpy().astype(float))
-    return model
+    seen = per_batch(apart, "best double, mean double, target int", lambda: _evidence(out.lent)).toArrow()
+    out.fit = logistic(np.column_stack([seen[c].to_numpy() for c in ("best", "mean")]),
+                       seen["target"].to_numpy().astype(float))
+    return out
 
 
-def _evidence(shared):
-    model = shared.value
+def _evidence(lent):
+    model = borrowed(lent)
 
     def work(batch: pa.RecordBatch) -> dict:
         found = model.evidences(batch.column(0))
@@ -392,13 +417,14 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[float, flo
     return tuple(float(v) for v in w)
 
 
-def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",),
+def score(docs: DataFrame, model: Fitted, keep: tuple[str, ...] = ("doc_id",),
           names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """``keep`` columns plus score and predicted of every row; nothing is shuffled."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # words and pairs of the bounded sample
+    lent, weights = model.lent, model.fit
 
     def make():
-        model = shared.value
+        model = borrowed(lent)
+        model.fit = weights
 
         def work(texts: pa.Array) -> list[list]:
             found = model.scores(texts)
