@@ -193,12 +193,11 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     rest, alone = able(open_buckets(shared, comps, into), texts, nodes, into)
     more = written(verified(likely(hub_pairs(rest), nodes), texts), "links", into)
     if not more.isEmpty():
-        links = links.unionByName(more)
-        comps = components(links, into)
+        comps = components(stars(comps).unionByName(more), into)
         rest = open_buckets(rest, comps, into)
     more = written(verified(likely(last_pairs(rest, dealt(rest, texts, alone)), nodes), texts), "links", into)
     if not more.isEmpty():
-        comps = components(links.unionByName(more), into)
+        comps = components(stars(comps).unionByName(more), into)
 
     # the smallest id of each component, found among its nodes
     named = nodes.select("node", "rep.doc_id").join(comps, "node", "left").withColumn(
@@ -212,6 +211,11 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                       F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"))
 
 
+def stars(comps: DataFrame) -> DataFrame:
+    """Components as links (a, b) to go on from."""
+    return comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
 def open_buckets(rows: DataFrame, comps: DataFrame, into: str) -> DataFrame:
     """``rows`` (bucket, node, ...) with their component (comp), of the buckets that hold more
     than one component."""
