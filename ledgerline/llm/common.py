@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -39,6 +40,13 @@ def discard(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def forget(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of frames that are gone when the driver's JVM collects its
+    garbage, which may be long after; this does it now."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 _held: list[tuple[str, Callable[[], None]]] = []
 
 

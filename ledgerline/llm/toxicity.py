@@ -11,10 +11,11 @@ A text's evidence is length-normalised twice: the log-likelihood ratio a word ov
 text, and over its ``TOP`` most telling distinct words, which long clean texts do not dilute.
 The score is a logistic function of both.
 
-Words go by their full 64-bit hash; a word and its neighbour by the two places of their hashes
-in the sorted words of the sample, so no two share a count.  Class counts are exact numbers of
-documents from a bounded sample of labelled rows (``SAMPLE`` rows a class, smallest id hash
-first, not held out).  The number of distinct words after a word is exact over all rows and
+Words are maximal runs of letters of the lower-cased text.  They go by a full 64-bit hash, made
+for all words of a text at once and kept by no task; a word and its neighbour by the two places
+of their hashes in the sorted words of the sample, so no two share a count.  Class counts are
+exact numbers of documents from a bounded sample of labelled rows (``SAMPLE`` rows a class,
+smallest id hash first, not held out).  The number of distinct words after a word is exact over all rows and
 grows with them: it is counted in Spark, for the words of the sample.  The model holds the
 sample's distinct words and pairs and no others; it is collected and broadcast, and follows
 the sample, which is bounded.  What the sample does not hold is unseen: it backs off.  A
@@ -27,23 +28,20 @@ without labels of both classes nothing is predicted toxic; an empty table gives
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, beside, discard, held, per_batch, quoted, scratch, unused
+from .common import beside, discard, forget, held, per_batch, quoted, scratch, unused
 from .language import held_out
 
-WORD = re.compile(r"[^\W\d_]+")
-#: Words that a task gathers before it makes rows of them.
-PART = 500_000
+#: Words that a task gathers before it makes rows of them, and before it scores them.
+PART, SCORE_PART = 500_000, 100_000
+#: Characters hashed at once, and pairs or words whose logarithms are taken at once.
+BLOCK = 1 << 18
 #: Parts in which the driver reads the sample's pairs.
 CHUNKS = 16
-MEMO_WORDS = 600_000
 SAMPLE = 100_000
 DISCOUNT = 0.75
 #: Documents' worth of smoothing for a word, and for the pairs of a context.
@@ -54,17 +52,56 @@ HELD_OUT_MOD, HELD_OUT_REST, CALIBRATE_REST = 5, 0, 4
 DEFAULT_FIT = (1.5, 1.0, -6.0)
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """The finish of splitmix64: one-to-one, every bit of the result hangs on all bits."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _powers(n: int) -> np.ndarray:
+    out = np.full(n, 0x9E3779B97F4A7C15, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
 @held
-def _known() -> Memo:
-    return Memo(MEMO_WORDS)
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    """A number for every code point up to the last letter, 0 for all but letters and at the end,
+    for those beyond; and powers for the places in a word."""
+    letter = bytes(c.isalnum() and not c.isdecimal() for c in map(chr, range(0x110000))).rstrip(b"\0") + b"\0"
+    numbers = _mixed(np.arange(1, len(letter) + 1, dtype=np.uint64))
+    numbers[np.frombuffer(letter, np.uint8) == 0] = 0
+    return numbers, _powers(256)
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    words, known = WORD.findall(text.lower()) if text else [], _known()
-    found = list(map(known.get, words))
-    if None in found:
-        found = [known.put(w, xxhash.xxh3_64_intdigest(w)) if h is None else h for w, h in zip(words, found)]
-    return np.array(found, np.uint64)
+    """Hashes of a text's words in order: sums of each letter's number times its place's power."""
+    if not text:
+        return np.empty(0, np.uint64)
+    text = text.lower()
+    codes = (np.frombuffer(text.encode("ascii"), np.uint8) if text.isascii()
+             else np.frombuffer(text.encode("utf-32-le"), np.uint32))
+    numbers, powers = _letters()
+    letter = np.zeros(len(codes) + 2, bool)
+    for i in range(0, len(codes), BLOCK):
+        letter[i + 1:i + 1 + BLOCK][:len(codes) - i] = numbers.take(codes[i:i + BLOCK], mode="clip") != 0
+    edges = np.flatnonzero(letter[1:] != letter[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    longest = int((ends - starts).max())
+    if longest > len(powers):
+        powers = _powers(longest)
+    out, i = np.empty(len(starts), np.uint64), 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + BLOCK, "right")))
+        part, at = codes[starts[i]:ends[j - 1]], starts[i:j] - starts[i]
+        place = np.arange(len(part)) - np.repeat(at, np.diff(at, append=len(part)))
+        np.minimum(place, longest - 1, out=place)  # between words, where numbers are 0
+        out[i:j] = np.add.reduceat(numbers.take(part, mode="clip") * powers[place], at)
+        i = j
+    return _mixed(out)
 
 
 def places(values: np.ndarray, sorted_values: np.ndarray) -> np.ndarray:
@@ -81,6 +118,15 @@ def distinct_places(values: np.ndarray, sorted_values: np.ndarray) -> np.ndarray
     return places(distinct, sorted_values)[back]
 
 
+def distinct_rows(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (a, b), in order."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
+
+
 def pair_keys(at: np.ndarray) -> np.ndarray:
     """Keys of neighbours by their places; negative if either word is not in the sample."""
     key = (at[:-1] << 32) | at[1:]
@@ -89,36 +135,52 @@ def pair_keys(at: np.ndarray) -> np.ndarray:
 
 
 class Pairs:
-    """Sorted pairs of places in four bytes a pair: ``second`` places, those of first place i from
-    ``starts[i]`` to ``starts[i + 1]``."""
+    """Sorted pairs of places in three bytes a pair (four beyond 2**24 words): ``second`` places
+    in two parts, those of first place i from ``starts[i]`` to ``starts[i + 1]``."""
 
     def __init__(self, starts: np.ndarray, second: np.ndarray):
-        self.starts, self.second = starts, second
+        self.starts, self.low, self.high = starts, *self.room(len(second), len(starts))
+        self.put(0, second)
+
+    @staticmethod
+    def room(pairs: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+        return np.zeros(pairs, np.uint16), np.zeros(pairs, np.uint8 if words <= 1 << 24 else np.uint16)
+
+    def put(self, at: int, second: np.ndarray) -> None:
+        self.low[at:at + len(second)] = second & 0xFFFF
+        self.high[at:at + len(second)] = second >> 16
 
     def __len__(self) -> int:
-        return len(self.second)
+        return len(self.low)
+
+    def seconds(self, at) -> np.ndarray:
+        return self.high[at].astype(np.int32) << 16 | self.low[at]
+
+    @property
+    def second(self) -> np.ndarray:
+        return self.seconds(slice(None))
 
     def places(self, keys: np.ndarray) -> np.ndarray:
         """Places of keys (``pair_keys``), -1 for those that are not here; all are halved at once."""
         out = np.full(len(keys), -1, np.int64)
         asked = np.flatnonzero(keys >= 0)
         first, wanted = keys[asked] >> 32, (keys[asked] & 0xFFFFFFFF).astype(np.int32)
-        low, end = self.starts[first], self.starts[first + 1]
+        low, end = (self.starts[f].astype(np.int64) for f in (first, first + 1))
         high = end.copy()
         while (open_ := np.flatnonzero(low < high)).size:
             middle = (low[open_] + high[open_]) >> 1
-            less = self.second[middle] < wanted[open_]
+            less = self.seconds(middle) < wanted[open_]
             low[open_[less]] = middle[less] + 1
             high[open_[~less]] = middle[~less]
         found = np.flatnonzero(low < end)
-        found = found[self.second[low[found]] == wanted[found]]
+        found = found[self.seconds(low[found]) == wanted[found]]
         out[asked[found]] = low[found]
         return out
 
 
-def parts(batch: pa.RecordBatch):
+def parts(batch: pa.RecordBatch, most: int = PART):
     """Word hashes of the texts of a batch (its first column), with their row numbers, for
-    some ``PART`` words at once."""
+    some ``most`` words at once."""
     rows, found, size = [], [], 0
     for i, text in enumerate(batch.column(0)):
         h = word_hashes(text.as_py())
@@ -126,7 +188,7 @@ def parts(batch: pa.RecordBatch):
             rows.append(i)
             found.append(h)
             size += len(h)
-        if size >= PART:
+        if size >= most:
             yield rows, found
             rows, found, size = [], [], 0
     if rows:
@@ -174,9 +236,11 @@ def _pairs(shared):
 
 
 def _others(lent_words, lent_pairs):
-    """Distinct pairs that are not in the sample, by places; all first words outside the sample
-    are one, -1, a second word outside it goes by its hash."""
+    """Distinct pairs that are not in the sample, their places as one number that shuffles small
+    (``first_of`` has the first); all first words outside the sample are one, -1, a second word
+    outside it has the place -1 and goes by its hash."""
     words, pairs = lent_words.value, lent_pairs.value
+    base = len(words) + 1
 
     def work(batch: pa.RecordBatch):
         for _, found in parts(batch):
@@ -188,57 +252,69 @@ def _others(lent_words, lent_pairs):
             a, b = at[first], at[first + 1]
             known = np.unique((a[b >= 0] << 32) | b[b >= 0])
             known = known[pairs.places(known) < 0]
-            rare = np.unique(np.column_stack([a[b < 0], h[first + 1][b < 0].view(np.int64)]), axis=0)
-            yield {"word": pa.array(np.concatenate([known >> 32, rare[:, 0]]).astype(np.int32)),
-                   "place": pa.array(np.concatenate([known & 0xFFFFFFFF, np.full(len(rare), -1)]).astype(np.int32)),
-                   "hash": pa.array(np.concatenate([np.zeros(len(known), np.int64), rare[:, 1]]))}
+            rare, after = distinct_rows(a[b < 0], h[first + 1][b < 0].view(np.int64))
+            known = ((known >> 32) + 1) * base + (known & 0xFFFFFFFF) + 1
+            yield {"pair": pa.array(np.concatenate([known, (rare + 1) * base])),
+                   "hash": pa.array(np.concatenate([np.zeros(len(known), np.int64), after]))}
 
     return work
 
 
+def first_of(pair: str, words: int):
+    """The first place of a pair of ``_others``."""
+    return F.expr(f"CAST({pair} DIV {words + 1} - 1 AS int)")
+
+
 class Model:
-    """Log-probability ratios of words and pairs.  ``words``: sorted hashes; ``counts``: their
-    documents by class; ``pairs``: the sample's pairs; ``contexts``: documents of each
-    context's pairs by class; ``after``: distinct words that come after a word in the corpus, at
-    last after all words outside the sample; ``chunks``: yields (sorted keys, documents by class)
-    of all pairs in order, some at once."""
-
-    def __init__(self, words: np.ndarray, counts: np.ndarray, pairs: Pairs,
-                 contexts: np.ndarray, after: np.ndarray, chunks):
+    """Log-probability ratios of words and pairs.  ``counts``: documents of the sample's words by
+    class; ``pairs``: number of its pairs; ``after``: distinct words that come after a word in the
+    corpus, at last after all words outside the sample; ``chunks``: yields (first context, sorted
+    keys, documents by class) of all pairs in order, some contexts at once.  What follows from
+    counts alone is worked out for a ``BLOCK`` when needed: the driver keeps four bytes a pair."""
+
+    def __init__(self, counts: np.ndarray, pairs: int = 0, after: np.ndarray | None = None, chunks=None):
         self.fit = DEFAULT_FIT
-        self.words, self.pairs = words, pairs
         size = counts.sum(axis=1).astype(np.float64)
         self.known = bool(size.all())
         if not self.known:
             return
-        share = size / size.sum()
-        word = counts - DISCOUNT
-        np.maximum(word, 0.0, out=word)
-        word += WORD_WEIGHT * share[:, None]
+        self.share = share = size / size.sum()
+
+        def smooth(found: np.ndarray) -> np.ndarray:
+            return np.maximum(found - DISCOUNT, 0.0) + WORD_WEIGHT * share[:, None]
+
+        n = counts.shape[1]
+        blocks = [slice(i, i + BLOCK) for i in range(0, n, BLOCK)]
         # one factor for both classes: a word that neither has is as likely in both
-        word /= size[:, None] * (word.sum() / size.sum())
+        scale = size[:, None] * (sum(smooth(counts[:, b]).sum() for b in blocks) / size.sum())
         # the last place, -1, is that of all words that are not in the sample
-        self.ratio = np.append(np.log(word[1] / word[0]), 0.0).astype(np.float32)
-        self.handed = share[:, None] * (DISCOUNT * after + CONTEXT_WEIGHT)
-        # a pair's backoff is also worth as many documents as a word's, however rare the word
-        weight = WORD_WEIGHT / (share @ word)
-        self.adds = np.zeros(len(pairs) + 1, np.float32)  # what a pair adds; the last: no pair of the sample
-        done = 0
-        for keys, found in chunks():
-            first, second = keys >> 32, keys & 0xFFFFFFFF
-            side = [np.log(np.maximum(found[c] - DISCOUNT, 0.0)
-                           / ((self.handed[c][first] + share[c] * weight[second]) * word[c][second]) + 1.0)
-                    for c in (0, 1)]
-            self.adds[done:done + len(keys)] = side[1] - side[0]
-            done += len(keys)
-        contexts += self.handed  # in place: there is a row of words for each class
-        back = np.log(np.divide(self.handed, contexts, out=contexts), out=contexts)
+        self.ratio = np.zeros(n + 1, np.float32)
+        for b in blocks:
+            word = smooth(counts[:, b]) / scale
+            self.ratio[:-1][b] = np.log(word[1] / word[0])
+        self.adds = np.zeros(pairs + 1, np.float32)  # what a pair adds; the last: no pair of the sample
         #: What a context changes of a word's ratio where their pair is unseen.
-        self.back = (back[1] - back[0]).astype(np.float32)
+        self.back = np.zeros(n + 1, np.float32)
+        done = 0
+        for lowest, keys, found in chunks():
+            for i in range(0, len(keys), BLOCK):
+                first, second = keys[i:i + BLOCK] >> 32, keys[i:i + BLOCK] & 0xFFFFFFFF
+                word, context = smooth(counts[:, second]) / scale, handed(share, after[first])
+                # a pair's backoff is also worth as many documents as a word's, however rare the word
+                weight = WORD_WEIGHT / (share @ word)
+                side = [np.log(np.maximum(found[c][i:i + BLOCK] - DISCOUNT, 0.0)
+                               / ((context[c] + share[c] * weight) * word[c]) + 1.0) for c in (0, 1)]
+                self.adds[done:done + len(first)] = side[1] - side[0]
+                done += len(first)
+            if len(keys):
+                first = (keys >> 32) - lowest
+                context = handed(share, after[lowest:lowest + first[-1] + 1])
+                back = [np.log(context[c] / (np.bincount(first, found[c]) + context[c])) for c in (0, 1)]
+                self.back[lowest:lowest + len(back[0])] = back[1] - back[0]
 
     def __getstate__(self) -> dict:
         """What a task needs beside words and pairs, which are lent on their own."""
-        return {k: v for k, v in vars(self).items() if k not in ("handed", "words", "pairs")}
+        return {k: v for k, v in vars(self).items() if k not in ("share", "words", "pairs")}
 
     def pair_places(self, keys: np.ndarray) -> np.ndarray:
         distinct, back = np.unique(keys, return_inverse=True)
@@ -249,7 +325,7 @@ class Model:
         out = [(0.0, 0.0)] * len(texts)
         if not self.known:
             return out
-        for rows, found in parts(pa.record_batch([texts], names=["text"])):
+        for rows, found in parts(pa.record_batch([texts], names=["text"]), SCORE_PART):
             h = np.concatenate(found)
             at = distinct_places(h, self.words)
             logs = self.ratio[at].astype(np.float64)
@@ -272,12 +348,21 @@ class Model:
         return (1.0 / (1.0 + np.exp(-np.clip(a * x + b * y + c, -50, 50)))).tolist()
 
 
+def handed(share: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """The weight that contexts hand down, by class."""
+    return share[:, None] * (DISCOUNT * after + CONTEXT_WEIGHT)
+
+
 class Fitted:
     """A model in three broadcasts, words, pairs and the rest, each sent once; the driver keeps none
-    of its large arrays.  ``handed`` and ``fit`` as in ``Model``."""
+    of its large arrays but ``after``.  ``after`` and ``fit`` as in ``Model``."""
+
+    def __init__(self, words, pairs, rest, share=None, after=None):
+        self.lent, self.share, self.after, self.fit = (words, pairs, rest), share, after, DEFAULT_FIT
 
-    def __init__(self, words, pairs, rest, handed):
-        self.lent, self.handed, self.fit = (words, pairs, rest), handed, DEFAULT_FIT
+    @property
+    def handed(self) -> np.ndarray | None:
+        return None if self.after is None else handed(self.share, self.after)
 
     @property
     def pairs(self) -> Pairs:
@@ -295,14 +380,14 @@ def borrowed(lent) -> Model:
 
 
 def _evidence_of(h: np.ndarray, logs: np.ndarray) -> tuple[float, float]:
-    order = np.argsort(-logs, kind="stable")
-    best, seen = 0.0, set()
-    for i in order:
-        if h[i] not in seen:
-            seen.add(h[i])
-            best += logs[i]
-            if len(seen) == TOP:
-                break
+    best, words, left = 0.0, h, logs
+    for _ in range(TOP):
+        if not len(left):
+            break
+        i = left.argmax()
+        best += left[i]
+        others = words != words[i]
+        words, left = words[others], left[others]
     return float(best) / TOP, float(logs.sum()) / (len(logs) + 20.0)
 
 
@@ -345,44 +430,47 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Fitted:
 
     # distinct words, then pairs, of the bounded sample
     words, counts = _sorted(summed(per_batch(counted, "word long, ordinary int, toxic int", _words), "word"), np.uint64)
-    starts = np.zeros(len(words) + 1, np.int64)
-    if not counts.sum(axis=1).all():
-        pairs = Pairs(starts, np.empty(0, np.int32))
-        return Fitted(lend(words), lend(pairs), lend(Model(words, counts, pairs, np.zeros((2, 1)), np.zeros(1), list)), None)
+    n = len(words)
     lent = lend(words)
-    path, step = scratch(spark, "toxicity-pairs"), -(-len(words) // CHUNKS)
+    del words
+    if not counts.sum(axis=1).all():
+        return Fitted(lent, lend(Pairs(np.zeros(n + 1, np.int32), np.empty(0, np.int32))), lend(Model(counts)))
+    path, step = scratch(spark, "toxicity-pairs"), -(-n // CHUNKS)
     (summed(per_batch(counted, "pair long, ordinary int, toxic int", lambda: _pairs(lent)).where("pair >= 0"), "pair")
      .withColumn("chunk", F.floor(F.shiftright("pair", 32) / step).cast("int"))
-     .write.partitionBy("chunk").parquet(path))
+     .sortWithinPartitions("chunk", "pair").write.option("compression", "zstd").partitionBy("chunk").parquet(path))
     table = spark.read.schema("pair long, ordinary int, toxic int, chunk int").parquet(path)
 
     def chunks():
         """One chunk's pairs at a time: the driver never holds the keys and counts of all."""
-        for chunk in range(CHUNKS):
-            yield _sorted(table.where(F.col("chunk") == chunk), np.int64)
-
-    second, done, contexts = np.empty(table.count(), np.int32), 0, np.zeros((2, len(words) + 1))
-    for keys, found in chunks():
-        first = keys >> 32
-        starts[1:] += np.bincount(first, minlength=len(words))
-        second[done:done + len(keys)] = keys & 0xFFFFFFFF
+        for chunk in range(-(-n // step)):
+            yield chunk * step, *_sorted(table.where(F.col("chunk") == chunk).drop("chunk"), np.int64)
+
+    after, done, pairs = np.zeros(n + 1, np.int64), 0, Pairs(np.zeros(n + 1, np.int64), np.empty(0, np.int32))
+    pairs.low, pairs.high = pairs.room(table.count(), n)
+    for lowest, keys, _ in chunks():
+        pairs.put(done, keys & 0xFFFFFFFF)
         done += len(keys)
-        for c in (0, 1):
-            contexts[c] += np.bincount(first, found[c], minlength=len(words) + 1)
-    after = np.append(starts[1:], 0).astype(np.float64)
-    pairs = Pairs(np.cumsum(starts), second)
-    keys = found = first = None
+        own = np.bincount((keys >> 32) - lowest)
+        after[lowest:lowest + len(own)] = own
+    np.cumsum(after[:-1], out=pairs.starts[1:])
+    if done < 2**31:
+        pairs.starts = pairs.starts.astype(np.int32)
+    lent_pairs = lend(pairs)
+    del keys, own, pairs
+    forget(spark)
 
     # distinct words after each: those of the sample's pairs, and all others of the corpus
-    lent_pairs = lend(pairs)
-    others = per_batch(joined.where("_label is null").select("_text"), "word int, place int, hash long",
-                       lambda: _others(lent, lent_pairs)).distinct().groupBy("word").count().toArrow()  # a row a word
+    others = per_batch(joined.where("_label is null").select("_text"), "pair long, hash long",
+                       lambda: _others(lent, lent_pairs)).distinct().groupBy(first_of("pair", n).alias("word")).count()
+    others = others.toArrow()  # a row a word
     after[others["word"].to_numpy()] += others["count"].to_numpy()
     del others
-    model = Model(words, counts, pairs, contexts, after, chunks)
+    forget(spark)
+    model = Model(counts, done, after, chunks)
     discard(spark, path)
-    out = Fitted(lent, lent_pairs, lend(model), model.handed)
-    del model, words, counts, pairs, contexts, second
+    out = Fitted(lent, lent_pairs, lend(model), model.share, after)
+    del model, counts
     apart = joined.where("_target is not null and _label is null").select("_text", "_target")
     seen = per_batch(apart, "best double, mean double, target int", lambda: _evidence(out.lent)).toArrow()
     out.fit = logistic(np.column_stack([seen[c].to_numpy() for c in ("best", "mean")]),

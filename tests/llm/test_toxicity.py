@@ -2,6 +2,8 @@
 
 import itertools
 import random
+import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -103,3 +105,50 @@ def test_expressions_of_few_documents_count(spark):
     model = T.fit(docs, labels)
     together, apart = model.evidence("ban gust"), model.evidence("gust ban")
     assert together[0] > apart[0] + 0.5 and together[1] > apart[1]
+
+
+def test_words_are_told_apart_in_any_text():
+    """One hash a distinct word, whatever the case, script or length; digits and marks part words."""
+    r = random.Random(7)
+    letters = "abcxyzABCÜßéİıſΣσςЖж日本語ªⅧ²½٣7_-'. \t\ń\U0001d400\U00010400"
+    texts = ["".join(r.choice(letters) for _ in range(r.randint(1, 300))) for _ in range(500)]
+    texts += ["a" * n for n in range(1, 40)] + ["ab" * 300_000 + " ab " + "c" * 600_000, " " * 700_000 + "x", None, "", "1 2"]
+    texts.append("".join(map(chr, itertools.chain(range(0xD800), range(0xE000, 0x110000)))))
+    seen = {}
+    for text in texts:
+        words = re.findall(r"[^\W\d_]+", text.lower()) if text else []
+        found = T.word_hashes(text).tolist()
+        assert len(found) == len(words)
+        assert all(seen.setdefault(w, h) == h for w, h in zip(words, found))
+    assert len(set(seen.values())) == len(seen) > 2000
+
+
+def test_a_task_keeps_no_words():
+    """A worker of an executor holds none of the words it has hashed."""
+    T.word_hashes("some word")
+    tracemalloc.start()
+    for i in range(0, 60_000, 1000):
+        T.word_hashes(" ".join("q" + "".join(chr(97 + int(d)) for d in str(j)) for j in range(i, i + 1000)))
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 1_000_000
+
+
+def test_the_driver_builds_a_model_in_little_memory():
+    """Few bytes a word and a pair: 300,000 words, 600,000 pairs in chunks."""
+    n, step = 300_000, 30_000
+    r = np.random.default_rng(1)
+    counts = r.integers(0, 9, (2, n)).astype(np.int32)
+    after = np.append(np.full(n, 2), 0)
+
+    def chunks():
+        for low in range(0, n, step):
+            first = np.repeat(np.arange(low, low + step), 2)
+            yield low, first << 32 | np.tile([3, 70_000], step), np.ones((2, 2 * step), np.int32)
+
+    tracemalloc.start()
+    model = T.Model(counts, 2 * n, after, chunks)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model.adds) == 2 * n + 1 and len(model.back) == len(model.ratio) == n + 1
+    assert most < 50_000_000  # 4 bytes a pair, 8 a word and a block's logarithms
