@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import gc
 import os
@@ -64,12 +65,25 @@ def _let_go(module: str) -> None:
             clear()
 
 
+def _give_back(lent=()) -> None:
+    """Let go the values of broadcasts, which idle workers would otherwise keep beside those that
+    run (``value`` reads the executor's file again), and return free memory to the system."""
+    for broadcast in lent:
+        if getattr(broadcast, "_path", None):
+            vars(broadcast).pop("_value", None)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim:
+        trim(0)
+
+
 def per_batch(df: DataFrame, schema: str,
               make: Callable[[], Callable[[pa.RecordBatch], dict | Iterator[dict] | None]],
-              finish: str | None = None, owner: str | None = None) -> DataFrame:
+              finish: str | None = None, owner: str | None = None, lent: tuple = ()) -> DataFrame:
     """Map Arrow batches through ``make()``, called once a task; it returns a function
     from a batch to a dict of columns, or to several in turn.  ``finish`` names a method called at the end.  What other
-    modules than ``owner`` (that of ``make``) have ``held`` in the worker goes first."""
+    modules than ``owner`` (that of ``make``) have ``held`` in the worker goes first; ``lent``
+    broadcasts are read for a task and go with it."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -78,7 +92,13 @@ def per_batch(df: DataFrame, schema: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _let_go(owner)
-        work = make()
+        _give_back()
+        try:
+            yield from mapped(make(), batches)
+        finally:
+            _give_back(lent)
+
+    def mapped(work, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 cols = work(batch)
@@ -130,7 +150,7 @@ def unused(df: DataFrame, name: str) -> str:
 
 
 def beside(df: DataFrame, text_col: str, keep: tuple[str, ...], new: list[tuple[str, str]],
-           make: Callable[[], Callable[[pa.Array], list[list]]]) -> DataFrame:
+           make: Callable[[], Callable[[pa.Array], list[list]]], lent: tuple = ()) -> DataFrame:
     """``keep`` columns and new ones that a task's function makes from the text column.
     Inside, columns go by number, so no name can clash."""
     src = df.select(F.col(f"`{text_col}`").alias("t"),
@@ -147,7 +167,7 @@ def beside(df: DataFrame, text_col: str, keep: tuple[str, ...], new: list[tuple[
 
         return run
 
-    return per_batch(src, schema, start, owner=make.__module__).toDF(*keep, *[name for name, _ in new])
+    return per_batch(src, schema, start, owner=make.__module__, lent=lent).toDF(*keep, *[name for name, _ in new])
 
 
 def tokenizer_file(name: str) -> str:

@@ -436,7 +436,7 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Fitted:
     if not counts.sum(axis=1).all():
         return Fitted(lent, lend(Pairs(np.zeros(n + 1, np.int32), np.empty(0, np.int32))), lend(Model(counts)))
     path, step = scratch(spark, "toxicity-pairs"), -(-n // CHUNKS)
-    (summed(per_batch(counted, "pair long, ordinary int, toxic int", lambda: _pairs(lent)).where("pair >= 0"), "pair")
+    (summed(per_batch(counted, "pair long, ordinary int, toxic int", lambda: _pairs(lent), lent=(lent,)).where("pair >= 0"), "pair")
      .withColumn("chunk", F.floor(F.shiftright("pair", 32) / step).cast("int"))
      .sortWithinPartitions("chunk", "pair").write.option("compression", "zstd").partitionBy("chunk").parquet(path))
     table = spark.read.schema("pair long, ordinary int, toxic int, chunk int").parquet(path)
@@ -462,7 +462,8 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Fitted:
 
     # distinct words after each: those of the sample's pairs, and all others of the corpus
     others = per_batch(joined.where("_label is null").select("_text"), "pair long, hash long",
-                       lambda: _others(lent, lent_pairs)).distinct().groupBy(first_of("pair", n).alias("word")).count()
+                       lambda: _others(lent, lent_pairs), lent=(lent, lent_pairs))
+    others = others.distinct().groupBy(first_of("pair", n).alias("word")).count()
     others = others.toArrow()  # a row a word
     after[others["word"].to_numpy()] += others["count"].to_numpy()
     del others
@@ -472,7 +473,7 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Fitted:
     out = Fitted(lent, lent_pairs, lend(model), model.share, after)
     del model, counts
     apart = joined.where("_target is not null and _label is null").select("_text", "_target")
-    seen = per_batch(apart, "best double, mean double, target int", lambda: _evidence(out.lent)).toArrow()
+    seen = per_batch(apart, "best double, mean double, target int", lambda: _evidence(out.lent), lent=out.lent).toArrow()
     out.fit = logistic(np.column_stack([seen[c].to_numpy() for c in ("best", "mean")]),
                        seen["target"].to_numpy().astype(float))
     return out
@@ -520,7 +521,7 @@ def score(docs: DataFrame, model: Fitted, keep: tuple[str, ...] = ("doc_id",),
 
         return work
 
-    return beside(docs, "text", keep, [(names[0], "double"), (names[1], "int")], make)
+    return beside(docs, "text", keep, [(names[0], "double"), (names[1], "int")], make, lent)
 
 
 def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -7,9 +7,11 @@ import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ledgerline.llm import toxicity as T
+from ledgerline.llm.common import per_batch
 from llm_helpers import corpus, no_rows  # noqa: F401
 
 
@@ -152,3 +154,22 @@ def test_the_driver_builds_a_model_in_little_memory():
     tracemalloc.stop()
     assert len(model.adds) == 2 * n + 1 and len(model.back) == len(model.ratio) == n + 1
     assert most < 50_000_000  # 4 bytes a pair, 8 a word and a block's logarithms
+
+
+def test_a_worker_keeps_no_broadcast_after_its_task(spark):
+    """The next task of the worker reads the value again."""
+    lent = spark.sparkContext.broadcast(np.arange(1000))
+
+    def work():
+        value = lent.value
+        return lambda batch: {"n": [len(value)] * batch.num_rows}
+
+    def kept(batches):
+        found = "_value" in vars(lent)
+        for batch in batches:
+            yield pa.record_batch([pa.array([found] * batch.num_rows)], names=["kept"])
+
+    rows = spark.range(20).repartition(2)
+    for _ in range(2):
+        assert {r.n for r in per_batch(rows, "n int", work, lent=(lent,)).collect()} == {1000}
+        assert not any(r.kept for r in rows.mapInArrow(kept, "kept boolean").collect())
